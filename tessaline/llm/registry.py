@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
-from . import packing, tokens
+from . import decontaminate, langid, near_dup, packing, quality_rules, secrets, tokens
 
 QUERIES = {
+    "op2_language_id": langid.op2_language_id,
     "op3_token_counts": tokens.op3_token_counts,
+    "op4_secrets": secrets.op4_secrets,
     "op5_packing": packing.op5_packing,
+    "op6_decontamination": decontaminate.op6_decontamination,
+    "op8_quality_rules": quality_rules.op8_quality_rules,
+    "op10_near_dup": near_dup.op10_near_dup,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {
+    "op6_decontamination": decontaminate.OP6_SQL,
+}
