@@ -77,8 +77,13 @@ def occurrences(index: DataFrame, anchored: DataFrame) -> DataFrame:
     return joined.select("row", "doc_id", "n_words", "item_ids", first.cast("int").alias("start"), F.size("terms").alias("length"), F.coalesce(phrase, F.lit(False)).alias("phrase"), F.coalesce(near, F.lit(False)).alias("near"))
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """docs with the column row: a number for each row, the same whenever the same stored table is read."""
+    return docs.select(F.monotonically_increasing_id().alias("row"), *(F.col(c) for c in docs.columns if c != "row"))
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Per row of docs: doc_id, n_words, n_hit, item_ids (sorted strings), near_ids, contaminated (n_hit > 0).
+    """Per row of docs: row (see numbered), doc_id, n_words, n_hit, item_ids (sorted strings), near_ids, contaminated (n_hit > 0).
 
     A word is hit when it lies inside an occurrence of a window of the benchmark. near_ids are items with a proximity match.
 
@@ -94,8 +99,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     all_windows = materialise(windows(benchmark), "windows")
     blocks = max(1, -(-all_windows.count() // BLOCK_WINDOWS))
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), words(F.col("text").cast("string")).alias("own"))
-    rows = own.select(F.monotonically_increasing_id().alias("row"), "doc_id", "own")
+    rows = numbered(docs).select("row", F.col("doc_id").cast("long").alias("doc_id"), words(F.col("text").cast("string")).alias("own"))
+    own = docs.select(words(F.col("text").cast("string")).alias("own"))
     seen = None
     for k in range(blocks):
         block = all_windows.where(F.pmod(F.xxhash64("terms"), F.lit(blocks)) == k) if blocks > 1 else all_windows
@@ -122,7 +127,13 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
     n_hit = covered["sum"].cast("long")
     sets = {"item_ids": "phrase", "near_ids": "near"}
-    return seen.select("doc_id", "n_words", n_hit.alias("n_hit"), *(F.array_sort(F.array_distinct(c)).alias(n) for n, c in sets.items())).withColumn("contaminated", F.col("n_hit") > 0)
+    return seen.select("row", "doc_id", "n_words", n_hit.alias("n_hit"), *(F.array_sort(F.array_distinct(c)).alias(n) for n, c in sets.items())).withColumn("contaminated", F.col("n_hit") > 0)
+
+
+def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of docs, with all columns, that hold no window of the benchmark; docs is a stored table."""
+    found = contamination(docs, benchmark).where("contaminated").select("row")
+    return numbered(docs).join(found, "row", "left_anti").select(*(c for c in docs.columns if c != "row"))
 
 
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

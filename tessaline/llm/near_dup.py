@@ -237,6 +237,17 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
     return out.select("doc_id", "n_shingles", component_id.alias("component_id"), F.coalesce(F.col("doc_id") == component_id, F.lit(True)).alias("kept"))
 
 
+def deduplicated(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of docs, with all columns, that near_duplicates() keeps; of rows that share a doc_id one stays; null ids all stay."""
+    dropped = near_duplicates(docs, words, percent).where(~F.col("kept")).select("doc_id").distinct()
+    left = docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    repeated = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    if repeated.isEmpty():
+        return left
+    once = left.join(repeated, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
+    return left.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(once)
+
+
 def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, by two-word shingles."""
     return near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
