@@ -1,4 +1,593 @@
-"""Named queries over the driver's tables, and their SQL."""
+"""Named queries over the driver's tables, one or more for each operator family, and their SQL."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from . import bindings as B
+from .functions import crs, geometry as G, scalars as S
+from .operators import composite, focal, inference, sampling, scenes, stack, tiles, validation
 
 QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    """Register a function under its name, with the SQL for its rows."""
+
+    def register(function):
+        QUERIES[function.__name__] = function
+        if sql:
+            ORACLE_SQL[function.__name__] = sql
+        return function
+
+    return register
+
+
+def rounded(df: DataFrame, *columns: str, digits: int = 9) -> DataFrame:
+    return df.withColumns({c: F.round(F.col(c), digits) for c in columns})
+
+
+# --- scenes ---------------------------------------------------------------------------------------------------------
+
+SEASON_SQL = "CASE WHEN month(ts) BETWEEN 3 AND 5 THEN 'SPR' WHEN month(ts) BETWEEN 6 AND 8 THEN 'SUM' WHEN month(ts) BETWEEN 9 AND 11 THEN 'FAL' END"
+
+
+@query(f"""WITH {B.SCENES} SELECT item_id, tile_id, ts, cloud_cover, ord FROM scenes
+WHERE cloud_cover < 60 AND ((year(ts) IN (1996, 1997) AND month(ts) BETWEEN 6 AND 8) OR (year(ts) = 1998 AND month(ts) BETWEEN 3 AND 5))""")
+def sc1_fetch_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scenes.fetch_items(B.scenes(spark, sf_dir), [(1996, "SUM"), (1997, "SUM"), (1998, "SPR")], 60.0)
+    return found.select("item_id", "tile_id", "ts", "cloud_cover", "ord")
+
+
+@query("""SELECT y AS year, s AS season, strftime(make_date(y, m1, 1), '%Y-%m-%d') AS start_date, strftime(make_date(y, m2, d2), '%Y-%m-%d') AS end_date
+FROM range(1995, 2002) a(y), (VALUES ('SPR', 3, 5, 31), ('SUM', 6, 8, 31), ('FAL', 9, 11, 30)) b(s, m1, m2, d2)""")
+def sc2_season_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    years = spark.range(1995, 2002).select(F.col("id").alias("year"), F.explode(F.array(*map(F.lit, S.SEASONS))).alias("season"))
+    year = F.col("year").cast("int")
+    return years.select("year", "season", S.season_start(year, F.col("season")).cast("string").alias("start_date"), S.season_end(year, F.col("season")).cast("string").alias("end_date"))
+
+
+@query(f"""WITH {B.SCENES}, a AS (SELECT *, coalesce(cloud_cover, 100) AS c, min(ord) OVER (PARTITION BY tile_id) AS tord, count(*) OVER (PARTITION BY tile_id) AS nt,
+ row_number() OVER (PARTITION BY tile_id ORDER BY coalesce(cloud_cover, 100), ord) AS rn, count(*) OVER () AS total FROM scenes),
+t AS (SELECT tile_id, tord, least(greatest(1, 100 // (2 * (SELECT count(DISTINCT tile_id) FROM scenes))), any_value(nt)) AS take FROM a GROUP BY tile_id, tord),
+u AS (SELECT *, coalesce(sum(take) OVER (ORDER BY tord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS prev FROM t),
+b AS (SELECT a.*, rn <= least(take, greatest(100 - prev, 0)) AS p1 FROM a JOIN u USING (tile_id)),
+g AS (SELECT *, row_number() OVER (PARTITION BY p1 ORDER BY c, ord) AS gr, sum(CASE WHEN p1 THEN 1 ELSE 0 END) OVER () AS n1 FROM b)
+SELECT item_id, tile_id, cloud_cover, ord, row_number() OVER (ORDER BY c, CASE WHEN p1 THEN 0 ELSE 1 END, CASE WHEN p1 THEN tord END, CASE WHEN p1 THEN rn END, ord) AS place
+FROM g WHERE p1 OR gr <= 100 - n1""")
+def tk1_best_scenes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scenes.best_scenes(B.scenes(spark, sf_dir), 100).withColumn("place", F.col("place").cast("long"))
+
+
+@query(f"WITH {B.SCENES} SELECT tile_id, count(*) AS n FROM scenes WHERE cloud_cover < 60 GROUP BY tile_id")
+def ag13_tile_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scenes.tile_counts(B.scenes(spark, sf_dir).where("cloud_cover < 60"))
+
+
+@query("""SELECT o_custkey AS key, min(o_orderkey) AS ord, arg_min(o_totalprice, o_orderkey) AS price FROM orders GROUP BY o_custkey""")
+def st2_keep_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = B.table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("key"), F.col("o_orderkey").alias("ord"), F.col("o_totalprice").alias("price"))
+    return scenes.deduplicated(rows, "key", "ord")
+
+
+@query(f"""WITH {B.SCENES}, n AS (SELECT 'S2A_' || CAST(tile_id AS VARCHAR) || '_' || CAST(item_id AS VARCHAR) AS name FROM scenes)
+SELECT name, coalesce(nullif(split_part(name, '_', 2), ''), 'unknown') AS tile, 'S2_SPR_' || split_part(name, '_', 2) AS label, 5070 AS epsg,
+ translate(name, ' /:', '_--') || '.tif' AS filename FROM n""")
+def pj9_scene_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = B.scenes(spark, sf_dir).select(F.concat_ws("_", F.lit("S2A"), F.col("tile_id").cast("string"), F.col("item_id").cast("string")).alias("name"))
+    tile = S.tile_of(F.col("name"))
+    return n.select("name", tile.alias("tile"), S.band_label(F.lit("SPR"), tile).alias("label"), S.epsg_of(F.lit("EPSG:5070")).alias("epsg"), S.safe_filename(F.col("name")).alias("filename"))
+
+
+@query("""WITH p AS (SELECT o_orderkey AS id, o_custkey % 3 AS priority, o_orderdate AS ts, o_custkey % 5 AS area, nullif(o_orderpriority, '5-LOW') AS url FROM orders WHERE o_orderstatus = 'F'),
+q AS (SELECT *, min(priority) OVER (PARTITION BY area) AS best FROM p WHERE url IS NOT NULL)
+SELECT area, id, priority, url FROM q WHERE priority = best""")
+def sc17_first_nonempty_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = B.table(spark, sf_dir, "orders").where("o_orderstatus = 'F'")
+    products = t.select((F.col("o_custkey") % 5).alias("area"), F.col("o_orderkey").alias("id"), (F.col("o_custkey") % 3).alias("priority"), F.nullif("o_orderpriority", F.lit("5-LOW")).alias("url"))
+    usable = products.where(F.col("url").isNotNull())
+    best = usable.groupBy("area").agg(F.min("priority").alias("priority"))
+    return usable.join(best, ["area", "priority"], "left_semi").select("area", "id", "priority", "url")
+
+
+# --- composites -----------------------------------------------------------------------------------------------------
+
+MEDIAN_SQL = f"""{B.OBSERVATIONS}, o AS (SELECT *, {SEASON_SQL} AS season, dn * (1 / 10000.0::DOUBLE) AS refl, NOT (scl IN (3, 8, 9, 10, 11)) AND scl <> 0 AND dn <> 0 AS clear FROM obs),
+g AS (SELECT row, col, season, count(*) FILTER (clear) AS n_clear, median(CASE WHEN clear THEN refl END) AS v FROM o WHERE season IS NOT NULL GROUP BY ALL),
+k AS (SELECT row, col, season, n_clear, CASE WHEN n_clear >= 3 THEN v END AS value FROM g),
+r AS (SELECT season, max(value) > 1.001 OR min(value) < -0.001 AS exceeded FROM k GROUP BY season),
+m AS (SELECT row, col, k.season, n_clear, CASE WHEN value IS NULL THEN NULL WHEN exceeded THEN greatest(least(value, 1.0::DOUBLE), 0.0::DOUBLE) ELSE value END AS value FROM k JOIN r ON k.season = r.season)"""
+
+
+def composite_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return composite.seasonal_median(B.observations(spark, sf_dir))
+
+
+@query(f"WITH {MEDIAN_SQL} SELECT row, col, season, n_clear, round(value, 9) AS value FROM m")
+def ag1_seasonal_median(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(composite_of(spark, sf_dir).select("row", "col", "season", "n_clear", "value"), "value")
+
+
+@query(f"""WITH {B.OBSERVATIONS}, o AS (SELECT *, {SEASON_SQL} AS season, dn * (1 / 10000.0::DOUBLE) AS refl, scl NOT IN (3, 8, 9, 10, 11) AS clear FROM obs)
+SELECT row, col, season, count(*) FILTER (clear) AS n_clear, round(CASE WHEN count(*) FILTER (clear) >= 2 THEN median(CASE WHEN clear THEN refl END) END, 9) AS value
+FROM o WHERE season IS NOT NULL GROUP BY row, col, season""")
+def ag2_lazy_median(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = composite.seasonal_median(B.observations(spark, sf_dir), min_clear=2, strict=False, clip=False)
+    return rounded(out.select("row", "col", "season", "n_clear", "value"), "value")
+
+
+@query(f"WITH {MEDIAN_SQL} SELECT season, min(n_clear) AS least, round(avg(n_clear), 9) AS mean, max(n_clear) AS most FROM m GROUP BY season")
+def ag5_count_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(composite.count_statistics(composite_of(spark, sf_dir), ["season"]), "mean")
+
+
+@query(f"WITH {MEDIAN_SQL} SELECT season, round(min(value), 9) AS lowest, round(max(value), 9) AS highest, count(value) AS n_valid FROM m GROUP BY season")
+def ag6_value_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(composite.value_range(composite_of(spark, sf_dir), ["season"]), "lowest", "highest")
+
+
+@query(f"WITH {MEDIAN_SQL} SELECT row, col FROM m WHERE value IS NOT NULL GROUP BY row, col HAVING count(DISTINCT season) = 3")
+def fi11_complete_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return composite.complete(composite_of(spark, sf_dir), ["row", "col"], list(S.SEASONS))
+
+
+@query(f"""WITH {MEDIAN_SQL}, w AS (SELECT row, col, coalesce(max(value) FILTER (season = 'SPR'), -9999) AS a, coalesce(max(value) FILTER (season = 'SUM'), -9999) AS b,
+ coalesce(max(value) FILTER (season = 'FAL'), -9999) AS c FROM m GROUP BY row, col) SELECT row, col, round(a, 9) AS spr, round(b, 9) AS sum_, round(c, 9) AS fal FROM w""")
+def st3_concatenated_seasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bands = composite.concatenated(composite_of(spark, sf_dir), ["row", "col"], list(S.SEASONS))
+    return rounded(bands.select("row", "col", *(F.col("bands")[k].alias(n) for k, n in enumerate(["spr", "sum_", "fal"]))), "spr", "sum_", "fal")
+
+
+@query(f"""WITH {B.OBSERVATIONS}, s AS (SELECT scene % 8 AS scene, row, col, max(CASE WHEN scl IN (3, 8, 9, 10, 11) THEN 1 ELSE 0 END) AS cloudy FROM obs GROUP BY ALL),
+a AS (SELECT *, max(cloudy) OVER (PARTITION BY scene, row ORDER BY col RANGE BETWEEN 2 PRECEDING AND 2 FOLLOWING) AS c1 FROM s)
+SELECT scene, row, col, max(c1) OVER (PARTITION BY scene, col ORDER BY row RANGE BETWEEN 2 PRECEDING AND 2 FOLLOWING) AS cloudy FROM a""")
+def fo5_dilated_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
+    obs = B.observations(spark, sf_dir).withColumn("scene", F.col("scene") % 8)
+    mask = obs.groupBy("scene", "row", "col").agg(F.max(F.when(S.is_clear(F.col("scl")), 0).otherwise(1)).alias("cloudy"))
+    return composite.dilated(mask, 2, ["scene"])
+
+
+@query(f"""WITH {B.OBSERVATIONS}, t AS (SELECT row, col, scl AS tile_ord, min(nullif(CASE WHEN scl % 3 = 0 THEN NULL ELSE dn END, 0)) AS value FROM obs GROUP BY ALL)
+SELECT row, col, arg_min(value, tile_ord) FILTER (value IS NOT NULL) AS value FROM t GROUP BY row, col""")
+def st4_mosaic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = B.observations(spark, sf_dir).groupBy("row", "col", F.col("scl").alias("tile_ord")).agg(F.min(F.when(F.col("scl") % 3 != 0, F.nullif("dn", F.lit(0.0)))).alias("value"))
+    return composite.mosaicked(t)
+
+
+# --- terrain --------------------------------------------------------------------------------------------------------
+
+SLOPE_SQL = """s AS (SELECT row, col, z,
+ CASE WHEN lag(col) OVER r IS NULL AND lead(col) OVER r IS NULL THEN 0 WHEN lag(col) OVER r IS NULL THEN lead(z) OVER r - z WHEN lead(col) OVER r IS NULL THEN z - lag(z) OVER r ELSE (lead(z) OVER r - lag(z) OVER r) / 2 END AS gx,
+ CASE WHEN lag(row) OVER c IS NULL AND lead(row) OVER c IS NULL THEN 0 WHEN lag(row) OVER c IS NULL THEN lead(z) OVER c - z WHEN lead(row) OVER c IS NULL THEN z - lag(z) OVER c ELSE (lead(z) OVER c - lag(z) OVER c) / 2 END AS gy
+ FROM dem WINDOW r AS (PARTITION BY row ORDER BY col), c AS (PARTITION BY col ORDER BY row))"""
+
+
+def box_sql(radius: int, name: str) -> str:
+    """A direct mean over the square, edges replicated: each cell joined to the clamped neighbours."""
+    return f"""b{name} AS (SELECT o.row, o.col, avg(n.z) AS mean FROM (SELECT d.row, d.col, greatest(least(d.row + i, e.r1), e.r0) AS rr, greatest(least(d.col + j, e.c1), e.c0) AS cc
+ FROM dem d, (SELECT min(row) AS r0, max(row) AS r1, min(col) AS c0, max(col) AS c1 FROM dem) e, range({-radius}, {radius + 1}) x(i), range({-radius}, {radius + 1}) y(j)) o
+ JOIN dem n ON n.row = o.rr AND n.col = o.cc GROUP BY o.row, o.col)"""
+
+
+CLOSING_SQL = """mx AS (SELECT o.row, o.col, max(n.z) AS z FROM dem o JOIN dem n ON abs(n.row - o.row) <= 1 AND abs(n.col - o.col) <= 1 GROUP BY o.row, o.col),
+mn AS (SELECT o.row, o.col, min(n.z) AS z FROM mx o JOIN mx n ON abs(n.row - o.row) <= 1 AND abs(n.col - o.col) <= 1 GROUP BY o.row, o.col)"""
+
+
+@query(f"WITH {B.ELEVATION}, {SLOPE_SQL} SELECT row, col, z, round(degrees(atan(sqrt(gx * gx + gy * gy))), 9) AS slope FROM s")
+def fo1_slope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(focal.slope(B.elevation(spark, sf_dir), 1.0), "slope")
+
+
+@query(f"WITH {B.ELEVATION}, {box_sql(3, 'm')} SELECT row, col, z, round(mean, 7) AS box_mean FROM dem LEFT JOIN bm USING (row, col)")
+def fo2_box_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(focal.box_mean(B.elevation(spark, sf_dir), 3), "box_mean", digits=7)
+
+
+@query(f"WITH {B.ELEVATION}, {box_sql(2, 'm')} SELECT row, col, z, round(z - mean, 7) AS tpi FROM dem LEFT JOIN bm USING (row, col)")
+def fo3_position_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(focal.position_index(B.elevation(spark, sf_dir), 20.0, 10.0), "tpi", digits=7)
+
+
+@query(f"WITH {B.ELEVATION}, {CLOSING_SQL} SELECT row, col, dem.z AS z, round(CASE WHEN dem.z IS NOT NULL THEN greatest(mn.z - dem.z, 0) END, 9) AS depth FROM dem LEFT JOIN mn USING (row, col)")
+def fo4_depression_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(focal.depression_depth(B.elevation(spark, sf_dir)), "depth")
+
+
+@query(f"""WITH {B.ELEVATION}, {SLOPE_SQL}, {box_sql(1, 's')}, {box_sql(4, 'l')}, {CLOSING_SQL}
+SELECT row, col, round(CASE WHEN s.z IS NULL THEN -9999 ELSE coalesce(degrees(atan(sqrt(gx * gx + gy * gy))), -9999) END, 7) AS slope,
+ round(coalesce(s.z - bs.mean, -9999), 7) AS tpi_small, round(coalesce(s.z - bl.mean, -9999), 7) AS tpi_large, round(coalesce(CASE WHEN s.z IS NOT NULL THEN greatest(mn.z - s.z, 0) END, -9999), 7) AS depth
+FROM s LEFT JOIN bs USING (row, col) LEFT JOIN bl USING (row, col) LEFT JOIN mn USING (row, col)""")
+def sk11_terrain_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bands = focal.terrain_bands(B.elevation(spark, sf_dir), 1.0, 1.0, 4.0)
+    names = ["slope", "tpi_small", "tpi_large", "depth"]
+    return rounded(bands.select("row", "col", *(F.col("bands")[k].alias(n) for k, n in enumerate(names))), *names, digits=7)
+
+
+# --- windows, grids and spatial joins ---------------------------------------------------------------------------------
+
+
+@query("""WITH p AS (SELECT DISTINCT p_size AS size, 1 + p_partkey % 17 AS win, p_partkey % 7 AS ov FROM part),
+q AS (SELECT *, CASE WHEN size <= win THEN [0] ELSE list_sort(list_distinct(list_concat(range(0, size - win + 1, greatest(win - ov, 1)), [size - win]))) END AS o FROM p)
+SELECT size, win, ov, array_to_string(o, ',') AS starts FROM q""")
+def fo7_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = B.table(spark, sf_dir, "part").select(F.col("p_size").alias("size"), (1 + F.col("p_partkey") % 17).alias("win"), (F.col("p_partkey") % 7).alias("ov")).distinct()
+    starts = tiles.offsets(F.col("size"), F.col("win").cast("int"), F.col("ov").cast("int"))
+    return p.withColumn("starts", F.array_join(F.transform(starts, lambda s: s.cast("string")), ","))
+
+
+@query(f"""WITH {B.ELEVATION}, o AS (SELECT unnest([0, 12, 24, 36, 42]) AS col_off) SELECT row, col, col_off FROM dem, o WHERE col_off <= col AND col < col_off + 8
+UNION ALL SELECT row, col, -1 FROM dem, o WHERE false""")
+def fo8_window_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = tiles.assigned(B.elevation(spark, sf_dir).withColumn("r", F.col("row")).withColumn("row", F.lit(0)), 1, 50, 8, -4)
+    return placed.select(F.col("r").alias("row"), "col", "col_off")
+
+
+@query(f"WITH {B.GRID} SELECT id, minx, miny, maxx, maxy FROM grid")
+def fo10_metre_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grid_of(spark)
+
+
+def grid_of(spark: SparkSession) -> DataFrame:
+    low, high = B.EXTENT
+    bounds = spark.range(1).select(*(F.lit(float(v)).alias(n) for n, v in (("minx", low), ("miny", low), ("maxx", high), ("maxy", high))))
+    return tiles.metre_grid(bounds, 512.0)
+
+
+@query("SELECT CAST(r AS INT) AS row_off, CAST(c AS INT) AS col_off, CAST(least(512, 5000 - r) AS INT) AS h, CAST(least(512, 3300 - c) AS INT) AS w FROM range(0, 5000, 512) a(r), range(0, 3300, 512) b(c)")
+def fo11_chunk_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tiles.chunks(spark, 5000, 3300, 512)
+
+
+TOUCH = "a.minx <= b.maxx AND a.maxx >= b.minx AND a.miny <= b.maxy AND a.maxy >= b.miny"
+NEAR = "sqrt(pow(greatest(0, a.minx - b.maxx, b.minx - a.maxx), 2) + pow(greatest(0, a.miny - b.maxy, b.miny - a.maxy), 2)) < 100"
+INNER = "a.minx < b.maxx AND a.maxx > b.minx AND a.miny < b.maxy AND a.maxy > b.miny"
+
+
+@query(f"WITH {B.GRID}, {B.LABEL_BOXES} SELECT id, minx, miny, maxx, maxy FROM grid a WHERE EXISTS (SELECT 1 FROM lab b WHERE {TOUCH})")
+def jo1_tiles_with_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tiles.semi(grid_of(spark), B.label_boxes(spark, sf_dir)).select("id", "minx", "miny", "maxx", "maxy")
+
+
+@query(f"WITH {B.GRID}, {B.LABEL_BOXES} SELECT id, minx, miny, maxx, maxy FROM grid a WHERE NOT EXISTS (SELECT 1 FROM lab b WHERE {TOUCH})")
+def jo2_tiles_without_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tiles.anti(grid_of(spark), B.label_boxes(spark, sf_dir)).select("id", "minx", "miny", "maxx", "maxy")
+
+
+SAFE_SQL = f"NOT EXISTS (SELECT 1 FROM lab b WHERE {NEAR}) AND NOT EXISTS (SELECT 1 FROM inv b WHERE {INNER})"
+
+
+@query(f"WITH {B.GRID}, {B.LABEL_BOXES}, {B.INVENTORY_BOXES} SELECT id FROM grid a WHERE {SAFE_SQL}")
+def jo3_safe_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tiles.safe(grid_of(spark), B.label_boxes(spark, sf_dir), B.inventory_boxes(spark, sf_dir), 100.0).select("id")
+
+
+@query(f"WITH {B.LABEL_BOXES}, {B.INVENTORY_BOXES} SELECT id FROM inv a WHERE EXISTS (SELECT 1 FROM lab b WHERE {TOUCH})")
+def jo4_footprints_on_area(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tiles.semi(B.inventory_boxes(spark, sf_dir), B.label_boxes(spark, sf_dir)).select("id")
+
+
+@query(f"WITH {B.GRID}, {B.LABEL_BOXES} SELECT a.id AS id, min(b.id) AS manifest_ord FROM grid a JOIN lab b ON {TOUCH} GROUP BY a.id")
+def jo5_first_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tiles.first_match(grid_of(spark), B.label_boxes(spark, sf_dir).withColumn("ord", F.col("id")))
+
+
+@query("""WITH t AS (SELECT doc_id, lang FROM documents), l AS (SELECT doc_id, quality FROM labels) SELECT t.doc_id AS doc_id, lang, quality, quality IS NOT NULL AS paired FROM t LEFT JOIN l ON t.doc_id = l.doc_id""")
+def jo9_paired_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = B.table(spark, sf_dir, "documents").select("doc_id", "lang")
+    joined = t.join(B.table(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id", "left")
+    return joined.withColumn("paired", F.col("quality").isNotNull())
+
+
+@query("SELECT r_name AS area, s AS season FROM region, (VALUES ('SPR'), ('SUM'), ('FAL')) v(s)")
+def jo11_area_seasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    areas = B.table(spark, sf_dir, "region").select(F.col("r_name").alias("area"))
+    return areas.select("area", F.explode(F.array(*map(F.lit, S.SEASONS))).alias("season"))
+
+
+@query(f"""WITH {B.GRID}, {B.LABEL_BOXES}, {B.INVENTORY_BOXES}, l AS (SELECT a.id AS id, count(*) AS n FROM grid a JOIN lab b ON {TOUCH} GROUP BY a.id),
+i AS (SELECT a.id AS id, count(*) AS n FROM grid a JOIN inv b ON {TOUCH} GROUP BY a.id)
+SELECT grid.id AS id, coalesce(l.n, 0) AS n_labels, coalesce(i.n, 0) AS n_inventory FROM grid LEFT JOIN l ON l.id = grid.id LEFT JOIN i ON i.id = grid.id""")
+def jo12_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return density(spark, sf_dir)
+
+
+def density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    grid = grid_of(spark)
+    out = grid.select("id").join(tiles.match_counts(grid, B.label_boxes(spark, sf_dir), "n_labels"), "id", "left")
+    out = out.join(tiles.match_counts(grid, B.inventory_boxes(spark, sf_dir), "n_inventory"), "id", "left")
+    return out.select("id", F.coalesce("n_labels", F.lit(0)).alias("n_labels"), F.coalesce("n_inventory", F.lit(0)).alias("n_inventory"))
+
+
+@query(f"""WITH {B.GRID}, {B.LABEL_BOXES}, {B.INVENTORY_BOXES}, l AS (SELECT a.id AS id, count(*) AS n_labels FROM grid a JOIN lab b ON {TOUCH} GROUP BY a.id),
+i AS (SELECT a.id AS id, count(*) AS n_inventory FROM grid a JOIN inv b ON {TOUCH} GROUP BY a.id)
+SELECT l.id AS id, n_labels, n_inventory FROM l JOIN i ON l.id = i.id WHERE n_labels >= 1 AND n_inventory > n_labels AND n_inventory / n_labels > 1.5 ORDER BY n_inventory DESC, l.id LIMIT 1""")
+def tk6_challenge_area(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sampling.best_area(density(spark, sf_dir), 1)
+
+
+@query(f"""WITH {B.GRID}, {B.LABEL_BOXES}, {B.INVENTORY_BOXES}, c AS (SELECT id, minx + 256 AS minx, minx + 256 AS maxx, miny + 256 AS miny, miny + 256 AS maxy FROM grid)
+SELECT id FROM c a WHERE {SAFE_SQL} AND id NOT IN (SELECT a.id FROM grid a WHERE {SAFE_SQL})""")
+def jo13_edge_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    grid, labels, inventory = grid_of(spark), B.label_boxes(spark, sf_dir), B.inventory_boxes(spark, sf_dir)
+    x, y = F.col("minx") + 256, F.col("miny") + 256
+    centres = grid.select("id", x.alias("minx"), x.alias("maxx"), y.alias("miny"), y.alias("maxy"))
+    return tiles.safe(centres, labels, inventory, 100.0).join(tiles.safe(grid, labels, inventory, 100.0), "id", "left_anti").select("id")
+
+
+@query(f"WITH {B.LABEL_BOXES} SELECT min(minx) - 1000 AS minx, min(miny) - 1000 AS miny, max(maxx) + 1000 AS maxx, max(maxy) + 1000 AS maxy FROM lab")
+def ge4_acquisition_area(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return G.grown(G.total_bounds(B.label_boxes(spark, sf_dir)), 1000.0)
+
+
+@query(f"""WITH {B.LABEL_BOXES}, p AS (SELECT c_custkey AS id, c_acctbal AS x, CAST((c_custkey * 7919) % 10000 AS DOUBLE) AS y FROM customer)
+SELECT id, x, y, CASE WHEN EXISTS (SELECT 1 FROM lab WHERE x BETWEEN minx AND maxx AND y BETWEEN miny AND maxy) THEN 1 ELSE 0 END AS burned FROM p""")
+def ge7_rasterised_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = B.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.col("c_acctbal").alias("x"), ((F.col("c_custkey") * 7919) % 10000).cast("double").alias("y"))
+    return tiles.burned(p, B.label_boxes(spark, sf_dir))
+
+
+@query(f"""WITH {B.LABEL_BOXES} SELECT a.id AS id, b.id AS other, round((least(a.maxx, b.maxx) - greatest(a.minx, b.minx)) * (least(a.maxy, b.maxy) - greatest(a.miny, b.miny)), 6) AS area
+FROM lab a JOIN lab b ON a.id < b.id AND {TOUCH}""")
+def ge6_clipped_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = B.label_boxes(spark, sf_dir)
+    box = G.clipped_box("a", "b")
+    area = (box["maxx"] - box["minx"]) * (box["maxy"] - box["miny"])
+    return tiles.pairs(labels, labels, G.overlaps("a", "b") & (F.col("a.id") < F.col("b.id"))).select(F.col("a.id").alias("id"), F.col("b.id").alias("other"), F.round(area, 6).alias("area")).distinct()
+
+
+@query(f"""WITH {B.LABEL_BOXES} SELECT id, round(abs((maxx - minx) * (maxy - miny) / 2 + (maxx - minx) * (maxy - miny) / 2), 6) AS area, (minx + maxx) / 2 BETWEEN 0 AND 5000 AND (miny + maxy) / 2 BETWEEN 0 AND 5000 AS inside
+FROM lab""")
+def ge11_ring_predicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    at = lambda x, y: F.struct(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
+    ring = F.array(at("minx", "miny"), at("maxx", "miny"), at("maxx", "maxy"), at("minx", "maxy"))
+    area = F.array(*(F.struct(F.lit(float(x)).alias("x"), F.lit(float(y)).alias("y")) for x, y in ((0, 0), (5000, 0), (5000, 5000), (0, 5000))))
+    x, y = (F.col("minx") + F.col("maxx")) / 2, (F.col("miny") + F.col("maxy")) / 2
+    return B.label_boxes(spark, sf_dir).select("id", F.round(G.ring_area(ring), 6).alias("area"), G.in_ring(x, y, area).alias("inside"))
+
+
+ALBERS = {"n": crs._N, "c": crs._C, "rho0": crs._RHO0, "e": crs.E, "e2": crs.E2, "a": crs.A, "lon0": crs.LON0}
+
+
+@query("""WITH p AS (SELECT c_custkey AS id, -125 + (c_custkey % 580) / 10.0::DOUBLE AS lon, 25 + (c_custkey % 240) / 10.0::DOUBLE AS lat FROM customer),
+q AS (SELECT *, sin(radians(lat)) AS s FROM p),
+r AS (SELECT *, (1 - {e2}) * (s / (1 - {e2} * s * s) - ln((1 - {e} * s) / (1 + {e} * s)) / (2 * {e})) AS qq FROM q),
+t AS (SELECT *, {a} * sqrt({c} - {n} * qq) / {n} AS rho, {n} * (radians(lon) - ({lon0})) AS theta FROM r)
+SELECT id, round(lon, 6) AS lon, round(lat, 6) AS lat, round(rho * sin(theta), 4) AS x, round({rho0} - rho * cos(theta), 4) AS y FROM t""".format(**{k: f"CAST({v!r} AS DOUBLE)" for k, v in ALBERS.items()}))
+def ge10_albers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forward projection; lon and lat are those that the inverse gives back."""
+    k = F.col("c_custkey")
+    p = B.table(spark, sf_dir, "customer").select(k.alias("id"), (-125 + (k % 580) / 10.0).alias("lon"), (25 + (k % 240) / 10.0).alias("lat"))
+    x, y = crs.to_albers(F.col("lon"), F.col("lat"))
+    p = p.withColumns({"x": x, "y": y})
+    lon, lat = crs.from_albers(F.col("x"), F.col("y"))
+    return p.select("id", F.round(lon, 6).alias("lon"), F.round(lat, 6).alias("lat"), F.round("x", 4).alias("x"), F.round("y", 4).alias("y"))
+
+
+# --- stacks -----------------------------------------------------------------------------------------------------------
+
+
+@query(f"""WITH {B.STACK}, {B.ELEVATION}, w AS (SELECT CAST(r AS INT) AS row, CAST(c AS INT) AS col FROM range(2, 14) a(r), range(20, 32) b(c))
+SELECT w.row AS row, w.col AS col, round(coalesce(bands[1], -9999), 6) AS b1, round(coalesce(bands[29], -9999), 6) AS b29, coalesce(z, -9999) AS z
+FROM w LEFT JOIN stack ON w.row = stack.row AND w.col = stack.col LEFT JOIN dem ON w.row = dem.row AND w.col = dem.col""")
+def sc14_read_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    surface = B.elevation(spark, sf_dir).select("row", "col", F.array(F.coalesce("z", F.lit(S.NODATA))).alias("bands"))
+    out = stack.read_window(spark, [(B.stack(spark, sf_dir), 29), (surface, 1)], 2, 20, 12, 12)
+    return out.select("row", "col", F.round(F.col("bands")[0], 6).alias("b1"), F.round(F.col("bands")[28], 6).alias("b29"), F.col("bands")[29].alias("z"))
+
+
+@query(f"""WITH {B.STACK}, {B.ELEVATION}, c AS (SELECT row, col FROM stack UNION SELECT row, col FROM dem)
+SELECT c.row AS row, c.col AS col, round(coalesce(bands[3], -9999), 6) AS b3, coalesce(z, -9999) AS z FROM c LEFT JOIN stack ON c.row = stack.row AND c.col = stack.col LEFT JOIN dem ON c.row = dem.row AND c.col = dem.col""")
+def jo7_aligned_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    surface = B.elevation(spark, sf_dir).select("row", "col", F.array(F.coalesce("z", F.lit(S.NODATA))).alias("bands"))
+    out = stack.aligned([(B.stack(spark, sf_dir), 29), (surface, 1)])
+    return out.select("row", "col", F.round(F.col("bands")[2], 6).alias("b3"), F.col("bands")[29].alias("z"))
+
+
+@query(f"""WITH {B.STACK} SELECT row, col, round(CASE WHEN bands[1] = -9999 THEN bands[1] ELSE (bands[1] + 0.5) / 1.5 END, 6) AS own_range, round((bands[2] + 0.25) / 0.75, 6) AS source_range, round(bands[3] / 0.5, 6) AS by_max, round(bands[4], 6) AS unscaled FROM stack""")
+def pj3_source_scaling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    none = F.lit(None).cast("double")
+    b = F.col("bands")
+    cases = {
+        "own_range": S.source_scaled(b[0], F.lit(-0.5), F.lit(1.0), F.lit(7.0), none),
+        "source_range": S.source_scaled(b[1], none, none, F.lit(0.5), F.lit(-0.25)),
+        "by_max": S.source_scaled(b[2], none, none, F.lit(0.5), none),
+        "unscaled": S.source_scaled(b[3], none, none, none, none),
+    }
+    return B.stack(spark, sf_dir).select("row", "col", *(F.round(c, 6).alias(n) for n, c in cases.items()))
+
+
+@query(f"""WITH {B.STACK}, n AS (SELECT row, col, list_transform(bands, lambda v: greatest(0.0::DOUBLE, least(1.0::DOUBLE, v * 2))) AS b FROM stack)
+SELECT row, col, round(list_sum(b), 6) AS total, CAST(trunc(b[1] * 255) AS INT) AS byte1, round(CAST(trunc(b[1] * 255) AS INT) / 255.0::DOUBLE, 9) AS back1 FROM n""")
+def pj4_normalised_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = B.stack(spark, sf_dir).withColumn("b", F.transform("bands", lambda v: S.normalised(v * 2)))
+    byte = S.to_byte(F.col("b")[0])
+    return n.select("row", "col", F.round(F.aggregate("b", F.lit(0.0), lambda a, v: a + v), 6).alias("total"), byte.alias("byte1"), F.round(S.from_byte(byte), 9).alias("back1"))
+
+
+@query(f"""WITH {B.STACK} SELECT row, col, 32 AS n, round(greatest(0, least(1, bands[29])) / 255, 9) AS last_band, 0.0::DOUBLE AS padded FROM stack""")
+def pj7_prepared_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = B.stack(spark, sf_dir).withColumn("p", S.prepared(F.col("bands"), 32, byte_scale=True))
+    return out.select("row", "col", F.size("p").alias("n"), F.round(F.col("p")[28], 9).alias("last_band"), F.col("p")[31].alias("padded"))
+
+
+@query(f"""WITH {B.STACK}, e AS (SELECT row, col, exp(logits[1] - greatest(logits[1], logits[2])) AS a, exp(logits[2] - greatest(logits[1], logits[2])) AS b FROM stack)
+SELECT row, col, round(a / (a + b), 9) AS p0, round(b / (a + b), 9) AS p1, CASE WHEN b > a THEN 1 ELSE 0 END AS likeliest, CASE WHEN b / (a + b) >= 0.55 THEN 1 ELSE 0 END AS over FROM e""")
+def pj8_softmax_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = B.stack(spark, sf_dir).withColumn("p", S.softmax(F.col("logits")))
+    return out.select("row", "col", F.round(F.col("p")[0], 9).alias("p0"), F.round(F.col("p")[1], 9).alias("p1"), S.class_of(F.col("p")).alias("likeliest"), S.class_of(F.col("p"), 0.55).alias("over"))
+
+
+@query(f"""WITH {B.STACK}, b AS (SELECT row, col, list_transform(bands, lambda v: CASE WHEN v < 0 THEN -9999.0::DOUBLE ELSE v END) AS b FROM stack)
+SELECT row, col, len(list_filter(b[1:4], lambda v: v <> -9999)) > 0 AS any_of_first, len(list_filter(b, lambda v: v = -9999)) = 0 AS all_bands FROM b""")
+def fi7_valid_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = F.transform("bands", lambda v: F.when(v < 0, S.NODATA).otherwise(v))
+    return B.stack(spark, sf_dir).select("row", "col", S.is_valid_pixel(b, S.NODATA, 4).alias("any_of_first"), S.is_valid_pixel(b, S.NODATA).alias("all_bands"))
+
+
+TARGETS = "t AS (SELECT p_partkey AS id, (p_partkey // 50) * 0.8::DOUBLE + 0.3::DOUBLE AS y, (p_partkey % 50) * 0.9::DOUBLE + 0.15::DOUBLE AS x FROM part)"
+
+
+def targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("p_partkey")
+    return B.table(spark, sf_dir, "part").select(k.alias("id"), (F.floor(k / 50) * 0.8 + 0.3).alias("y"), ((k % 50) * 0.9 + 0.15).alias("x"))
+
+
+@query(f"""WITH {B.ELEVATION}, {TARGETS}, c AS (SELECT id, CAST(floor(y) AS INT) + dr AS row, CAST(floor(x) AS INT) + dc AS col,
+ (CASE WHEN dr = 1 THEN y - floor(y) ELSE 1 - (y - floor(y)) END) * (CASE WHEN dc = 1 THEN x - floor(x) ELSE 1 - (x - floor(x)) END) AS w FROM t, range(2) a(dr), range(2) b(dc))
+SELECT id, round(sum(z * w) / sum(CASE WHEN z IS NOT NULL THEN w END), 7) AS value FROM c LEFT JOIN dem ON dem.row = c.row AND dem.col = c.col WHERE w > 0 GROUP BY id""")
+def rs1_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(stack.bilinear(B.elevation(spark, sf_dir), targets(spark, sf_dir)), "value", digits=7)
+
+
+@query(f"WITH {B.ELEVATION}, {TARGETS} SELECT id, z AS value FROM t LEFT JOIN dem ON dem.row = CAST(floor(y + 0.5) AS INT) AND dem.col = CAST(floor(x + 0.5) AS INT)")
+def rs2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stack.nearest(B.elevation(spark, sf_dir), targets(spark, sf_dir))
+
+
+@query("SELECT count(DISTINCT p_brand) <= 1 AS same_crs, max(p_size) - min(p_size) <= 1e-6 AS same_res, count(DISTINCT 4) <= 1 AS same_bands FROM part")
+def ag16_uniform_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stack.uniform(B.table(spark, sf_dir, "part").select(F.col("p_brand").alias("crs"), F.col("p_size").alias("res"), F.lit(4).alias("bands")))
+
+
+# --- sampling ---------------------------------------------------------------------------------------------------------
+
+
+@query(f"""WITH {B.GRID}, {B.LABEL_BOXES}, {B.INVENTORY_BOXES}, p AS (SELECT id FROM grid a WHERE EXISTS (SELECT 1 FROM lab b WHERE {TOUCH})),
+c AS (SELECT id FROM grid a WHERE id NOT IN (SELECT id FROM p) AND {SAFE_SQL}),
+d AS (SELECT id FROM c QUALIFY row_number() OVER (ORDER BY (id * 2654435761 + 42) % 4294967296, id) <= (SELECT CAST(floor(count(*) * 0.5) AS BIGINT) FROM p)),
+l AS (SELECT id, 1 AS class_label FROM p UNION ALL SELECT id, 0 FROM d)
+SELECT grid.id AS id, minx, miny, maxx, maxy, class_label FROM grid JOIN l ON l.id = grid.id""")
+def ud7_training_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sampling.training_manifest(grid_of(spark), B.label_boxes(spark, sf_dir), B.inventory_boxes(spark, sf_dir), 100.0, 0.5)
+
+
+BALANCED_SQL = """p AS (SELECT doc_id AS id FROM labels WHERE quality = 0), c AS (SELECT doc_id AS id FROM labels WHERE quality = 1 AND toxic = 0),
+d AS (SELECT id FROM c QUALIFY row_number() OVER (ORDER BY (id * 2654435761 + 42) % 4294967296, id) <= (SELECT 2 * count(*) FROM p))"""
+
+
+def label_parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    t = B.table(spark, sf_dir, "labels").withColumnRenamed("doc_id", "id")
+    return t.where("quality = 0").select("id"), t.where("quality = 1 and toxic = 0").select("id")
+
+
+@query(f"WITH {BALANCED_SQL} SELECT id, 1 AS class_label FROM p UNION ALL SELECT id, 0 FROM d")
+def ud8_balanced_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sampling.balanced(*label_parts(spark, sf_dir), 2.0)
+
+
+@query(f"WITH {BALANCED_SQL} SELECT (SELECT count(*) FROM p) AS num_pos, (SELECT count(*) FROM d) AS num_neg, (SELECT count(*) FROM documents WHERE doc_id NOT IN (SELECT id FROM p UNION SELECT id FROM d)) AS num_removed")
+def ag14_sampling_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    positives, candidates = label_parts(spark, sf_dir)
+    chosen = sampling.balanced(positives, candidates, 2.0)
+    universe = B.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"))
+    return sampling.sampling_totals(positives, chosen.where("class_label = 0").select("id"), universe)
+
+
+@query("""WITH t AS (SELECT p_brand AS tile, avg(CASE WHEN p_size % 2 > 0 THEN 1.0::DOUBLE ELSE 0 END) AS cover FROM part GROUP BY p_brand ORDER BY tile LIMIT 256)
+SELECT round(avg(CASE WHEN cover >= 0.999 THEN 1.0::DOUBLE ELSE 0 END), 9) AS all_one, round(avg(CASE WHEN cover > 0 THEN cover END), 9) AS mean_cover, count(*) AS n FROM t""")
+def ag9_label_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pixels = B.table(spark, sf_dir, "part").select(F.col("p_brand").alias("tile"), (F.col("p_size") % 2).alias("v"))
+    return rounded(sampling.label_cover(pixels), "all_one", "mean_cover")
+
+
+# --- inference --------------------------------------------------------------------------------------------------------
+
+HEIGHT_SQL = "(SELECT max(row) + 1 FROM stack)"
+
+
+def windowed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of 10 with an overlap of 4 over the stack; logits shift with the window, so that averaging matters."""
+    pixels = B.stack(spark, sf_dir)
+    height = pixels.agg(F.max("row")).first()[0] + 1
+    scorer = lambda p: F.transform("logits", lambda v, i: v + F.when(i == 1, F.col("row_off") * 0.01 - F.col("col_off") * 0.005).otherwise(0.0))
+    return inference.window_scores(pixels, height, B.STACK_COLUMNS, 10, 4, scorer)
+
+
+WINDOWED_SQL = f"""{B.STACK}, ro AS (SELECT DISTINCT least(CAST(o AS INT), greatest({HEIGHT_SQL} - 10, 0)) AS ro FROM range(0, 100000, 6) x(o) WHERE o < {HEIGHT_SQL} + 6 AND o - 6 <= {HEIGHT_SQL} - 10),
+co AS (SELECT unnest([0, 6, 12, 15]) AS co),
+s AS (SELECT row, col, ro, co, logits[1] AS a, logits[2] + (ro * 0.01::DOUBLE - co * 0.005::DOUBLE) AS b FROM stack, ro, co WHERE ro <= row AND row < ro + 10 AND co <= col AND col < co + 10),
+p AS (SELECT row, col, exp(b - greatest(a, b)) / (exp(a - greatest(a, b)) + exp(b - greatest(a, b))) AS p1 FROM s),
+m AS (SELECT row, col, count(*) AS n, sum(p1) / count(*) AS p1 FROM p GROUP BY row, col)"""
+
+
+@query(f"WITH {WINDOWED_SQL} SELECT row, col, n, round(1 - p1, 7) AS p0, round(p1, 7) AS p1 FROM m")
+def ag7_overlap_average(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mean = inference.averaged(windowed(spark, sf_dir))
+    return mean.select("row", "col", "n", F.round(F.col("probabilities")[0], 7).alias("p0"), F.round(F.col("probabilities")[1], 7).alias("p1"))
+
+
+@query(f"WITH {WINDOWED_SQL} SELECT row, col, CASE WHEN p1 >= 0.5 AND row % 7 <> 0 THEN 1 ELSE 0 END AS class_id FROM m")
+def ag8_final_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mean = inference.averaged(windowed(spark, sf_dir))
+    return inference.finalised(mean, F.col("row") % 7 != 0, 0.5).select("row", "col", "class_id")
+
+
+@query(f"""WITH RECURSIVE {B.STACK}, c AS (SELECT row, col, CAST(row AS BIGINT) * 25 + col AS cell FROM stack WHERE label % 2 = 0),
+r(cell, row, col, region) AS (SELECT cell, row, col, cell FROM c UNION SELECT d.cell, d.row, d.col, r.region FROM r JOIN c d ON abs(d.row - r.row) + abs(d.col - r.col) = 1),
+l AS (SELECT row, col, min(region) AS region FROM r GROUP BY row, col)
+SELECT region, count(*) AS area, min(row) AS row_min, min(col) AS col_min, max(row) AS row_max, max(col) AS col_max FROM l GROUP BY region HAVING count(*) >= 2""")
+def ag11_mask_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mask = B.stack(spark, sf_dir).where("label % 2 = 0").select("row", "col")
+    return inference.region_boxes(inference.regions(mask, B.STACK_COLUMNS), 2)
+
+
+# --- report and scalars -------------------------------------------------------------------------------------------------
+
+
+@query(f"""WITH {MEDIAN_SQL}, px AS (SELECT 'ul' AS pixel_name, 0 AS row, 0 AS col, -85.0::DOUBLE AS lon, 42.0::DOUBLE AS lat UNION ALL SELECT 'ur', 0, 49, -84.0, 42.0),
+q AS (SELECT * FROM o WHERE season = 'SUM'), b AS (SELECT px.*, m.value AS median_value FROM px LEFT JOIN m ON m.row = px.row AND m.col = px.col AND m.season = 'SUM')
+SELECT 's2_sum' AS season_raster, 'SUM' AS season_label, '1996,1997' AS years, pixel_name, 'B08' AS band, 'S2_SUM_B08' AS band_label, 'observation' AS source_type, CAST(scene AS VARCHAR) AS item_id,
+ strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS observation_datetime, 'nir' AS asset_id, CASE WHEN abs(dn) <= 1e-8 THEN NULL ELSE dn END AS raw_value, round(CASE WHEN abs(dn) <= 1e-8 THEN NULL ELSE dn * (1 / 10000.0::DOUBLE) END, 9) AS scaled_value,
+ round(median_value, 9) AS median_value, lon, lat, b.row AS row, b.col AS col FROM b JOIN q ON q.row = b.row AND q.col = b.col
+UNION ALL SELECT 's2_sum', 'SUM', '1996,1997', pixel_name, 'B08', 'S2_SUM_B08', 'median', NULL, NULL, 'nir', NULL, round(median_value, 9), round(median_value, 9), lon, lat, row, col FROM b""")
+def ud12_pixel_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pixels = spark.range(2).select(
+        F.when(F.col("id") == 0, "ul").otherwise("ur").alias("pixel_name"), F.lit(0).alias("row"), F.when(F.col("id") == 0, 0).otherwise(49).alias("col"), (F.col("id") - 85.0).alias("lon"), F.lit(42.0).alias("lat")
+    )
+    obs = B.observations(spark, sf_dir).where(S.season_of(F.col("ts")) == "SUM").select("row", "col", F.col("scene").alias("item_id"), "ts", F.col("dn").alias("raw"), F.lit(0.0).alias("nodata"))
+    out = validation.report(pixels, obs, composite_of(spark, sf_dir).where("season = 'SUM'"), "SUM", [1996, 1997], "B08", "nir")
+    return rounded(out, "scaled_value", "median_value")
+
+
+@query("""WITH e AS (SELECT event_id, ts, CAST(json_extract(props, '$.k') AS INT) AS k, event_type, value FROM events)
+SELECT event_id, event_type, k, round(CASE WHEN k = 7 THEN NULL ELSE value / 10000 END, 9) AS scaled, strftime(ts, '%Y-%m-%d') AS day FROM e""")
+def pj19_json_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = B.table(spark, sf_dir, "events").withColumn("k", F.from_json("props", "k int")["k"])
+    return e.select("event_id", "event_type", "k", F.round(F.when(F.col("k") != 7, F.col("value") / 10000), 9).alias("scaled"), F.date_format("ts", "yyyy-MM-dd").alias("day"))
+
+
+@query("""WITH b AS (SELECT c_custkey AS id, -85.0::DOUBLE AS minx, 41.0::DOUBLE AS miny, -85 + 0.001::DOUBLE * (1 + c_custkey % 900) AS maxx, 41 + 0.002::DOUBLE * (1 + c_custkey % 700) AS maxy FROM customer),
+p AS (SELECT *, floor(greatest(floor((maxx - minx) * 111320 * cos(radians((miny + maxy) / 2)) / 10), floor((maxy - miny) * 111320 / 10)) / 4) AS q FROM b)
+SELECT id, CAST(CASE WHEN q <= 0 THEN 256 ELSE greatest(256, least(1024, pow(2, round_even(log2(q), 0)))) END AS INT) AS chunk FROM p""")
+def pj13_chunk_size(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("c_custkey")
+    size = S.chunk_size(F.lit(-85.0), F.lit(41.0), F.lit(-85.0) + 0.001 * (1 + k % 900), F.lit(41.0) + 0.002 * (1 + k % 700))
+    return B.table(spark, sf_dir, "customer").select(k.alias("id"), size.alias("chunk"))
+
+
+@query("""WITH s AS (SELECT p_partkey AS id, CASE p_partkey % 4 WHEN 0 THEN p_size * 700 WHEN 1 THEN p_size * 3 ELSE p_size * 90 END AS s FROM part)
+SELECT id, CASE WHEN s >= 3600 THEN printf('%dh%02dm', s // 3600, s % 3600 // 60) WHEN s >= 60 THEN printf('%dm%02ds', s // 60, s % 60) WHEN s >= 1 THEN printf('%d.0s', s) ELSE '0.0ns' END AS shown FROM s""")
+def pj17_durations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k, size = F.col("p_partkey"), F.col("p_size").cast("double")
+    seconds = F.when(k % 4 == 0, size * 700).when(k % 4 == 1, size * 3).otherwise(size * 90)
+    return B.table(spark, sf_dir, "part").select(k.alias("id"), S.duration(seconds).alias("shown"))
+
+
+@query("""WITH t AS (SELECT p_partkey AS id, p_size AS a, p_size + 1 AS b, p_partkey % 4 AS k FROM part)
+SELECT id, a AS height, CASE WHEN k = 3 THEN a ELSE b END AS width, k IN (0, 1) AS flag FROM t""")
+def pj15_parsed_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, k = F.col("p_size").cast("string"), F.col("p_partkey") % 4
+    b = (F.col("p_size") + 1).cast("string")
+    text = F.when(k == 0, F.concat(a, F.lit(" by "), b)).when(k == 1, F.concat(a, F.lit("x"), b)).when(k == 2, F.concat(F.lit(" "), a, F.lit(", "), b)).otherwise(a)
+    flag = F.when(k == 0, " Yes").when(k == 1, "TRUE").when(k == 2, "no").otherwise("")
+    size = S.target_size(text)
+    return B.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), size[0].alias("height"), size[1].alias("width"), S.is_true(flag).alias("flag"))
+
+
+@query("""WITH t AS (SELECT p_partkey AS id, 1 + (p_partkey % 40) / 2.0::DOUBLE AS s FROM part), o AS (SELECT unnest([2, 4, 8, 16]) AS v)
+SELECT id, CAST(arg_min(v, abs(v - s) * 1000 + v / 1000.0::DOUBLE) AS INT) AS overview FROM t, o GROUP BY id""")
+def tk8_nearest_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("p_partkey")
+    return B.table(spark, sf_dir, "part").select(k.alias("id"), S.nearest_overview(F.array(*map(F.lit, (2, 4, 8, 16))), 1 + (k % 40) / 2.0).alias("overview"))
