@@ -24,7 +24,7 @@ TOKENS_KEPT = 300_000
 
 # Letters that a written character may stand for, besides itself, and the cost of each reading in nats.
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "<": "c", "€": "e", "£": "l", "%": "x", "*": "aeiou", "#": "h"}
-READ_COST, DROP_COST, REPEAT_COST = 0.5, 0.3, 0.1
+READ_COST, DROP_COST, EDGE_COST, REPEAT_COST = 0.5, 0.3, 6.0, 0.1
 SEPARATORS = "._-*'~=/\\"
 #: Letters of the language model, by place: 0 bounds words, LETTERS follow, the last stands for any other letter.
 LETTERS = "abcdefghijklmnopqrstuvwxyz" + "".join(map(chr, [*range(0xDF, 0xF7), *range(0xF8, 0x100)]))
@@ -97,8 +97,10 @@ class Channel:
                 out.append([(c, REPEAT_COST), (c + c, REPEAT_COST)] if end - at > 2 else [(token[at:end], 0.0)])
             else:
                 readings = [(x * n, READ_COST) for x in LEET.get(c, "") for n in ({1, min(end - at, 2)})]
-                if c in SEPARATORS or c == " " or not readings or not inner:
+                if c in SEPARATORS or c == " " or not readings:
                     readings.append(("", DROP_COST if inner else 0.0))
+                elif not inner:  # marks may stand beside a word; digits seldom do
+                    readings.append(("", EDGE_COST if c.isdigit() else 0.0))
                 out.append(readings)
             at = end
         return out
