@@ -591,3 +591,119 @@ SELECT id, CAST(arg_min(v, abs(v - s) * 1000 + v / 1000.0::DOUBLE) AS INT) AS ov
 def tk8_nearest_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("p_partkey")
     return B.table(spark, sf_dir, "part").select(k.alias("id"), S.nearest_overview(F.array(*map(F.lit, (2, 4, 8, 16))), 1 + (k % 40) / 2.0).alias("overview"))
+
+
+# --- scans, sets and the rest of the report -----------------------------------------------------------------------------
+
+
+@query("""WITH w AS (SELECT o_orderkey AS item_id, o_orderdate AS ts, (o_custkey % 100) * 50.0::DOUBLE AS x, o_totalprice AS dn, o_orderstatus FROM orders)
+SELECT item_id, x < 2500 AND x + 400 > 1000 AND o_orderstatus <> 'P' AS success,
+ CASE WHEN NOT (x < 2500 AND x + 400 > 1000) THEN 'no overlap' WHEN o_orderstatus = 'P' THEN 'asset missing' END AS error,
+ CASE WHEN x < 2500 AND x + 400 > 1000 AND o_orderstatus <> 'P' THEN round(dn * (1 / 10000.0::DOUBLE), 9) END AS value FROM w""")
+def sc5_fetch_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One record per scene of a chunk: a failure is a record with its reason, not an error."""
+    t = B.table(spark, sf_dir, "orders")
+    x = (F.col("o_custkey") % 100) * 50.0
+    assets = F.when(F.col("o_orderstatus") != "P", F.create_map(F.lit("nir"), F.col("o_totalprice"))).otherwise(F.create_map(F.lit("red"), F.col("o_totalprice")))
+    value = F.try_element_at(assets, F.lit("nir"))
+    error = F.when(~((x < 2500) & (x + 400 > 1000)), "no overlap").when(value.isNull(), "asset missing")
+    return t.select(F.col("o_orderkey").alias("item_id"), error.isNull().alias("success"), error.alias("error"), F.round(F.when(error.isNull(), S.reflectance(value)), 9).alias("value"))
+
+
+@query("""SELECT o_orderkey AS id, CASE WHEN o_custkey % 3 = 0 THEN 'http://a/' || o_orderkey WHEN o_custkey % 3 = 1 THEN 'https://b/' || o_orderkey END AS url FROM orders""")
+def sc18_primary_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k, name = F.col("o_custkey") % 3, F.col("o_orderkey").cast("string")
+    record = lambda lower, upper: F.struct(lower.cast("string").alias("lower"), upper.cast("string").alias("upper"))
+    none = F.lit(None)
+    urls = F.array(record(F.when(k == 0, F.concat(F.lit("http://a/"), name)), none), record(F.lit("ftp://x"), none), record(none, F.when(k == 1, F.concat(F.lit("https://b/"), name))))
+    return B.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), S.first_url(urls).alias("url"))
+
+
+@query("""SELECT n_nationkey AS id, p AS place, CASE p WHEN 0 THEN 'naip' ELSE 's2' END AS type, CASE p WHEN 0 THEN 4 ELSE 7 END AS bands, -9999.0::DOUBLE AS nodata, CASE p WHEN 0 THEN 'nearest' ELSE 'bilinear' END AS resample
+FROM nation, range(2) r(p)""")
+def sc10_manifest_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manifests as JSON text, read with the stack's schema and its defaults."""
+    from .sources import manifests
+
+    source = lambda kind, labels, resample: F.struct(F.lit(kind).alias("type"), F.concat(F.lit(f"{kind}/"), F.col("n_name")).alias("path"), F.array(*map(F.lit, labels)).alias("band_labels"), resample.alias("resample"))
+    text = F.to_json(F.struct(F.lit(1).alias("version"), F.array(source("naip", ["R", "G", "B", "N"], F.lit("nearest")), source("s2", S.BANDS, F.lit(None).cast("string"))).alias("sources")))
+    rows = B.table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("id"), F.from_json(text, manifests.schema()).alias("m"))
+    rows = rows.select("id", F.posexplode("m.sources").alias("place", "s"))
+    return rows.select("id", "place", "s.type", F.size("s.band_labels").alias("bands"), F.coalesce("s.nodata", F.lit(S.NODATA)).alias("nodata"), F.coalesce("s.resample", F.lit("bilinear")).alias("resample"))
+
+
+@query(f"""WITH {B.OBSERVATIONS}, o AS (SELECT *, {SEASON_SQL} AS season, dn * (1 / 10000.0::DOUBLE) AS refl, scl NOT IN (0, 3, 8, 9, 10, 11) AND dn <> 0 AS clear FROM obs)
+SELECT row // 8 AS chunk_row, col // 8 AS chunk_col, row, col, count(*) FILTER (clear) AS n_clear, round(coalesce(CASE WHEN count(*) FILTER (clear) >= 3 THEN median(CASE WHEN clear THEN refl END) END, -9999), 9) AS value
+FROM o WHERE season = 'SUM' GROUP BY row, col""")
+def ag3_chunk_median(spark: SparkSession, sf_dir: str) -> DataFrame:
+    obs = B.observations(spark, sf_dir).where(S.season_of(F.col("ts")) == "SUM")
+    out = composite.seasonal_median(obs, clip=False)
+    chunk = lambda c: F.floor(F.col(c) / 8).cast("int")
+    return out.select(chunk("row").alias("chunk_row"), chunk("col").alias("chunk_col"), "row", "col", "n_clear", F.round(F.coalesce("value", F.lit(S.NODATA)), 9).alias("value"))
+
+
+@query(f"""WITH {B.ELEVATION} SELECT row, col, CASE WHEN z IS NOT NULL AND row + 0.5 > 1 AND col + 0.5 > 2 * (row + 0.5) AND col + 0.5 < 40 THEN z ELSE -9999 END AS z FROM dem""")
+def fi6_polygon_clip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pixels whose centre lies in a triangle keep their value; others become nodata."""
+    ring = F.array(*(F.struct(F.lit(float(x)).alias("x"), F.lit(float(y)).alias("y")) for x, y in ((2, 1), (40, 1), (40, 20))))
+    inside = G.in_ring(F.col("col") + 0.5, F.col("row") + 0.5, ring)
+    return B.elevation(spark, sf_dir).withColumn("z", F.when(inside & F.col("z").isNotNull(), F.col("z")).otherwise(S.NODATA))
+
+
+@query(f"""WITH {B.STACK} SELECT row // 5 AS tile_row, col // 5 AS tile_col, count(*) AS pixels, CAST(sum(list_sum(list_transform(bands, lambda v: CAST(trunc(greatest(0.0::DOUBLE, least(1.0::DOUBLE, v)) * 255) AS INT)))) AS BIGINT) AS total
+FROM stack GROUP BY ALL""")
+def sk6_tile_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tiles of the stack, normalised and quantised, as sums that a rewrite of the tiles would store."""
+    tiles_ = B.stack(spark, sf_dir).select(F.floor(F.col("row") / 5).cast("int").alias("tile_row"), F.floor(F.col("col") / 5).cast("int").alias("tile_col"), F.transform("bands", lambda v: S.to_byte(S.normalised(v))).alias("b"))
+    return tiles_.groupBy("tile_row", "tile_col").agg(F.count("*").alias("pixels"), F.sum(F.aggregate("b", F.lit(0), lambda a, v: a + v)).cast("long").alias("total"))
+
+
+@query("""SELECT doc_id AS id, (doc_id * 2654435761 + 42) % 4294967296 < 0.2 * 4294967296 AS validation FROM documents""")
+def tk7_validation_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids = B.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"))
+    return ids.withColumn("validation", sampling.shuffled(F.col("id"), 42) < 0.2 * 4294967296)
+
+
+@query("""SELECT doc_id FROM documents EXCEPT SELECT doc_id FROM labels WHERE quality = 0 INTERSECT SELECT doc_id FROM labels""")
+def st6_index_algebra(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = B.table(spark, sf_dir, "labels")
+    removed = labels.where("quality = 0").select("doc_id").intersect(labels.select("doc_id"))
+    return B.table(spark, sf_dir, "documents").select("doc_id").subtract(removed)
+
+
+@query(f"""WITH {B.OBSERVATIONS}, t AS (SELECT row, col, scl AS tile_ord, min(dn) AS value FROM obs WHERE scl < 4 GROUP BY ALL), m AS (SELECT row, col, arg_min(value, tile_ord) AS z FROM t GROUP BY row, col),
+g AS (SELECT p_partkey AS id, (p_partkey // 50) + 0.25::DOUBLE AS y, (p_partkey % 50) + 0.5::DOUBLE AS x FROM part), c AS (SELECT id, CAST(floor(y) AS INT) + dr AS row, CAST(floor(x) AS INT) + dc AS col,
+ (CASE WHEN dr = 1 THEN 0.25::DOUBLE ELSE 0.75::DOUBLE END) * 0.5::DOUBLE AS w FROM g, range(2) a(dr), range(2) b(dc))
+SELECT id, round(sum(z * w) / sum(CASE WHEN z IS NOT NULL THEN w END), 7) AS value FROM c LEFT JOIN m ON m.row = c.row AND m.col = c.col GROUP BY id""")
+def rs6_mosaic_to_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = B.observations(spark, sf_dir).where("scl < 4").groupBy("row", "col", F.col("scl").alias("tile_ord")).agg(F.min("dn").alias("value"))
+    k = F.col("p_partkey")
+    grid = B.table(spark, sf_dir, "part").select(k.alias("id"), (F.floor(k / 50) + 0.25).alias("y"), ((k % 50) + 0.5).alias("x"))
+    return rounded(stack.bilinear(composite.mosaicked(t).withColumnRenamed("value", "z"), grid), "value", digits=7)
+
+
+@query("""SELECT event_id, event_type, count(*) OVER w AS done, round(sum(value) OVER w, 4) AS total FROM events WINDOW w AS (PARTITION BY event_type, user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)""")
+def fo12_running_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    upto = Window.partitionBy("event_type", "user_id").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return B.table(spark, sf_dir, "events").select("event_id", "event_type", F.count("*").over(upto).alias("done"), F.round(F.sum("value").over(upto), 4).alias("total"))
+
+
+@query("""SELECT p_partkey AS id, CASE p_partkey % 4 WHEN 0 THEN 0 WHEN 1 THEN 0 ELSE 9 END AS row, CASE p_partkey % 4 WHEN 0 THEN 0 WHEN 1 THEN 19 WHEN 2 THEN 0 ELSE 19 END AS col,
+ CASE p_partkey % 3 WHEN 0 THEN 255.0::DOUBLE WHEN 1 THEN 65535.0::DOUBLE END AS scale FROM part""")
+def pj16_corners_and_scales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("p_partkey")
+    name = F.element_at(F.array(*map(F.lit, ("ul", "ur", "ll", "lr"))), (k % 4 + 1).cast("int"))
+    dtype = F.element_at(F.array(*map(F.lit, ("uint8", "uint16", "float32"))), (k % 3 + 1).cast("int"))
+    at = S.corner(name, 20, 10)
+    return B.table(spark, sf_dir, "part").select(k.alias("id"), at["row"].alias("row"), at["col"].alias("col"), S.dtype_scale(dtype).alias("scale"))
+
+
+@query("""SELECT c_custkey AS id, CAST(floor((c_acctbal + 1000) / 10) AS INT) AS col, CAST(floor((10000 - (c_custkey * 7919) % 10000) / 10) AS INT) AS row, floor((c_acctbal + 1000) / 10) * 10 - 1000 + 5.0::DOUBLE AS x,
+ 10000 - floor((10000 - (c_custkey * 7919) % 10000) / 10) * 10 - 5.0::DOUBLE AS y FROM customer""")
+def sc15_cells_of_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cell of a point by the inverse transform, and that cell's centre."""
+    k = F.col("c_custkey")
+    row, col = S.cell_of(F.col("c_acctbal"), ((k * 7919) % 10000).cast("double"), (10.0, 0.0, -1000.0, 0.0, -10.0, 10000.0))
+    x, y = S.pixel_centre(F.col("row"), F.col("col"), -1000.0, 10000.0, 10.0)
+    cells = B.table(spark, sf_dir, "customer").select(k.alias("id"), col.alias("col"), row.alias("row"))
+    return cells.withColumns({"x": x, "y": y})

@@ -200,8 +200,8 @@ def is_true(text: Column) -> Column:
 
 
 def first_url(urls: Column) -> Column:
-    """The first usable address of an array of (url, URL) records."""
-    usable = F.filter(F.transform(urls, lambda u: F.coalesce(u["url"], u["URL"])), lambda u: u.isNotNull() & F.startswith(u, F.lit("http")))
+    """The first usable address of an array of (lower, upper) records: those under a lower- and an upper-case key."""
+    usable = F.filter(F.transform(urls, lambda u: F.coalesce(u["lower"], u["upper"])), lambda u: u.isNotNull() & F.startswith(u, F.lit("http")))
     return F.try_element_at(usable, F.lit(1))
 
 

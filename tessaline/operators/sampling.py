@@ -9,8 +9,8 @@ from . import tiles as T
 
 
 def shuffled(key: Column, seed: int) -> Column:
-    """A repeatable order of integer keys, by arithmetic that every engine does alike."""
-    return (key.cast("long") * 2654435761 + seed) % 4294967296
+    """A repeatable order of integer keys, by arithmetic that every engine does alike and that can't overflow."""
+    return (F.pmod(key.cast("long"), F.lit(2147483648)) * 2654435761 + seed) % 4294967296
 
 
 def balanced(positives: DataFrame, candidates: DataFrame, ratio: float, seed: int = 42, keep_all_without_positives: bool = True) -> DataFrame:
