@@ -38,9 +38,24 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_written: list[str] = []
+
+
+def forget(spark: SparkSession) -> int:
+    """Delete the tables that materialise() has written in this process, when no result that reads them is needed; their number."""
+    files = spark._jvm.org.apache.hadoop.fs
+    for path in _written:
+        own = files.Path(path)
+        own.getFileSystem(spark._jsc.hadoopConfiguration()).delete(own, True)
+    n = len(_written)
+    _written.clear()
+    return n
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors, once per application, so that their workers can import it."""
     context = spark.sparkContext

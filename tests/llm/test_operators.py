@@ -41,6 +41,15 @@ def duck():
     return con
 
 
+def test_materialised_tables_can_be_deleted(spark):
+    from tessaline.llm import common
+
+    kept = common.materialise(spark.range(5).toDF("x"), "probe")
+    path = kept.inputFiles()[0]
+    assert kept.count() == 5 and common.forget(spark) >= 1
+    assert spark._jvm.java.io.File(path.removeprefix("file://")).exists() is False
+
+
 # --- token counts and packing
 
 
