@@ -273,11 +273,11 @@ def jo5_first_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tiles.first_match(grid_of(spark), B.label_boxes(spark, sf_dir).withColumn("ord", F.col("id")))
 
 
-@query("""WITH t AS (SELECT doc_id, lang FROM documents), l AS (SELECT doc_id, quality FROM labels) SELECT t.doc_id AS doc_id, lang, quality, quality IS NOT NULL AS paired FROM t LEFT JOIN l ON t.doc_id = l.doc_id""")
+@query("""WITH t AS (SELECT doc_id, lang FROM documents), l AS (SELECT doc_id, quality FROM labels) SELECT t.doc_id AS doc_id, lang, coalesce(quality, -1) AS quality, quality IS NOT NULL AS paired FROM t LEFT JOIN l ON t.doc_id = l.doc_id""")
 def jo9_paired_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = B.table(spark, sf_dir, "documents").select("doc_id", "lang")
     joined = t.join(B.table(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id", "left")
-    return joined.withColumn("paired", F.col("quality").isNotNull())
+    return joined.select("doc_id", "lang", F.coalesce("quality", F.lit(-1)).alias("quality"), F.col("quality").isNotNull().alias("paired"))
 
 
 @query("SELECT r_name AS area, s AS season FROM region, (VALUES ('SPR'), ('SUM'), ('FAL')) v(s)")
