@@ -22,6 +22,10 @@ SKETCH_BITS = 512
 SLACK = 5.5
 #: Hashed words that a worker remembers.
 WORDS_KEPT = 300_000
+#: Rounds in which members of a bucket meet one centre each.
+STARS = 2
+#: Hashed places by which shingles are ordered from rare to frequent.
+TALLY = 1 << 18
 _CHUNK = 2048
 
 
@@ -176,7 +180,7 @@ def labelled(members: DataFrame, edges: DataFrame | None) -> DataFrame:
     else:
         members = members.withColumn("label", F.col("rep"))
     open_keys = members.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key")
-    return materialise(members.select("key", "rep", "label").join(open_keys, "key"), "open")
+    return materialise(members.select("key", "rep", "weight", "label").join(open_keys, "key"), "open")
 
 
 def ordered(a, b) -> list:
@@ -184,16 +188,71 @@ def ordered(a, b) -> list:
 
 
 def star_pairs(members: DataFrame, turn: int) -> DataFrame:
-    """Each member of a bucket with the bucket's centre, where their components differ: a row per member, not per pair."""
-    rank = F.xxhash64("rep", F.lit(turn))
-    centre = members.groupBy("key").agg(F.min(F.struct(rank.alias("r"), F.col("rep").alias("centre"), F.col("label").alias("at"))).alias("c")).select("key", "c.centre", "c.at")
+    """Each member of a bucket with the bucket's centre, where their components differ: a row per member, not per pair.
+
+    The centre is the member with most neighbours over all bands, which lies in the middle of its group and is the same in most
+    of its buckets; later turns draw others of the foremost.
+    """
+    draw = F.pmod(F.xxhash64("rep", F.lit(turn)), F.lit(1024)) / 1024 * (0.4 if turn else 0.0) + 1
+    rank = F.struct((-F.col("weight") / draw).alias("w"), F.col("rep").alias("centre"), F.col("label").alias("at"))
+    centre = members.groupBy("key").agg(F.min(rank).alias("c")).select("key", "c.centre", "c.at")
     return members.join(centre, "key").where("label <> at").select(*ordered("rep", "centre")).distinct()
 
 
-def cross_pairs(members: DataFrame) -> DataFrame:
-    """The pairs of a bucket that lie in different components, after star rounds have joined nearly all that belong together."""
-    other = members.select("key", F.col("rep").alias("b"), F.col("label").alias("other"))
-    return members.withColumnRenamed("rep", "a").join(other, "key").where("a < b and label <> other").select("a", "b").distinct()
+def tally(sets: DataFrame) -> np.ndarray:
+    """How many sets hold a shingle of each of TALLY hashed places: a fixed number of counts, whatever the corpus."""
+
+    def run(batches):
+        counts = np.zeros(TALLY, dtype=np.int64)
+        for batch in batches:
+            for own in batch.column(0):
+                counts += np.bincount((np.frombuffer(own.as_buffer(), dtype=np.uint64) % np.uint64(TALLY)).astype(np.int64), minlength=TALLY)
+        used = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_pydict({"place": pa.array(used, pa.int64()), "n": pa.array(counts[used], pa.int64())})
+
+    out = np.zeros(TALLY, dtype=np.int64)
+    for place, n in in_arrow(sets.select("own"), run, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).collect():
+        out[place] = n
+    return out
+
+
+def prefix_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs (a, b) of different components among members (rep, label) that exactly holds every pair at the threshold.
+
+    In any one order of all shingles, two sets at the threshold share one of their first n - ceil(threshold * n) + 1. The order
+    is by frequency among these sets, rarest first, so passages that many documents share bring no candidates, and neither do
+    members of a group that differ from all others too much. From the first shared shingle on, the rest of both sets bounds what
+    they can share; pairs that can't reach the threshold are left out, too. Where a shingle's documents lie in several
+    components, those outside its largest component are paired with the others.
+    """
+    own = materialise(sets.join(members.select("rep", "label").distinct(), "rep").select("rep", "label", "own"), "open-sets")
+    shared = own.sparkSession.sparkContext.broadcast(tally(own))  # TALLY counts
+
+    def run(batches):
+        counts = shared.value
+        for batch in slices(batches, 256):
+            tokens, reps, labels, sizes, rests = [], [], [], [], []
+            for rep, label, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                shingles = np.frombuffer(raw.as_buffer(), dtype=np.uint64)
+                often = counts[(shingles % np.uint64(TALLY)).astype(np.int64)]
+                first = np.lexsort((shingles, often))[: len(shingles) - -(-percent * len(shingles) // 100) + 1]
+                seen = np.flatnonzero(often[first] > 1)
+                first = first[seen]
+                tokens.append(shingles[first].view(np.int64))
+                sizes.append(np.full(len(first), len(shingles)))
+                rests.append(len(shingles) - seen)
+                reps.append(np.full(len(first), rep))
+                labels.append(np.full(len(first), label))
+            if tokens:
+                columns = {"token": tokens, "rep": reps, "label": labels, "size": sizes, "rest": rests}
+                yield pa.RecordBatch.from_pydict({k: pa.array(np.concatenate(v), pa.int64()) for k, v in columns.items()})
+
+    prefix = materialise(in_arrow(own, run, "token long, rep long, label long, size long, rest long"), "prefixes")
+    sizes = prefix.groupBy("token", "label").agg(F.count("*").alias("n")).groupBy("token").agg(F.max(F.struct("n", "label"))["label"].alias("largest"), F.count("*").alias("labels"))
+    mixed = prefix.join(sizes.where("labels > 1").select("token", "largest"), "token")
+    outside = mixed.where("label <> largest").select("token", F.col("rep").alias("x"), F.col("label").alias("from"), F.col("size").alias("size_x"), F.col("rest").alias("rest_x"))
+    enough = f"least(rest, rest_x) * {100 + percent} >= {percent} * (size + size_x) and 100 * least(size, size_x) >= {percent} * greatest(size, size_x)"
+    return outside.join(mixed, "token").where(f"label <> from and {enough}").select(*ordered("x", "rep")).distinct()
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -203,9 +262,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
     make one shingle of all; no words, or a null text, make an empty set, which links with nothing.
 
     Texts with equal sets are one class, named by its least doc_id. Candidates share a band of MinHash values. Star rounds
-    compare each member of a bucket with one centre; only members whose component still differs are compared further, and
-    last with each member of the bucket's other components, so no candidate is left out and groups of copies of any size cost
-    their number of members. Odd sketches rule out pairs far below the threshold; the full sets decide.
+    compare each member of a bucket with one centre; the members of buckets that still hold several components then meet by an
+    exact prefix filter on rare shingles. So no candidate is left out, and groups of copies of any size cost their number of
+    members. Odd sketches rule out pairs far below the threshold; the full sets decide.
 
     Rows that share a doc_id and have words are one node. Null doc_ids link with nothing: component_id is null, kept is true.
     Empty tables give no rows; other columns are ignored.
@@ -215,8 +274,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
     classes = named.groupBy("sig").agg(F.min("doc_id").alias("rep"), *(F.first(c).alias(c) for c in ("n_shingles", "keys", "sketch")))
     classes = materialise(classes, "classes")
     members = classes.select("rep", F.explode("keys").alias("key")).select("key", "rep")
-    several = members.groupBy("key").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high").select("key")
+    several = members.groupBy("key").agg(F.min("rep").alias("low"), F.max("rep").alias("high"), F.count("*").alias("n")).where("low < high").select("key", "n")
     members = materialise(members.join(several, "key"), "members")
+    weights = members.groupBy("rep").agg(F.sum("n").alias("weight"))  # members of large buckets again and again lie in the middle of a group
+    members = materialise(members.select("key", "rep").join(weights, "rep"), "members")
     wanted = classes.select("rep", "sig").join(members.select("rep"), "rep", "left_semi")
     sets = materialise(shingle_sets(docs, wanted, words, bands, rows), "sets")
 
@@ -224,11 +285,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
     shared = same.groupBy("b").agg(F.min("a").alias("low"), F.max("a").alias("high")).where("low < high").select("b")
     edges = materialise(same.join(shared, "b").select("a", "b"), "links")  # doc_ids that several classes hold
     open_members = labelled(members, None)
-    for turn in range(3):
-        pairs = star_pairs(open_members, turn) if turn < 2 else cross_pairs(open_members)
+    for turn in range(STARS + 1):
+        pairs = star_pairs(open_members, turn) if turn < STARS else prefix_pairs(open_members, sets, percent)
         found = confirmed(alike(pairs, classes, percent, bands * rows), sets, percent)
         edges = materialise(edges.unionByName(found), "links")
-        if turn < 2:
+        if turn < STARS:
             open_members = labelled(members, edges)
     labels = components(edges)
     component = classes.select("sig", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("sig", F.coalesce("label", "rep").alias("label"))
