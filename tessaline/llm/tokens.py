@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import in_arrow, slices, table
+from .common import in_arrow, materialise, slices, table
 
 VOCABULARY = "byte_bpe_50k.json"
 #: Texts longer than this are encoded in parts, which are cut where no piece of the vocabulary's pattern can span.
@@ -140,5 +140,5 @@ def context_totals(histogram: DataFrame, block: int = 1024) -> DataFrame:
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every whole text of documents, by encoded length, with the totals of each context limit."""
-    return context_totals(length_histogram(table(spark, sf_dir, "documents")))
+    """Every whole text of documents, by encoded length, with the totals of each context limit; texts are encoded once."""
+    return context_totals(materialise(length_histogram(table(spark, sf_dir, "documents")), "lengths"))
