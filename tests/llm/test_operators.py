@@ -261,6 +261,29 @@ def test_false_discovery_threshold(spark):
         assert got.get(family) == (max(fits) if fits else None)
 
 
+def test_random_tokens_are_found_by_encoding_and_length(spark):
+    """Recall on tokens among ordinary words and paths, a hundred times as many, by encoding and length; and what is found besides."""
+    draw = random.Random(5)
+    alphabets = {
+        "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "HEX": "0123456789ABCDEF",
+        "lower36": "abcdefghijklmnopqrstuvwxyz0123456789", "alnum62": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789",
+    }
+    words = [w for r in spark.read.parquet(f"{FOLDER}/documents.parquet").select("text").collect() for w in (r["text"] or "").split()[:400] if w.isascii() and w.isalpha() and len(w) < 15]
+    prose = [" ".join(draw.choices(words, k=300)) for _ in range(150)]
+    run = lambda k: (draw.choice("/-_").join(draw.choices(words, k=9)), "".join(w.lower() for w in draw.choices(words, k=8)), "".join(w.title() for w in draw.choices(words, k=8)))[k % 3]
+    ordinary = [run(k)[: draw.choice((24, 40, 70))] for k in range(6000)]
+    least = {("base64", 20): 0.4, ("base64", 32): 0.85, ("base32", 24): 0.5, ("base32", 32): 0.6, ("HEX", 24): 0.6, ("HEX", 32): 0.6, ("lower36", 32): 0.6, ("lower36", 64): 0.9, ("alnum62", 20): 0.4, ("alnum62", 32): 0.85}
+    planted = [(e, n, "".join(draw.choices(alphabets[e], k=n))) for e, n in least for _ in range(40)]
+    given = prose + [f"see {x} there" for x in ordinary] + [f"see {x} there" for _, _, x in planted]
+    found = {r["doc_id"]: [s for s in r["spans"] if s["kind"] == "random"] for r in secrets.find_secrets(docs_of(spark, given, extra=False)).collect()}
+    at = len(given) - len(planted) + 1
+    recall = {key: sum(any(s["start"] == 4 for s in found[at + k]) for k, p in enumerate(planted) if p[:2] == key) / 40 for key in least}
+    wrong = sum(bool(found[k]) for k in range(1, at))
+    print(recall, wrong)
+    assert all(recall[key] >= share for key, share in least.items()), recall
+    assert wrong <= 0.1 * (wrong + sum(recall.values()) * 40)
+
+
 # --- URLs
 
 
