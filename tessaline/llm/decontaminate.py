@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import string
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -41,13 +42,19 @@ def listed(terms: list[str]) -> str:
     return ", ".join(f"'{t}'" for t in terms)
 
 
-def rarest(docs_words: DataFrame, block: DataFrame) -> DataFrame:
-    """The windows of a block with their anchor: the term that the corpus holds least often, and its offset."""
+def rarest(docs_words: DataFrame, block: DataFrame, near: bool) -> DataFrame:
+    """The windows of a block with their anchors: the term that the corpus holds least often, and its offset.
+
+    For proximity, full windows have one anchor more than a match may lack words, so that any match holds one of them.
+    """
     terms = [r[0] for r in block.select(F.explode("terms").alias("term")).distinct().orderBy("term").collect()]
     counts = docs_words.select(F.explode("own").alias("term")).where(F.expr(f"term IN ({listed(terms)})")).groupBy("term").agg(F.count("*").alias("n"))
     placed = block.select("terms", "item_ids", F.posexplode("terms").alias("offset", "term"))
-    ranked = placed.join(counts, "term", "left").groupBy("terms", "item_ids").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "offset", "term")).alias("least"))
-    return ranked.select("terms", "item_ids", F.col("least.term").alias("anchor"), F.col("least.offset").alias("offset"))
+    least = F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "offset", "term")))
+    ranked = placed.join(counts, "term", "left").groupBy("terms", "item_ids").agg(least.alias("least"))
+    many = F.when(F.size("terms") >= WINDOW, 1 + WINDOW - math.ceil(WINDOW * NEAR_SHARE)).otherwise(1) if near else F.lit(1)
+    anchors = ranked.select("terms", "item_ids", F.explode(F.slice("least", F.lit(1), many)).alias("least"))
+    return anchors.select("terms", "item_ids", F.col("least.term").alias("anchor"), F.col("least.offset").alias("offset"))
 
 
 def postings(docs_words: DataFrame, anchors: list[str]) -> DataFrame:
@@ -82,12 +89,13 @@ def numbered(docs: DataFrame) -> DataFrame:
     return docs.select(F.monotonically_increasing_id().alias("row"), *(F.col(c) for c in docs.columns if c != "row"))
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, near: bool = True) -> DataFrame:
     """Per row of docs: row (see numbered), doc_id, n_words, n_hit, item_ids (sorted strings), near_ids, contaminated (n_hit > 0).
 
-    A word is hit when it lies inside an occurrence of a window of the benchmark. near_ids are items with a proximity match.
+    A word is hit when it lies inside an occurrence of a window of the benchmark. near_ids are items with a proximity match,
+    seen from one of the anchors in its place; without `near` they are left out.
 
-    The index holds the postings of the rarest term of each window, so its size follows the rare terms, not the corpus; it is
+    The index holds the postings of the rarest term of each window (with `near` of its three rarest), so its size follows the rare terms, not the corpus; it is
     stored in the shared folder. Windows meet it in blocks of BLOCK_WINDOWS, which bounds what is broadcast or put into a plan.
     Only documents with hits, and one row for each other, are grouped, by row; a term or passage that very many documents hold
     is dealt out with its documents.
@@ -107,10 +115,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         if block.isEmpty():
             anchored, anchors = spark.createDataFrame([], "terms array<string>, item_ids array<string>, anchor string, offset int"), ["-"]
         else:
-            anchored = materialise(rarest(own, block), "anchored")
+            anchored = materialise(rarest(own, block, near), "anchored")
             anchors = [r[0] for r in anchored.select("anchor").distinct().orderBy("anchor").collect()]
         index = materialise(postings(rows, anchors), "index")
-        part = occurrences(index, F.broadcast(anchored))  # at most a block of windows
+        part = occurrences(index, F.broadcast(anchored))  # at most the anchors of a block of windows
         spans = F.collect_set(F.when(F.col("phrase"), F.struct("start", "length"))).alias("spans")
         ids = [F.flatten(F.collect_set(F.when(F.col(c), F.col("item_ids")))).alias(c) for c in ("phrase", "near")]
         part = part.groupBy("row", "doc_id", "n_words").agg(spans, *ids)
@@ -126,19 +134,19 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         ),
     )
     n_hit = covered["sum"].cast("long")
-    sets = {"item_ids": "phrase", "near_ids": "near"}
+    sets = {"item_ids": "phrase"} | ({"near_ids": "near"} if near else {})
     return seen.select("row", "doc_id", "n_words", n_hit.alias("n_hit"), *(F.array_sort(F.array_distinct(c)).alias(n) for n, c in sets.items())).withColumn("contaminated", F.col("n_hit") > 0)
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of docs, with all columns, that hold no window of the benchmark; docs is a stored table."""
-    found = contamination(docs, benchmark).where("contaminated").select("row")
+    found = contamination(docs, benchmark, near=False).where("contaminated").select("row")
     return numbered(docs).join(found, "row", "left_anti").select(*(c for c in docs.columns if c != "row"))
 
 
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents against all benchmark items."""
-    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), near=False)
     return found.select(
         "doc_id",
         "n_words",
@@ -149,6 +157,12 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with the benchmark items that they match word for word, and those with most words in place."""
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.array_join("item_ids", ",").alias("item_ids"), F.array_join("near_ids", ",").alias("near_ids"))
+
+
 OP6_SQL = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
 b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),

@@ -11,6 +11,7 @@ QUERIES = {
     "op4_secrets": secrets.op4_secrets,
     "op5_packing": packing.op5_packing,
     "op6_decontamination": decontaminate.op6_decontamination,
+    "op6_proximity": decontaminate.op6_proximity,
     "op7_url_filters": urls.op7_url_filters,
     "op8_quality_rules": quality_rules.op8_quality_rules,
     "op9_quality_classifier": quality_model.op9_quality_classifier,

@@ -214,6 +214,18 @@ def test_decontamination_edges(spark, monkeypatch, block):
     assert sorted(r["doc_id"] for r in decontaminate.without_contaminated(df, benchmark).collect()) == [2, 4, 5, 6, 7, 8, 10]
 
 
+def test_proximity_survives_a_changed_rarest_word(spark):
+    """The window's rarest word is replaced, or the corpus lacks it; three changed words are too many."""
+    item = [f"w{k}" for k in range(10)]
+    changed = lambda *at: " ".join("zz" if k in at else w for k, w in enumerate(item))
+    given = [" ".join(item[k] for k in range(10) if k != 4)] * 2 + [changed(4), changed(4, 0), changed(4, 0, 9), " ".join(item)]
+    benchmark = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    for texts in (given, given[:5]):  # with and without the word itself
+        rows = decontaminate.contamination(docs_of(spark, texts), benchmark).orderBy("doc_id").collect()
+        assert [r["near_ids"] for r in rows] == [["1"], ["1"], ["1"], ["1"], [], ["1"]][: len(texts)]
+        assert [r["item_ids"] for r in rows] == [[], [], [], [], [], ["1"]][: len(texts)]
+
+
 # --- secrets
 
 
