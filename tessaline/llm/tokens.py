@@ -33,10 +33,11 @@ def byte_alphabet() -> dict[str, int]:
 class Encoder:
     """Ids of a byte-level BPE vocabulary file, equal to those of the tokenizers library with add_special_tokens=False.
 
-    The ids of this file are its merge ranks, so the same vocabulary serves tiktoken, which is several times faster.
+    The ids of this file are its merge ranks, so the same vocabulary serves tiktoken, which is several times faster. As in the
+    library, the vocabulary's special tokens that a text spells out become their own ids; with `literal` they are ordinary text.
     """
 
-    def __init__(self, vocabulary: str | None = None):
+    def __init__(self, vocabulary: str | None = None, literal: bool = False):
         import public_tokenizers
         import tiktoken
         from tokenizers import Tokenizer
@@ -44,12 +45,15 @@ class Encoder:
         path = vocabulary or public_tokenizers.path(VOCABULARY)
         with open(path, encoding="utf-8") as file:
             content = json.load(file)
-        special = {x["content"] for x in content.get("added_tokens", [])}
+        special = {x["content"]: x["id"] for x in content.get("added_tokens", [])}
         of = byte_alphabet()
         self.ranks = {bytes(of[c] for c in piece): rank for piece, rank in content["model"]["vocab"].items() if piece not in special}
         self.fast = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=self.ranks, special_tokens={})
         self.slow = Tokenizer.from_file(str(path))
-        self.slow.encode_special_tokens = True
+        self.slow.encode_special_tokens = True  # it sees what lies between special tokens only
+        self.special = {} if literal else special
+        spelled = "|".join(map(re.escape, sorted(self.special, key=len, reverse=True)))
+        self.spelled = re.compile(f"({spelled})") if spelled else None
 
     def parts(self, text: str) -> Iterator[str]:
         start = 0
@@ -62,8 +66,18 @@ class Encoder:
         yield text[start:]
 
     def ids(self, text: str | None) -> list[int]:
+        """Ids of a whole text; null and empty texts have none."""
         if not text:
             return []
+        if self.spelled is None or not any(x in text for x in self.special):
+            return self.plain_ids(text)
+        out: list[int] = []
+        for k, part in enumerate(self.spelled.split(text)):
+            out += [self.special[part]] if k % 2 else self.plain_ids(part)
+        return out
+
+    def plain_ids(self, text: str) -> list[int]:
+        """Ids of a text without special tokens."""
         if len(text) <= PART_CHARS and (len(text) < 20_000 or not LONG_RUN.search(text)):
             return self.fast.encode_ordinary(text)
         out: list[int] = []
@@ -73,16 +87,16 @@ class Encoder:
 
     def ends_sentence(self) -> np.ndarray:
         """By id: whether its last byte ends a sentence or a line."""
-        out = np.zeros(max(self.ranks.values()) + 2, dtype=bool)
+        out = np.zeros(max([*self.ranks.values(), *self.special.values()]) + 1, dtype=bool)
         for piece, rank in self.ranks.items():
             out[rank] = piece[-1:] in (b".", b"!", b"?", b"\n")
         return out
 
 
 @lru_cache(maxsize=2)
-def encoder(vocabulary: str | None = None) -> Encoder:
+def encoder(vocabulary: str | None = None, literal: bool = False) -> Encoder:
     """One per Python worker."""
-    return Encoder(vocabulary)
+    return Encoder(vocabulary, literal)
 
 
 def length_histogram(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:

@@ -53,11 +53,27 @@ def test_materialised_tables_can_be_deleted(spark):
 # --- token counts and packing
 
 
+def library():
+    """The vocabulary as the tokenizers library reads it, without any setting of this repository."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(str(public_tokenizers.path("byte_bpe_50k.json")))
+
+
+LIBRARY = library()
+
+
 def ids_of(text):
-    return [*tokens.encoder().slow.encode(text or "", add_special_tokens=False).ids]
+    return [*LIBRARY.encode(text or "", add_special_tokens=False).ids]
+
+
+def test_special_tokens_can_be_read_as_text():
+    own = tokens.Encoder(literal=True)
+    assert 50256 not in own.ids("x <|endoftext|> y") and 50256 in ids_of("x <|endoftext|> y")
 
 
-@pytest.mark.parametrize("text", ["", "it's  two\n\n x  ", "<|endoftext|> hi", "a" * 30_000, " " * 25_000 + "x", "ab " * 90_000, "é" * 3000, "日本語 текст ñ"])
+@pytest.mark.parametrize("text", ["", "it's  two\n\n x  ", "<|endoftext|> hi", "x <|endoftext|> y", "<|endoftext|><|endoftext|>", "a <|endoftext |> b", "a" * 30_000 + "<|endoftext|>", "a" * 30_000, " " * 25_000 + "x", "ab " * 90_000, "é" * 3000, "日本語 текст ñ"])
 def test_encoder_equals_library(text):
     assert tokens.encoder().ids(text) == ids_of(text)
 
@@ -110,7 +126,7 @@ def test_packing_round_trip(documents, texts):
 
 
 def test_packing_edges(spark):
-    given = [None, "", "a b", "a b", LONG]
+    given = [None, "", "a b", "a b", LONG, "x <|endoftext|> y"]
     check_packing(packing.pack(docs_of(spark, given)).collect(), list(enumerate(given, 1)))
     assert packing.pack(docs_of(spark, given).limit(0)).count() == 0
 

@@ -4,7 +4,7 @@ import corpus_pipeline
 import helpers as H
 import pytest
 from pyspark.sql import functions as F
-from test_operators import check_packing
+from test_corpus_operators import check_packing
 
 from tessaline.llm import toxicity
 
