@@ -7,10 +7,13 @@ import tempfile
 import uuid
 import zipfile
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows that a worker handles at a time, so that its memory doesn't depend on Spark's batch size.
@@ -30,30 +33,57 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def materialise(df: DataFrame, name: str, lasting: bool = False) -> DataFrame:
     """Write df as Parquet into the shared folder and read it again, which cuts its lineage.
 
-    Unlike localCheckpoint the rows outlive any executor; unlike a cache they spill nowhere.
+    Unlike localCheckpoint the rows outlive any executor; unlike a cache they spill nowhere. A scratch() deletes the table at
+    its end, unless it is lasting.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _written[path] = lasting
     df.write.parquet(path)
-    _written.append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
 
 
-_written: list[str] = []
+#: Paths of the tables that this process has written and not deleted, and whether the innermost scratch() keeps them.
+_written: dict[str, bool] = {}
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    own = spark._jvm.org.apache.hadoop.fs.Path(path)
+    own.getFileSystem(spark._jsc.hadoopConfiguration()).delete(own, True)
+    _written.pop(path, None)
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Deletes the tables that materialise() writes inside, also after a failure; lasting ones are left to an outer scratch()."""
+    before = set(_written)
+    try:
+        yield
+    finally:
+        for path in [p for p in _written if p not in before]:
+            if _written[path]:
+                _written[path] = False
+            else:
+                _delete(spark, path)
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the table behind a materialised DataFrame that no later result reads; others stay as they are."""
+    if path := getattr(df, "_stored_at", None):
+        _delete(df.sparkSession, path)
 
 
 def forget(spark: SparkSession) -> int:
-    """Delete the tables that materialise() has written in this process, when no result that reads them is needed; their number."""
-    files = spark._jvm.org.apache.hadoop.fs
-    for path in _written:
-        own = files.Path(path)
-        own.getFileSystem(spark._jsc.hadoopConfiguration()).delete(own, True)
-    n = len(_written)
-    _written.clear()
-    return n
+    """Delete all tables that materialise() has written in this process, when no result that reads them is needed; their number."""
+    paths = list(_written)
+    for path in paths:
+        _delete(spark, path)
+    return len(paths)
 
 
 def ship(spark: SparkSession) -> None:
@@ -70,6 +100,17 @@ def ship(spark: SparkSession) -> None:
     context._tessaline_shipped = True
 
 
+def by_size(texts: pa.Array, most: int = 1 << 20) -> Iterator[pa.Array]:
+    """The texts in runs of at most `most` bytes together; a longer text is a run of its own."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    start = 0
+    while start < len(texts):
+        before = ends[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(ends, before + most, side="right")))
+        yield texts.slice(start, end - start)
+        start = end
+
+
 def in_arrow(df: DataFrame, run: Callable, schema: str) -> DataFrame:
     """df.mapInArrow with this package at hand on every executor."""
     ship(df.sparkSession)
@@ -104,6 +145,18 @@ def remainder(column: str, modulus: int):
     return F.crc32(F.col(column).cast("string").cast("binary")) % modulus
 
 
+def labelled(docs: DataFrame, labels: DataFrame, label: str, learn: Column, rows: int, seed: int) -> DataFrame:
+    """(doc_id, text, label) of about `rows` labelled documents at most, drawn by a hash of doc_id; one row for each doc_id.
+
+    Of several labels of a doc_id the least counts, of several texts the least; null texts are empty; null ids and null labels
+    are left out. The bound is on doc_ids before texts are read, so repeated rows don't enlarge the sample.
+    """
+    known = labels.where(learn & F.col(label).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min(label).cast("long").alias(label))
+    sample = F.broadcast(bounded(known, "doc_id", rows, seed))  # about `rows` pairs of numbers
+    joined = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(sample, "doc_id")
+    return joined.groupBy("doc_id").agg(F.min("text").alias("text"), F.first(label).alias(label))
+
+
 def bounded(df: DataFrame, key: str, rows: int, seed: int) -> DataFrame:
     """A sample of about `rows` rows at most, by a hash of `key`, the same on every run; all rows if there are fewer."""
     total = df.count()

@@ -8,10 +8,10 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import in_arrow, materialise, slices, table
+from .common import in_arrow, materialise, scratch, slices, table
 from .components import components
 
 #: A pair at the threshold of 0.8 shares no band with probability (1 - 0.8 ** ROWS) ** BANDS, 1.5e-5.
@@ -24,8 +24,6 @@ SLACK = 5.5
 WORDS_KEPT = 300_000
 #: Rounds in which members of a bucket meet one centre each.
 STARS = 2
-#: Hashed places by which shingles are ordered from rare to frequent.
-TALLY = 1 << 18
 _CHUNK = 2048
 
 
@@ -114,7 +112,10 @@ def signatures(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
-    """(rep, own): the shingle sets, as bytes, of the classes in wanted (rep, sig), each from one text of its class."""
+    """(rep, own): the shingle sets, as bytes, of the classes in wanted (rep, sig, repeats), each from one text of its class.
+
+    Where several rows hold rep and a text of the class (repeats > 1), one of their equal sets stays, by partial aggregation.
+    """
 
     def run(batches):
         own = signer(words, bands, rows)
@@ -128,7 +129,9 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, words: int, bands: int, row
             yield pa.RecordBatch.from_pydict({"rep": pa.array(reps, pa.int64()), "own": pa.array(sets, pa.binary())})
 
     texts = docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("string").alias("text"))
-    return in_arrow(wanted.join(texts, "rep").select("rep", "sig", "text"), run, "rep long, own binary")
+    read = lambda w: in_arrow(w.join(texts, "rep").select("rep", "sig", "text"), run, "rep long, own binary")
+    once, more = wanted.where("repeats = 1"), wanted.where("repeats > 1")
+    return read(once) if more.isEmpty() else read(once).unionByName(read(more).groupBy("rep").agg(F.min("own").alias("own")))
 
 
 def most_differing_bits(percent: int, samples: int) -> int:
@@ -199,55 +202,36 @@ def star_pairs(members: DataFrame, turn: int) -> DataFrame:
     return members.join(centre, "key").where("label <> at").select(*ordered("rep", "centre")).distinct()
 
 
-def tally(sets: DataFrame) -> np.ndarray:
-    """How many sets hold a shingle of each of TALLY hashed places: a fixed number of counts, whatever the corpus."""
+def shingle_rows(sets: DataFrame) -> DataFrame:
+    """(token, rep, label, size): one row per shingle of each set (rep, label, own)."""
 
     def run(batches):
-        counts = np.zeros(TALLY, dtype=np.int64)
-        for batch in batches:
-            for own in batch.column(0):
-                counts += np.bincount((np.frombuffer(own.as_buffer(), dtype=np.uint64) % np.uint64(TALLY)).astype(np.int64), minlength=TALLY)
-        used = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_pydict({"place": pa.array(used, pa.int64()), "n": pa.array(counts[used], pa.int64())})
+        for batch in slices(batches, 256):
+            for rep, label, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                own = np.frombuffer(raw.as_buffer(), dtype=np.int64)
+                same = lambda x: pa.array(np.full(len(own), x))  # noqa: E731, B023
+                yield pa.RecordBatch.from_pydict({"token": pa.array(own), "rep": same(rep), "label": same(label), "size": same(len(own))})
 
-    out = np.zeros(TALLY, dtype=np.int64)
-    for place, n in in_arrow(sets.select("own"), run, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).collect():
-        out[place] = n
-    return out
+    return in_arrow(sets.select("rep", "label", "own"), run, "token long, rep long, label long, size long")
 
 
 def prefix_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Candidate pairs (a, b) of different components among members (rep, label) that exactly holds every pair at the threshold.
 
     In any one order of all shingles, two sets at the threshold share one of their first n - ceil(threshold * n) + 1. The order
-    is by frequency among these sets, rarest first, so passages that many documents share bring no candidates, and neither do
-    members of a group that differ from all others too much. From the first shared shingle on, the rest of both sets bounds what
-    they can share; pairs that can't reach the threshold are left out, too. Where a shingle's documents lie in several
+    is by exact frequency among these sets, rarest first, counted by partial aggregation, so it keeps its power however large
+    they are: passages that many documents share bring no candidates, and neither do members of a group, or of a family made
+    from one template, that differ from all others too much. From the first shared shingle on, the rest of both sets bounds
+    what they can share; pairs that can't reach the threshold are left out, too. Where a shingle's documents lie in several
     components, those outside its largest component are paired with the others.
     """
-    own = materialise(sets.join(members.select("rep", "label").distinct(), "rep").select("rep", "label", "own"), "open-sets")
-    shared = own.sparkSession.sparkContext.broadcast(tally(own))  # TALLY counts
-
-    def run(batches):
-        counts = shared.value
-        for batch in slices(batches, 256):
-            tokens, reps, labels, sizes, rests = [], [], [], [], []
-            for rep, label, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                shingles = np.frombuffer(raw.as_buffer(), dtype=np.uint64)
-                often = counts[(shingles % np.uint64(TALLY)).astype(np.int64)]
-                first = np.lexsort((shingles, often))[: len(shingles) - -(-percent * len(shingles) // 100) + 1]
-                seen = np.flatnonzero(often[first] > 1)
-                first = first[seen]
-                tokens.append(shingles[first].view(np.int64))
-                sizes.append(np.full(len(first), len(shingles)))
-                rests.append(len(shingles) - seen)
-                reps.append(np.full(len(first), rep))
-                labels.append(np.full(len(first), label))
-            if tokens:
-                columns = {"token": tokens, "rep": reps, "label": labels, "size": sizes, "rest": rests}
-                yield pa.RecordBatch.from_pydict({k: pa.array(np.concatenate(v), pa.int64()) for k, v in columns.items()})
-
-    prefix = materialise(in_arrow(own, run, "token long, rep long, label long, size long, rest long"), "prefixes")
+    tokens = materialise(shingle_rows(sets.join(members.select("rep", "label").distinct(), "rep")), "open-shingles")
+    counts = tokens.groupBy("token").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high"))
+    shared = tokens.join(counts.where("n > 1"), "token")
+    own = Window.partitionBy("rep")
+    shared = shared.withColumn("place", F.col("size") - F.count("*").over(own) + F.row_number().over(own.orderBy("n", "token")))  # after the set's own shingles
+    first = f"low < high and place <= size - cast(ceil({percent} * size / 100) as long) + 1"
+    prefix = materialise(shared.where(first).select("token", "rep", "label", "size", (F.col("size") - F.col("place") + 1).alias("rest")), "prefixes")
     sizes = prefix.groupBy("token", "label").agg(F.count("*").alias("n")).groupBy("token").agg(F.max(F.struct("n", "label"))["label"].alias("largest"), F.count("*").alias("labels"))
     mixed = prefix.join(sizes.where("labels > 1").select("token", "largest"), "token")
     outside = mixed.where("label <> largest").select("token", F.col("rep").alias("x"), F.col("label").alias("from"), F.col("size").alias("size_x"), F.col("rest").alias("rest_x"))
@@ -266,36 +250,41 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
     exact prefix filter on rare shingles. So no candidate is left out, and groups of copies of any size cost their number of
     members. Odd sketches rule out pairs far below the threshold; the full sets decide.
 
+    What it stores on its way is deleted, but for the table of the result.
+
     Rows that share a doc_id and have words are one node. Null doc_ids link with nothing: component_id is null, kept is true.
     Empty tables give no rows; other columns are ignored.
     """
-    signed = materialise(signatures(docs, words, bands, rows), "signed")
-    named = signed.where("doc_id is not null and n_shingles > 0")
-    classes = named.groupBy("sig").agg(F.min("doc_id").alias("rep"), *(F.first(c).alias(c) for c in ("n_shingles", "keys", "sketch")))
-    classes = materialise(classes, "classes")
-    members = classes.select("rep", F.explode("keys").alias("key")).select("key", "rep")
-    several = members.groupBy("key").agg(F.min("rep").alias("low"), F.max("rep").alias("high"), F.count("*").alias("n")).where("low < high").select("key", "n")
-    members = materialise(members.join(several, "key"), "members")
-    weights = members.groupBy("rep").agg(F.sum("n").alias("weight"))  # members of large buckets again and again lie in the middle of a group
-    members = materialise(members.select("key", "rep").join(weights, "rep"), "members")
-    wanted = classes.select("rep", "sig").join(members.select("rep"), "rep", "left_semi")
-    sets = materialise(shingle_sets(docs, wanted, words, bands, rows), "sets")
-
-    same = named.select("doc_id", "sig").join(classes.select("sig", "rep"), "sig").select(*ordered("doc_id", "rep"))
-    shared = same.groupBy("b").agg(F.min("a").alias("low"), F.max("a").alias("high")).where("low < high").select("b")
-    edges = materialise(same.join(shared, "b").select("a", "b"), "links")  # doc_ids that several classes hold
-    open_members = labelled(members, None)
-    for turn in range(STARS + 1):
-        pairs = star_pairs(open_members, turn) if turn < STARS else prefix_pairs(open_members, sets, percent)
-        found = confirmed(alike(pairs, classes, percent, bands * rows), sets, percent)
-        edges = materialise(edges.unionByName(found), "links")
-        if turn < STARS:
-            open_members = labelled(members, edges)
-    labels = components(edges)
-    component = classes.select("sig", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("sig", F.coalesce("label", "rep").alias("label"))
-    out = signed.select("doc_id", "n_shingles", "sig").join(component, "sig", "left")
-    component_id = F.when(F.col("doc_id").isNotNull(), F.coalesce("label", "doc_id"))
-    return out.select("doc_id", "n_shingles", component_id.alias("component_id"), F.coalesce(F.col("doc_id") == component_id, F.lit(True)).alias("kept"))
+    with scratch(docs.sparkSession):
+        signed = materialise(signatures(docs, words, bands, rows), "signed")
+        named = signed.where("doc_id is not null and n_shingles > 0")
+        classes = named.groupBy("sig").agg(F.min("doc_id").alias("rep"), *(F.first(c).alias(c) for c in ("n_shingles", "keys", "sketch")))
+        classes = materialise(classes, "classes")
+        members = classes.select("rep", F.explode("keys").alias("key")).select("key", "rep")
+        several = members.groupBy("key").agg(F.min("rep").alias("low"), F.max("rep").alias("high"), F.count("*").alias("n")).where("low < high").select("key", "n")
+        members = materialise(members.join(several, "key"), "members")
+        weights = members.groupBy("rep").agg(F.sum("n").alias("weight"))  # members of large buckets again and again lie in the middle of a group
+        members = materialise(members.select("key", "rep").join(weights, "rep"), "members")
+        repeats = named.groupBy(F.col("doc_id").alias("rep")).agg(F.count("*").alias("repeats")).where("repeats > 1")
+        wanted = classes.select("rep", "sig").join(members.select("rep"), "rep", "left_semi").join(repeats, "rep", "left").fillna(1, ["repeats"])
+        sets = materialise(shingle_sets(docs, wanted, words, bands, rows), "sets")
+
+        same = named.select("doc_id", "sig").join(classes.select("sig", "rep"), "sig").select(*ordered("doc_id", "rep"))
+        shared = same.groupBy("b").agg(F.min("a").alias("low"), F.max("a").alias("high")).where("low < high").select("b")
+        edges = materialise(same.join(shared, "b").select("a", "b"), "links")  # doc_ids that several classes hold
+        open_members = labelled(members, None)
+        for turn in range(STARS + 1):
+            pairs = star_pairs(open_members, turn) if turn < STARS else prefix_pairs(open_members, sets, percent)
+            found = confirmed(alike(pairs, classes, percent, bands * rows), sets, percent)
+            edges = materialise(edges.unionByName(found), "links")
+            if turn < STARS:
+                open_members = labelled(members, edges)
+        labels = components(edges)
+        component = classes.select("sig", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("sig", F.coalesce("label", "rep").alias("label"))
+        out = signed.select("doc_id", "n_shingles", "sig").join(component, "sig", "left")
+        component_id = F.when(F.col("doc_id").isNotNull(), F.coalesce("label", "doc_id"))
+        out = out.select("doc_id", "n_shingles", component_id.alias("component_id"), F.coalesce(F.col("doc_id") == component_id, F.lit(True)).alias("kept"))
+        return materialise(out, "components", lasting=True)
 
 
 def deduplicated(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
