@@ -72,6 +72,17 @@ def scratch(spark: SparkSession):
                 _delete(spark, path)
 
 
+def stored_bytes(df: DataFrame) -> int:
+    """Size of the files behind a materialised DataFrame."""
+    own = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._stored_at)
+    return own.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).getContentSummary(own).getLength()
+
+
+def lean(df: DataFrame, most: int = 16 << 20) -> DataFrame:
+    """A materialised DataFrame, to be broadcast if its files hold at most `most` bytes; a larger one is joined by shuffles."""
+    return F.broadcast(df) if stored_bytes(df) <= most else df
+
+
 def discard(df: DataFrame) -> None:
     """Delete the table behind a materialised DataFrame that no later result reads; others stay as they are."""
     if path := getattr(df, "_stored_at", None):

@@ -1,21 +1,19 @@
-"""Benchmark decontamination by a positional index of the corpus, in DataFrame operations only."""
+"""Benchmark decontamination by a stored positional index of the corpus, in DataFrame operations only."""
 
 from __future__ import annotations
 
 import math
 import string
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import materialise, table
+from .common import lean, materialise, scratch, table
 
 #: Consecutive words that make a window; items of fewer words are one window.
 WINDOW = 10
 #: Positions a word may be off in a proximity match, and the share of a window's words that one needs.
 SLOP, NEAR_SHARE = 2, 0.8
-#: Windows whose terms are looked up in one pass over the corpus; a larger benchmark takes several passes.
-BLOCK_WINDOWS = 20_000
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -29,124 +27,159 @@ def words(text: Column) -> Column:
     return F.coalesce(F.filter(F.split(lowered, SEPARATORS, -1), lambda w: w != ""), F.array().cast("array<string>"))
 
 
-def windows(benchmark: DataFrame) -> DataFrame:
-    """Distinct windows of the items: terms (their words in order) and item_ids (as strings). Items without words have none."""
-    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), words(F.col("text").cast("string")).alias("own")).where(F.size("own") > 0)
-    starts = F.sequence(F.lit(1), F.greatest(F.size("own") - (WINDOW - 1), F.lit(1)))
-    every = items.select("item_id", "own", F.explode(starts).alias("at")).select("item_id", F.slice("own", F.col("at"), F.lit(WINDOW)).alias("terms"))
-    return every.groupBy("terms").agg(F.collect_set("item_id").alias("item_ids"))
+def digest(text: Column) -> Column:
+    """A name of a text, by which rows with it are found again; it holds no matter how a table is split."""
+    return F.unhex(F.sha2(F.coalesce(text.cast("string"), F.lit("")).cast("binary"), 256))
 
 
-def listed(terms: list[str]) -> str:
-    """Terms as a SQL list; they hold no quote or backslash, which separate words."""
-    return ", ".join(f"'{t}'" for t in terms)
+class Benchmark:
+    """The stored windows of a benchmark.
 
-
-def rarest(docs_words: DataFrame, block: DataFrame, near: bool) -> DataFrame:
-    """The windows of a block with their anchors: the term that the corpus holds least often, and its offset.
-
-    For proximity, full windows have one anchor more than a match may lack words, so that any match holds one of them.
+    terms (window, size, place, code, next): the words of each distinct window, by code, each with the one after it in the window.
+    holders (window, item_id): the items with the window. vocabulary (word, code): all words.
     """
-    terms = [r[0] for r in block.select(F.explode("terms").alias("term")).distinct().orderBy("term").collect()]
-    counts = docs_words.select(F.explode("own").alias("term")).where(F.expr(f"term IN ({listed(terms)})")).groupBy("term").agg(F.count("*").alias("n"))
-    placed = block.select("terms", "item_ids", F.posexplode("terms").alias("offset", "term"))
-    least = F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "offset", "term")))
-    ranked = placed.join(counts, "term", "left").groupBy("terms", "item_ids").agg(least.alias("least"))
-    many = F.when(F.size("terms") >= WINDOW, 1 + WINDOW - math.ceil(WINDOW * NEAR_SHARE)).otherwise(1) if near else F.lit(1)
-    anchors = ranked.select("terms", "item_ids", F.explode(F.slice("least", F.lit(1), many)).alias("least"))
-    return anchors.select("terms", "item_ids", F.col("least.term").alias("anchor"), F.col("least.offset").alias("offset"))
-
-
-def postings(docs_words: DataFrame, anchors: list[str]) -> DataFrame:
-    """One row per occurrence of an anchor term, with its position and the words around it; one row of nulls for other documents."""
-    margin = WINDOW - 1 + SLOP
-    found = F.expr(
-        f"filter(transform(own, (w, i) -> CASE WHEN w IN ({listed(anchors)}) THEN named_struct('term', w, 'pos', i, 'low', greatest(i - {margin}, 0), "
-        f"'around', slice(own, greatest(i - {margin}, 0) + 1, i + {margin} + 1 - greatest(i - {margin}, 0))) END), h -> h IS NOT NULL)"
-    )
-    return docs_words.select("row", "doc_id", F.size("own").cast("long").alias("n_words"), found.alias("found")).select("row", "doc_id", "n_words", F.explode_outer("found").alias("hit"))
-
-
-def occurrences(index: DataFrame, anchored: DataFrame) -> DataFrame:
-    """Index rows with the windows that occur there: phrase where each term stands at its offset, near where most stand within SLOP.
 
-    Every other term's list is intersected at its own offset from the anchor. Documents without any keep one row of nulls.
+    def __init__(self, benchmark: DataFrame):
+        items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), words(F.col("text").cast("string")).alias("own")).where(F.size("own") > 0)
+        starts = F.sequence(F.lit(1), F.greatest(F.size("own") - (WINDOW - 1), F.lit(1)))
+        every = items.select("item_id", "own", F.explode(starts).alias("at")).select("item_id", F.slice("own", F.col("at"), F.lit(WINDOW)).alias("own"))
+        every = materialise(every, "item-windows")
+        windows = materialise(every.select("own").distinct().select(F.monotonically_increasing_id().alias("window"), "own"), "windows")
+        self.holders = materialise(every.where("item_id is not null").join(windows, "own").select("window", "item_id").distinct(), "holders")
+        placed = windows.select("window", F.size("own").alias("size"), F.posexplode("own").alias("place", "word"))
+        self.vocabulary = materialise(placed.select("word").distinct().select("word", F.monotonically_increasing_id().alias("code")), "vocabulary")
+        coded = placed.join(self.vocabulary, "word").select("window", "size", "place", "code")
+        after = coded.select("window", (F.col("place") - 1).alias("place"), F.col("code").alias("next"))
+        self.terms = materialise(coded.join(after, ["window", "place"], "left").select("window", "size", "place", "code", "next"), "terms")
+
+
+def positional_index(docs: DataFrame, vocabulary: DataFrame, named: bool = False) -> DataFrame:
+    """The stored postings of all words of the vocabulary: row, doc_id, pos (from 1), code, next (the code of the word after it).
+
+    One posting with pos 0 stands for each document, with n_words and, if `named`, the digest of its text. row numbers the rows
+    of docs; it is given once, as the index is written, and read from there. Each word of the corpus is stored once at most, as
+    two numbers. The texts are read and split once, where they lie; only a vocabulary too large to broadcast is joined by shuffle.
     """
-    first = F.col("hit.pos") - F.col("offset")
-    inside = first - F.col("hit.low")
-    phrase = (inside >= 0) & (F.slice(F.col("hit.around"), F.greatest(inside, F.lit(0)) + 1, F.size("terms")) == F.col("terms"))
-    there = F.expr(
-        f"size(filter(transform(terms, (t, k) -> exists(slice(hit.around, greatest(hit.pos - offset + k - {SLOP} - hit.low, 0) + 1, "
-        f"greatest(hit.pos - offset + k + {SLOP} + 1 - hit.low - greatest(hit.pos - offset + k - {SLOP} - hit.low, 0), 0)), w -> w = t)), f -> f))"
-    )
-    joined = index.join(anchored, F.col("hit.term") == F.col("anchor"), "left")
-    near = (F.size("terms") >= WINDOW) & (there >= F.ceil(F.size("terms") * NEAR_SHARE))
-    return joined.select("row", "doc_id", "n_words", "item_ids", first.cast("int").alias("start"), F.size("terms").alias("length"), F.coalesce(phrase, F.lit(False)).alias("phrase"), F.coalesce(near, F.lit(False)).alias("near"))
-
-
-def numbered(docs: DataFrame) -> DataFrame:
-    """docs with the column row: a number for each row, the same whenever the same stored table is read."""
-    return docs.select(F.monotonically_increasing_id().alias("row"), *(F.col(c) for c in docs.columns if c != "row"))
-
-
-def contamination(docs: DataFrame, benchmark: DataFrame, near: bool = True) -> DataFrame:
-    """Per row of docs: row (see numbered), doc_id, n_words, n_hit, item_ids (sorted strings), near_ids, contaminated (n_hit > 0).
-
-    A word is hit when it lies inside an occurrence of a window of the benchmark. near_ids are items with a proximity match,
-    seen from one of the anchors in its place; without `near` they are left out.
-
-    The index holds the postings of the rarest term of each window (with `near` of its three rarest), so its size follows the rare terms, not the corpus; it is
-    stored in the shared folder. Windows meet it in blocks of BLOCK_WINDOWS, which bounds what is broadcast or put into a plan.
-    Only documents with hits, and one row for each other, are grouped, by row; a term or passage that very many documents hold
-    is dealt out with its documents.
+    text = F.col("text").cast("string")
+    marker = F.array(F.lit(None).cast("string"))
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), words(text).alias("own"), (digest(text) if named else F.lit(None).cast("binary")).alias("name"))
+    each = rows.select("row", "doc_id", "name", "own", F.posexplode(F.concat(marker, F.col("own"))).alias("pos", "word"))
+    at_start = F.col("pos") == 0
+    each = each.select("row", "doc_id", F.when(at_start, F.col("name")).alias("name"), F.when(at_start, F.size("own")).alias("n_words"), "pos", "word", F.when(~at_start, F.get("own", F.col("pos"))).alias("word_after"))
+    known = lean(vocabulary)
+    found = each.join(known, "word", "left").where("pos = 0 or code is not null")
+    found = found.join(known.select(F.col("word").alias("word_after"), F.col("code").alias("next")), "word_after", "left")
+    return materialise(found.select("row", "doc_id", "name", "n_words", "pos", "code", "next"), "postings")
+
+
+def phrases(index: DataFrame, benchmark: Benchmark) -> DataFrame:
+    """(row, window, start, size): where all words of a window stand in their places.
+
+    The postings of each adjacent pair of a window's words are read off the index. From the rarest of a window's pairs on, the
+    lists of its other pairs are intersected at their offsets. Windows with a pair that the corpus lacks are left out at once.
+    Windows of one word are that word's postings.
+    """
+    pairs = materialise(benchmark.terms.where("next is not null").select("code", "next").distinct(), "pairs")
+    lists = materialise(index.join(lean(pairs), ["code", "next"]).select("row", "pos", "code", "next"), "pair-lists")
+    counts = lists.groupBy("code", "next").agg(F.count("*").alias("n"))
+    window = Window.partitionBy("window")
+    ranked = benchmark.terms.where("next is not null").join(counts, ["code", "next"])
+    ranked = ranked.select("*", F.count("*").over(window).alias("pairs"), F.row_number().over(window.orderBy("n", "place")).alias("rank")).where("pairs = size - 1")
+    ranked = materialise(ranked.select("window", "size", "place", "code", "next", "rank"), "ranked")
+    first = materialise(ranked.where("rank = 1"), "rarest")
+    hits = lists.join(lean(first), ["code", "next"]).select("row", "window", "size", (F.col("pos") - F.col("place")).alias("start")).where("start > 0")
+    others = lean(materialise(ranked.where("rank > 1").select("window", "place", "code", "next"), "others"))
+    hits = materialise(hits, "rarest-hits")
+    wanted = hits.where("size > 2").join(others, "window").select("row", "window", "size", "start", "code", "next", (F.col("start") + F.col("place")).alias("pos"))
+    whole = wanted.join(lists, ["row", "code", "next", "pos"]).groupBy("row", "window", "start", "size").agg(F.count("*").alias("n")).where("n = size - 2")
+    single = materialise(benchmark.terms.where("size = 1").select("window", "size", "code"), "single")
+    alone = index.where("pos > 0").join(lean(single), "code").select("row", "window", F.col("pos").alias("start"), "size")
+    return whole.select("row", "window", "start", "size").unionByName(hits.where("size = 2").select("row", "window", "start", "size")).unionByName(alone)
+
+
+def near(index: DataFrame, benchmark: Benchmark) -> DataFrame:
+    """(row, window): full windows of which a share NEAR_SHARE of the words stand within SLOP of their places, one of them in its own.
+
+    Of one word more than may be missing, taken from the rarest, a match holds one; of two more it holds two. So those two more
+    rarest words' postings give the documents with two of them near each other, and only there all words' lists are intersected.
+    """
+    missing = WINDOW - math.ceil(WINDOW * NEAR_SHARE)
+    counts = index.where("pos > 0").groupBy("code").agg(F.count("*").alias("n"))
+    order = Window.partitionBy("window").orderBy(F.coalesce("n", F.lit(0)), "place")
+    full = benchmark.terms.where(F.col("size") == WINDOW)
+    ranked = full.join(counts, "code", "left").select("window", "place", "code", F.row_number().over(order).alias("rank"))
+    anchors = lean(materialise(ranked.where(F.col("rank") <= missing + 2).select("window", "place", "code"), "anchors"))
+    seen = index.where("pos > 0").select("row", "pos", "code").join(anchors, "code").select("row", "window", "place", (F.col("pos") - F.col("place")).alias("start"))
+    several = seen.groupBy("row", "window").agg(F.min("place").alias("low"), F.max("place").alias("high")).where("low < high").select("row", "window")
+    seen = materialise(seen.join(materialise(several, "several"), ["row", "window"]), "anchor-hits")
+    along = Window.partitionBy("row", "window").orderBy("start", "place")
+    before = seen.select("row", "window", "start", "place", F.lag("place").over(along).alias("other"), F.lag("start").over(along).alias("at"))
+    close = before.where(F.expr(f"other <> place and start - at <= {2 * SLOP}"))
+    around = F.sequence(F.col("start") - SLOP, F.col("at") + SLOP)  # all starts that both words stand near
+    starts = materialise(close.select("row", "window", F.explode(around).alias("start")).distinct(), "near-starts")
+    rows = materialise(starts.select("row").distinct(), "near-rows")
+    part = index.where("pos > 0").select("row", "pos", "code").join(lean(rows), "row", "left_semi")
+    offs = F.explode(F.sequence(F.lit(-SLOP), F.lit(SLOP)))
+    wanted = starts.join(lean(materialise(full.select("window", "place", "code"), "full")), "window").select("row", "window", "start", "place", "code", offs.alias("off"))
+    met = wanted.select("*", (F.col("start") + F.col("place") + F.col("off")).alias("pos")).join(part, ["row", "code", "pos"])
+    each = met.groupBy("row", "window", "start", "place").agg(F.min(F.abs("off")).alias("off"))
+    return each.groupBy("row", "window", "start").agg(F.count("*").alias("n"), F.min("off").alias("off")).where((F.col("n") >= WINDOW - missing) & (F.col("off") == 0)).select("row", "window").distinct()
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, with_near: bool = True, named: bool = False) -> DataFrame:
+    """Per row of docs: doc_id, n_words, n_hit, item_ids (sorted strings), near_ids, contaminated (n_hit > 0).
+
+    A word is hit when it lies inside an occurrence of a window of the benchmark. near_ids are items with a proximity match (see
+    near); without `with_near` they are left out. With `named` a column name holds the digest of the text.
+
+    The texts are read once, into a positional index in the shared folder (see positional_index), whose rows are numbered
+    there; whatever the size of the benchmark, the index is built once. A word, pair or passage that very many documents hold
+    is dealt out with its documents. A document's hits and items are grouped by row, since the result lists them by row. All
+    that is stored on the way is deleted, but for the result's table.
 
     Null texts have no words; items without words have no windows; null item_ids count as hits but aren't listed; repeated
     rows of docs are judged each, repeated item_ids listed once. Empty docs give no rows, an empty benchmark no hits; other
     columns are ignored.
     """
-    spark = docs.sparkSession
-    all_windows = materialise(windows(benchmark), "windows")
-    blocks = max(1, -(-all_windows.count() // BLOCK_WINDOWS))
-    rows = numbered(docs).select("row", F.col("doc_id").cast("long").alias("doc_id"), words(F.col("text").cast("string")).alias("own"))
-    own = docs.select(words(F.col("text").cast("string")).alias("own"))
-    seen = None
-    for k in range(blocks):
-        block = all_windows.where(F.pmod(F.xxhash64("terms"), F.lit(blocks)) == k) if blocks > 1 else all_windows
-        if block.isEmpty():
-            anchored, anchors = spark.createDataFrame([], "terms array<string>, item_ids array<string>, anchor string, offset int"), ["-"]
-        else:
-            anchored = materialise(rarest(own, block, near), "anchored")
-            anchors = [r[0] for r in anchored.select("anchor").distinct().orderBy("anchor").collect()]
-        index = materialise(postings(rows, anchors), "index")
-        part = occurrences(index, F.broadcast(anchored))  # at most the anchors of a block of windows
-        spans = F.collect_set(F.when(F.col("phrase"), F.struct("start", "length"))).alias("spans")
-        ids = [F.flatten(F.collect_set(F.when(F.col(c), F.col("item_ids")))).alias(c) for c in ("phrase", "near")]
-        part = part.groupBy("row", "doc_id", "n_words").agg(spans, *ids)
-        seen = part if seen is None else seen.unionByName(part)
-    if blocks > 1:
-        seen = seen.groupBy("row", "doc_id", "n_words").agg(*(F.flatten(F.collect_list(c)).alias(c) for c in ("spans", "phrase", "near")))
-    covered = F.aggregate(
-        F.array_sort("spans"),
-        F.struct(F.lit(0).alias("sum"), F.lit(0).alias("end")),
-        lambda acc, s: F.struct(
-            (acc["sum"] + F.greatest(s["start"] + s["length"] - F.greatest(acc["end"], s["start"]), F.lit(0))).alias("sum"),
-            F.greatest(acc["end"], s["start"] + s["length"]).alias("end"),
-        ),
-    )
-    n_hit = covered["sum"].cast("long")
-    sets = {"item_ids": "phrase"} | ({"near_ids": "near"} if near else {})
-    return seen.select("row", "doc_id", "n_words", n_hit.alias("n_hit"), *(F.array_sort(F.array_distinct(c)).alias(n) for n, c in sets.items())).withColumn("contaminated", F.col("n_hit") > 0)
+    with scratch(docs.sparkSession):
+        own = Benchmark(benchmark)
+        index = positional_index(docs, own.vocabulary, named)
+        hits = materialise(phrases(index, own), "hits")
+        covered = F.aggregate(
+            F.array_sort("spans"),
+            F.struct(F.lit(0).alias("sum"), F.lit(0).alias("end")),
+            lambda acc, s: F.struct(
+                (acc["sum"] + F.greatest(s["start"] + s["size"] - F.greatest(acc["end"], s["start"]), F.lit(0))).alias("sum"),
+                F.greatest(acc["end"], s["start"] + s["size"]).alias("end"),
+            ),
+        )
+        spans = hits.groupBy("row").agg(F.collect_set(F.struct("start", "size")).alias("spans")).select("row", covered["sum"].cast("long").alias("n_hit"))
+        items = lambda found, name: found.select("row", "window").distinct().join(own.holders, "window").groupBy("row").agg(F.array_sort(F.collect_set("item_id")).alias(name))
+        out = index.where("pos = 0").join(spans, "row", "left").join(items(hits, "item_ids"), "row", "left")
+        if with_near:
+            out = out.join(items(near(index, own), "near_ids"), "row", "left")
+        nothing = F.array().cast("array<string>")
+        lists = [F.coalesce(c, nothing).alias(c) for c in ("item_ids", "near_ids") if c in out.columns]
+        n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
+        columns = ["doc_id", F.col("n_words").cast("long").alias("n_words"), n_hit.alias("n_hit"), *lists, (n_hit > 0).alias("contaminated")]
+        return materialise(out.select(*columns, *(["name"] if named else [])), "contamination", lasting=True)
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of docs, with all columns, that hold no window of the benchmark; docs is a stored table."""
-    found = contamination(docs, benchmark, near=False).where("contaminated").select("row")
-    return numbered(docs).join(found, "row", "left_anti").select(*(c for c in docs.columns if c != "row"))
+    """The rows of docs, with all columns, that hold no window of the benchmark.
+
+    Whether a text does depends on the text alone, so rows are dropped by its digest: it makes no difference how docs is split
+    or how often it is read. Null and empty texts stay; repeated rows share their fate; an empty benchmark drops nothing.
+    """
+    with scratch(docs.sparkSession):
+        found = contamination(docs, benchmark, with_near=False, named=True).where("contaminated").select(F.col("name").alias("_digest")).distinct()
+        found = materialise(found, "contaminated", lasting=True)
+    return docs.withColumn("_digest", digest(F.col("text"))).join(lean(found), "_digest", "left_anti").select(*docs.columns)
 
 
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents against all benchmark items."""
-    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), near=False)
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), with_near=False)
     return found.select(
         "doc_id",
         "n_words",
