@@ -2,60 +2,81 @@
 
 from __future__ import annotations
 
-import re
-import zlib
-
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded, in_arrow, remainder, slices, table
+from .common import by_size, in_arrow, labelled, remainder, slices, table
 
-#: Labelled rows for the network, at most.
+#: Labelled documents for the network, at most.
 SAMPLE_ROWS = 12_000
-#: Words and word forms share BUCKETS hashed names, each with a random index vector of NONZERO signs in WIDTH places.
-BUCKETS, WIDTH, NONZERO = 4096, 32, 2
+#: Words have WORDS hashed names, written forms the rest of BUCKETS, each with a random index vector of NONZERO signs in WIDTH
+#: places. The bound holds whatever the vocabulary: a name stands for the mean context of the words that share it.
+BUCKETS, WORDS, WIDTH, NONZERO = 1 << 14, 3 << 12, 32, 2
 HIDDEN, EPOCHS, RATE, BATCH, DECAY = 24, 40, 0.01, 64, 1e-4
-#: Words that a worker remembers.
-WORDS_KEPT = 300_000
 GOOD_SCORE = 0.7
-_AGAIN, _SEEN = 0, 1  # names of a word equal to the one before, and of a pair of words seen before in the text
-_RUNS = re.compile(r"(.)\1+")
-_FORM = str.maketrans({c: "9" for c in "0123456789"})
-
-
-def form(word: str) -> str:
-    """How a word is written: its cases, and other characters with repetitions removed."""
-    kinds = "".join("A" if c.isupper() else "a" if c.isalpha() else c for c in word[:24].translate(_FORM))
-    return _RUNS.sub(r"\1", kinds)
-
-
-class Names(dict):
-    """By word: its bucket, and its form's, as one number."""
-
-    def __missing__(self, word: str) -> int:
-        stem = word.lower().strip(".,;:!?*#$%&|\"'()")
-        name = lambda kind, x: 2 + zlib.crc32(f"{kind} {x}".encode("utf-8", "replace")) % (BUCKETS - 2)
-        out = name("word", stem) * BUCKETS + name("form", form(word))
-        if len(self) < WORDS_KEPT and len(word) <= 40:
-            self[word] = out
-        return out
-
-
-def named(text: str | None, names: Names) -> np.ndarray:
-    """The names of a text's words and forms, alternating in the order of the text."""
-    words = text.split() if text else []
-    both = np.fromiter(map(names.__getitem__, words), dtype=np.int64, count=len(words))
-    out = np.empty(2 * len(both), dtype=np.int64)
-    out[0::2], out[1::2] = both // BUCKETS, both % BUCKETS
-    if len(both) > 1:
-        pairs = both[:-1] * np.int64(BUCKETS * BUCKETS) + both[1:]
-        seen = np.ones(len(pairs), dtype=bool)
-        seen[np.unique(pairs, return_index=True)[1]] = False
-        out[3::2][seen] = _SEEN
-        out[3::2][both[1:] == both[:-1]] = _AGAIN
-    return out
+_AGAIN, _SEEN = 0, 1  # forms of a word equal to the one before, and of a pair of words seen before in the text
+_EDGES = ".,;:!?*#$%&|\"'()"
+#: By byte: how a word is written there: A for capitals, a for other letters and all bytes beyond ASCII, 9 for digits, else itself.
+_KINDS = np.arange(256, dtype=np.uint8)
+_KINDS[[*range(97, 123), *range(128, 256)]], _KINDS[65:91], _KINDS[48:58] = ord("a"), ord("A"), ord("9")
+
+
+def hashed(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """64-bit hashes of byte strings that lie one after another in data."""
+    place = np.arange(len(data), dtype=np.uint64) - np.repeat(starts, sizes).astype(np.uint64)
+    mixed = (data.astype(np.uint64) + np.uint64(1)) * (place * np.uint64(0x9E3779B97F4A7C15) + np.uint64(0xD1B54A32D192ED03) | np.uint64(1))
+    mixed ^= mixed >> np.uint64(29)
+    mixed *= np.uint64(0xBF58476D1CE4E5B9)
+    total = np.concatenate([[np.uint64(0)], np.cumsum(mixed, dtype=np.uint64)])
+    out = total[starts + sizes] - total[starts]
+    return out ^ (out >> np.uint64(32))
+
+
+def bytes_of(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of strings, one after another, and each string's size."""
+    sizes = pc.binary_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
+    ends = np.frombuffer(words.buffers()[1], dtype=np.int64 if pa.types.is_large_string(words.type) else np.int32)[words.offset : words.offset + len(words) + 1]
+    return np.frombuffer(words.buffers()[2] or b"", dtype=np.uint8)[ends[0] : ends[-1]], sizes
+
+
+def names_of(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The names of distinct words, lower-cased without marks at their edges, and of their forms: kinds of bytes, runs once."""
+    data, sizes = bytes_of(pc.utf8_trim(pc.utf8_lower(words), _EDGES))
+    word = hashed(data, np.cumsum(sizes) - sizes, sizes) % np.uint64(WORDS - 2) + np.uint64(2)
+    data, sizes = bytes_of(words)
+    kinds, starts = _KINDS[data], np.cumsum(sizes) - sizes
+    opens = np.zeros(len(kinds), dtype=bool)
+    opens[starts[sizes > 0]] = True
+    opens[1:] |= kinds[1:] != kinds[:-1]
+    so_far = np.concatenate([[0], np.cumsum(opens)])
+    kept = so_far[starts + sizes] - so_far[starts]
+    form = hashed(kinds[opens], np.cumsum(kept) - kept, kept) % np.uint64(BUCKETS - WORDS) + np.uint64(WORDS)
+    return word.astype(np.int64), form.astype(np.int64)
+
+
+def named(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each word of the texts, in order: the text's place, the word's name and its form's."""
+    lists = pc.utf8_split_whitespace(pc.fill_null(texts, ""))
+    parts = lists.flatten().dictionary_encode()
+    names, forms = names_of(parts.dictionary)
+    codes, text = parts.indices.to_numpy(zero_copy_only=False), np.repeat(np.arange(len(texts)), np.diff(lists.offsets.to_numpy()))
+    empty = pc.index(parts.dictionary, "").as_py()
+    if empty >= 0:  # white space at the edges of a text
+        real = codes != empty
+        codes, text = codes[real], text[real]
+    word, shape = names[codes], forms[codes]
+    if len(codes) > 1:
+        same = np.unique(names * BUCKETS + forms, return_inverse=True)[1][codes].astype(np.int64)
+        inside, kinds = text[1:] == text[:-1], len(names)
+        pair = (text[1:] * kinds + same[:-1]) * kinds + same[1:]
+        seen = pd.Series(pair).duplicated().to_numpy()
+        shape[1:][seen & inside] = _SEEN
+        shape[1:][(same[1:] == same[:-1]) & inside] = _AGAIN
+    return text, word, shape
 
 
 def index_vectors() -> tuple[np.ndarray, np.ndarray]:
@@ -65,21 +86,21 @@ def index_vectors() -> tuple[np.ndarray, np.ndarray]:
 
 
 def contexts(docs: DataFrame) -> DataFrame:
-    """(name, c0, c1, ...): over all texts, the sum of the index vectors of each name's left and right neighbours.
+    """(name, c0, c1, ...): over all texts, the sum of the index vectors of each name's neighbours.
 
-    Each task sends one row per name that it saw, at most BUCKETS, whatever it read; names are summed by partial aggregation.
+    A word's neighbours are the form before it and its own form, a form's the word it belongs to and the next word. Each task
+    sends one row per name that it saw, at most BUCKETS, whatever it read; names are summed by partial aggregation.
     """
     schema = pa.schema([("name", pa.int64()), *((f"c{k}", pa.float64()) for k in range(WIDTH))])
 
     def run(batches):
-        names, (places, signs) = Names(), index_vectors()
+        places, signs = index_vectors()
         total = np.zeros(BUCKETS * WIDTH)
-        for batch in slices(batches, 256):
-            found = [x for text in batch.column(0).to_pylist() if len(x := named(text, names)) > 1]
-            for own in found if sum(map(len, found)) > 1 << 22 else [np.concatenate([[-1], *(np.append(x, -1) for x in found)])] if found else []:
-                left, right = own[:-1], own[1:]
-                real = (left >= 0) & (right >= 0)
-                left, right = left[real], right[real]
+        for batch in slices(batches):
+            for texts in by_size(batch.column(0), 1 << 22):
+                text, word, shape = named(texts)
+                inside = text[1:] == text[:-1]
+                left, right = np.concatenate([word, shape[:-1][inside]]), np.concatenate([shape, word[1:][inside]])
                 for a, b in ((left, right), (right, left)):
                     for k in range(NONZERO):
                         total += np.bincount(a * WIDTH + places[b, k], weights=signs[b, k], minlength=BUCKETS * WIDTH)
@@ -94,21 +115,30 @@ def contexts(docs: DataFrame) -> DataFrame:
 def word_vectors(docs: DataFrame) -> np.ndarray:
     """Unit vectors by name; BUCKETS * WIDTH numbers reach the driver, whatever the corpus."""
     cells = np.zeros((BUCKETS, WIDTH))
-    for row in contexts(docs).collect():
-        cells[row[0]] = row[1:]
+    found = contexts(docs).toArrow()
+    if found.num_rows:
+        cells[found.column(0).to_numpy()] = np.stack([found.column(k + 1).to_numpy() for k in range(WIDTH)], axis=1)
     return (cells / np.maximum(np.linalg.norm(cells, axis=1, keepdims=True), 1e-9)).astype(np.float32)
 
 
-def pooled(text: str | None, names: Names, vectors: np.ndarray) -> np.ndarray:
-    """Mean and spread of a text's vectors, the shares of repeated names, and its length's logarithm."""
-    own = named(text, names)
-    if not len(own):
-        return np.zeros(2 * WIDTH + 3)
-    counts = np.bincount(own, minlength=BUCKETS)
-    used = np.flatnonzero(counts)
-    share, rows = counts[used] / len(own), vectors[used]
-    mean = share @ rows
-    return np.concatenate([mean, np.sqrt(np.maximum(share @ (rows * rows) - mean * mean, 0)), [2 * counts[_AGAIN] / len(own), 2 * counts[_SEEN] / len(own), np.log1p(len(own) / 2) / 8]])
+def pooled(texts: pa.Array, squared: np.ndarray) -> np.ndarray:
+    """By text: mean and spread of its vectors, the shares of repeated names, and its length's logarithm; zeros without words.
+
+    squared holds the vectors and, beside them, their squares.
+    """
+    out = np.zeros((len(texts), 2 * WIDTH + 3))
+    text, word, shape = named(texts)
+    if len(text):
+        starts = np.flatnonzero(np.concatenate([[True], text[1:] != text[:-1]]))
+        own, n = text[starts], np.diff(np.append(starts, len(text)))[:, None]
+        both = np.stack([word, shape], axis=1).ravel()
+        mean = np.array([squared.take(both[2 * a : 2 * b], axis=0).sum(axis=0) for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(text)])]) / (2 * n)
+        out[own, :WIDTH] = mean[:, :WIDTH]
+        out[own, WIDTH : 2 * WIDTH] = np.sqrt(np.maximum(mean[:, WIDTH:] - mean[:, :WIDTH] ** 2, 0))
+        for k, mark in enumerate((_AGAIN, _SEEN)):
+            out[own, 2 * WIDTH + k] = np.add.reduceat((shape == mark).astype(np.float64), starts) / n[:, 0]
+        out[own, 2 * WIDTH + 2] = np.log1p(n[:, 0]) / 8
+    return out
 
 
 class Network:
@@ -161,9 +191,10 @@ def pooled_rows(docs: DataFrame, vectors: np.ndarray, network: Network | None, c
     schema = pa.schema([("doc_id", pa.int64()), *([("pooled", pa.list_(pa.float64())), (carry, pa.int64())] if carry else [("score", pa.float64())])])
 
     def run(batches):
-        names, (own, net) = Names(), shared.value
+        own, net = shared.value
+        squared = np.concatenate([own, own * own], axis=1)
         for batch in slices(batches):
-            rows = np.array([pooled(text, names, own) for text in batch.column(1).to_pylist()]).reshape(batch.num_rows, 2 * WIDTH + 3)
+            rows = np.concatenate([pooled(texts, squared) for texts in by_size(batch.column(1))])
             rest = [pa.array(list(rows), type=schema.field(1).type), batch.column(2)] if carry else [pa.array(net.scores(rows) if net else np.full(len(rows), 0.5))]
             yield pa.RecordBatch.from_arrays([batch.column(0), *rest], schema=schema)
 
@@ -172,10 +203,9 @@ def pooled_rows(docs: DataFrame, vectors: np.ndarray, network: Network | None, c
 
 
 def train(docs: DataFrame, labels: DataFrame, vectors: np.ndarray, learn) -> Network | None:
-    """A network of a bounded sample of the labelled rows where `learn` holds; None without both labels."""
-    known = labels.where(learn & F.col("quality").isNotNull()).select("doc_id", "quality").dropDuplicates(["doc_id"])
-    sample = F.broadcast(bounded(known, "doc_id", SAMPLE_ROWS, 9))  # at most about SAMPLE_ROWS pairs of numbers
-    found = pooled_rows(docs.select("doc_id", "text").join(sample, "doc_id"), vectors, None, "quality").select("pooled", "quality").orderBy("pooled", "quality").collect()
+    """A network of a bounded sample of the labelled documents where `learn` holds (see labelled); None without both labels."""
+    sample = labelled(docs, labels, "quality", learn, SAMPLE_ROWS, 9)
+    found = sorted(pooled_rows(sample, vectors, None, "quality").collect())  # SAMPLE_ROWS rows, by doc_id
     good = np.array([r["quality"] == 1 for r in found], dtype=bool)
     return Network(np.array([r["pooled"] for r in found]), good) if len(found) and good.any() and not good.all() else None
 
