@@ -7,10 +7,11 @@ import zlib
 import duckdb
 import helpers as H
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tessaline.llm import decontaminate, langid, near_dup, packing, quality_model, quality_rules, registry, secrets, tokens, toxicity, urls
+from tessaline.llm import common, decontaminate, langid, near_dup, packing, quality_model, quality_rules, registry, secrets, tokens, toxicity, urls
 
 FOLDER = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -42,8 +43,6 @@ def duck():
 
 
 def test_materialised_tables_can_be_deleted(spark):
-    from tessaline.llm import common
-
     kept = common.materialise(spark.range(5).toDF("x"), "probe")
     path = kept.inputFiles()[0]
     assert kept.count() == 5 and common.forget(spark) >= 1
@@ -180,6 +179,36 @@ def test_near_duplicate_edges(spark):
     assert sorted((r["doc_id"] or 0) for r in left) == [0, 1, 4, 5]
 
 
+def test_repeated_rows_of_near_texts_stay_linear(spark, monkeypatch):
+    """Two near texts, each many times under its id, and many ids with one text: sets are compared once."""
+    compared = []
+    real = near_dup.confirmed
+
+    def counted(pairs, sets, percent):
+        compared.append((sets.count(), pairs.count()))
+        return real(pairs, sets, percent)
+
+    monkeypatch.setattr(near_dup, "confirmed", counted)
+    text = " ".join(f"w{k}" for k in range(100))
+    rows = [(1, text)] * 60 + [(2, text + " x")] * 60 + [(k, text + " y") for k in range(3, 63)]
+    got = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 2).collect()
+    assert len(got) == 180 and {r["component_id"] for r in got} == {1}
+    assert max(n for n, _ in compared) == 3 and sum(n for _, n in compared) <= 3
+
+
+def test_templates_below_the_threshold_bring_no_candidates(spark, monkeypatch):
+    """A family that shares three quarters of its shingles: the exact order leaves nothing to compare."""
+    pairs = []
+    real = near_dup.prefix_pairs
+    monkeypatch.setattr(near_dup, "prefix_pairs", lambda *a: pairs.append(real(*a)) or pairs[-1])
+    monkeypatch.setattr(near_dup, "scratch", __import__("contextlib").nullcontext)
+    shared = " ".join(f"s{k}" for k in range(150))
+    given = [f"{shared} " + " ".join(f"u{k}x{j}" for j in range(50)) for k in range(60)]
+    assert near_dup.near_duplicates(docs_of(spark, given), 2).where("not kept").count() == 0
+    assert pairs[0].count() == 0
+    common.forget(spark)
+
+
 def test_sketches_estimate_high_similarity():
     own = near_dup.signer(2, near_dup.BANDS, near_dup.ROWS)
     draw = np.random.default_rng(0)
@@ -211,14 +240,18 @@ def test_decontamination_matches_sql(spark, duck):
     assert sorted((tuple(r) for r in rows), key=str) == sql_rows(duck, registry.ORACLE_SQL["op6_decontamination"], order)
 
 
-@pytest.mark.parametrize("block", [20_000, 3])
-def test_decontamination_edges(spark, monkeypatch, block):
-    monkeypatch.setattr(decontaminate, "BLOCK_WINDOWS", block)
+@pytest.mark.parametrize("most", [1 << 24, 0])
+def test_decontamination_edges(spark, monkeypatch, most):
+    """With all sides broadcast, and with none."""
+    monkeypatch.setattr(common.lean, "__defaults__", (most,))
     item = " ".join(f"w{k}" for k in range(14))
-    items = [(1, item), (2, "Short ITEM é"), (3, None), (4, "!!"), (5, item), (None, "null id item")]
-    given = [f"x {item.upper()} y {item}", "a short item É", "a short item é", "short, item; É", None, "", LONG, " ".join(f"w{k}" for k in range(9)), "null id item", "w1 w2 w3 w4 xx w5 w6 w7 w8 w9 w10 w11"]
-    df = docs_of(spark, given).drop("row") if block == 3 else docs_of(spark, given)
-    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    items = [(1, item), (2, "Short ITEM é"), (3, None), (4, "!!"), (5, item), (None, "null id item"), (6, "solo"), (7, "two words")]
+    given = [
+        f"x {item.upper()} y {item}", "a short item É", "a short item é", "short, item; É", None, "", LONG, " ".join(f"w{k}" for k in range(9)), "null id item", "w1 w2 w3 w4 xx w5 w6 w7 w8 w9 w10 w11",
+        "Solo two solo words", "two words two words", f"x {item.upper()} y {item}",
+    ]
+    df = docs_of(spark, given)
+    benchmark = spark.createDataFrame(items, "item_id long, text string").withColumns({"window": F.lit(1), "row": F.lit(2)})
     got = {r["doc_id"]: r for r in decontaminate.contamination(df, benchmark).collect()}
     want = H.contamination(list(enumerate(given, 1)), [(i, t) for i, t in items if i])
     for k, (n, hit, ids) in want.items():
@@ -227,7 +260,76 @@ def test_decontamination_edges(spark, monkeypatch, block):
     assert got[10]["near_ids"] == ["1", "5"] and not got[10]["contaminated"]
     assert decontaminate.contamination(df.limit(0), benchmark).count() == 0
     assert decontaminate.contamination(df, benchmark.limit(0)).where("contaminated").count() == 0
-    assert sorted(r["doc_id"] for r in decontaminate.without_contaminated(df, benchmark).collect()) == [2, 4, 5, 6, 7, 8, 10]
+    left = decontaminate.without_contaminated(df, benchmark)
+    assert sorted(r["doc_id"] for r in left.collect()) == [2, 4, 5, 6, 7, 8, 10] and left.columns == df.columns
+
+
+def test_decontamination_does_not_depend_on_splits(spark, tmp_path):
+    """The same table read in one piece and in many gives the same rows, in both operators."""
+    item = " ".join(f"w{k}" for k in range(12))
+    docs_of(spark, [item if k % 7 == 0 else f"text {k} {item[:20]}" for k in range(400)], extra=False).coalesce(2).write.parquet(str(tmp_path / "d"))
+    benchmark = spark.createDataFrame([(1, item)], "item_id long, text string")
+    seen = []
+    for most in ("128m", "1k"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", most)
+        try:
+            docs = spark.read.parquet(str(tmp_path / "d"))
+            found = decontaminate.contamination(docs, benchmark, with_near=False).where("contaminated").select("doc_id").collect()
+            left = decontaminate.without_contaminated(docs, benchmark)
+            spark.conf.set("spark.sql.files.maxPartitionBytes", "64k" if most == "1k" else "1k")  # applied under another split than decided
+            seen.append((sorted(r[0] for r in found), sorted(r["doc_id"] for r in left.collect())))
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", "128m")
+    assert seen[0] == seen[1] and seen[0][0] == [k + 1 for k in range(400) if k % 7 == 0]
+    assert sorted(seen[0][0] + seen[0][1]) == list(range(1, 401))
+
+
+def test_index_is_no_larger_than_the_corpus(spark):
+    """Common words, items shorter than a window: each word is stored once."""
+    given = ["the of and to " * 500] * 20
+    benchmark = spark.createDataFrame([(1, "the"), (2, "of and"), (3, "and to the of"), (4, "the of and to " * 20)], "item_id long, text string")
+    with common.scratch(spark):
+        own = decontaminate.Benchmark(benchmark)
+        index = decontaminate.positional_index(docs_of(spark, given), own.vocabulary)
+        assert index.where("pos > 0").count() == 20 * 2000 and index.where("pos = 0").count() == 20
+    rows = decontaminate.contamination(docs_of(spark, given), benchmark, with_near=False).collect()
+    assert all(r["n_hit"] == 2000 and r["item_ids"] == ["1", "2", "3", "4"] for r in rows)
+
+
+def plain_near(docs, items):
+    """{doc_id: sorted ids} by trying every start of every full window."""
+    out = {}
+    for doc, text in docs:
+        own, found = H.words_of(text), set()
+        stand = {}
+        for k, w in enumerate(own):
+            stand.setdefault(w, set()).add(k)
+        for item, words in ((i, H.words_of(t)) for i, t in items):
+            for at in range(len(words) - 9):
+                window = words[at : at + 10]
+                for start in range(-12, len(own) + 3):
+                    offs = [min((abs(p - start - k) for p in stand.get(w, ()) if abs(p - start - k) <= 2), default=None) for k, w in enumerate(window)]
+                    if sum(o is not None for o in offs) >= 8 and 0 in offs:
+                        found.add(str(item))
+        out[doc] = sorted(found)
+    return out
+
+
+def test_proximity_against_all_starts(spark):
+    draw = random.Random(8)
+    items = [(i, " ".join(f"w{draw.randrange(60)}" for _ in range(draw.choice((6, 10, 13))))) for i in range(12)]
+    given = []
+    for k in range(80):
+        own = [f"w{draw.randrange(60)}" for _ in range(25)]
+        words = items[draw.randrange(12)][1].split()
+        for _ in range(draw.randrange(4)):  # replaced, dropped and added words
+            at = draw.randrange(len(words))
+            words[at : at + draw.choice((0, 1))] = draw.choice(([], ["zz"], ["zz"]))
+        given.append(" ".join(own[:12] + words + own[12:]))
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = {r["doc_id"]: r["near_ids"] for r in decontaminate.contamination(docs_of(spark, given), benchmark).collect()}
+    want = plain_near(enumerate(given, 1), items)
+    assert got == want and sum(map(bool, want.values())) > 20
 
 
 def test_proximity_survives_a_changed_rarest_word(spark):
@@ -450,12 +552,37 @@ def test_classifier_edges(spark, documents):
     assert langid.identify(docs_of(spark, ["a"]).limit(0), model).count() == 0
 
 
+def plain_names(text):
+    """(word name, form name) of each word of a text, one by one."""
+    out, pairs, last = [], set(), None
+    for word in (text or "").split():
+        names, forms = quality_model.names_of(pa.array([word]))
+        both, form = (int(names[0]), int(forms[0])), int(forms[0])
+        if last is not None:
+            form = quality_model._AGAIN if both == last else quality_model._SEEN if (last, both) in pairs else form
+            pairs.add((last, both))
+        last = both
+        out.append((both[0], form))
+    return out
+
+
+def test_names_of_words():
+    """Case and marks at the edges don't matter to a word, letters don't to its form; whole words count, however long."""
+    long = "x" * 5000
+    words = ["Cat", "cat!", "cat", "A1b--", "Q77z-", long + "a", long + "b", long + "9", "é", "", "ñu"]
+    names, forms = quality_model.names_of(pa.array(words))
+    assert names[0] == names[1] == names[2] != names[3] and names[5] != names[6] and names[8] != names[10]
+    assert forms[3] == forms[4] and forms[5] == forms[6] != forms[7] and forms[8] == forms[10] == forms[2] and forms[0] != forms[2]
+    one = [quality_model.names_of(pa.array([w])) for w in words]
+    assert [(int(a[0]), int(b[0])) for a, b in one] == list(zip(names.tolist(), forms.tolist()))
+
+
 def test_random_indexing_against_a_plain_sum(spark):
-    given = ["The cat sat. THE cat ran!", "a b a b a b", "x", None]
-    names, (places, signs) = quality_model.Names(), quality_model.index_vectors()
+    given = ["The cat sat. THE cat ran!", "a b a b a b", "x", None, "", "  b  b b\n a "]
+    places, signs = quality_model.index_vectors()
     want = np.zeros((quality_model.BUCKETS, quality_model.WIDTH))
     for text in given:
-        own = quality_model.named(text, names)
+        own = [x for both in plain_names(text) for x in both]
         for k in range(len(own)):
             for n in (k - 1, k + 1):
                 if 0 <= n < len(own):
@@ -465,3 +592,36 @@ def test_random_indexing_against_a_plain_sum(spark):
     for r in quality_model.contexts(docs_of(spark, given)).collect():
         got[r[0]] = r[1:]
     assert np.allclose(got, want)
+
+
+def test_quality_scores_against_a_plain_network(spark, documents):
+    """Pooling, both layers and the temperature, text by text, with plain loops."""
+    labels = spark.read.parquet(f"{FOLDER}/labels.parquet")
+    vectors = quality_model.word_vectors(documents)
+    net = quality_model.train(documents, labels, vectors, F.lit(True))
+    given = [t for (t,) in documents.select("text").limit(40).collect()] + [None, "", " a  b\n", LONG]
+    got = {r["doc_id"]: r["score"] for r in quality_model.score(docs_of(spark, given), vectors, net).collect()}
+    for k, text in enumerate(given, 1):
+        own = plain_names(text) if text != LONG else [x for x in plain_names("lorem ipsum dolor " * 3)]
+        if text == LONG:
+            own = own[:3] + own[-3:] * (len(text.split()) // 3 - 1)
+        flat = vectors[[x for both in own for x in both]].astype(float) if own else np.zeros((0, quality_model.WIDTH))
+        row = np.zeros(2 * quality_model.WIDTH + 3)
+        if own:
+            mean = flat.mean(axis=0)
+            shares = [sum(f == m for _, f in own) / len(own) for m in (quality_model._AGAIN, quality_model._SEEN)]
+            row = np.concatenate([mean, np.sqrt(np.maximum((flat * flat).mean(axis=0) - mean**2, 0)), shares, [np.log1p(len(own)) / 8]])
+        hidden = [np.tanh(sum((row[i] - net.middle[i]) / net.scale[i] * net.w1[i, j] for i in range(len(row))) + net.b1[j]) for j in range(len(net.b1))]
+        raw = sum(h * w for h, w in zip(hidden, net.w2)) + net.b2[0]
+        assert got[k] == pytest.approx(1 / (1 + np.exp(-raw / net.heat)), abs=2e-3)
+
+
+def test_labelled_samples(spark):
+    """Of several labels or texts of a doc_id the least counts; null ids, labels and texts; repeated rows; the bound."""
+    docs = spark.createDataFrame([(1, "b"), (1, "a"), (1, "a"), (2, None), (3, "c"), (None, "d"), (4, "e")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (1, 0), (1, 1), (2, 1), (3, None), (None, 1), (5, 1)], "doc_id long, quality int")
+    rows = common.labelled(docs, labels, "quality", F.lit(True), 100, 1).collect()
+    assert sorted(map(tuple, rows)) == [(1, "a", 0), (2, "", 1)]
+    many = spark.range(4000).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"), F.lit(1).alias("quality"))
+    assert 200 < common.labelled(many.union(many), many, "quality", F.lit(True), 400, 1).count() < 600
+    assert common.labelled(docs.limit(0), labels, "quality", F.lit(True), 9, 1).count() == 0
