@@ -5,16 +5,18 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded, in_arrow, remainder, slices, table
+from .common import in_arrow, labelled, materialise, remainder, scratch, slices, table
 
-#: Labelled rows for the score, at most, of texts of at most SAMPLE_CHARS characters.
-SAMPLE_ROWS, SAMPLE_CHARS = 6000, 20_000
+#: Labelled documents for the score, at most; their whole texts are read, in SAMPLE_PARTS tasks.
+SAMPLE_ROWS, SAMPLE_PARTS = 6000, 32
 #: A feature is used when so many different toxic texts of the sample, and a hundredth of them besides, have it, and its log
 #: odds are at least so large.
 LEAST_TEXTS, LEAST_ODDS = 3, 3.0
@@ -25,17 +27,24 @@ TOKENS_KEPT = 300_000
 # Letters that a written character may stand for, besides itself, and the cost of each reading in nats.
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "<": "c", "€": "e", "£": "l", "%": "x", "*": "aeiou", "#": "h"}
 READ_COST, DROP_COST, EDGE_COST, REPEAT_COST = 0.5, 0.3, 6.0, 0.1
+#: Characters whose trigrams a worker holds at a time; the next ones carry on from them, so it makes no difference to any count.
+PART_CHARS = 1 << 20
 SEPARATORS = "._-*'~=/\\"
 #: Letters of the language model, by place: 0 bounds words, LETTERS follow, the last stands for any other letter.
 LETTERS = "abcdefghijklmnopqrstuvwxyz" + "".join(map(chr, [*range(0xDF, 0xF7), *range(0xF8, 0x100)]))
 SIZE = len(LETTERS) + 2
 _PLACE = {c: k + 1 for k, c in enumerate(LETTERS)}
-_SPACED = re.compile(r"(?<!\S)\S(?: {1,2}\S){3,}(?!\S)")
+_SPACED = re.compile(r"(?<!\S)\S(?:\s{1,3}\S){2,}(?!\S)")
 _WORD = re.compile(r"[^\W\d_]+")
 _REPEATED = re.compile(r"([^\W\d_])\1\1")
-_HIDDEN = re.compile(r"[^\W\d_][0-9@$!|+(<€£%*#._\-'~=/\\]+[^\W\d_]|(?<!\S)[0-9@$!|+(<€£%*#]{1,2}[^\W\d_]{2}|[^\W\d_]{2}[0-9@$|+€£](?!\S)")
+_HIDDEN = re.compile(
+    r"[^\W\d_][0-9@$!|+(<€£%*#._\-'~=/\\]+[^\W\d_]"  # signs between letters
+    r"|(?<!\S)[0-9@$!|+€£]{1,3}[^\W\d_]"  # ahead of them
+    r"|[^\W\d_][0-9@$|+€£]{1,3}[^\w\s]*(?!\S)"  # behind them
+)
 
 
+@lru_cache(maxsize=1)
 def places() -> np.ndarray:
     """By code point: the place of its lower-case letter in the language model, 0 for what isn't a letter."""
     out = np.zeros(0x110000, dtype=np.int32)
@@ -46,22 +55,30 @@ def places() -> np.ndarray:
     return out
 
 
+def trigrams(text: str) -> Iterator[np.ndarray]:
+    """Codes of a text's character trigrams over words bounded by one place, part by part."""
+    by_code, carry = places(), np.zeros(1, dtype=np.int32)
+    for at in range(0, max(len(text), 1), PART_CHARS):
+        part = by_code[np.frombuffer(text[at : at + PART_CHARS].encode("utf-32-le", "replace"), dtype=np.uint32)]
+        own = np.concatenate([carry, part, [0] if at + PART_CHARS >= len(text) else []]).astype(np.int64)
+        own = own[np.concatenate([[True], (own[1:] > 0) | (own[:-1] > 0)])]
+        carry = own[-2:]
+        if len(own) > 2:
+            yield (own[:-2] * SIZE + own[1:-1]) * SIZE + own[2:]
+
+
 def trigram_counts(docs: DataFrame) -> DataFrame:
     """(code, n): character trigrams of all texts, over words bounded by one place; at most SIZE ** 3 codes, summed by code."""
 
     def run(batches):
-        by_code, total = places(), np.zeros(SIZE**3, dtype=np.int64)
+        total = np.zeros(SIZE**3, dtype=np.int64)
         for batch in slices(batches, 256):
             for text in batch.column(0).to_pylist():
-                for at in range(0, len(text or ""), 1 << 20):
-                    own = by_code[np.frombuffer(f" {text[at : at + (1 << 20)]} ".encode("utf-32-le", "replace"), dtype=np.uint32)]
-                    own = own[np.concatenate([[True], (own[1:] > 0) | (own[:-1] > 0)])]
-                    if len(own) > 2:
-                        codes = (own[:-2] * SIZE + own[1:-1]) * SIZE + own[2:]
-                        if len(codes) < 50_000:
-                            np.add.at(total, codes, 1)
-                        else:
-                            total += np.bincount(codes, minlength=SIZE**3)
+                for codes in trigrams(text or ""):
+                    if len(codes) < 50_000:
+                        np.add.at(total, codes, 1)
+                    else:
+                        total += np.bincount(codes, minlength=SIZE**3)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_pydict({"code": pa.array(used, pa.int64()), "n": pa.array(total[used], pa.int64())})
 
@@ -84,7 +101,7 @@ class Channel:
     def lattice(token: str) -> list[list[tuple[str, float]]]:
         """For each written unit its readings: a letter or letters, with a cost; an empty reading drops it.
 
-        A run of three or more equal letters reads as one or two of them.
+        A run of three or more equal letters reads as one or two of them. A gap reads as nothing or as a word's border.
         """
         out, at = [], 0
         while at < len(token):
@@ -93,11 +110,13 @@ class Channel:
             while end < len(token) and token[end] == c:
                 end += 1
             inner = 0 < at and end < len(token)
-            if c.isalpha():
+            if c == " ":
+                out.append([("", DROP_COST), (" ", 0.0)])
+            elif c.isalpha():
                 out.append([(c, REPEAT_COST), (c + c, REPEAT_COST)] if end - at > 2 else [(token[at:end], 0.0)])
             else:
                 readings = [(x * n, READ_COST) for x in LEET.get(c, "") for n in ({1, min(end - at, 2)})]
-                if c in SEPARATORS or c == " " or not readings:
+                if c in SEPARATORS or not readings:
                     readings.append(("", DROP_COST if inner else 0.0))
                 elif not inner:  # marks may stand beside a word; digits seldom do
                     readings.append(("", EDGE_COST if c.isdigit() else 0.0))
@@ -106,7 +125,10 @@ class Channel:
         return out
 
     def restore(self, token: str) -> str:
-        """The likeliest letters behind a lower-case token, by Viterbi search over the last two letters."""
+        """The likeliest letters behind a lower-case token, by Viterbi search over the last two letters.
+
+        A token with gaps is a run of letters or pieces of words; the search also decides which gaps are borders of words.
+        """
         cost = self.cost
         states: dict[tuple[int, int], tuple[float, tuple]] = {(0, 0): (0.0, ())}
         for readings in self.lattice(token):
@@ -115,13 +137,14 @@ class Channel:
                 for letters, price in readings:
                     x, y, total = a, b, so_far + price
                     for c in letters:
-                        z = _PLACE.get(c, SIZE - 1)
-                        total += float(cost[x, y, z])
-                        x, y = y, z
+                        z = 0 if c == " " else _PLACE.get(c, SIZE - 1)
+                        if z or y:  # borders count once
+                            total += float(cost[x, y, z])
+                            x, y = y, z
                     if (x, y) not in ahead or total < ahead[x, y][0]:
                         ahead[x, y] = (total, (way, letters) if letters else way)
             states = ahead
-        way = min((so_far + float(cost[a, b, 0]), k, way) for k, ((a, b), (so_far, way)) in enumerate(states.items()))[2]
+        way = min((so_far + (float(cost[a, b, 0]) if b else 0.0), k, way) for k, ((a, b), (so_far, way)) in enumerate(states.items()))[2]
         parts = []
         while way:
             way, letters = way
@@ -139,11 +162,14 @@ class Scorer(dict):
 
     def __init__(self, channel: Channel, weights: dict[str, float], bias: float):
         self.channel, self.weights, self.bias = channel, weights, bias
+        self.whole = {f[:-1] for f in weights if f.endswith("$")}
 
     def __reduce__(self):
         return Scorer, (self.channel, self.weights, self.bias)
 
     def words(self, token: str) -> list[str]:
+        if " " in token:
+            return self.channel.restore(token).split()
         if _HIDDEN.search(token) or _REPEATED.search(token):
             whole = self.channel.restore(token)
             return [whole, *(w for w in _WORD.findall(token) if w != whole)]
@@ -156,15 +182,20 @@ class Scorer(dict):
         return out
 
     def tokens(self, text: str | None) -> set[str]:
-        """Distinct lower-case tokens of a text; letters that stand alone in a row are read as one token, too."""
+        """Distinct lower-case tokens of a text, and tokens with gaps: runs of three or more letters that stand alone, and
+        neighbours that together make a word of weight.
+        """
         low = (text or "").lower()
-        own = set(low.split())
-        own.update(x.group().replace(" ", "") for x in _SPACED.finditer(low))
+        row = low.split()
+        own = set(row)
+        own.update(" ".join(x.group().split()) for x in _SPACED.finditer(low))
+        if self.whole:
+            own.update(f"{a} {b}" for a, b in zip(row, row[1:]) if a + b in self.whole)
         return own
 
     def restored(self, text: str) -> str:
         """The text, lower-cased, with hidden words restored."""
-        low = _SPACED.sub(lambda x: x.group().replace(" ", ""), text.lower())
+        low = _SPACED.sub(lambda x: self.channel.restore(" ".join(x.group().split())), text.lower())
         return re.sub(r"\S+", lambda x: self.channel.restore(x.group()) if _HIDDEN.search(x.group()) or _REPEATED.search(x.group()) else x.group(), low)
 
     def score(self, text: str | None) -> float:
@@ -172,30 +203,49 @@ class Scorer(dict):
         return 1 / (1 + math.exp(-max(-50.0, min(50.0, self.bias + total))))
 
 
-def fit(rows: list[tuple[str, int]], channel: Channel) -> Scorer:
-    """Learn weights from (text, toxic) pairs: log odds choose the features, logistic regression weighs them.
+def feature_counts(sample: DataFrame, channel: Channel) -> DataFrame:
+    """(feature, bad, good): in how many toxic and other texts of sample (text, toxic) a feature occurs; texts aren't collected."""
+    shared = sample.sparkSession.sparkContext.broadcast(Scorer(channel, {}, 0.0))  # SIZE ** 3 numbers
 
-    Copies of a text count once. Each word counts by one feature, that with the largest odds.
-    """
-    reader, of_word = Scorer(channel, {}, 0.0), {}
-    examples = []
-    for text, toxic in {text: (text, toxic) for text, toxic in rows}.values():
-        words = {w for t in reader.tokens(text) for w in reader.words(t)}
-        for w in words:
-            of_word.setdefault(w, features(w))
-        examples.append((words, toxic))
-    bad, good = Counter(), Counter()
-    for words, toxic in examples:
-        (bad if toxic else good).update({f for w in words for f in of_word[w]})
-    n_bad, n_good = sum(t for _, t in examples), sum(1 - t for _, t in examples)
-    least = LEAST_TEXTS + n_bad // 100
-    odds = {f: math.log(n / (n_bad + 1)) - math.log((good[f] + 1) / (n_good + 1)) for f, n in bad.items() if n >= least}
-    chosen = {f: k for k, f in enumerate(sorted(f for f, x in odds.items() if x >= LEAST_ODDS))}
-    best = {w: max((f for f in own if f in chosen), key=odds.get, default=None) for w, own in of_word.items()}
-    sparse = [(np.array([chosen[best[w]] for w in words if best[w]], dtype=np.int64), toxic) for words, toxic in examples]
+    def run(batches):
+        reader = shared.value
+        for batch in slices(batches, 64):
+            bad, good = Counter(), Counter()
+            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                (bad if toxic else good).update({f for t in reader.tokens(text) for w in reader.words(t) for f in features(w)})
+            own = sorted(bad.keys() | good.keys())
+            columns = [pa.array(own, pa.string()), *(pa.array([n[f] for f in own], pa.int64()) for n in (bad, good))]
+            yield pa.RecordBatch.from_arrays(columns, names=["feature", "bad", "good"])
+
+    return in_arrow(sample.select("text", "toxic"), run, "feature string, bad long, good long").groupBy("feature").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+
+
+def examples(sample: DataFrame, channel: Channel, odds: dict[str, float]) -> DataFrame:
+    """(toxic, own): by text of sample, the chosen features, as places in their sorted order; each word counts by one, that with the largest odds."""
+    shared = sample.sparkSession.sparkContext.broadcast((Scorer(channel, {}, 0.0), odds))  # the chosen features of a bounded sample
+
+    def run(batches):
+        reader, chosen = shared.value
+        place = {f: k for k, f in enumerate(sorted(chosen))}
+        for batch in slices(batches, 64):
+            rows = []
+            for text in batch.column(0).to_pylist():
+                words = {w for t in reader.tokens(text) for w in reader.words(t)}
+                best = (max((f for f in features(w) if f in chosen), key=chosen.get, default=None) for w in words)
+                rows.append(sorted(place[f] for f in best if f))
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(rows, pa.list_(pa.int64()))], names=["toxic", "own"])
+
+    return in_arrow(sample.select("text", "toxic"), run, "toxic long, own array<long>")
+
+
+def fit(rows: list[tuple[int, list[int]]], chosen: list[str], channel: Channel) -> Scorer:
+    """Logistic regression on (toxic, features) pairs in a fixed order."""
+    rows = sorted(rows)
+    sparse = [(np.array(own, dtype=np.int64), toxic) for toxic, own in rows]
+    n_bad = sum(t for _, t in sparse)
     weights, bias = np.zeros(len(chosen)), -3.0
     draw = np.random.default_rng(4)
-    balance = math.sqrt(max(1.0, n_good / max(1, n_bad)))
+    balance = math.sqrt(max(1.0, (len(sparse) - n_bad) / max(1, n_bad)))
     for epoch in range(EPOCHS):
         rate = RATE / (1 + epoch / 4)
         for k in draw.permutation(len(sparse)):
@@ -210,19 +260,30 @@ def fit(rows: list[tuple[str, int]], channel: Channel) -> Scorer:
     if toxic.any() and not toxic.all():  # the even score lies a third of the way from what nearly all clean to what nearly all toxic texts reach
         low, high = np.quantile(totals[~toxic], 0.999), np.quantile(totals[toxic], 0.01)
         bias = -max(1.0, low + (high - low) / 3)
-    return Scorer(channel, {f: float(weights[k]) for f, k in chosen.items() if weights[k] > 0.05}, float(bias))
+    return Scorer(channel, {f: float(weights[k]) for k, f in enumerate(chosen) if weights[k] > 0.05}, float(bias))
 
 
 def train(docs: DataFrame, labels: DataFrame, learn) -> Scorer:
-    """Trigrams of all docs, and weights from a bounded sample of the labelled rows where `learn` holds."""
+    """Trigrams of all docs, and weights from a bounded sample of the labelled documents where `learn` holds (see labelled).
+
+    Log odds choose the features, logistic regression weighs them. Copies of a text count once, as toxic if one of them is.
+    Whole texts are read on the executors; counts of features that enough toxic texts have, and the chosen ones of each text,
+    come to the driver.
+    """
     counts = np.zeros(SIZE**3, dtype=np.int64)
-    for code, n in trigram_counts(docs).collect():  # at most SIZE ** 3 rows
-        counts[code] = n
-    known = labels.where(learn & F.col("toxic").isNotNull()).select("doc_id", "toxic").dropDuplicates(["doc_id"])
-    sample = F.broadcast(bounded(known, "doc_id", SAMPLE_ROWS, 1))  # at most about SAMPLE_ROWS pairs of numbers
-    rows = docs.select("doc_id", "text").where(F.char_length("text") <= SAMPLE_CHARS).join(sample, "doc_id")
-    found = [(r["text"], int(r["toxic"] == 1)) for r in rows.select("text", "toxic").orderBy("text", "toxic").collect()]
-    return fit(found, Channel(counts))
+    found = trigram_counts(docs).toArrow()  # at most SIZE ** 3 rows
+    counts[found["code"].to_numpy()] = found["n"].to_numpy()
+    channel = Channel(counts)
+    with scratch(docs.sparkSession):
+        drawn = labelled(docs, labels, "toxic", learn, SAMPLE_ROWS, 1)
+        sample = drawn.groupBy("text").agg(F.max((F.col("toxic") == 1).cast("long")).alias("toxic"))
+        sample = materialise(sample.repartition(SAMPLE_PARTS), "sample")
+        n_bad, n = sample.agg(F.coalesce(F.sum("toxic"), F.lit(0)), F.count("*")).first()
+        known = feature_counts(sample, channel).where(F.col("bad") >= LEAST_TEXTS + n_bad // 100).collect()
+        odds = {r["feature"]: math.log(r["bad"] / (n_bad + 1)) - math.log((r["good"] + 1) / (n - n_bad + 1)) for r in known}
+        odds = {f: x for f, x in odds.items() if x >= LEAST_ODDS}
+        rows = [(r["toxic"], r["own"]) for r in examples(sample, channel, odds).collect()]
+    return fit(rows, sorted(odds), channel)
 
 
 def scored(docs: DataFrame, scorer: Scorer) -> DataFrame:
@@ -244,7 +305,10 @@ def scored(docs: DataFrame, scorer: Scorer) -> DataFrame:
 
 
 def without_toxic(docs: DataFrame, scorer: Scorer, least: float = 0.5) -> DataFrame:
-    """The rows of docs, with all columns, whose score is below `least`."""
+    """The rows of docs, with all columns, whose score is below `least`.
+
+    Null and empty texts stay; repeated rows share their fate; an empty table gives no rows.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(scorer)
     place = docs.columns.index("text")
 
