@@ -11,13 +11,14 @@ from pyspark.sql import functions as F
 
 from .common import bounded, in_arrow, remainder, slices, table
 
-#: Learning rows: at most SAMPLE_ROWS texts of at most SAMPLE_CHARS characters, drawn by a hash of doc_id.
+#: Learning rows: at most about SAMPLE_ROWS documents, drawn by a hash of doc_id. Of a text longer than SAMPLE_CHARS characters, so
+#: many are learnt from, at a place drawn by the hash, so that texts of any length count; predictions read whole texts.
 SAMPLE_ROWS, SAMPLE_CHARS = 6000, 20_000
 BUCKET_BITS, WIDTH, ORDERS = 16, 16, 3
 EPOCHS, RATE = 3, 0.4
 #: Share of right predictions on validation rows that the rejection threshold lets through.
 ACCEPTED = 0.995
-#: Characters whose n-grams a worker holds at a time.
+#: Characters whose n-grams a worker holds at a time; the next ones carry on from them, so it makes no difference to any count.
 _SPAN = 1 << 19
 
 
@@ -33,18 +34,21 @@ def letters() -> np.ndarray:
     return out
 
 
-def grams(text: str) -> np.ndarray:
-    """Buckets of the 1- to 3-grams that start at a letter, words being bounded by one kind of space."""
-    codes = letters()[np.frombuffer(f" {text}  ".encode("utf-32-le", "replace"), dtype=np.uint32)]
-    here = np.flatnonzero(codes[:-2] != 32)
+def grams(text: str, before: str = " ", after: str = "  ") -> np.ndarray:
+    """Buckets of the 1- to 3-grams that start at a letter of text, words being bounded by one kind of space.
+
+    before and after are the character ahead of the text and the two behind it.
+    """
+    codes = letters()[np.frombuffer(f"{before}{text}{after}".encode("utf-32-le", "replace"), dtype=np.uint32)]
+    here = np.flatnonzero(codes[1:-2] != 32) + 1
     factors = np.array([0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35], dtype=np.uint32)
     state = np.zeros(len(here), dtype=np.uint32)
     out = []
     for k in range(ORDERS):
         state = (state + codes[here + k] + np.uint32(k)) * factors[k]
         out.append((state ^ (state >> np.uint32(15))) * np.uint32(0x2C1B3C6D) >> np.uint32(32 - BUCKET_BITS))
-    before = (codes[here - 1] == 32) & (codes[here] != 32)  # word starts say more: their 3-gram counts again, as such
-    out.append((state[before] * np.uint32(0x27D4EB2F)) >> np.uint32(32 - BUCKET_BITS))
+    opens = codes[here - 1] == 32  # word starts say more: their 3-gram counts again, as such
+    out.append((state[opens] * np.uint32(0x27D4EB2F)) >> np.uint32(32 - BUCKET_BITS))
     return np.concatenate(out)
 
 
@@ -60,7 +64,7 @@ class Model:
             return None
         total, n = np.zeros(len(self.languages)), 0
         for at in range(0, len(text), _SPAN):  # very long texts part by part, so that memory stays bounded
-            own = grams(text[at : at + _SPAN])
+            own = grams(text[at : at + _SPAN], text[at - 1] if at else " ", text[at + _SPAN : at + _SPAN + 2].ljust(2))
             n += len(own)
             total += np.bincount(own, minlength=len(self.logits)).astype(np.float64) @ self.logits if len(own) > 4 * len(self.logits) else self.logits[own].sum(axis=0, dtype=np.float64)
         return total / n + self.bias if n else None
@@ -126,9 +130,16 @@ def fit(rows: list[tuple[str, str]], seed: int = 7) -> Model:
 
 
 def train(docs: DataFrame, learn) -> Model | None:
-    """A model of a bounded sample of the rows where `learn` holds and lang is known; None if there are none."""
-    rows = docs.where(learn & F.col("lang").isNotNull() & (F.char_length("text") <= SAMPLE_CHARS)).select("doc_id", "text", "lang")
-    found = [(r["text"], r["lang"]) for r in bounded(rows, "doc_id", SAMPLE_ROWS, 2).select("text", "lang").orderBy("doc_id", "text", "lang").collect()]
+    """A model of a bounded sample of the documents where `learn` holds and lang is known; None if there are none.
+
+    A doc_id counts once, by its least lang and text. Null ids aren't learnt from. Only ids and languages are read to draw it.
+    """
+    known = docs.where(learn & F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
+    rows = bounded(known.select("doc_id", "lang", F.col("text").cast("string").alias("text")), "doc_id", SAMPLE_ROWS, 2)
+    drawn = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.greatest(F.char_length("text") - (SAMPLE_CHARS - 1), F.lit(1))).cast("int")
+    excerpts = rows.select("doc_id", "lang", F.col("text").substr(drawn + 1, F.lit(SAMPLE_CHARS)).alias("text")).where("text is not null")
+    once = excerpts.groupBy("doc_id").agg(F.min("text").alias("text"), F.min("lang").alias("lang"))
+    found = [(r["text"], r["lang"]) for r in sorted(once.collect())]
     return fit(found) if found else None
 
 
