@@ -505,27 +505,78 @@ def test_decoding_finds_the_likeliest_reading():
     from itertools import product
 
     channel = channel_of(["stupid", "idiot", "loser", "moron", "pathetic", "table", "these", "dirt"] * 20)
-    for token in ("st00pid", "1d10t", "m.o.r.o.n", "p@th3t1c", "l0s3rr", "s-t-u-p-1-d", "looooser"):
+    for token in ("st00pid", "1d10t", "m.o.r.o.n", "p@th3t1c", "l0s3rr", "s-t-u-p-1-d", "looooser", "id iot", "t h e s e d 1 r t", "t a b l e"):
         got = channel.restore(token)
         best = None
         for way in product(*channel.lattice(token)):
             word, price, a, b = "".join(x for x, _ in way), sum(p for _, p in way), 0, 0
             for c in word:
-                z = toxicity._PLACE[c]
-                price, a, b = price + float(channel.cost[a, b, z]), b, z
-            price += float(channel.cost[a, b, 0])
+                z = toxicity._PLACE.get(c, 0)
+                if z or b:
+                    price, a, b = price + float(channel.cost[a, b, z]), b, z
+            price += float(channel.cost[a, b, 0]) if b else 0.0
             if best is None or price < best[0] - 1e-9:
                 best = (price, word)
         assert got == best[1]
     assert [channel.restore(t) for t in ("1d10t", "m.o.r.o.n", "p@th3t1c", "looooser")] == ["idiot", "moron", "pathetic", "loser"]
 
 
-def test_toxicity_edges(spark):
+def test_gaps_are_borders_or_nothing():
+    channel = channel_of(["you", "are", "an", "idiot", "moron", "stupid", "loser", "the", "table", "is", "here", "these"] * 20)
+    # the counts of word borders follow a text
+    counts = np.zeros(toxicity.SIZE**3, dtype=np.int64)
+    for codes in toxicity.trigrams("you are an idiot the table is here you moron these are stupid you loser the idiot is here " * 50):
+        np.add.at(counts, codes, 1)
+    channel = toxicity.Channel(counts)
+    assert channel.restore("y o u i d i o t") == "you idiot" and channel.restore("y 0 u a r e a n 1 d 1 o t") == "you are an idiot"
+    assert channel.restore("id iot") == "idiot" and channel.restore("you are") == "you are"
+    scorer = toxicity.Scorer(channel, {"idiot$": 5.0, "moro": 5.0}, -1.0)
+    for hidden in ("y o u i d i o t", "i\td  i\no   t", "you id iot here", "m o r o n", "1d!0t", "idio7", "id10t!!!", "m.o.r.o.n"):
+        assert scorer.score(hidden) > 0.5, hidden
+    for clean in ("you are here", "a b", "the table is here!", "100% (you) 3rd", ""):
+        assert scorer.score(clean) < 0.5, clean
+
+
+def test_parts_of_long_texts_make_no_difference(monkeypatch):
+    """Trigrams and n-grams are the same however a text is cut."""
+    text = "Some   WORDS, with  gaps é and ends!  " * 20
+    whole = np.bincount(np.concatenate(list(toxicity.trigrams(text))), minlength=toxicity.SIZE**3)
+    model = langid.Model(["a", "b"], np.random.default_rng(0).normal(size=(1 << langid.BUCKET_BITS, 2)).astype(np.float32), np.zeros(2))
+    raw = model.raw(text)
+    for size in (1, 2, 3, 7, 64, len(text)):
+        monkeypatch.setattr(toxicity, "PART_CHARS", size)
+        monkeypatch.setattr(langid, "_SPAN", size)
+        assert (np.bincount(np.concatenate(list(toxicity.trigrams(text))), minlength=toxicity.SIZE**3) == whole).all()
+        assert np.allclose(model.raw(text), raw, rtol=1e-4)
+
+
+def plain_score(text, scorer):
+    """The score of a text from its tokens, one by one."""
+    low = (text or "").lower()
+    row = low.split()
+    tokens, k = set(row), 0
+    while k < len(row):
+        end = k
+        while end < len(row) and len(row[end]) == 1:
+            end += 1
+        if end - k >= 3:
+            tokens.add(" ".join(row[k:end]))
+        k = max(end, k + 1)
+    tokens |= {f"{a} {b}" for a, b in zip(row, row[1:]) if f"{a}{b}$" in scorer.weights}
+    total = scorer.bias
+    for t in tokens:
+        for w in scorer.words(t):
+            total += max([scorer.weights.get(w + "$", 0.0), *(scorer.weights.get(w[:n], 0.0) for n in range(4, 8) if n < len(w))])
+    return 1 / (1 + np.exp(-total))
+
+
+def test_toxicity_edges(spark, documents):
     clean = [f"you table these {k} dirt under" for k in range(60)]
     toxic = [f"you {('idiot', 'stupid')[k % 2]} {k} table" for k in range(30)]
-    df = docs_of(spark, clean + toxic)
-    labels = spark.createDataFrame([(k + 1, 1, int(k >= 60)) for k in range(90)], "doc_id long, quality int, toxic int")
+    df = docs_of(spark, clean + toxic + toxic[:3] + [LONG + " moron"] * 2)
+    labels = spark.createDataFrame([(k + 1, 1, int(k >= 60)) for k in range(93)] + [(1, 0, 1), (2, 0, 1), (None, 1, 1), (3, 1, None)], "doc_id long, quality int, toxic int")
     scorer = toxicity.train(df, labels, F.lit(True))
+    assert scorer.weights == toxicity.train(df.repartition(5), labels.repartition(3), F.lit(True)).weights
     tests = ["these 1d10t table", "s t u p i d", "table dirt", None, "", "table " * 100_000, "you idiot"]
     got = [r["score"] for r in toxicity.scored(docs_of(spark, tests), scorer).orderBy("doc_id").collect()]
     assert min(got[0], got[1], got[6]) > 0.5 > max(got[2], got[3], got[4], got[5])
@@ -535,6 +586,23 @@ def test_toxicity_edges(spark):
     assert toxicity.scored(df.limit(0), scorer).count() == 0
     untaught = toxicity.train(df, labels.limit(0), F.lit(True))
     assert toxicity.scored(docs_of(spark, ["you idiot"]), untaught).first()["score"] < 0.5
+    assert toxicity.train(df.limit(0), labels, F.lit(True)).score("you idiot") < 0.5
+    given = [t for (t,) in documents.select("text").limit(60).collect()] + tests[:5] + ["x y z idiot", "idi ot"]
+    rows = toxicity.scored(docs_of(spark, given), scorer).orderBy("doc_id").collect()
+    assert [r["score"] for r in rows] == pytest.approx([plain_score(t, scorer) for t in given])
+
+
+def test_features_against_plain_counts(spark, documents):
+    """Counts of features by class, and each text's chosen ones, against plain loops over the sample."""
+    rows = [(t, k % 3 == 0) for k, (t,) in enumerate(documents.select("text").where("text is not null").distinct().limit(40).collect())]
+    sample = spark.createDataFrame([(t, int(x)) for t, x in rows], "text string, toxic long")
+    channel = channel_of(["these", "table"])
+    reader = toxicity.Scorer(channel, {}, 0.0)
+    want = {}
+    for text, toxic in rows:
+        for f in {f for t in reader.tokens(text) for w in reader.words(t) for f in toxicity.features(w)}:
+            want.setdefault(f, [0, 0])[not toxic] += 1
+    assert {r["feature"]: [r["bad"], r["good"]] for r in toxicity.feature_counts(sample, channel).collect()} == want
 
 
 def test_classifier_edges(spark, documents):
