@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import materialise, scratch, table
 
 #: (verdict, host, path): a rule fits its host and all subdomains where the path starts with its path.
 RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
 #: Below a tree's node, segments vary when there are more than so many different ones, each on fewer than so many pages on average.
 VARIED, PAGES_EACH = 16, 4
-#: A branch whose share of blocked pages differs from its siblings' by fewer deviations is merged with them.
-DIFFERS = 1.96
+#: Levels of a tree; the last one takes the rest of a path.
+LEVELS = 6
+#: Sibling branches of one form are merged where their shares of blocked pages, in BINS steps, differ by fewer deviations.
+BINS, DIFFERS = 16, 1.96
 #: Weight, in labelled pages, of the prior share; share of blocked pages from which a template is rejected.
 PRIOR, PURITY = 4.0, 0.8
 
@@ -37,39 +39,83 @@ def ruled(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> tupl
     return rule, verdict
 
 
+def segments(shape: Column) -> Column:
+    """The segments of a shape, LEVELS at most, the last with the rest of the path, and a sign for the path's end."""
+    own = F.filter(F.split(shape, "/"), lambda x: x != "")
+    rest = F.array_join(F.slice(own, F.lit(LEVELS), F.greatest(F.size(own), F.lit(1))), "/")
+    return F.concat(F.slice(own, 1, LEVELS - 1), F.when(F.size(own) >= LEVELS, F.array(rest)).otherwise(F.array().cast("array<string>")), F.array(F.lit("$")))
+
+
+def tail(depth: int) -> Column:
+    """What lies below a segment, roughly: how many segments follow, 3 at most, and how the last one is written."""
+    follow = F.size("own") - (depth + 2)
+    last = F.get("own", F.size("own") - 2)
+    form = F.when(last == "0", "number").when(F.contains(last, F.lit(".")), "file").otherwise("name")
+    return F.when(follow < 0, "$").otherwise(F.concat_ws(" ", F.least(follow, F.lit(3)).cast("string"), form))
+
+
+def grown(level: DataFrame, depth: int) -> DataFrame:
+    """One level more of all trees: level (host, shape, n, blocked, allowed, own, node, template, share) at its next nodes.
+
+    Segments below a node become a wildcard where they vary. Branches below it whose pages mostly have one form of tail are
+    compared in the order of their shares of blocked pages: neighbours that don't differ are one node from here on, so that what
+    lies below them is generalised together. Branches without labelled pages are one node, with the evidence of all of their
+    form. A node's share is that of its evidence, smoothed by the share of the node above it.
+    """
+    here = ["host", "node"]
+    segment = F.get("own", F.lit(depth))
+    kinds = level.where(segment != "$").groupBy(*here, segment.alias("segment")).agg(F.sum("n").alias("n"))
+    varied = kinds.groupBy(*here).agg(F.count("*").alias("kinds"), F.sum("n").alias("pages"))
+    varied = varied.where((F.col("kinds") > VARIED) & (F.col("pages") < PAGES_EACH * F.col("kinds"))).select(*here, F.lit(True).alias("varies"))
+    parts = level.join(varied, here, "left").withColumn("part", F.when(F.col("varies") & (segment != "$"), "*").otherwise(segment)).drop("varies")
+    m = F.col("blocked") + F.col("allowed")
+    tails = parts.groupBy(*here, "part", tail(depth).alias("tail")).agg(F.sum("n").alias("n"), F.sum("blocked").alias("b"), F.sum(m).alias("m"))
+    branches = tails.groupBy(*here, "part").agg(F.max(F.struct("n", "tail"))["tail"].alias("form"), F.sum("b").alias("b"), F.sum("m").alias("m"))
+    branches = branches.withColumn("bin", F.when(F.col("m") > 0, F.floor(BINS * F.col("b") / F.col("m"))).otherwise(-1))
+    bins = branches.where("bin >= 0").groupBy(*here, "form", "bin").agg(F.sum("b").alias("b"), F.sum("m").alias("m"))
+    order = Window.partitionBy(*here, "form").orderBy("bin")  # BINS + 1 rows at most
+    step = bins.select("*", F.lag("b").over(order).alias("b0"), F.lag("m").over(order).alias("m0"))
+    gap, pooled = F.col("b") / F.col("m") - F.col("b0") / F.col("m0"), (F.col("b") + F.col("b0")) / (F.col("m") + F.col("m0"))
+    differs = gap * gap * F.col("m") * F.col("m0") > DIFFERS * DIFFERS * pooled * (1 - pooled) * (F.col("m") + F.col("m0"))
+    step = step.select(*here, "form", "bin", "b", "m", F.sum(F.when(differs, 1).otherwise(0)).over(order).alias("cluster"))
+    merged = step.groupBy(*here, "form", "cluster").agg(F.sum("b").alias("own_b"), F.sum("m").alias("own_m"))
+    labelled = step.select(*here, "form", "bin", "cluster").join(merged, [*here, "form", "cluster"])
+    whole = bins.groupBy(*here, "form").agg(F.sum("b").alias("own_b"), F.sum("m").alias("own_m"))
+    other = whole.select(*here, "form", F.lit(-1).cast("long").alias("bin"), F.lit(-1).cast("long").alias("cluster"), "own_b", "own_m")
+    evidence = branches.select(*here, "part", "form", "bin").join(labelled.unionByName(other), [*here, "form", "bin"], "left")
+    joined = parts.join(evidence.select(*here, "part", "form", "cluster", "own_b", "own_m"), [*here, "part"])
+    zero = lambda c: F.coalesce(c, F.lit(0))
+    return joined.select(
+        "host", "shape", "n", "blocked", "allowed", "own",
+        F.concat("node", F.lit("/"), "form", F.lit("#"), F.coalesce("cluster", F.lit(-1)).cast("string")).alias("node"),
+        F.when(F.col("part") == "$", F.col("template")).otherwise(F.concat("template", F.lit("/"), "part")).alias("template"),
+        ((zero("own_b") + PRIOR * F.col("share")) / (zero("own_m") + PRIOR)).alias("share"),
+    )
+
+
 def template_shares(paths: DataFrame) -> DataFrame:
-    """(host, shape, share): from counts by host and shape (n, blocked, allowed), the smoothed share of blocked pages.
+    """(host, shape, template, share): from counts by host and shape (n, blocked, allowed), the smoothed share of blocked pages.
 
-    A shape is a path whose runs of digits are one sign. In the tree of a host's shapes, the segments below a node become a
-    wildcard where they vary. A template's own labels count unless they agree with its siblings', with which it then merges.
-    The prior is the host's share, smoothed by that of all labelled pages. Every step aggregates counts, never pages.
+    A shape is a path whose runs of digits are one sign. All hosts' trees grow level by level (see grown), each level stored;
+    a path's share is that of the node where it ends. The first prior is the host's share, smoothed by that of all labelled
+    pages. Every step aggregates counts, never pages. An empty table gives no rows; a host without labelled pages has the prior.
     """
-    segments = F.filter(F.split("shape", "/"), lambda x: x != "")
-    steps = paths.select("host", "shape", "n", "blocked", "allowed", segments.alias("own"))
-    steps = steps.select("*", F.posexplode_outer("own").alias("depth", "segment")).withColumn("parent", F.array_join(F.slice("own", F.lit(1), F.coalesce("depth", F.lit(0))), "/"))
-    children = steps.where("segment is not null").groupBy("host", "depth", "parent", "segment").agg(F.sum("n").alias("n"))
-    varied = children.groupBy("host", "depth", "parent").agg(F.count("*").alias("kinds"), F.sum("n").alias("pages"))
-    varied = varied.where((F.col("kinds") > VARIED) & (F.col("pages") < PAGES_EACH * F.col("kinds"))).select("host", "depth", "parent", F.lit(True).alias("varies"))
-    parts = steps.join(varied, ["host", "depth", "parent"], "left").withColumn("part", F.when(F.col("varies"), "*").otherwise(F.col("segment")))
-    named = parts.groupBy("host", "shape").agg(
-        F.array_sort(F.collect_list(F.when(F.col("part").isNotNull(), F.struct("depth", "part")))).alias("parts"), F.first("blocked").alias("blocked"), F.first("allowed").alias("allowed")
-    )
-    named = named.select("host", "shape", "blocked", "allowed", F.array_join(F.transform("parts", lambda p: p["part"]), "/").alias("template"))
-    sums = [F.sum("blocked").alias("blocked"), F.sum("allowed").alias("allowed")]
-    own = named.groupBy("host", "template").agg(*sums).withColumn("branch", F.regexp_replace("template", "[^/]*$", ""))
-    branch = own.groupBy("host", "branch").agg(F.sum("blocked").alias("all_blocked"), F.sum(F.col("blocked") + F.col("allowed")).alias("all_n"))
-    hosts = own.groupBy("host").agg(F.sum("blocked").alias("host_blocked"), F.sum(F.col("blocked") + F.col("allowed")).alias("host_n"))
-    whole = own.agg(F.sum("blocked").alias("b"), F.sum(F.col("blocked") + F.col("allowed")).alias("m")).select(((F.coalesce("b", F.lit(0)) + 1.0) / (F.coalesce("m", F.lit(0)) + 2.0)).alias("base"))
-    rows = own.join(branch, ["host", "branch"]).join(hosts, "host").crossJoin(F.broadcast(whole))  # whole is one row
-    n = F.col("blocked") + F.col("allowed")
-    rest_n, rest_blocked = F.col("all_n") - n, F.col("all_blocked") - F.col("blocked")
-    pooled = F.try_divide("all_blocked", "all_n")
-    gap = F.try_divide("blocked", n) - F.try_divide(rest_blocked, rest_n)
-    differs = F.when((n > 0) & (rest_n > 0), gap * gap * n * rest_n > DIFFERS * DIFFERS * pooled * (1 - pooled) * F.col("all_n")).otherwise(n > 0)
-    used_blocked, used_n = F.when(differs, F.col("blocked")).otherwise(F.col("all_blocked")), F.when(differs, n).otherwise(F.col("all_n"))
-    prior = (F.col("host_blocked") + PRIOR * F.col("base")) / (F.col("host_n") + PRIOR)
-    share = (used_blocked + PRIOR * prior) / (used_n + PRIOR)
-    return named.select("host", "shape", "template").join(rows.select("host", "template", share.alias("share")), ["host", "template"]).select("host", "shape", "share")
+    with scratch(paths.sparkSession):
+        paths = materialise(paths, "paths")
+        sums = [F.sum("blocked").alias("b"), F.sum(F.col("blocked") + F.col("allowed")).alias("m")]
+        b, m = paths.agg(*(F.coalesce(c, F.lit(0)) for c in sums)).first()
+        base = (b + 1.0) / (m + 2.0)
+        hosts = paths.groupBy("host").agg(*sums).select("host", ((F.col("b") + PRIOR * base) / (F.col("m") + PRIOR)).alias("share"))
+        level = paths.select("host", "shape", "n", "blocked", "allowed", segments(F.col("shape")).alias("own"), F.lit("").alias("node"), F.lit("").alias("template")).join(hosts, "host")
+        out = None
+        for depth in range(LEVELS + 1):
+            level = materialise(grown(level, depth), "level")
+            ended = level.where(F.size("own") == depth + 1).select("host", "shape", "template", "share")
+            out = ended if out is None else out.unionByName(ended)
+            level = level.where(F.size("own") > depth + 1)
+            if level.isEmpty():
+                break
+        return materialise(out, "shares", lasting=True)
 
 
 def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES) -> DataFrame:
@@ -98,7 +144,29 @@ def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"))
 
 
-OP7_SQL = r"""
+def _level_sql(d: int) -> str:
+    """One level of the trees: from l<d> (host, shape, own, n, b, a, node, share) to l<d + 1>."""
+    seg = f"own[{d + 1}]"
+    return f"""
+k{d} AS (SELECT host, node FROM (SELECT host, node, {seg} AS g, sum(n) AS n FROM l{d} WHERE {seg} <> '$' GROUP BY ALL) GROUP BY ALL HAVING count(*) > {VARIED} AND sum(n) < {PAGES_EACH} * count(*)),
+q{d} AS (SELECT l.*, CASE WHEN k.host IS NOT NULL AND {seg} <> '$' THEN '*' ELSE {seg} END AS part,
+         CASE WHEN len(own) < {d + 2} THEN '$' ELSE least(len(own) - {d + 2}, 3) || ' ' || CASE WHEN own[-2] = '0' THEN 'number' WHEN contains(own[-2], '.') THEN 'file' ELSE 'name' END END AS tail
+         FROM l{d} l LEFT JOIN k{d} k ON l.host = k.host AND l.node = k.node),
+f{d} AS (SELECT host, node, part, max(ROW(n, tail)) AS top, sum(b) AS b, sum(m) AS m FROM (SELECT host, node, part, tail, sum(n) AS n, sum(b) AS b, sum(b + a) AS m FROM q{d} GROUP BY ALL) GROUP BY ALL),
+e{d} AS (SELECT host, node, part, top[2] AS form, b, m, CASE WHEN m > 0 THEN CAST(floor({BINS} * b::DOUBLE / m::DOUBLE) AS INT) ELSE -1 END AS bin FROM f{d}),
+b{d} AS (SELECT host, node, form, bin, sum(b)::DOUBLE AS b, sum(m)::DOUBLE AS m FROM e{d} WHERE bin >= 0 GROUP BY ALL),
+g{d} AS (SELECT *, lag(b) OVER w AS b0, lag(m) OVER w AS m0 FROM b{d} WINDOW w AS (PARTITION BY host, node, form ORDER BY bin)),
+c{d} AS (SELECT *, sum(CASE WHEN (b / m - b0 / m0) * (b / m - b0 / m0) * m * m0 > {DIFFERS * DIFFERS!r}::DOUBLE * ((b + b0) / (m + m0)) * (1 - (b + b0) / (m + m0)) * (m + m0) THEN 1 ELSE 0 END)
+         OVER (PARTITION BY host, node, form ORDER BY bin) AS cluster FROM g{d}),
+o{d} AS (SELECT host, node, form, bin, cluster, sum(b) OVER (PARTITION BY host, node, form, cluster) AS ob, sum(m) OVER (PARTITION BY host, node, form, cluster) AS om FROM c{d}
+         UNION ALL SELECT host, node, form, -1, -1, sum(b), sum(m) FROM b{d} GROUP BY host, node, form),
+l{d + 1} AS (SELECT q.host, q.shape, q.own, q.n, q.b, q.a, q.node || '/' || e.form || '#' || coalesce(o.cluster, -1) AS node, (coalesce(o.ob, 0) + {PRIOR!r}::DOUBLE * q.share) / (coalesce(o.om, 0) + {PRIOR!r}::DOUBLE) AS share
+         FROM q{d} q JOIN e{d} e ON q.host = e.host AND q.node = e.node AND q.part = e.part
+         LEFT JOIN o{d} o ON o.host = e.host AND o.node = e.node AND o.form = e.form AND o.bin = e.bin WHERE len(q.own) > {d}),"""
+
+
+OP7_SQL = (
+    r"""
 WITH u AS (SELECT page_id, url, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) END AS rest FROM pages),
 h AS (SELECT page_id, coalesce(translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host, coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path FROM u),
 r AS (SELECT *, CASE WHEN (host = 'example.org' OR ends_with(host, '.example.org')) AND starts_with(path, '/en/1') THEN 'example.org/en/1'
@@ -107,16 +175,14 @@ r AS (SELECT *, CASE WHEN (host = 'example.org' OR ends_with(host, '.example.org
                      WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/de/') THEN 'com/de/'
                      WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/') THEN 'org/' END AS rule FROM h),
 p AS (SELECT *, CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block' END AS listed, regexp_replace(path, '[0-9]+', '0', 'g') AS shape FROM r),
-c AS (SELECT host, shape, count(*) AS n, count(*) FILTER (listed = 'block') AS blocked, count(*) FILTER (listed = 'allow') AS allowed FROM p GROUP BY ALL),
-s0 AS (SELECT *, list_filter(string_split(shape, '/'), lambda x: x <> '') AS own FROM c),
-s AS (SELECT host, shape, n, i AS depth, own[i] AS segment, array_to_string(own[1:i - 1], '/') AS parent FROM (SELECT *, unnest(range(1, len(own) + 1)) AS i FROM s0)),
-v AS (SELECT host, depth, parent FROM (SELECT host, depth, parent, segment, sum(n) AS n FROM s GROUP BY ALL) GROUP BY ALL HAVING count(*) > 16 AND sum(n) < 4 * count(*)),
-t0 AS (SELECT s.host, s.shape, string_agg(CASE WHEN v.host IS NULL THEN segment ELSE '*' END, '/' ORDER BY s.depth) AS template FROM s LEFT JOIN v ON s.host = v.host AND s.depth = v.depth AND s.parent = v.parent GROUP BY ALL),
-t AS (SELECT c.*, coalesce(template, '') AS template FROM c LEFT JOIN t0 USING (host, shape)),
-o AS (SELECT host, template, sum(blocked) AS b, sum(blocked + allowed) AS m, regexp_replace(template, '[^/]*$', '') AS branch FROM t GROUP BY host, template),
-g AS (SELECT *, sum(b) OVER (PARTITION BY host, branch) AS ab, sum(m) OVER (PARTITION BY host, branch) AS an, sum(b) OVER (PARTITION BY host) AS hb, sum(m) OVER (PARTITION BY host) AS hm, (sum(b) OVER () + 1.0::DOUBLE) / (sum(m) OVER () + 2.0::DOUBLE) AS base FROM o),
-d AS (SELECT *, CASE WHEN m > 0 AND an - m > 0 THEN pow(b::DOUBLE / m - (ab - b)::DOUBLE / (an - m), 2) * m * (an - m) > 1.96 * 1.96 * (ab::DOUBLE / an) * (1 - ab::DOUBLE / an) * an ELSE m > 0 END AS differs FROM g),
-f AS (SELECT host, template, ((CASE WHEN differs THEN b ELSE ab END) + 4.0::DOUBLE * ((hb + 4.0::DOUBLE * base) / (hm + 4.0::DOUBLE))) / ((CASE WHEN differs THEN m ELSE an END) + 4.0::DOUBLE) AS share FROM d)
-SELECT page_id, p.host AS host, path, rule, coalesce(listed, CASE WHEN share >= 0.8 THEN 'block' ELSE 'allow' END) AS verdict
-FROM p LEFT JOIN t USING (host, shape) LEFT JOIN f ON f.host = t.host AND f.template = t.template
+t AS (SELECT host, shape, count(*) AS n, count(*) FILTER (listed = 'block') AS b, count(*) FILTER (listed = 'allow') AS a, list_filter(string_split(shape, '/'), lambda x: x <> '') AS s FROM p GROUP BY ALL),
+z AS (SELECT (coalesce(sum(b), 0) + 1.0::DOUBLE) / (coalesce(sum(b + a), 0) + 2.0::DOUBLE) AS base FROM t),
+l0 AS (SELECT host, shape, list_concat(s[1:5], CASE WHEN len(s) >= 6 THEN [array_to_string(s[6:], '/')] ELSE [] END, ['$']) AS own, n, b, a, '' AS node,
+       (sum(b) OVER (PARTITION BY host) + 4.0::DOUBLE * base) / (sum(b + a) OVER (PARTITION BY host) + 4.0::DOUBLE) AS share FROM t, z),"""
+    + "".join(_level_sql(d) for d in range(LEVELS + 1))
+    + "\nx AS ("
+    + " UNION ALL ".join(f"SELECT host, shape, share FROM l{d + 1} WHERE len(own) = {d + 1}" for d in range(LEVELS + 1))
+    + """)
+SELECT page_id, p.host AS host, path, rule, coalesce(listed, CASE WHEN share >= 0.8 THEN 'block' ELSE 'allow' END) AS verdict FROM p LEFT JOIN x USING (host, shape)
 """
+)
