@@ -439,6 +439,100 @@ def test_impure_templates_are_rejected(spark):
     assert got[0] == got[100] == "block" and got[200] == got[300] == "allow"
 
 
+def plain_tree(paths):
+    """{(host, shape): (template, share)} by recursion over each host's tree; paths are (host, shape, n, blocked, allowed)."""
+    out = {}
+    base = (sum(p[3] for p in paths) + 1) / (sum(p[3] + p[4] for p in paths) + 2)
+
+    def smooth(found, prior):
+        return (sum(p[3] for p in found) + urls.PRIOR * prior) / (sum(p[3] + p[4] for p in found) + urls.PRIOR)
+
+    def visit(rows, depth, share):  # rows: (path, own, template)
+        segments = {r[1][depth] for r in rows if r[1][depth] != "$"}
+        pages = sum(r[0][2] for r in rows if r[1][depth] != "$")
+        varied = len(segments) > urls.VARIED and pages < urls.PAGES_EACH * len(segments)
+        branches = {}
+        for r in rows:
+            branches.setdefault("*" if varied and r[1][depth] != "$" else r[1][depth], []).append(r)
+        forms = {}
+        for part, own in branches.items():
+            tails = {}
+            for path, segs, _ in own:
+                follow = len(segs) - depth - 2
+                last = segs[-2] if len(segs) > 1 else ""
+                kind = "number" if last == "0" else "file" if "." in last else "name"
+                name = "$" if follow < 0 else f"{min(follow, 3)} {kind}"
+                tails[name] = tails.get(name, 0) + path[2]
+            form = max((n, name) for name, n in tails.items())[1]
+            forms.setdefault(form, []).append((part, own))
+        for form, members in forms.items():
+            bins = {}
+            for part, own in members:
+                m, b = sum(r[0][3] + r[0][4] for r in own), sum(r[0][3] for r in own)
+                bins.setdefault(int(urls.BINS * b / m) if m else -1, []).append((part, own, b, m))
+            clusters = []
+            for k in sorted(k for k in bins if k >= 0):
+                b, m = sum(x[2] for x in bins[k]), sum(x[3] for x in bins[k])
+                if clusters:
+                    b0, m0 = clusters[-1][1:]
+                    p = (b + b0) / (m + m0)
+                    if (b / m - b0 / m0) ** 2 * m * m0 > urls.DIFFERS**2 * p * (1 - p) * (m + m0):
+                        clusters.append([[], b, m])
+                    clusters[-1][1:] = [b, m]  # the next bin is compared with this one
+                else:
+                    clusters.append([[], b, m])
+                clusters[-1][0].extend(bins[k])
+            groups = [(c[0], c[0]) for c in clusters]
+            if -1 in bins:
+                groups.append((bins[-1], [x for c in clusters for x in c[0]]))
+            for group, evidence in groups:
+                own_share = smooth([r[0] for x in evidence for r in x[1]], share)
+                going = []
+                for part, own, *_ in group:
+                    for path, segs, template in own:
+                        if len(segs) == depth + 1:
+                            out[path[0], path[1]] = (template, own_share)
+                        else:
+                            going.append((path, segs, f"{template}/{part}"))
+                if going:
+                    visit(going, depth + 1, own_share)
+
+    for host in {p[0] for p in paths}:
+        own = [p for p in paths if p[0] == host]
+        rows = []
+        for p in own:
+            segs = [x for x in p[1].split("/") if x]
+            segs = segs[: urls.LEVELS - 1] + (["/".join(segs[urls.LEVELS - 1 :])] if len(segs) >= urls.LEVELS else []) + ["$"]
+            rows.append((p, segs, ""))
+        visit(rows, 0, smooth(own, base))
+    return out
+
+
+def test_trees_against_recursion(spark):
+    draw = random.Random(6)
+    pick = lambda k: "/".join(draw.choice(["u", "en", "de", "0", "x.html"] + [f"n{draw.choice('abcdefghijklmnopqrstuvwxyz')}{draw.choice('abcdefghij')}"] * 5) for _ in range(k))
+    shapes = {(f"h{draw.randrange(4)}", "/" + pick(draw.randrange(9)) + draw.choice(["", "/"])) for _ in range(900)} | {("h9", "")}
+    paths = []
+    for host, shape in sorted(shapes):
+        toxic = "/de" in shape
+        labelled = draw.random() < 0.4
+        n = draw.choice((1, 1, 1, 3))
+        paths.append((host, shape, n, n if labelled and toxic else 0, n if labelled and not toxic else 0))
+    got = {(r["host"], r["shape"]): (r["template"], r["share"]) for r in urls.template_shares(spark.createDataFrame(paths, "host string, shape string, n long, blocked long, allowed long")).collect()}
+    want = plain_tree(paths)
+    assert set(got) == set(want)
+    for k, (template, share) in want.items():
+        assert got[k][0] == template and got[k][1] == pytest.approx(share), k
+    assert any("*" in t for t, _ in want.values())
+    common.forget(spark)
+
+
+def test_wildcards_continue_below_wildcards(spark):
+    paths = [("a.com", f"/u/name{chr(97 + k // 26)}{chr(97 + k % 26)}/post{chr(97 + k % 26)}{chr(97 + k // 26)}", 1, 0, 0) for k in range(600)]
+    rows = urls.template_shares(spark.createDataFrame(paths, "host string, shape string, n long, blocked long, allowed long")).collect()
+    assert {r["template"] for r in rows} == {"/u/*/*"} and len(rows) == 600
+
+
 # --- quality rules and classifiers
 
 
