@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from . import tiles as T
+from .store import components, store
 
 
 def window_scores(pixels: DataFrame, height: int, width: int, window: int, overlap: int, scorer) -> DataFrame:
@@ -27,31 +28,25 @@ def finalised(mean: DataFrame, valid: Column, threshold: float | None = None) ->
     return mean.withColumn("class_id", F.when(valid & (F.col("n") > 0), S.class_of(F.col("probabilities"), threshold)).otherwise(0))
 
 
-def regions(mask: DataFrame, width: int, diagonal: bool = False, shared: str | None = None) -> DataFrame:
+def regions(mask: DataFrame, width: int, diagonal: bool = False) -> DataFrame:
     """row, col and region (least cell number of its component) of the cells of mask.
 
-    Each round lowers a cell's label to its neighbours' least, then to its label's label, so the number of rounds grows with
-    the logarithm of a region's extent in most shapes. Lineage is cut by a reliable checkpoint, which other executors can read.
+    Cells that follow one another in a row are one run, so a region is a graph of its runs, with an edge where runs of
+    neighbouring rows touch; its components are found by star contraction. Repeated cells count once; an empty mask gives no
+    rows. The labels of the runs stay stored in the folder that all executors share, for the result to read.
     """
-    spark = mask.sparkSession
-    context = spark.sparkContext
-    if spark.conf.get("spark.checkpoint.dir", None) is None and context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints")
-    cell = (F.col("row").cast("long") * width + F.col("col")).alias("cell")
-    cells = mask.select("row", "col", cell)
-    steps = [(-1, 0), (1, 0), (0, -1), (0, 1)] + ([(-1, -1), (-1, 1), (1, -1), (1, 1)] if diagonal else [])
-    near = F.array(*(F.struct((F.col("row") + r).alias("row"), (F.col("col") + c).alias("col")) for r, c in steps))
-    edges = cells.select(F.col("cell").alias("from"), F.explode(near).alias("n")).select("from", "n.row", "n.col").join(cells, ["row", "col"]).select("from", F.col("cell").alias("to")).checkpoint()
-    labels = cells.select("cell", F.col("cell").alias("label")).checkpoint()
-    while True:
-        spread = edges.join(labels.withColumnRenamed("cell", "to"), "to").groupBy(F.col("from").alias("cell")).agg(F.min("label").alias("least"))
-        lower = labels.join(spread, "cell", "left").select("cell", "label", F.least("label", F.coalesce("least", "label")).alias("low"))
-        roots = lower.select(F.col("cell").alias("low"), F.col("low").alias("root"))
-        now = lower.join(roots, "low", "left").select("cell", "label", F.least("low", F.coalesce("root", "low")).alias("now")).checkpoint()
-        moved = not now.where("now < label").isEmpty()
-        labels = now.select("cell", F.col("now").alias("label"))
-        if not moved:
-            return cells.join(labels.withColumnRenamed("label", "region"), "cell").select("row", "col", "region")
+    along = Window.partitionBy("row").orderBy("col")
+    cells = mask.select("row", "col").distinct()
+    starts = cells.withColumn("start", F.when(F.col("col") - F.lag("col").over(along) == 1, None).otherwise(F.col("col")))
+    runs = starts.select("row", "col", (F.col("row").cast("long") * width + F.last("start", True).over(along)).alias("run"))
+    with store(mask.sparkSession, keep=1) as own:
+        placed = own.put(runs, "runs")
+        steps = [-1, 0, 1] if diagonal else [0]
+        below = placed.select((F.col("row") + 1).alias("row"), F.explode(F.array(*(F.col("col") + k for k in steps))).alias("col"), F.col("run").alias("a"))
+        edges = below.join(placed.select("row", "col", F.col("run").alias("b")), ["row", "col"]).select("a", "b").distinct()
+        labels = components(edges, own).withColumnRenamed("node", "run")
+        found = placed.join(labels, "run", "left").select("row", "col", F.coalesce("label", "run").alias("region"))
+        return own.put(found, "regions")
 
 
 def region_boxes(cells: DataFrame, least_cells: int) -> DataFrame:

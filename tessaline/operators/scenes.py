@@ -27,7 +27,8 @@ def best_scenes(items: DataFrame, most: int | None) -> DataFrame:
     """At most `most` scenes (item_id, tile_id, cloud_cover, ord, place), spread over tiles, clearest first.
 
     Each tile first gives its clearest max(1, most // (2 * tiles)) scenes, tiles being asked in first-seen order until `most`
-    are taken; the clearest others fill up. Missing cloud cover counts as 100. Without a limit, or below it, all stay.
+    are taken; the clearest others fill up. Missing cloud cover counts as 100. Without a limit, or with no more scenes than it,
+    all stay as they are, and place follows their first-seen order (null without a limit, where nothing is ranked).
 
     Tile counts are one row per tile. Only the first `most` of a tile, and of all others, can be chosen, so both rankings
     keep that many rows per group before they meet; no window runs over the catalog in one task.
@@ -51,7 +52,8 @@ def best_scenes(items: DataFrame, most: int | None) -> DataFrame:
     rest = fill.withColumn("fill_rank", F.row_number().over(Window.orderBy("cover", "ord")))
     missing = F.broadcast(chosen.agg((F.lit(most) - F.count("*")).alias("missing")))  # one row
     picked = chosen.unionByName(rest.crossJoin(missing).where("fill_rank <= missing").drop("fill_rank", "missing"))
-    tie = [F.col("cover"), F.col("turn"), F.when(F.col("turn") == 0, F.col("tile_ord")), F.when(F.col("turn") == 0, F.col("rank")), F.col("ord")]
+    whole_order = F.when(F.col("total") <= most, F.col("ord"))  # nothing to choose: the order stays
+    tie = [whole_order, F.col("cover"), F.col("turn"), F.when(F.col("turn") == 0, F.col("tile_ord")), F.when(F.col("turn") == 0, F.col("rank")), F.col("ord")]
     sorted_ = picked.withColumn("place", F.row_number().over(Window.orderBy(*tie)))  # at most `most` rows
     return sorted_.select("item_id", "tile_id", "cloud_cover", "ord", "place")
 

@@ -29,22 +29,28 @@ def windows(spark: SparkSession, height: int, width: int, window: int, overlap:
 def assigned(pixels: DataFrame, height: int, width: int, window: int, overlap: int) -> DataFrame:
     """pixels with row_off and col_off, once for each window that holds them.
 
-    The starts that can hold a coordinate are computed per pixel, so no pixel meets a window that doesn't hold it.
+    The starts that hold a coordinate follow from it in closed form, so no pixel meets a window that doesn't hold it, and the
+    cost per pixel doesn't grow with the raster. Pixels outside the raster are in no window.
     """
     out = pixels
     for at, size, name in (("row", height, "row_off"), ("col", width, "col_off")):
-        side = min(window, size)
-        starts = F.expr(f"filter({_offsets_sql(size, window, overlap)}, o -> o <= {at} AND {at} < o + {side})")
-        out = out.withColumn(name, F.explode(starts))
+        out = out.withColumn(name, F.explode(holding(F.col(at), size, window, overlap)))
     return out
 
 
-def _offsets_sql(size: int, window: int, overlap: int) -> str:
-    last = size - window
-    starts = [0] if last <= 0 else sorted({*range(0, last + 1, max(window - overlap, 1)), last})
-    if len(starts) > 64:
-        return f"array_sort(array_distinct(concat(sequence(0, {last}, {max(window - overlap, 1)}), array({last}))))"
-    return f"array({', '.join(map(str, starts))})"
+def holding(at: Column, size: int, window: int, overlap: int) -> Column:
+    """The starts, among offsets(), of the windows that hold a coordinate."""
+    last, step = size - window, max(window - overlap, 1)
+    if last <= 0:
+        return F.when(at.between(0, size - 1), F.array(F.lit(0))).otherwise(F.array().cast("array<int>"))
+    at = at.cast("long")
+    first = F.greatest(F.lit(0), F.ceil((at - window + 1) / step))
+    final = F.least(F.floor(at / step), F.lit(last // step))
+    none = F.array().cast("array<long>")
+    regular = F.when(first <= final, F.transform(F.sequence(first, F.greatest(first, final)), lambda k: k * step)).otherwise(none)
+    flush = F.when((at >= last) & F.lit(last % step != 0), F.array(F.lit(last).cast("long"))).otherwise(none)
+    found = F.filter(F.concat(regular, flush), lambda o: (o <= at) & (at < o + window))
+    return F.when(at.between(0, size - 1), found).otherwise(none).cast("array<int>")
 
 
 def metre_grid(bounds: DataFrame, step: float) -> DataFrame:

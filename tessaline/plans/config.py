@@ -23,7 +23,7 @@ class Tiling:
 
     def validate(self) -> None:
         _require(self.tile_size > 0, "tile_size must be positive")
-        _require(self.stride > 0, "stride must be positive")
+        _require(0 < self.stride <= self.tile_size, "stride must lie between 1 and the tile size")
         _require(self.buffer >= 0, "buffer must not be negative")
 
 

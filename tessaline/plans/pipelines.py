@@ -13,13 +13,20 @@ from .config import Settings
 
 
 def composite_stack(catalog: DataFrame, observations: DataFrame, settings: Settings) -> DataFrame:
-    """row, col, bands: the seasons' medians of the best scenes, in order, for pixels that every season covers."""
+    """row, col, bands: the seasons' medians of each season's best scenes, in order, for pixels that every season covers.
+
+    The limit on scenes holds for each season on its own, over all its years, so no season is left without scenes for another.
+    """
     own = settings.composite
     years = own.years or [r[0] for r in catalog.select(F.year("ts")).distinct().orderBy(F.year("ts")).collect()]  # a few years
-    chosen = scenes.fetch_items(catalog, [(y, s) for y in years for s in own.seasons], own.cloud_cover)
-    if own.max_scenes:
-        chosen = scenes.best_scenes(chosen, own.max_scenes)
-    seen = observations.join(chosen.select(F.col("item_id").alias("scene")), "scene", "left_semi")
+    chosen = None
+    for season in own.seasons:
+        found = scenes.fetch_items(catalog, [(y, season) for y in years], own.cloud_cover)
+        if own.max_scenes:
+            found = scenes.best_scenes(found, own.max_scenes)
+        found = found.select(F.col("item_id").alias("scene"))
+        chosen = found if chosen is None else chosen.unionByName(found)
+    seen = observations.join(chosen, "scene", "left_semi")
     if own.dilation:
         cloudy = seen.withColumn("cloudy", F.when(S.is_observed(F.col("scl"), F.col("dn")), 0).otherwise(1))
         spread = composite.dilated(cloudy, own.dilation, ["scene"])

@@ -1,4 +1,8 @@
-"""Areas of interest from text: bounding boxes, JSON, GeoJSON and WKT, as lists of polygon rings."""
+"""Areas of interest from text: bounding boxes, JSON, GeoJSON and WKT, as lists of polygon rings.
+
+A hole is a ring that runs clockwise, an outer ring runs the other way, whatever the source's order; so signed areas add up, and a
+point lies in an area if it lies in an odd number of its rings.
+"""
 
 from __future__ import annotations
 
@@ -17,15 +21,43 @@ def _open(ring) -> Ring:
     return points[:-1] if len(points) > 1 and points[0] == points[-1] else points
 
 
+def signed_area(ring: Ring) -> float:
+    """Area within a ring, negative if it runs clockwise (a hole)."""
+    return sum(p[0] * q[1] - q[0] * p[1] for p, q in zip(ring, ring[1:] + ring[:1])) / 2
+
+
+def polygon(rings) -> list[Ring]:
+    """The outer ring, anticlockwise, and its holes, clockwise."""
+    out = []
+    for k, ring in enumerate(map(_open, rings)):
+        out.append(ring if (signed_area(ring) >= 0) == (k == 0) else ring[::-1])
+    return out
+
+
+def area(rings: list[Ring]) -> float:
+    """Area of all rings, less their holes."""
+    return sum(map(signed_area, rings))
+
+
+def contains(rings: list[Ring], x: float, y: float) -> bool:
+    """Whether a point lies inside, and in no hole."""
+    inside = False
+    for ring in rings:
+        for p, q in zip(ring, ring[1:] + ring[:1]):
+            if (p[1] > y) != (q[1] > y) and x < (q[0] - p[0]) * (y - p[1]) / (q[1] - p[1]) + p[0]:
+                inside = not inside
+    return inside
+
+
 def _geometry(content: dict) -> list[Ring]:
     if content.get("type") == "FeatureCollection":
         return [r for f in content["features"] for r in _geometry(f)]
     own = content.get("geometry", content)
     kind, coordinates = own.get("type"), own.get("coordinates")
     if kind == "Polygon":
-        return [_open(coordinates[0])]
+        return polygon(coordinates)
     if kind == "MultiPolygon":
-        return [_open(p[0]) for p in coordinates]
+        return [r for p in coordinates for r in polygon(p)]
     if kind == "GeometryCollection":
         return [r for g in own["geometries"] for r in _geometry(g)]
     if kind in ("Point", "MultiPoint", "LineString", "MultiLineString"):
@@ -44,8 +76,9 @@ def _wkt(text: str) -> list[Ring]:
     if kind not in ("POLYGON", "MULTIPOLYGON"):
         raise ValueError(f"Unsupported area: {text[:40]}")
     body = text[text.index("(") :]
-    groups = re.findall(r"\(\(([^()]*)\)", body)
-    rings = [_open([tuple(map(float, p.split()[:2])) for p in g.split(",")]) for g in groups]
+    polygons = re.findall(r"\(\s*(\([^()]*\)(?:\s*,\s*\([^()]*\))*)\s*\)", body)
+    points = lambda g: [tuple(map(float, p.split()[:2])) for p in g.split(",")]
+    rings = [r for p in polygons for r in polygon([points(g) for g in re.findall(r"\(([^()]*)\)", p)])]
     if not rings:
         raise ValueError(f"Empty area: {text[:40]}")
     return rings

@@ -89,7 +89,7 @@ def test_best_scenes(spark, seed):
         got = scenes.best_scenes(df, most).orderBy("place").collect()
         assert {r["item_id"] for r in got} == python_best(items, most)
         covers = [100.0 if r["cloud_cover"] is None else r["cloud_cover"] for r in got]
-        assert covers == sorted(covers)
+        assert covers == sorted(covers) if most < len(items) else [r["ord"] for r in got] == list(range(len(items)))
 
 
 @pytest.mark.parametrize("radius", [1, 4])
@@ -164,6 +164,27 @@ def test_regions(spark, diagonal):
     assert got == {p: find(p)[0] * 15 + find(p)[1] for p in rows}
 
 
+def test_long_regions(spark):
+    """A line that winds through 10,000 cells, and one cell beside it."""
+    side, cells, row, col = 199, [], 0, 0
+    for k in range(0, side, 2):
+        cells += [(k, c) for c in range(side // 2)]
+        cells.append((k + 1, side // 2 - 1 if k % 4 == 0 else 0))
+    cells = cells[:10_000] + [(300, 5)]
+    got = inference.regions(spark.createDataFrame(cells, "row int, col int"), 200).groupBy("region").count().collect()
+    assert sorted(map(tuple, got)) == [(0, len(set(cells)) - 1), (300 * 200 + 5, 1)]
+
+
+def test_windows_of_a_pixel(spark):
+    """The closed form against all starts."""
+    for size, window, overlap in ((10, 4, 2), (7, 10, 3), (11, 4, 4), (23, 5, 0), (100, 30, 7), (9, 2, -1), (50, 8, -4)):
+        step = max(window - overlap, 1)
+        starts = [0] if size <= window else sorted({*range(0, size - window + 1, step), size - window})
+        rows = spark.range(-2, size + 2).select("id", tiles.holding(F.col("id"), size, window, overlap).alias("o")).collect()
+        for r in rows:
+            assert sorted(r["o"]) == [o for o in starts if o <= r["id"] < o + window and 0 <= r["id"] < size], (size, window, overlap, r)
+
+
 def test_bilinear_skips_missing(spark):
     source = spark.createDataFrame([(0, 0, 1.0), (0, 1, None), (1, 0, 3.0), (1, 1, 5.0)], "row int, col int, z double")
     points = spark.createDataFrame([(1, 0.5, 0.5), (2, 0.0, 0.0), (3, 9.0, 9.0)], "id int, y double, x double")

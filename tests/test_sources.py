@@ -58,6 +58,21 @@ def test_bad_areas():
     assert len(areas.hull([(0, 0), (1, 0), (1, 1), (0, 1), (0.5, 0.5)])) == 4
 
 
+def test_holes_are_kept():
+    square, hole = "(0 0, 4 0, 4 4, 0 4, 0 0)", "(1 1, 2 1, 2 2, 1 2, 1 1)"
+    texts = [
+        f"POLYGON ({square}, {hole})",
+        f"MULTIPOLYGON (({square}, {hole}))",
+        '{"type": "Polygon", "coordinates": [[[0,0],[0,4],[4,4],[4,0],[0,0]], [[1,1],[2,1],[2,2],[1,2],[1,1]]]}',
+    ]
+    for text in texts:
+        rings = areas.parse(text)
+        assert areas.area(rings) == 15 and areas.bounds(rings) == (0, 0, 4, 4)
+        assert areas.contains(rings, 3, 3) and not areas.contains(rings, 1.5, 1.5) and not areas.contains(rings, 5, 1)
+    two = areas.parse(f"MULTIPOLYGON (({square}), ((10 0, 12 0, 12 2, 10 2, 10 0)))")
+    assert areas.area(two) == 20 and areas.contains(two, 11, 1)
+
+
 def test_raster_round_trip(spark, tmp_path):
     cells = spark.range(40).select((F.col("id") / 8).cast("int").alias("row"), (F.col("id") % 8).cast("int").alias("col"), F.array(F.col("id") * 1.0, F.lit(None).cast("double")).alias("bands"))
     path = str(tmp_path / "raster")
@@ -83,7 +98,7 @@ def test_files_and_products(tmp_path):
 def test_settings_precedence_and_checks():
     own = config.build({"inference": {"window": 64, "overlap": 8}, "paths": {"out": "x"}}, {"inference": {"window": 32}})
     assert own.inference.window == 32 and own.inference.overlap == 8 and own.tiling.tile_size == 512 and own.paths["out"] == "x"
-    for bad in ({"inference": {"overlap": 600}}, {"tiling": {"stride": 0}}, {"nothing": {}}, {"composite": {"seasons": ["WIN"]}}):
+    for bad in ({"inference": {"overlap": 600}}, {"tiling": {"stride": 0}}, {"tiling": {"stride": 600}}, {"nothing": {}}, {"composite": {"seasons": ["WIN"]}}):
         with pytest.raises(config.ConfigurationError):
             config.build(bad)
 
@@ -95,13 +110,22 @@ def test_composite_plan(spark):
     assert [r["bands"] for r in got] == [pytest.approx([0.1] * 3), pytest.approx([0.2] * 3)]
 
 
+def test_each_season_has_its_own_scenes(spark):
+    """Three seasons of one area under a limit of scenes: none is left out."""
+    catalog = spark.sql("select id as item_id, 0 as tile_id, timestamp'2020-04-01' + make_interval(0, cast(id / 4 as int) * 3) as ts, cast(id as double) as cloud_cover, id as ord from range(12)")
+    obs = spark.sql("select s.id as scene, 0 as row, 0 as col, timestamp'2020-04-01' + make_interval(0, cast(s.id / 4 as int) * 3) as ts, 4 as scl, 1000.0D as dn from range(12) s")
+    got = pipelines.composite_stack(catalog, obs, config.build({"composite": {"years": [2020], "max_scenes": 3}})).collect()
+    assert [r["bands"] for r in got] == [pytest.approx([0.1] * 3)]
+
+
 def test_streaming_matches_batch(spark, tmp_path):
-    obs = spark.sql("select cast(id % 5 as int) as row, 0 as col, timestamp'2020-06-01' + make_interval(0, 0, 0, cast(id as int) % 50) as ts, 4 as scl, cast(id as double) + 1 as dn, id as scene from range(60)")
+    obs = spark.sql("select cast(id % 5 as int) as row, 0 as col, timestamp'2020-06-01' + make_interval(0, 0, 0, cast(id as int) % 50) as ts, 4 as scl, cast(id as double) * 300 + 1 as dn, id as scene from range(60)")
     for k in range(2):
         obs.where(f"scene % 2 = {k}").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
     stream = incremental.distinct_observations(incremental.read_observations(spark, str(tmp_path / "in"), obs.schema), ["scene"])
-    job = stream.writeStream.foreachBatch(incremental.refresh(str(tmp_path / "store"), str(tmp_path / "out"))).option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start()
+    job = stream.writeStream.foreachBatch(incremental.refresh(str(tmp_path / "store"), str(tmp_path / "out"), block=2)).option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start()
     job.awaitTermination(120)
-    last = spark.read.parquet(*sorted(map(str, (tmp_path / "out").glob("batch=*")), key=lambda p: int(p.split("=")[1]))[-1:])
-    want = composite.seasonal_median(obs, clip=False)
-    assert sorted(last.select("row", "n_clear", "value").collect()) == sorted(want.select("row", "n_clear", "value").collect())
+    for clip in (True, False):
+        got = incremental.current(spark, str(tmp_path / "out"), clip)
+        want = composite.seasonal_median(obs, clip=clip)
+        assert sorted(got.select("row", "n_clear", "value").collect()) == sorted(want.select("row", "n_clear", "value").collect())
