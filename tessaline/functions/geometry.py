@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,3 +47,18 @@ def in_ring(x: Column, y: Column, ring: Column) -> Column:
     crossing = lambda p, q: ((p["y"] > y) != (q["y"] > y)) & (x < (q["x"] - p["x"]) * (y - p["y"]) / (q["y"] - p["y"]) + p["x"])
     hits = F.zip_with(ring, following, lambda p, q: F.when((p["y"] > y) != (q["y"] > y), F.when(crossing(p, q), 1).otherwise(0)).otherwise(0))
     return F.aggregate(hits, F.lit(0), lambda a, c: a + c) % 2 == 1
+
+
+def rounded_ring(distance: float, segments: int = 16) -> Column:
+    """The ring around a box (minx, miny, maxx, maxy) at a distance, each corner an arc of so many segments.
+
+    For no distance, the box itself.
+    """
+    corners = [("maxx", "miny", -90), ("maxx", "maxy", 0), ("minx", "maxy", 90), ("minx", "miny", 180)]
+    points = []
+    for x, y, start in corners:
+        for k in range(segments + 1) if distance > 0 else [0]:
+            angle = math.radians(start + 90 * k / segments)
+            dx, dy = (distance * math.cos(angle), distance * math.sin(angle)) if distance > 0 else (0.0, 0.0)
+            points.append(F.struct((F.col(x) + dx).alias("x"), (F.col(y) + dy).alias("y")))
+    return F.array(*points)
