@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from . import bindings as B
 from .functions import crs, geometry as G, scalars as S
-from .operators import composite, focal, inference, sampling, scenes, stack, tiles, validation
+from .operators import composite, extraction, fetch, focal, inference, raster, sampling, scenes, stack, tiles, validation, zones
+from .sources.manifests import Grid
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -81,15 +82,13 @@ def pj9_scene_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return n.select("name", tile.alias("tile"), S.band_label(F.lit("SPR"), tile).alias("label"), S.epsg_of(F.lit("EPSG:5070")).alias("epsg"), S.safe_filename(F.col("name")).alias("filename"))
 
 
-@query("""WITH p AS (SELECT o_orderkey AS id, o_custkey % 3 AS priority, o_orderdate AS ts, o_custkey % 5 AS area, nullif(o_orderpriority, '5-LOW') AS url FROM orders WHERE o_orderstatus = 'F'),
+@query("""WITH p AS (SELECT o_orderkey AS id, o_custkey % 3 AS priority, o_custkey % 5 AS area, nullif(o_orderpriority, '5-LOW') AS url FROM orders),
 q AS (SELECT *, min(priority) OVER (PARTITION BY area) AS best FROM p WHERE url IS NOT NULL)
 SELECT area, id, priority, url FROM q WHERE priority = best""")
 def sc17_first_nonempty_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = B.table(spark, sf_dir, "orders").where("o_orderstatus = 'F'")
+    t = B.table(spark, sf_dir, "orders")
     products = t.select((F.col("o_custkey") % 5).alias("area"), F.col("o_orderkey").alias("id"), (F.col("o_custkey") % 3).alias("priority"), F.nullif("o_orderpriority", F.lit("5-LOW")).alias("url"))
-    usable = products.where(F.col("url").isNotNull())
-    best = usable.groupBy("area").agg(F.min("priority").alias("priority"))
-    return usable.join(best, ["area", "priority"], "left_semi").select("area", "id", "priority", "url")
+    return fetch.first_nonempty(products, "area").select("area", "id", "priority", "url")
 
 
 # --- composites -----------------------------------------------------------------------------------------------------
@@ -217,11 +216,15 @@ def fo7_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.withColumn("starts", F.array_join(F.transform(starts, lambda s: s.cast("string")), ","))
 
 
-@query(f"""WITH {B.ELEVATION}, o AS (SELECT unnest([0, 12, 24, 36, 42]) AS col_off) SELECT row, col, col_off FROM dem, o WHERE col_off <= col AND col < col_off + 8
-UNION ALL SELECT row, col, -1 FROM dem, o WHERE false""")
+@query(f"""WITH {B.ELEVATION}, h AS (SELECT max(row) + 1 AS h FROM dem), ro AS (SELECT DISTINCT o AS row_off FROM (SELECT unnest(range(0, h - 3, 3)) AS o FROM h UNION ALL SELECT h - 4 FROM h)),
+co AS (SELECT DISTINCT o AS col_off FROM (SELECT unnest(range(0, 50 - 8 + 1, 5)) AS o UNION ALL SELECT 42))
+SELECT row, col, CAST(row_off AS INT) AS row_off, CAST(col_off AS INT) AS col_off FROM dem, ro, co WHERE row_off <= row AND row < row_off + 4 AND col_off <= col AND col < col_off + 8""")
 def fo8_window_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    placed = tiles.assigned(B.elevation(spark, sf_dir).withColumn("r", F.col("row")).withColumn("row", F.lit(0)), 1, 50, 8, -4)
-    return placed.select(F.col("r").alias("row"), "col", "col_off")
+    """Cells in all windows that hold them, along both axes: 4 rows that advance by 3, then 8 columns that advance by 5."""
+    dem = B.elevation(spark, sf_dir)
+    height = dem.agg(F.max("row")).first()[0] + 1
+    out = dem.withColumn("row_off", F.explode(tiles.holding(F.col("row"), height, 4, 1))).withColumn("col_off", F.explode(tiles.holding(F.col("col"), B.GRID_COLUMNS, 8, 3)))
+    return out.select("row", "col", "row_off", "col_off")
 
 
 @query(f"WITH {B.GRID} SELECT id, minx, miny, maxx, maxy FROM grid")
@@ -276,14 +279,12 @@ def jo5_first_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""WITH t AS (SELECT doc_id, lang FROM documents), l AS (SELECT doc_id, quality FROM labels) SELECT t.doc_id AS doc_id, lang, coalesce(quality, -1) AS quality, quality IS NOT NULL AS paired FROM t LEFT JOIN l ON t.doc_id = l.doc_id""")
 def jo9_paired_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = B.table(spark, sf_dir, "documents").select("doc_id", "lang")
-    joined = t.join(B.table(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id", "left")
-    return joined.select("doc_id", "lang", F.coalesce("quality", F.lit(-1)).alias("quality"), F.col("quality").isNotNull().alias("paired"))
+    return fetch.paired(t, B.table(spark, sf_dir, "labels"), "doc_id", "quality", -1).select("doc_id", "lang", "quality", "paired")
 
 
 @query("SELECT r_name AS area, s AS season FROM region, (VALUES ('SPR'), ('SUM'), ('FAL')) v(s)")
 def jo11_area_seasons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    areas = B.table(spark, sf_dir, "region").select(F.col("r_name").alias("area"))
-    return areas.select("area", F.explode(F.array(*map(F.lit, S.SEASONS))).alias("season"))
+    return fetch.area_seasons(B.table(spark, sf_dir, "region").select(F.col("r_name").alias("area")), list(S.SEASONS))
 
 
 @query(f"""WITH {B.GRID}, {B.LABEL_BOXES}, {B.INVENTORY_BOXES}, l AS (SELECT a.id AS id, count(*) AS n FROM grid a JOIN lab b ON {TOUCH} GROUP BY a.id),
@@ -552,10 +553,10 @@ def ud12_pixel_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""WITH e AS (SELECT event_id, ts, CAST(json_extract(props, '$.k') AS INT) AS k, event_type, value FROM events)
-SELECT event_id, event_type, k, round(CASE WHEN k = 7 THEN NULL ELSE value / 10000 END, 9) AS scaled, strftime(ts, '%Y-%m-%d') AS day FROM e""")
+SELECT event_id, event_type, k, round(CASE WHEN k = 7 THEN NULL ELSE value * (1 / 10000.0::DOUBLE) END, 9) AS scaled, strftime(ts, '%Y-%m-%d') AS day FROM e""")
 def pj19_json_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = B.table(spark, sf_dir, "events").withColumn("k", F.from_json("props", "k int")["k"])
-    return e.select("event_id", "event_type", "k", F.round(F.when(F.col("k") != 7, F.col("value") / 10000), 9).alias("scaled"), F.date_format("ts", "yyyy-MM-dd").alias("day"))
+    return e.select("event_id", "event_type", "k", F.round(S.sampled(F.col("value"), F.when(F.col("k") == 7, F.col("value"))), 9).alias("scaled"), F.date_format("ts", "yyyy-MM-dd").alias("day"))
 
 
 @query("""WITH b AS (SELECT c_custkey AS id, -85.0::DOUBLE AS minx, 41.0::DOUBLE AS miny, -85 + 0.001::DOUBLE * (1 + c_custkey % 900) AS maxx, 41 + 0.002::DOUBLE * (1 + c_custkey % 700) AS maxy FROM customer),
@@ -567,11 +568,13 @@ def pj13_chunk_size(spark: SparkSession, sf_dir: str) -> DataFrame:
     return B.table(spark, sf_dir, "customer").select(k.alias("id"), size.alias("chunk"))
 
 
-@query("""WITH s AS (SELECT p_partkey AS id, CASE p_partkey % 4 WHEN 0 THEN p_size * 700 WHEN 1 THEN p_size * 3 ELSE p_size * 90 END AS s FROM part)
-SELECT id, CASE WHEN s >= 3600 THEN printf('%dh%02dm', s // 3600, s % 3600 // 60) WHEN s >= 60 THEN printf('%dm%02ds', s // 60, s % 60) WHEN s >= 1 THEN printf('%d.0s', s) ELSE '0.0ns' END AS shown FROM s""")
+@query("""WITH s AS (SELECT p_partkey AS id, p_size AS p, p_partkey % 6 AS k, CASE p_partkey % 6 WHEN 0 THEN p_size * 700 WHEN 1 THEN p_size * 3 ELSE p_size * 90 END AS s FROM part)
+SELECT id, CASE WHEN k > 2 THEN printf('%d.0', p) || ['ms', 'us', 'ns'][k - 2] WHEN s >= 3600 THEN printf('%dh%02dm', s // 3600, s % 3600 // 60) WHEN s >= 60 THEN printf('%dm%02ds', s // 60, s % 60) ELSE printf('%d.0s', s) END AS shown FROM s""")
 def pj17_durations(spark: SparkSession, sf_dir: str) -> DataFrame:
     k, size = F.col("p_partkey"), F.col("p_size").cast("double")
-    seconds = F.when(k % 4 == 0, size * 700).when(k % 4 == 1, size * 3).otherwise(size * 90)
+    seconds = F.when(k % 6 == 0, size * 700).when(k % 6 == 1, size * 3).when(k % 6 == 2, size * 90)
+    for n, unit in ((3, 1e3), (4, 1e6), (5, 1e9)):
+        seconds = seconds.when(k % 6 == n, size / unit)
     return B.table(spark, sf_dir, "part").select(k.alias("id"), S.duration(seconds).alias("shown"))
 
 
@@ -596,18 +599,59 @@ def tk8_nearest_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- scans, sets and the rest of the report -----------------------------------------------------------------------------
 
 
-@query("""WITH w AS (SELECT o_orderkey AS item_id, o_orderdate AS ts, (o_custkey % 100) * 50.0::DOUBLE AS x, o_totalprice AS dn, o_orderstatus FROM orders)
-SELECT item_id, x < 2500 AND x + 400 > 1000 AND o_orderstatus <> 'P' AS success,
- CASE WHEN NOT (x < 2500 AND x + 400 > 1000) THEN 'no overlap' WHEN o_orderstatus = 'P' THEN 'asset missing' END AS error,
- CASE WHEN x < 2500 AND x + 400 > 1000 AND o_orderstatus <> 'P' THEN round(dn * (1 / 10000.0::DOUBLE), 9) END AS value FROM w""")
-def sc5_fetch_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One record per scene of a chunk: a failure is a record with its reason, not an error."""
+SCENE_BOXES_SQL = "w AS (SELECT o_orderkey AS item_id, (o_custkey % 100) * 50.0::DOUBLE AS x, o_totalprice AS dn, o_orderstatus AS s FROM orders)"
+
+
+def scene_items(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Items with boxes and assets, and their readings."""
     t = B.table(spark, sf_dir, "orders")
     x = (F.col("o_custkey") % 100) * 50.0
-    assets = F.when(F.col("o_orderstatus") != "P", F.create_map(F.lit("nir"), F.col("o_totalprice"))).otherwise(F.create_map(F.lit("red"), F.col("o_totalprice")))
-    value = F.try_element_at(assets, F.lit("nir"))
-    error = F.when(~((x < 2500) & (x + 400 > 1000)), "no overlap").when(value.isNull(), "asset missing")
-    return t.select(F.col("o_orderkey").alias("item_id"), error.isNull().alias("success"), error.alias("error"), F.round(F.when(error.isNull(), S.reflectance(value)), 9).alias("value"))
+    name = F.when(F.col("o_orderstatus") != "P", "nir").otherwise("red")
+    key = F.col("o_orderkey")
+    items = t.select(key.alias("item_id"), key.alias("time_index"), x.alias("minx"), (x + 400).alias("maxx"), F.lit(0.0).alias("miny"), F.lit(400.0).alias("maxy"), F.create_map(name, F.lit("u")).alias("assets"))
+    readings = t.select(key.alias("item_id"), F.lit(0).alias("row"), (F.col("o_custkey") % 50).cast("int").alias("col"), F.create_map(name, F.col("o_totalprice")).alias("dn"))
+    return items, readings
+
+
+@query(f"""WITH {SCENE_BOXES_SQL} SELECT item_id, x < 2500 AND x + 400 > 1000 AND s <> 'P' AS success, CASE WHEN NOT (x < 2500 AND x + 400 > 1000) THEN 'no overlap' WHEN s = 'P' THEN 'asset missing' END AS error FROM w""")
+def sc5_fetch_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One record per scene of a chunk: a failure is a record with its reason, not an error."""
+    return fetch.fetched(scene_items(spark, sf_dir)[0], (1000, 100, 2500, 300), ["nir"]).select("item_id", "success", "error")
+
+
+@query(f"""WITH {SCENE_BOXES_SQL} SELECT item_id, item_id AS time_index, CAST(o_custkey % 50 AS INT) AS col, round(dn * (1 / 10000.0::DOUBLE), 9) AS nir FROM w JOIN orders ON o_orderkey = item_id WHERE x < 2500 AND x + 400 > 1000 AND s <> 'P'""")
+def sc6_fetched_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The readings of all scenes of a chunk that could be read, with their place in time."""
+    items, readings = scene_items(spark, sf_dir)
+    values = fetch.fetched_values(fetch.fetched(items, (1000, 100, 2500, 300), ["nir"]), readings, ["nir"])
+    return values.select("item_id", "time_index", "col", F.round(F.col("bands")[0], 9).alias("nir"))
+
+
+STACK_SQL = """i AS (SELECT o_orderkey AS item_id, row_number() OVER (ORDER BY o_orderkey) - 1 AS time_index FROM orders WHERE o_orderkey % 4 = 0),
+r AS (SELECT item_id, time_index, CAST(l_linenumber AS INT) AS row, CAST(l_partkey % 50 AS INT) AS col, * FROM lineitem JOIN i ON l_orderkey = item_id)"""
+
+
+def scene_stack(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Items of a stack, and readings of some of its assets."""
+    orders, lines = B.table(spark, sf_dir, "orders").where("o_orderkey % 4 = 0"), B.table(spark, sf_dir, "lineitem")
+    assets = F.map_from_arrays(F.array(*map(F.lit, [*S.ASSETS, "scl"])), F.array_repeat(F.lit("u"), len(S.ASSETS) + 1))
+    items = orders.select(F.col("o_orderkey").alias("item_id"), F.col("o_orderkey").alias("ord"), F.lit(32616).alias("epsg"), assets.alias("assets"))
+    n = F.col("l_linenumber")
+    values = {"green": F.col("l_quantity").cast("double"), "nir": F.when(n % 2 == 0, F.col("l_extendedprice").cast("double")), "scl": F.when(n % 3 == 0, (F.col("l_suppkey") % 12).cast("double"))}
+    dn = F.map_filter(F.create_map(*(x for k, v in values.items() for x in (F.lit(k), v))), lambda k, v: v.isNotNull())
+    return items, lines.select(F.col("l_orderkey").alias("item_id"), n.cast("int").alias("row"), (F.col("l_partkey") % 50).cast("int").alias("col"), dn.alias("dn"))
+
+
+@query(f"""WITH {STACK_SQL} SELECT item_id, time_index, row, col, round(l_quantity * (1 / 10000.0::DOUBLE), 9) AS green, round(CASE WHEN l_linenumber % 2 = 0 THEN l_extendedprice * (1 / 10000.0::DOUBLE) ELSE 0 END, 9) AS nir FROM r""")
+def sc3_scene_stack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bands of a stack of scenes: fixed band order, 0 where a reading is missing, places in time."""
+    bands, _ = fetch.stacked_bands(*scene_stack(spark, sf_dir))
+    return bands.select("item_id", "time_index", "row", "col", *(F.round(F.col("bands")[S.ASSETS.index(a)], 9).alias(a) for a in ("green", "nir")))
+
+
+@query(f"""WITH {STACK_SQL} SELECT item_id, time_index, row, col, CAST(CASE WHEN l_linenumber % 3 = 0 THEN l_suppkey % 12 ELSE 0 END AS INT) AS scl FROM r""")
+def sc4_scene_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fetch.stacked_classes(*scene_stack(spark, sf_dir))[0]
 
 
 @query("""SELECT o_orderkey AS id, CASE WHEN o_custkey % 3 = 0 THEN 'http://a/' || o_orderkey WHEN o_custkey % 3 = 1 THEN 'https://b/' || o_orderkey END AS url FROM orders""")
@@ -682,10 +726,10 @@ def rs6_mosaic_to_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(stack.bilinear(composite.mosaicked(t).withColumnRenamed("value", "z"), grid), "value", digits=7)
 
 
-@query("""SELECT event_id, event_type, count(*) OVER w AS done, round(sum(value) OVER w, 4) AS total FROM events WINDOW w AS (PARTITION BY event_type, user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)""")
+@query("""SELECT event_id, event_type, count(*) OVER w AS done, round(sum(value) OVER w, 4) AS total, CASE WHEN epoch_us(ts) > min(epoch_us(ts)) OVER w THEN round(count(*) OVER w * 1000000.0::DOUBLE / (epoch_us(ts) - min(epoch_us(ts)) OVER w), 9) END AS rate FROM events WINDOW w AS (PARTITION BY event_type, user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)""")
 def fo12_running_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
-    upto = Window.partitionBy("event_type", "user_id").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return B.table(spark, sf_dir, "events").select("event_id", "event_type", F.count("*").over(upto).alias("done"), F.round(F.sum("value").over(upto), 4).alias("total"))
+    out = fetch.progress(B.table(spark, sf_dir, "events"), ["event_type", "user_id"], ["ts", "event_id"], "value", whole=1000)
+    return out.select("event_id", "event_type", "done", F.round("total", 4).alias("total"), F.round("rate", 9).alias("rate"))
 
 
 @query("""SELECT p_partkey AS id, CASE p_partkey % 4 WHEN 0 THEN 0 WHEN 1 THEN 0 ELSE 9 END AS row, CASE p_partkey % 4 WHEN 0 THEN 0 WHEN 1 THEN 19 WHEN 2 THEN 0 ELSE 19 END AS col,
@@ -707,3 +751,253 @@ def sc15_cells_of_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     x, y = S.pixel_centre(F.col("row"), F.col("col"), -1000.0, 10000.0, 10.0)
     cells = B.table(spark, sf_dir, "customer").select(k.alias("id"), col.alias("col"), row.alias("row"))
     return cells.withColumns({"x": x, "y": y})
+
+
+# --- rasters, zones, extraction and vectorised functions -------------------------------------------------------------------
+
+
+@query(f"""WITH {B.STACK}, h AS (SELECT max(row) + 1 AS h FROM stack),
+w AS (SELECT DISTINCT s_suppkey % 40 AS id, (s_suppkey % 40) % 13 - 2 + 0.25::DOUBLE * ((s_suppkey % 40) % 4) AS ro, (s_suppkey % 40) % 23 - 1.5::DOUBLE AS co FROM supplier),
+c AS (SELECT id, r, k, greatest(floor(ro), 0) AS r0, least(ceil(ro + 3.5), h) AS r1, greatest(floor(co), 0) AS c0, least(ceil(co + 2.25), 25) AS c1, ro, co FROM w, h, range(4) a(r), range(3) b(k)),
+a AS (SELECT id, CAST(r AS INT) AS row, CAST(k AS INT) AS col, r0 + r - round_even(r0 - ro, 0) AS ar, c0 + k - round_even(c0 - co, 0) AS ac, r0, r1, c0, c1 FROM c)
+SELECT a.id, a.row, a.col, round(coalesce(bands[1] / 0.5, -9999), 7) AS one, round(coalesce((bands[2] + 1) / 3, -9999), 7) AS two, round(coalesce(bands[3], -9999), 7) AS three
+FROM a LEFT JOIN stack s ON s.row = a.ar AND s.col = a.ac AND ar >= r0 AND ar < r1 AND ac >= c0 AND ac < c1""")
+def sc14_scaled_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows with fractions of cells, some beyond the grid, from two sources with a scaling of their own."""
+    whole = B.stack(spark, sf_dir)
+    height = whole.agg(F.max("row")).first()[0] + 1
+    first, second = raster.Layer(whole.select("row", "col", F.slice("bands", 1, 1).alias("bands")), ("one",), scale_max=0.5), raster.Layer(whole.select("row", "col", F.slice("bands", 2, 2).alias("bands")), ("two", "three"), band_scaling={"two": (-1.0, 2.0)})
+    key = F.col("s_suppkey") % 40
+    windows = B.table(spark, sf_dir, "supplier").select(key.alias("id")).distinct().select(
+        "id", (F.col("id") % 13 - 2 + 0.25 * (F.col("id") % 4)).alias("row_off"), (F.col("id") % 23 - 1.5).alias("col_off"), F.lit(3.5).alias("height"), F.lit(2.25).alias("width"), F.lit(height).alias("grid_h"), F.lit(B.STACK_COLUMNS).alias("grid_w")
+    )
+    out = raster.read_windows(windows, [first, second], ["id"])
+    return out.select("id", "row", "col", *(F.round(F.col("bands")[k], 7).alias(n) for k, n in enumerate(("one", "two", "three"))))
+
+
+GRIDS_SQL = "g(stack, a, c, e, f, grid_w, grid_h) AS (VALUES (0, 64.0::DOUBLE, -1000.0::DOUBLE, -64.0::DOUBLE, 10000.0::DOUBLE, 50, 100), (1, 64.0::DOUBLE, 1900.0::DOUBLE, -64.0::DOUBLE, 9000.0::DOUBLE, 120, 160))"
+PLACED_SQL = f"""{B.GRID}, {GRIDS_SQL}, m AS (SELECT id, min(stack) AS stack FROM grid JOIN g ON minx <= c + a * grid_w AND maxx >= c AND miny <= f AND maxy >= f + e * grid_h GROUP BY id),
+p AS (SELECT 'tile_' || lpad(CAST(grid.id AS VARCHAR), 5, '0') AS tile, g.*, (maxy - f) / e AS row_off, (minx - c) / a AS col_off, (miny - maxy) / e AS height, (maxx - minx) / a AS width FROM grid JOIN m ON m.id = grid.id JOIN g ON g.stack = m.stack)"""
+
+
+def grids(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([(0, 64.0, -1000.0, -64.0, 10000.0, 50, 100), (1, 64.0, 1900.0, -64.0, 9000.0, 120, 160)], "stack int, a double, c double, e double, f double, grid_w int, grid_h int")
+
+
+@query(f"WITH {PLACED_SQL} SELECT tile, stack, round(row_off, 7) AS row_off, round(col_off, 7) AS col_off, height, width FROM p")
+def ge13_tile_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tiles with the first stack that they touch, and their windows there."""
+    out = extraction.placed(grid_of(spark), grids(spark))
+    return out.select("tile", "stack", F.round("row_off", 7).alias("row_off"), F.round("col_off", 7).alias("col_off"), "height", "width")
+
+
+@query(f"""WITH {PLACED_SQL}, {B.ELEVATION}, {B.LABEL_BOXES}, d AS (SELECT 0 AS stack, row, col, z FROM dem UNION ALL SELECT 1, row, col + 3, z / 2 FROM dem),
+c AS (SELECT p.*, CAST(r AS INT) AS r, CAST(k AS INT) AS k, greatest(floor(row_off), 0) AS r0, least(ceil(row_off + height), grid_h) AS r1, greatest(floor(col_off), 0) AS c0, least(ceil(col_off + width), grid_w) AS c1 FROM p, range(8) x(r), range(8) y(k)),
+t AS (SELECT *, r0 + r - round_even(r0 - row_off, 0) AS ar, c0 + k - round_even(c0 - col_off, 0) AS ac, c + (col_off + k + 0.5) * a AS x, f + (row_off + r + 0.5) * e AS y FROM c),
+l AS (SELECT DISTINCT tile, r, k FROM t JOIN lab ON x BETWEEN minx AND maxx AND y BETWEEN miny AND maxy)
+SELECT t.tile AS tile, t.r AS row, t.k AS col, round(coalesce(z / 5000, -9999), 9) AS z, CASE WHEN l.tile IS NULL THEN 0 ELSE 1 END AS label FROM t
+LEFT JOIN d ON d.stack = t.stack AND d.row = ar AND d.col = ac AND ar >= r0 AND ar < r1 AND ac >= c0 AND ac < c1 LEFT JOIN l ON l.tile = t.tile AND l.r = t.r AND l.k = t.k""")
+def ud9_extracted_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Training tiles: each tile's cells from its stack, scaled, and its burned labels."""
+    dem = B.elevation(spark, sf_dir).withColumn("bands", F.when(F.col("z").isNotNull(), F.array("z")).otherwise(F.array(F.lit(S.NODATA))))
+    cells = dem.select(F.lit(0).alias("stack"), "row", "col", "bands").unionByName(dem.select(F.lit(1).alias("stack"), "row", (F.col("col") + 3).alias("col"), F.transform("bands", lambda v: F.when(v == S.NODATA, v).otherwise(v / 2)).alias("bands")))
+    windows = extraction.placed(grid_of(spark), grids(spark))
+    images = extraction.images(windows, [raster.Layer(cells, ("z",), scale_max=5000.0)])
+    masks = extraction.masks(windows, B.label_boxes(spark, sf_dir))
+    return images.join(masks, ["tile", "row", "col"]).select("tile", "row", "col", F.round(F.col("bands")[0], 9).alias("z"), "label")
+
+
+def surface(spark: SparkSession, sf_dir: str, size: float = 10.0, epsg: int = 5070) -> raster.Raster:
+    """The elevation table as a raster."""
+    dem = B.elevation(spark, sf_dir)
+    height = dem.agg(F.max("row")).first()[0] + 1
+    cells = dem.select("row", "col", F.array(F.coalesce("z", F.lit(S.NODATA))).alias("bands"))
+    return raster.Raster(cells, Grid(f"EPSG:{epsg}", (size, 0.0, 0.0, 0.0, -size, 0.0), B.GRID_COLUMNS, height), ("z",))
+
+
+def warped_sql(source: str, columns: str, y: str, x: str) -> str:
+    """Targets t (row, col and what y and x need), each with the bilinear mean of the source's neighbours."""
+    return f"""q AS (SELECT row, col, round({y}, 9) AS y, round({x}, 9) AS x FROM t), c AS (SELECT row, col, CAST(floor(y) AS INT) + dr AS sr, CAST(floor(x) AS INT) + dc AS sc,
+ (CASE WHEN dr = 1 THEN y - floor(y) ELSE 1 - (y - floor(y)) END) * (CASE WHEN dc = 1 THEN x - floor(x) ELSE 1 - (x - floor(x)) END) AS w FROM q, range(2) a(dr), range(2) b(dc))
+SELECT c.row AS row, c.col AS col, {columns} FROM c LEFT JOIN {source} d ON d.row = c.sr AND d.col = c.sc WHERE w > 0 GROUP BY c.row, c.col"""
+
+
+MEAN_SQL = "round(coalesce(sum(z * w) / sum(CASE WHEN z IS NOT NULL THEN w END), -9999), 6) AS z"
+
+
+@query(f"""WITH {B.ELEVATION}, h AS (SELECT max(row) + 1 AS h FROM dem), t AS (SELECT CAST(r AS INT) AS row, CAST(k AS INT) AS col FROM h, range(0, CAST(ceil(h * 10 / 25.0::DOUBLE - 1e-9) AS BIGINT)) a(r), range(20) b(k)),
+{warped_sql('dem', MEAN_SQL, '((row + 0.5::DOUBLE) * 25) / 10 - 0.5', '((col + 0.5::DOUBLE) * 25) / 10 - 0.5')}""")
+def rs3_resampled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A raster of 10 m in cells of 25 m."""
+    return raster.resampled(surface(spark, sf_dir), 25.0).cells.select("row", "col", F.round(F.col("bands")[0], 6).alias("z"))
+
+
+@query(f"""WITH {B.ELEVATION}, h AS (SELECT max(row) + 1 AS h FROM dem), u AS (SELECT 0 AS o, row, col, z FROM dem UNION ALL SELECT 1, row + 2, col + 30, z + 1000 FROM dem),
+m AS (SELECT row, col, arg_min(z, o) FILTER (z IS NOT NULL) AS z FROM u GROUP BY row, col), t AS (SELECT CAST(r AS INT) AS row, CAST(k AS INT) AS col FROM h, range(0, CAST(ceil((h + 2) * 10 / 20.0::DOUBLE - 1e-9) AS BIGINT)) a(r), range(40) b(k)),
+{warped_sql('m', MEAN_SQL, '((row + 0.5::DOUBLE) * 20) / 10 - 0.5', '((col + 0.5::DOUBLE) * 20) / 10 - 0.5')}""")
+def rs5_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two overlapping tiles, mosaicked and resampled into one reference."""
+    one = surface(spark, sf_dir)
+    other = raster.Raster(one.cells.withColumn("bands", F.transform("bands", lambda v: F.when(v == S.NODATA, v).otherwise(v + 1000))), Grid(one.grid.crs, (10.0, 0.0, 300.0, 0.0, -10.0, -20.0), one.grid.width, one.grid.height), one.labels)
+    return raster.prepared_reference([one, other], resolution=20.0).cells.select("row", "col", F.round(F.col("bands")[0], 6).alias("z"))
+
+
+FORWARD_SQL = """f AS (SELECT *, sin(radians(lat)) AS s FROM p),
+e AS (SELECT *, {a} * sqrt({c} - {n} * ((1 - {e2}) * (s / (1 - {e2} * s * s) - ln((1 - {e} * s) / (1 + {e} * s)) / (2 * {e})))) / {n} AS rho, {n} * (radians(lon) - {lon0}) AS theta FROM f),
+v AS (SELECT *, rho * sin(theta) AS px, {rho0} - rho * cos(theta) AS py FROM e)""".format(**{k: f"{v!r}::DOUBLE" for k, v in ALBERS.items()})
+
+
+@query(f"""WITH {B.ELEVATION}, p AS (SELECT CAST(r AS INT) AS row, CAST(k AS INT) AS col, -96 + (k + 0.5::DOUBLE) * 0.01 AS lon, 23.2 - (r + 0.5::DOUBLE) * 0.01 AS lat FROM range(25) a(r), range(55) b(k)), {FORWARD_SQL},
+t AS (SELECT row, col, px, py FROM v), {warped_sql('dem', MEAN_SQL, '(py - 30000) / -1000 - 0.5', 'px / 1000 - 0.5')}""")
+def rs4_reprojected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A raster in metres on a grid in degrees."""
+    own = surface(spark, sf_dir, 1000.0)
+    own = raster.Raster(own.cells, Grid("EPSG:5070", (1000.0, 0.0, 0.0, 0.0, -1000.0, 30000.0), own.grid.width, own.grid.height), own.labels)
+    return raster.warped(own, Grid("EPSG:4326", (0.01, 0.0, -96.0, 0.0, -0.01, 23.2), 55, 25)).cells.select("row", "col", F.round(F.col("bands")[0], 6).alias("z"))
+
+
+@query(f"""WITH {B.ELEVATION}, k AS (SELECT row, col, z, (col + 0.5::DOUBLE) * 10 AS x, -(row + 0.5::DOUBLE) * 10 AS y FROM dem WHERE row BETWEEN 1 AND 29 AND col BETWEEN 2 AND 40)
+SELECT row - 1 AS row, col - 2 AS col, CASE WHEN z IS NOT NULL AND x > 23 AND x < 404 AND y < -12 AND y > -295 AND NOT (x > 100 AND x < 200 AND y < -100 AND y > -200) THEN z ELSE -9999 END AS z FROM k""")
+def ge8_clipped_raster(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A raster cropped to an area with a hole."""
+    area = [(23.0, -12.0), (23.0, -295.0), (404.0, -295.0), (404.0, -12.0)]
+    hole = [(100.0, -100.0), (200.0, -100.0), (200.0, -200.0), (100.0, -200.0)]
+    own = surface(spark, sf_dir)
+    tall = raster.Raster(own.cells, Grid(own.grid.crs, own.grid.transform, own.grid.width, max(own.grid.height, 30)), own.labels)
+    return raster.clipped(tall, [area, hole], 5070).cells.select("row", "col", F.col("bands")[0].alias("z"))
+
+
+@query(f"""WITH b AS (SELECT c_custkey AS id, -120 + (c_custkey % 400) / 10.0::DOUBLE AS minx, 26 + (c_custkey % 190) / 10.0::DOUBLE AS miny FROM customer),
+p AS (SELECT id, k, CASE WHEN k IN (0, 3) THEN minx ELSE minx + 0.5 END AS lon, CASE WHEN k IN (0, 1) THEN miny ELSE miny + 0.25 END AS lat FROM b, range(4) c(k)), {FORWARD_SQL}
+SELECT id, round(min(px), 4) AS minx, round(min(py), 4) AS miny, round(max(px), 4) AS maxx, round(max(py), 4) AS maxy FROM v GROUP BY id""")
+def ge9_footprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Boxes in degrees as rings in metres, and the rings' boxes."""
+    k = F.col("c_custkey")
+    x, y = -120 + (k % 400) / 10.0, 26 + (k % 190) / 10.0
+    boxes = B.table(spark, sf_dir, "customer").select(k.alias("id"), x.alias("minx"), y.alias("miny"), (x + 0.5).alias("maxx"), (y + 0.25).alias("maxy"))
+    return rounded(raster.footprints(boxes, 4326, 5070).drop("ring"), "minx", "miny", "maxx", "maxy", digits=4)
+
+
+def cover_sql(boxes: str, clip: str = "true") -> str:
+    """Area that boxes cover, by cell of 1024: strips between their vertical sides, stretches merged within each."""
+    return f"""k AS (SELECT cx, cy, greatest(minx, cx * 1024) AS x0, greatest(miny, cy * 1024) AS y0, least(maxx, (cx + 1) * 1024) AS x1, least(maxy, (cy + 1) * 1024) AS y1 FROM {boxes}, range(-3, 12) a(cx), range(-3, 12) b(cy)),
+n AS (SELECT * FROM k WHERE x1 > x0 AND y1 > y0 AND {clip}), sx AS (SELECT cx, cy, x, lead(x) OVER (PARTITION BY cx, cy ORDER BY x) AS nx FROM (SELECT cx, cy, x0 AS x FROM n UNION SELECT cx, cy, x1 FROM n)),
+st AS (SELECT sx.cx AS cx, sx.cy AS cy, x, nx, y0, y1, max(y1) OVER (PARTITION BY sx.cx, sx.cy, x ORDER BY y0, y1 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS far FROM sx JOIN n ON n.cx = sx.cx AND n.cy = sx.cy AND n.x0 <= x AND n.x1 >= nx WHERE nx IS NOT NULL),
+cov AS (SELECT cx, cy, sum((nx - x) * greatest(0, y1 - greatest(y0, coalesce(far, y0)))) AS area FROM st GROUP BY cx, cy)"""
+
+
+@query(f"WITH {B.LABEL_BOXES}, {cover_sql('lab')} SELECT CAST(cx AS BIGINT) AS cx, CAST(cy AS BIGINT) AS cy, round(area, 4) AS area FROM cov")
+def ag10_union_area(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The area that label boxes cover together, by cell."""
+    return rounded(zones.area_of(zones.union(B.label_boxes(spark, sf_dir)), "cx", "cy"), "area", digits=4)
+
+
+@query(f"""WITH {B.LABEL_BOXES}, {B.INVENTORY_BOXES}, hol AS (SELECT greatest(minx - 100, 0) AS minx, greatest(miny - 100, 0) AS miny, least(maxx + 100, 6000) AS maxx, least(maxy + 100, 6000) AS maxy FROM lab
+ UNION ALL SELECT greatest(minx, 0), greatest(miny, 0), least(maxx, 6000), least(maxy, 6000) FROM inv), {cover_sql('hol')},
+w AS (SELECT cx, cy, (least((cx + 1) * 1024, 6000) - cx * 1024) * (least((cy + 1) * 1024, 6000) - cy * 1024.0::DOUBLE) AS whole FROM range(6) a(cx), range(6) b(cy))
+SELECT CAST(w.cx AS BIGINT) AS cx, CAST(w.cy AS BIGINT) AS cy, round(whole - coalesce(area, 0), 4) AS area FROM w LEFT JOIN cov ON cov.cx = w.cx AND cov.cy = w.cy WHERE whole - coalesce(area, 0) > 1e-6""")
+def ge5_safe_area(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What an area keeps outside its grown labels and the inventory, by cell."""
+    area = spark.createDataFrame([(0.0, 0.0, 6000.0, 6000.0)], "minx double, miny double, maxx double, maxy double")
+    holes = G.grown(B.label_boxes(spark, sf_dir), 100.0).select(*zones.SIDES).unionByName(B.inventory_boxes(spark, sf_dir).select(*zones.SIDES))
+    return rounded(zones.area_of(zones.difference(area, holes), "cx", "cy"), "area", digits=4)
+
+
+@query(f"""WITH RECURSIVE {B.ELEVATION}, c AS (SELECT row, col, row * 50 + col AS cell FROM dem WHERE z % 3 < 1.7 AND z IS NOT NULL AND row < 12), r(cell, row, col, part) AS (SELECT cell, row, col, cell FROM c UNION SELECT d.cell, d.row, d.col, r.part FROM r JOIN c d ON abs(d.row - r.row) + abs(d.col - r.col) = 1),
+l AS (SELECT row, col, min(part) AS part FROM r GROUP BY row, col), a AS (SELECT part, count(*) * 300.0::DOUBLE AS area FROM l GROUP BY part)
+SELECT round(area, 4) AS area, count(*) AS parts FROM a WHERE area > 900 GROUP BY area""")
+def fi9_large_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Connected parts of many rectangles, without slivers: how many there are of each area."""
+    cells = B.elevation(spark, sf_dir).where("z % 3 < 1.7 and z is not null and row < 12")
+    boxes = cells.select((F.col("col") * 20.0).alias("minx"), (F.col("row") * 15.0).alias("miny"), (F.col("col") * 20.0 + 20).alias("maxx"), (F.col("row") * 15.0 + 15).alias("maxy"))
+    kept = zones.without_slivers(zones.parts(zones.union(boxes)))
+    return rounded(zones.area_of(kept, "part"), "area", digits=4).groupBy("area").agg(F.count("*").alias("parts"))
+
+
+@query(f"""WITH {B.LABEL_BOXES} SELECT id, round((maxx - minx) * (maxy - miny) + 2 * 50 * (maxx - minx + maxy - miny) + 4 * 16 * 0.5 * 2500 * sin(pi() / 32), 6) AS area, 68 AS points FROM lab""")
+def ge2_rounded_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Boxes grown by a distance, with arcs of 16 segments at the corners."""
+    ring = G.rounded_ring(50.0)
+    return B.label_boxes(spark, sf_dir).select("id", F.round(G.ring_area(ring), 6).alias("area"), F.size(ring).alias("points"))
+
+
+@query("SELECT array_to_string(list_sort(list(DISTINCT p_brand)), ',') AS systems, count(DISTINCT p_brand) AS n FROM part")
+def ag15_distinct_systems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scenes.distinct_values(B.table(spark, sf_dir, "part"), "p_brand")
+    return found.agg(F.array_join(F.array_sort(F.collect_list("p_brand")), ",").alias("systems"), F.count("*").alias("n"))
+
+
+@query(f"WITH {B.INVENTORY_BOXES} SELECT id FROM inv WHERE minx <= 6000 AND maxx >= 1000 AND miny <= 7000 AND maxy >= 500 AND 2018 + id % 3 = 2019 ORDER BY id LIMIT 25")
+def sc20_catalog_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Catalog tiles of an area and a year, the first of them."""
+    catalog = B.inventory_boxes(spark, sf_dir).withColumn("year", 2018 + F.col("id") % 3)
+    return fetch.catalog_tiles(catalog, (1000, 500, 6000, 7000), 2019, 25).select("id")
+
+
+@query(f"WITH {B.LABEL_BOXES} SELECT id, greatest(minx, 1000) AS minx, greatest(miny, 500) AS miny, least(maxx, 6000) AS maxx, least(maxy, 7000) AS maxy FROM lab WHERE minx < 6000 AND maxx > 1000 AND miny < 7000 AND maxy > 500")
+def sc21_clipped_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fetch.clipped_shapes(B.label_boxes(spark, sf_dir), (1000, 500, 6000, 7000)).select("id", *zones.SIDES)
+
+
+@query("""SELECT p_partkey AS id, ['1/3', '1', '1/9'][1 + p_partkey % 3] || ' ' || ['10m', '30m', '10m'][1 + p_partkey % 3] AS wanted, [1, 1, 2][1 + p_partkey % 3] AS place FROM part""")
+def sc22_dataset_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where a dataset stands among those asked for at a resolution."""
+    from .sources import services
+
+    short = {services.NINTH: "1/9", services.THIRD: "1/3", services.WHOLE: "1"}
+    places = [(f"{short[d]} {r}", k + 1) for r in ("10m", "30m") for k, d in enumerate(services.datasets_for(r))]
+    k = F.col("p_partkey") % 3
+    wanted = F.when(k == 0, "1/3 10m").when(k == 1, "1 30m").otherwise("1/9 10m")
+    parts = B.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), wanted.alias("wanted"))
+    return parts.join(spark.createDataFrame(places, "wanted string, place int"), "wanted").select("id", "wanted", "place")
+
+
+@query("""SELECT p_partkey AS id, CAST(32600 + p_size % 20 AS INT) AS epsg, CASE WHEN p_size % 20 IN (16, 17) THEN 'zone ' || (p_size % 20) END AS labels, CASE WHEN p_partkey % 2 = 0 THEN 5 ELSE 29 END AS channels FROM part""")
+def jo14_labels_by_system(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tiles with the label set of their reference system, and the channels of their model."""
+    parts = B.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), (32600 + F.col("p_size") % 20).cast("int").alias("epsg"))
+    sets = spark.createDataFrame([(32616, "zone 16"), (32617, "zone 17")], "epsg int, labels string")
+    out = extraction.labels_by_system(parts, sets)
+    own = F.when(F.col("id") % 2 == 0, raster.channels(("b",) * 29, 5)).otherwise(raster.channels(("b",) * 29))
+    return out.select("id", "epsg", "labels", own.alias("channels"))
+
+
+@query(f"""WITH RECURSIVE {B.STACK}, c AS (SELECT row, col, CAST(row AS BIGINT) * 25 + col AS cell FROM stack WHERE label % 2 = 0),
+r(cell, row, col, region) AS (SELECT cell, row, col, cell FROM c UNION SELECT d.cell, d.row, d.col, r.region FROM r JOIN c d ON abs(d.row - r.row) + abs(d.col - r.col) = 1),
+l AS (SELECT row, col, min(region) AS region FROM r GROUP BY row, col), n AS (SELECT l.region AS region, count(*) AS shared FROM l JOIN l m ON m.region = l.region AND abs(m.row - l.row) + abs(m.col - l.col) = 1 GROUP BY l.region)
+SELECT l.region AS region, count(*) * 4.0::DOUBLE AS area, round(2.0::DOUBLE * (4 * count(*) - coalesce(any_value(shared), 0)), 6) AS border FROM l LEFT JOIN n ON n.region = l.region GROUP BY l.region""")
+def sk9_region_outlines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Regions as rings: their area, and the length of all their borders, holes included."""
+    mask = B.stack(spark, sf_dir).where("label % 2 = 0").select("row", "col")
+    shapes = inference.outlines(inference.regions(mask, B.STACK_COLUMNS), 0.0, (0.0, 0.0), 2.0)
+    length = lambda ring: F.aggregate(
+        F.zip_with(ring, F.concat(F.slice(ring, F.lit(2), F.size(ring)), F.slice(ring, 1, 1)), lambda p, q: F.abs(p["x"] - q["x"]) + F.abs(p["y"] - q["y"])), F.lit(0.0), lambda a, v: a + v
+    )
+    return shapes.select("region", "area", F.round(F.aggregate(F.transform("rings", length), F.lit(0.0), lambda a, v: a + v), 6).alias("border"))
+
+
+@query(f"""WITH {B.STACK}, e AS (SELECT row, col, 1 / (1 + exp(greatest(0, least(1, bands[1])) - 2 * greatest(0, least(1, bands[2])))) AS p1 FROM stack) SELECT row, col, round(p1, 5) AS p1, CASE WHEN p1 >= 0.5 THEN 1 ELSE 0 END AS class_id FROM e""")
+def ud3_window_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A vectorised model over overlapping windows, averaged."""
+    import numpy as np
+
+    pixels = B.stack(spark, sf_dir).select("row", "col", S.prepared(F.slice("bands", 1, 2), 2).alias("bands"))
+    height = pixels.agg(F.max("row")).first()[0] + 1
+    scores = inference.model_scores(pixels, height, B.STACK_COLUMNS, 10, 4, lambda x: np.stack([x[0], 2 * x[1]]), 2, 2)
+    mean = inference.finalised(inference.averaged(scores), F.lit(True), 0.5)
+    return mean.select("row", "col", F.round(F.col("probabilities")[1], 5).alias("p1"), "class_id")
+
+
+@query(f"WITH {B.ELEVATION} SELECT row, col, round(z - max(z) OVER (PARTITION BY row // 6, col // 6), 6) AS below FROM dem")
+def ud1_block_function(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A function of arrays on blocks of a surface."""
+    import numpy as np
+
+    out = inference.block_function(B.elevation(spark, sf_dir), 6, lambda a: a - (np.nanmax(a) if np.isfinite(a).any() else 0.0), "z", "below")
+    return out.select("row", "col", F.round(F.nanvl("below", F.lit(None)), 6).alias("below"))
+
+
+@query(f"WITH {B.STACK} SELECT row, col, 4 AS n, round(greatest(0, least(1, bands[4])), 9) AS last_band FROM stack")
+def pj7_truncated_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = B.stack(spark, sf_dir).withColumn("p", S.prepared(F.col("bands"), 4))
+    return out.select("row", "col", F.size("p").alias("n"), F.round(F.col("p")[3], 9).alias("last_band"))

@@ -138,7 +138,8 @@ def progress(events: DataFrame, keys: list[str], order: list[str], amount: str,
     out = events.withColumns({"done": F.count("*").over(upto), "total": F.sum(amount).over(upto)})
     if whole is None:
         return out
-    passed = F.unix_micros("ts") - F.min(F.unix_micros("ts")).over(upto)
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    passed = at - F.min(at).over(upto)
     rate = F.try_divide(F.col("done") * 1e6, passed)
     return out.withColumn("rate", rate).withColumn("left", F.try_divide(F.lit(float(whole)) - F.col("done"), F.col("rate")))
 

@@ -67,3 +67,8 @@ def deduplicated(df: DataFrame, key: str, order: str) -> DataFrame:
     names = [c for c in df.columns if c not in (key, order)]
     first = df.groupBy(key).agg(F.min(F.struct(order, *names)).alias("r"))
     return first.select(key, F.col(f"r.{order}").alias(order), *(F.col(f"r.{c}").alias(c) for c in names))
+
+
+def distinct_values(df: DataFrame, column: str) -> DataFrame:
+    """The distinct values of a column; each task sends each value once."""
+    return df.select(column).where(F.col(column).isNotNull()).distinct()
