@@ -67,6 +67,14 @@ def inventory_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return boxes(table(spark, sf_dir, "customer").where("c_mktsegment = 'BUILDING'"), "c_custkey", "c_acctbal")
 
 
+def diamonds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The label boxes' inscribed rings, a corner in the middle of each side."""
+    t = label_boxes(spark, sf_dir)
+    x, y = (F.col("minx") + F.col("maxx")) / 2, (F.col("miny") + F.col("maxy")) / 2
+    points = ((x, F.col("miny")), (F.col("maxx"), y), (x, F.col("maxy")), (F.col("minx"), y))
+    return t.withColumn("ring", F.array(*(F.struct(px.alias("x"), py.alias("y")) for px, py in points)))
+
+
 # The same, as DuckDB SQL.
 SCENES = "scenes AS (SELECT o_orderkey AS item_id, o_custkey % 12 AS tile_id, o_orderdate AS ts, o_totalprice / 5000.0::DOUBLE AS cloud_cover, o_orderkey AS ord FROM orders)"
 OBSERVATIONS = """obs AS (SELECT CAST(l_partkey // 50 AS INT) AS row, CAST(l_partkey % 50 AS INT) AS col, l_shipdate AS ts,

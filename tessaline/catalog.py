@@ -338,14 +338,22 @@ def ge6_clipped_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tiles.pairs(labels, labels, G.overlaps("a", "b") & (F.col("a.id") < F.col("b.id"))).select(F.col("a.id").alias("id"), F.col("b.id").alias("other"), F.round(area, 6).alias("area")).distinct()
 
 
-@query(f"""WITH {B.LABEL_BOXES} SELECT id, round(abs((maxx - minx) * (maxy - miny) / 2 + (maxx - minx) * (maxy - miny) / 2), 6) AS area, (minx + maxx) / 2 BETWEEN 0 AND 5000 AND (miny + maxy) / 2 BETWEEN 0 AND 5000 AS inside
-FROM lab""")
+@query(f"""WITH {B.LABEL_BOXES} SELECT id, round((maxx - minx) * (maxy - miny) / 2, 6) AS area, abs((minx + maxx) / 2 - 3000) + abs((miny + maxy) / 2 - 4000) < 2500.5 AS inside FROM lab""")
 def ge11_ring_predicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    at = lambda x, y: F.struct(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
-    ring = F.array(at("minx", "miny"), at("maxx", "miny"), at("maxx", "maxy"), at("minx", "maxy"))
-    area = F.array(*(F.struct(F.lit(float(x)).alias("x"), F.lit(float(y)).alias("y")) for x, y in ((0, 0), (5000, 0), (5000, 5000), (0, 5000))))
+    """Areas of rings that are no boxes, and whether their middles lie in a large one."""
+    area = F.array(*(F.struct(F.lit(float(x)).alias("x"), F.lit(float(y)).alias("y")) for x, y in ((3000, 1499.5), (5500.5, 4000), (3000, 6500.5), (499.5, 4000))))
     x, y = (F.col("minx") + F.col("maxx")) / 2, (F.col("miny") + F.col("maxy")) / 2
-    return B.label_boxes(spark, sf_dir).select("id", F.round(G.ring_area(ring), 6).alias("area"), G.in_ring(x, y, area).alias("inside"))
+    return B.diamonds(spark, sf_dir).select("id", F.round(G.ring_area(F.col("ring")), 6).alias("area"), G.in_ring(x, y, area).alias("inside"))
+
+
+DIAMOND = "(lab.maxx - lab.minx) / 2"
+
+
+@query(f"""WITH {B.GRID}, {B.LABEL_BOXES} SELECT DISTINCT grid.id AS id FROM grid JOIN lab ON greatest(0, grid.minx - (lab.minx + lab.maxx) / 2, (lab.minx + lab.maxx) / 2 - grid.maxx)
+ + greatest(0, grid.miny - (lab.miny + lab.maxy) / 2, (lab.miny + lab.maxy) / 2 - grid.maxy) <= {DIAMOND}""")
+def jo4_tiles_on_rings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tiles that rings touch, not only their boxes."""
+    return tiles.semi(grid_of(spark), B.diamonds(spark, sf_dir)).select("id")
 
 
 ALBERS = {"n": crs._N, "c": crs._C, "rho0": crs._RHO0, "e": crs.E, "e2": crs.E2, "a": crs.A, "lon0": crs.LON0}
@@ -670,10 +678,11 @@ def sc10_manifest_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .sources import manifests
 
     source = lambda kind, labels, resample: F.struct(F.lit(kind).alias("type"), F.concat(F.lit(f"{kind}/"), F.col("n_name")).alias("path"), F.array(*map(F.lit, labels)).alias("band_labels"), resample.alias("resample"))
-    text = F.to_json(F.struct(F.lit(1).alias("version"), F.array(source("naip", ["R", "G", "B", "N"], F.lit("nearest")), source("s2", S.BANDS, F.lit(None).cast("string"))).alias("sources")))
-    rows = B.table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("id"), F.from_json(text, manifests.schema()).alias("m"))
-    rows = rows.select("id", F.posexplode("m.sources").alias("place", "s"))
-    return rows.select("id", "place", "s.type", F.size("s.band_labels").alias("bands"), F.coalesce("s.nodata", F.lit(S.NODATA)).alias("nodata"), F.coalesce("s.resample", F.lit("bilinear")).alias("resample"))
+    grid = F.struct(F.array(*(F.lit(float(v)) for v in (1, 0, 0, 0, -1, 0))).alias("transform"), F.lit(4).alias("width"), F.lit(4).alias("height"))
+    text = F.to_json(F.struct(F.lit(1).alias("version"), grid.alias("grid"), F.array(source("naip", ["R", "G", "B", "N"], F.lit("nearest")), source("s2", S.BANDS, F.lit(None).cast("string"))).alias("sources")))
+    raw = B.table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("manifest"), F.from_json(text, manifests.schema()).alias("m")).select("manifest", "m.*")
+    rows = manifests.sources_of(raw)
+    return rows.select(F.col("manifest").alias("id"), "place", "type", F.size("band_labels").alias("bands"), "nodata", "resample")
 
 
 @query(f"""WITH {B.OBSERVATIONS}, o AS (SELECT *, {SEASON_SQL} AS season, dn * (1 / 10000.0::DOUBLE) AS refl, scl NOT IN (0, 3, 8, 9, 10, 11) AND dn <> 0 AS clear FROM obs)

@@ -62,3 +62,21 @@ def rounded_ring(distance: float, segments: int = 16) -> Column:
             dx, dy = (distance * math.cos(angle), distance * math.sin(angle)) if distance > 0 else (0.0, 0.0)
             points.append(F.struct((F.col(x) + dx).alias("x"), (F.col(y) + dy).alias("y")))
     return F.array(*points)
+
+
+def ring_meets_box(ring: Column, minx: Column, miny: Column, maxx: Column, maxy: Column) -> Column:
+    """Whether a ring's area and a box share a point: a vertex in the box, a corner in the ring, or sides that cross.
+
+    A side crosses the box if the box's corners don't all lie on one side of its line, and their boxes touch.
+    """
+    vertex = F.exists(ring, lambda p: (p["x"] >= minx) & (p["x"] <= maxx) & (p["y"] >= miny) & (p["y"] <= maxy))
+    following = F.concat(F.slice(ring, F.lit(2), F.size(ring)), F.slice(ring, 1, 1))
+    sides = F.zip_with(ring, following, lambda p, q: F.struct(p["x"].alias("px"), p["y"].alias("py"), q["x"].alias("qx"), q["y"].alias("qy")))
+
+    def crosses(s):
+        near = (F.least(s["px"], s["qx"]) <= maxx) & (F.greatest(s["px"], s["qx"]) >= minx) & (F.least(s["py"], s["qy"]) <= maxy) & (F.greatest(s["py"], s["qy"]) >= miny)
+        turn = lambda x, y: (s["qx"] - s["px"]) * (y - s["py"]) - (s["qy"] - s["py"]) * (x - s["px"])
+        turns = F.array(turn(minx, miny), turn(maxx, miny), turn(maxx, maxy), turn(minx, maxy))
+        return near & (F.array_min(turns) <= 0) & (F.array_max(turns) >= 0)
+
+    return vertex | in_ring(minx, miny, ring) | F.exists(sides, crosses)

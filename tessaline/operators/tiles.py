@@ -84,8 +84,13 @@ def pairs(a: DataFrame, b: DataFrame, predicate: Column, margin: float = 0.0) ->
 
 
 def touching(a: DataFrame, b: DataFrame, margin: float = 0.0) -> DataFrame:
-    """The distinct ids of a whose box touches a box of b, or lies less than a positive margin from one."""
+    """The distinct ids of a whose box touches a box of b, or lies less than a positive margin from one.
+
+    Where b has a column ring and there is no margin, its rings decide instead of their boxes.
+    """
     near = G.distance("a", "b") < margin if margin > 0 else G.overlaps("a", "b")
+    if "ring" in b.columns and margin <= 0:
+        near = near & G.ring_meets_box(F.col("b.ring"), *(F.col(f"a.{c}") for c in ("minx", "miny", "maxx", "maxy")))
     return pairs(a, b, near, margin).select(F.col("a.id").alias("id")).distinct()
 
 

@@ -27,11 +27,16 @@ def schema(ddl: str = "manifest"):
 
 
 def read_manifests(spark: SparkSession, path: str) -> DataFrame:
-    """One row per source: manifest (file), grid, place (order in the stack) and the source with its defaults.
+    """The sources (see sources_of) of the manifests at a path; manifest is the file."""
+    raw = spark.read.schema(schema()).option("multiLine", True).json(path).withColumn("manifest", F.input_file_name())
+    return sources_of(raw)
+
 
-    A manifest without transform, width, height, or a source without type or path, is an error.
+def sources_of(raw: DataFrame) -> DataFrame:
+    """One row per source of manifests (manifest, grid, sources): manifest, grid, place (order in the stack), the source with its defaults.
+
+    A manifest without transform, width, height, or a source without type or path, is an error; one without a grid is none.
     """
-    raw = spark.read.schema(schema()).option("multiLine", True).json(path).withColumn("manifest", F.input_file_name())
     rows = raw.where(F.col("grid").isNotNull()).select("manifest", "grid", F.posexplode("sources").alias("place", "s"))
     lacking = F.col("grid.transform").isNull() | F.col("grid.width").isNull() | F.col("grid.height").isNull() | F.col("s.type").isNull() | F.col("s.path").isNull()
     checked = F.when(lacking, F.raise_error(F.concat(F.lit("Incomplete manifest: "), F.col("manifest"))).cast("int")).otherwise(F.col("place"))

@@ -88,6 +88,37 @@ def test_rounded_rings(spark):
     assert df.select(G.ring_area(G.rounded_ring(0.0))).first()[0] == 300
 
 
+def test_rings_meet_boxes(spark):
+    """Random triangles and boxes on a grid of half points, against a search for a common point."""
+    draw = random.Random(11)
+    rows = []
+    for k in range(150):
+        points = [(draw.randrange(0, 12) * 2.0, draw.randrange(0, 12) * 2.0) for _ in range(3)]
+        x, y = draw.randrange(0, 11) * 2 + 0.5, draw.randrange(0, 11) * 2 + 0.5
+        rows.append((k, [{"x": a, "y": b} for a, b in points], x, y, x + draw.randrange(1, 5), y + draw.randrange(1, 5)))
+    df = spark.createDataFrame(rows, "k int, ring array<struct<x:double,y:double>>, minx double, miny double, maxx double, maxy double")
+    got = {r["k"]: r["m"] for r in df.select("k", G.ring_meets_box(F.col("ring"), *(F.col(c) for c in ("minx", "miny", "maxx", "maxy"))).alias("m")).collect()}
+
+    def clip(poly, inside, cut):
+        out = []
+        for p, q in zip(poly, poly[1:] + poly[:1]):
+            if inside(p):
+                out.append(p)
+            if inside(p) != inside(q):
+                out.append(cut(p, q))
+        return out
+
+    for k, ring, x0, y0, x1, y1 in rows:
+        poly = [(p["x"], p["y"]) for p in ring]
+        if abs((poly[1][0] - poly[0][0]) * (poly[2][1] - poly[0][1]) - (poly[2][0] - poly[0][0]) * (poly[1][1] - poly[0][1])) < 1e-9:
+            continue
+        at_x = lambda v: lambda p, q: (v, p[1] + (q[1] - p[1]) * (v - p[0]) / (q[0] - p[0]))
+        at_y = lambda v: lambda p, q: (p[0] + (q[0] - p[0]) * (v - p[1]) / (q[1] - p[1]), v)
+        for inside, cut in ((lambda p: p[0] >= x0, at_x(x0)), (lambda p: p[0] <= x1, at_x(x1)), (lambda p: p[1] >= y0, at_y(y0)), (lambda p: p[1] <= y1, at_y(y1))):  # noqa: B023
+            poly = clip(poly, inside, cut) if poly else poly
+        assert got[k] == bool(poly), (k, ring, x0, y0, x1, y1)
+
+
 ITEMS = "item_id string, ord int, time_index int, epsg int, assets map<string,string>, minx double, miny double, maxx double, maxy double"
 
 
