@@ -1,7 +1,9 @@
 """Each corpus operator against a brute-force version, and on nulls, empty and long texts, ties, repeats and clashing columns."""
 
 import hashlib
+import math
 import random
+import re
 import zlib
 
 import duckdb
@@ -414,6 +416,71 @@ def test_random_tokens_are_found_by_encoding_and_length(spark):
     assert wrong <= 0.1 * (wrong + sum(recall.values()) * 40)
 
 
+def plain_statistics(size, shown):
+    """n, chi-squared excess per character, share of class changes and lag-1 correlation, by plain loops."""
+    symbols = secrets.ENCODINGS[size][0]
+    n = len(shown)
+    codes = [symbols.find(c) + 1 for c in shown]
+    even = sum(shown.count(c) ** 2 for c in set(shown)) * size / n**2 - 1 - (size - 1) / n
+    kind = lambda c: "a" if c.islower() else "A" if c.isupper() else "9" if c.isdigit() else "+"
+    changes = sum(kind(a) != kind(b) for a, b in zip(shown, shown[1:])) / max(n - 1, 1)
+    mean = sum(codes) / n
+    spread = sum((c - mean) ** 2 for c in codes)
+    joint = sum((a - mean) * (b - mean) for a, b in zip(codes, codes[1:]))
+    return n, even, changes, joint / spread if spread > 1e-9 else 1.0
+
+
+def plain_encoding(token):
+    body = token.rstrip("=")
+    for size, pattern in ((0, "[0-9]+"), (16, "[0-9a-f]+|[0-9A-F]+"), (26, "[a-z]+|[A-Z]+"), (32, "[A-Z2-7]+"), (36, "[a-z0-9]+|[A-Z0-9]+"), (52, "[A-Za-z]+"), (62, "[A-Za-z0-9]+")):
+        if re.fullmatch(pattern, body):
+            return size, body.lower() if size <= 36 else body
+    return 64, body.translate(str.maketrans("-_", "+/")).replace("=", "/")
+
+
+def test_random_spans_against_plain_loops(spark, documents):
+    """Encodings, statistics, scores, the step-up rule and spans, token by token; only the fit is the operator's own."""
+    from statistics import NormalDist
+
+    draw = random.Random(12)
+    alphabets = ["0123456789ABCDEF", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "abcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_"]
+    tokens_ = ["".join(draw.choices(draw.choice(alphabets), k=draw.choice((20, 27, 40, 64, 100)))) for _ in range(120)]
+    given = [t for (t,) in documents.select("text").collect()] + [f"é see {t} or password={t[:9]} {t[::-1]}," for t in tokens_] + ["plain/path/of/ordinary/words " * 3, "1234567890" * 3]
+    df = docs_of(spark, given, extra=False)
+    fit = secrets.fitted(df.select(F.coalesce("text", F.lit("")).alias("own_text")))
+    rows, counts = [], {}
+    for text in given:
+        base, found = H.base_spans(text), []
+        for m in re.finditer(r"[A-Za-z0-9+/_=-]{20,}", text or ""):
+            if any(a < m.end() and m.start() < b for _, a, b in base):
+                continue
+            size, shown = plain_encoding(m[0])
+            z, n = 0.0, len(shown)
+            if size:
+                n, even, changes, serial = plain_statistics(size, shown)
+                step = min(max(int(math.log2(max(n, 1))), 4), 6)
+                c = fit[size, step]
+                z = (c[0] + c[1] * even + c[2] * changes + c[3] * serial) * math.sqrt(min(n, 96) / secrets.LENGTHS[step]) if n >= 8 else 0.0
+            family, at = size * 100 + int(math.log2(max(n, 1))), math.floor(max(min(z, 0.0), -38.0) * secrets.GRAIN)
+            found.append((m.start(), m.end(), family, at, z))
+            counts.setdefault(family, []).append(at)
+        rows.append((base, found))
+    limit = {}
+    for family, own in counts.items():
+        for at in set(own):
+            rank = sum(x <= at for x in own)
+            if NormalDist().cdf((at + 1) / secrets.GRAIN) <= secrets.FALSE_SHARE * rank / len(own):
+                limit[family] = max(at, limit.get(family, at))
+    got = {r["doc_id"]: [(s["kind"], s["start"], s["finish"]) for s in r["spans"]] for r in secrets.find_secrets(df).collect()}
+    wrong = near = total = 0
+    for k, (base, found) in enumerate(rows, 1):
+        want = {("random", a, b) for a, b, family, at, _ in found if family in limit and at <= limit[family]}
+        edge = {("random", a, b) for a, b, _, _, z in found if abs(z * secrets.GRAIN - round(z * secrets.GRAIN)) < 1e-6}  # a score on a bin's border may fall on either side
+        differ = ({s for s in got[k] if s[0] == "random"} ^ want) - edge
+        wrong, total = wrong + len(differ), total + len(want)
+    assert wrong == 0 and total > 60
+
+
 # --- URLs
 
 
@@ -560,6 +627,73 @@ def test_quality_rules_judge(spark, documents):
     assert quality_rules.train(documents, labels.limit(0)) is None
 
 
+def test_kept_against_plain_paths(spark, documents):
+    """The forest's path lengths, tree by tree and node by node, and the limit."""
+    judge = quality_rules.train(documents, spark.read.parquet(f"{FOLDER}/labels.parquet"))
+    forest = judge.forest
+    given = [t for (t,) in documents.select("text").collect()] + [None, "", "#### " * 30, "Some words that are ordinary and long enough to pass here."]
+    rows = {r["doc_id"]: r for r in quality_rules.judged(docs_of(spark, given), judge).collect()}
+    kept = 0
+    for k, text in enumerate(given, 1):
+        base, features = quality_rules.statistics(text)
+        total = 0.0
+        for t in range(quality_rules.TREES):
+            node = 1
+            while forest.feature[t, node] >= 0:
+                node = 2 * node + int(features[forest.feature[t, node]] > forest.split[t, node])
+            total += forest.path[t, node]
+        n = forest.size
+        usual = 2 * (np.log(n - 1) + 0.5772156649) - 2 * (n - 1) / n
+        anomaly = 2.0 ** (-total / quality_rules.TREES / usual)
+        failed = base[0] < 10 or 100 * base[4] > 20 * base[0]
+        assert rows[k]["anomaly"] == pytest.approx(anomaly) and rows[k]["base_failed"] == failed
+        if abs(anomaly - judge.limit) > 1e-9:
+            assert rows[k]["kept"] == (not failed and anomaly <= judge.limit)
+        kept += rows[k]["kept"]
+    assert 0 < kept < len(given)
+
+
+def plain_language(text, model):
+    """Mean logits of a text's n-grams, one by one."""
+    low = [(ord(c.lower()) if len(c.lower()) == 1 else ord(c)) if c.isalpha() else 32 for c in f" {text}  "]
+    factors, total, n = (0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35), np.zeros(len(model.languages)), 0
+    for at in range(1, len(low) - 2):
+        if low[at] == 32:
+            continue
+        state = 0
+        for k in range(3):
+            state = (state + low[at + k] + k) * factors[k] % 2**32
+            total, n = total + model.logits[((state ^ (state >> 15)) * 0x2C1B3C6D % 2**32) >> (32 - langid.BUCKET_BITS)], n + 1
+        if low[at - 1] == 32:
+            total, n = total + model.logits[(state * 0x27D4EB2F % 2**32) >> (32 - langid.BUCKET_BITS)], n + 1
+    if not n:
+        return "und", 0.0
+    e = np.exp((total / n + model.bias) / model.heat - max((total / n + model.bias) / model.heat))
+    return model.languages[int(e.argmax())], float(e.max() / e.sum())
+
+
+def test_languages_against_plain_ngrams(spark, documents):
+    model = langid.train(documents, F.lit(True))
+    given = [t for (t,) in documents.select("text").limit(60).collect()] + [None, "", "12 3", "ñandú über Straße", "日本語 text"]
+    rows = langid.identify(docs_of(spark, given), model).orderBy("doc_id").collect()
+    for text, r in zip(given, rows):
+        lang, score = plain_language(text or "", model)
+        assert (r["lang_pred"], r["score"]) == (lang, pytest.approx(score, abs=1e-4))
+
+
+def test_languages_of_repeated_ids(spark):
+    """A doc_id counts once, by its least language and text; long texts are learnt from by an excerpt; null ids aren't."""
+    rows = [(1, "aa " * 9, "x"), (1, "aa " * 9, "x"), (1, "bb", "y"), (2, "cc " * 40_000, "y"), (None, "dd", "z"), (3, None, "x"), (4, "ee", None)]
+    seen = []
+    original = langid.fit
+    langid.fit = lambda found: seen.append(found) or original(found)
+    try:
+        model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(True))
+    finally:
+        langid.fit = original
+    assert [(len(t), lang) for t, lang in seen[0]] == [(27, "x"), (langid.SAMPLE_CHARS, "y")] and model.languages == ["x", "y"]
+
+
 def test_forest_isolates_outliers():
     draw = np.random.default_rng(0)
     usual = draw.normal(0, 1, (800, 4))
