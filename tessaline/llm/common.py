@@ -103,7 +103,8 @@ def ship(spark: SparkSession) -> None:
     if getattr(context, "_tessaline_shipped", False):
         return
     root = Path(__file__).resolve().parents[1]
-    path = os.path.join(tempfile.mkdtemp(), f"{root.name}.zip")
+    context._tessaline_code = tempfile.TemporaryDirectory()  # of the driver alone, gone when it ends
+    path = os.path.join(context._tessaline_code.name, f"{root.name}.zip")
     with zipfile.ZipFile(path, "w") as out:
         for file in sorted(root.rglob("*.py")):
             out.write(file, file.relative_to(root.parent))
@@ -123,9 +124,22 @@ def by_size(texts: pa.Array, most: int = 1 << 20) -> Iterator[pa.Array]:
 
 
 def in_arrow(df: DataFrame, run: Callable, schema: str) -> DataFrame:
-    """df.mapInArrow with this package at hand on every executor."""
-    ship(df.sparkSession)
-    return df.mapInArrow(run, schema)
+    """df.mapInArrow with this package at hand on every executor.
+
+    Batches of more than SLICE_ROWS rows are no faster and fill the memory beside the JVM's heap and the worker's, so a larger
+    limit of the session is lowered. A worker gives back what it needed when its task ends.
+    """
+    spark = df.sparkSession
+    ship(spark)
+    limit = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(limit)) <= SLICE_ROWS:
+        spark.conf.set(limit, str(SLICE_ROWS))
+
+    def tidy(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(tidy, schema)
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
