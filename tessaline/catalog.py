@@ -685,14 +685,11 @@ def sc10_manifest_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("manifest").alias("id"), "place", "type", F.size("band_labels").alias("bands"), "nodata", "resample")
 
 
-@query(f"""WITH {B.OBSERVATIONS}, o AS (SELECT *, {SEASON_SQL} AS season, dn * (1 / 10000.0::DOUBLE) AS refl, scl NOT IN (0, 3, 8, 9, 10, 11) AND dn <> 0 AS clear FROM obs)
-SELECT row // 8 AS chunk_row, col // 8 AS chunk_col, row, col, count(*) FILTER (clear) AS n_clear, round(coalesce(CASE WHEN count(*) FILTER (clear) >= 3 THEN median(CASE WHEN clear THEN refl END) END, -9999), 9) AS value
-FROM o WHERE season = 'SUM' GROUP BY row, col""")
+@query(f"""WITH {MEDIAN_SQL}, c AS (SELECT CAST(r AS INT) AS row, CAST(k AS INT) AS col, season FROM range(48) a(r), range(56) b(k), (SELECT DISTINCT season FROM m))
+SELECT c.row // 16 AS chunk_row, c.col // 16 AS chunk_col, c.row AS row, c.col AS col, c.season AS season, coalesce(n_clear, 0) AS n_clear, round(coalesce(value, -9999), 9) AS value FROM c LEFT JOIN m ON m.row = c.row AND m.col = c.col AND m.season = c.season""")
 def ag3_chunk_median(spark: SparkSession, sf_dir: str) -> DataFrame:
-    obs = B.observations(spark, sf_dir).where(S.season_of(F.col("ts")) == "SUM")
-    out = composite.seasonal_median(obs, clip=False)
-    chunk = lambda c: F.floor(F.col(c) / 8).cast("int")
-    return out.select(chunk("row").alias("chunk_row"), chunk("col").alias("chunk_col"), "row", "col", "n_clear", F.round(F.coalesce("value", F.lit(S.NODATA)), 9).alias("value"))
+    """All cells of a grid that reaches beyond the observations, by chunk."""
+    return rounded(composite.chunk_medians(B.observations(spark, sf_dir), 48, 56, 16), "value")
 
 
 @query(f"""WITH {B.ELEVATION} SELECT row, col, CASE WHEN z IS NOT NULL AND row + 0.5 > 1 AND col + 0.5 > 2 * (row + 0.5) AND col + 0.5 < 40 THEN z ELSE -9999 END AS z FROM dem""")
@@ -1010,3 +1007,18 @@ def ud1_block_function(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pj7_truncated_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = B.stack(spark, sf_dir).withColumn("p", S.prepared(F.col("bands"), 4))
     return out.select("row", "col", F.size("p").alias("n"), F.round(F.col("p")[3], 9).alias("last_band"))
+
+
+@query("""WITH r AS (SELECT DISTINCT least(o, 1000 - 128) AS o FROM range(0, 1000, 96) x(o)), c AS (SELECT DISTINCT least(o, 700 - 128) AS o FROM range(0, 700, 96) x(o))
+SELECT CAST(greatest(r.o - 8, 0) AS INT) AS row_off, CAST(greatest(c.o - 8, 0) AS INT) AS col_off, CAST(least(r.o + 136, 1000) - greatest(r.o - 8, 0) AS INT) AS h, CAST(least(c.o + 136, 700) - greatest(c.o - 8, 0) AS INT) AS w FROM r, c""")
+def fo9_training_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tiles of 128 that advance by 96, with a margin of 8."""
+    return tiles.training_grid(spark, 1000, 700, 128, 96, 8)
+
+
+@query(f"""WITH {B.LABEL_BOXES}, {B.INVENTORY_BOXES}, d AS (SELECT id, (minx + maxx) / 2 AS x, (miny + maxy) / 2 AS y FROM lab ORDER BY (id % 2147483648 * 2654435761 + 42) % 4294967296, id LIMIT 50),
+a AS (SELECT id, x - 400 AS minx, y - 400 AS miny, x + 400 AS maxx, y + 400 AS maxy FROM d), l AS (SELECT a.id AS id, count(*) AS n_labels FROM a JOIN lab b ON {TOUCH} GROUP BY a.id), i AS (SELECT a.id AS id, count(*) AS n_inventory FROM a JOIN inv b ON {TOUCH} GROUP BY a.id)
+SELECT id, n_labels, n_inventory FROM l JOIN i USING (id) WHERE n_labels >= 1 AND n_inventory > n_labels AND n_inventory / n_labels > 1.5 ORDER BY n_inventory DESC, id LIMIT 1""")
+def tk6_challenge_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best of 50 boxes around labels."""
+    return sampling.challenge_area(B.label_boxes(spark, sf_dir), B.inventory_boxes(spark, sf_dir), 800.0, 1).select("id", "n_labels", "n_inventory")

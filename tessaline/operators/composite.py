@@ -68,3 +68,18 @@ def dilated(masked: DataFrame, radius: int, scene: list[str], flag: str = "cloud
 def mosaicked(tiles: DataFrame, value: str = "value", order: str = "tile_ord") -> DataFrame:
     """One value per cell: that of the first tile, by order, that has one."""
     return tiles.groupBy("row", "col").agg(F.min_by(value, F.when(F.col(value).isNotNull(), F.col(order))).alias(value))
+
+
+def chunk_medians(obs: DataFrame, height: int, width: int, chunk: int, min_clear: int = 3, nodata: float = S.NODATA) -> DataFrame:
+    """chunk_row, chunk_col, row, col, season, n_clear and value for every cell of a grid and every season that obs holds.
+
+    Cells of chunks without observations, or with too few clear ones, are nodata; their count is 0 where nothing was seen. A
+    season is clipped as a whole. Chunks are keys of the one plan, not rounds of a loop.
+    """
+    spark = obs.sparkSession
+    medians = seasonal_median(obs, min_clear)
+    seasons = medians.select("season").distinct()
+    cells = spark.range(height).select(F.col("id").cast("int").alias("row")).select("row", F.explode(F.sequence(F.lit(0), F.lit(width - 1))).alias("col"))
+    whole = cells.crossJoin(F.broadcast(seasons)).join(medians, ["row", "col", "season"], "left")  # three seasons at most
+    at = lambda c: F.floor(F.col(c) / chunk).cast("int").alias(f"chunk_{c}")
+    return whole.select(at("row"), at("col"), "row", "col", "season", F.coalesce("n_clear", F.lit(0)).alias("n_clear"), F.coalesce("value", F.lit(nodata)).alias("value"))

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import crs, geometry as G, scalars as S
+from ..sources import areas
 from ..sources.manifests import Grid
 
 # Fixed values.
@@ -153,8 +154,15 @@ def grid_rows(spark: SparkSession, grid: Grid) -> DataFrame:
     return cells.select("row", "col", x.alias("px"), y.alias("py"))
 
 
-def warped(source: Raster, grid: Grid) -> Raster:
-    """The source on another grid, bilinear; the grid may be of another reference system."""
+def contained(source: Raster, targets: DataFrame) -> DataFrame:
+    """targets (row, col; y, x) with the bands of the source's cell that holds each; nodata outside."""
+    at = targets.select("row", "col", F.floor(F.col("y") + 0.5).cast("int").alias("sr"), F.floor(F.col("x") + 0.5).cast("int").alias("sc"))
+    met = at.join(source.cells.select(F.col("row").alias("sr"), F.col("col").alias("sc"), "bands"), ["sr", "sc"], "left")
+    return met.select("row", "col", F.coalesce("bands", F.array_repeat(F.lit(source.grid.nodata), len(source.labels))).alias("bands"))
+
+
+def warped(source: Raster, grid: Grid, kernel: str = "bilinear") -> Raster:
+    """The source on another grid, bilinear or nearest; the grid may be of another reference system."""
     if source.epsg is None:
         raise ValueError("The raster lacks a reference system")
     target = int(grid.crs.split(":")[-1])
@@ -162,7 +170,13 @@ def warped(source: Raster, grid: Grid) -> Raster:
     a, _, c, _, e, f = source.grid.transform
     # rounding keeps a point that falls on a cell's centre there
     placed = cells.select("row", "col", F.round((F.col("py") - f) / e - 0.5, 9).alias("y"), F.round((F.col("px") - c) / a - 0.5, 9).alias("x"))
-    return Raster(interpolated(source, placed), grid, source.labels)
+    return Raster((interpolated if kernel == "bilinear" else contained)(source, placed), grid, source.labels)
+
+
+def opened(source: Raster, grid: Grid, kind: str, resample: str = "bilinear", **scaling) -> Layer:
+    """A stack's layer from a source: imagery stays on its own grid, which is the stack's; others are warped to it."""
+    own = source if kind == "naip" else warped(source, replace(grid, nodata=source.grid.nodata), "bilinear" if resample == "bilinear" else "nearest")
+    return Layer(own.cells, source.labels, source.grid.nodata, type=kind, **scaling)
 
 
 def resampled(source: Raster, resolution: float) -> Raster:
@@ -287,3 +301,28 @@ def footprints(grids: DataFrame, epsg: int, target: int = 4326) -> DataFrame:
 def channels(labels: tuple[str, ...], override: int | None = None) -> int:
     """The number of channels of a model's input: as told, or as many as there are bands."""
     return len(labels) if override is None else override
+
+
+def grown_polygons(spark: SparkSession, rings: list[list[tuple[float, float]]], metres: float = 0.0) -> list[list[list[tuple[float, float]]]]:
+    """The single polygons of an area in degrees; for a distance, each grown by it, round, in the UTM zone of its middle.
+
+    Grown polygons lose their holes, and are grown from their hull.
+    """
+    out = []
+    for own in areas.polygons(rings):
+        if metres <= 0:
+            out.append(own)
+            continue
+        minx, miny, maxx, maxy = areas.bounds(own)
+        zone = min(60, int(((minx + maxx) / 2 + 180) // 6) + 1) + (32600 if miny + maxy >= 0 else 32700)
+        there = projected_points(spark, own[0], 4326, zone)
+        out.append([projected_points(spark, areas.rounded(there, metres), zone, 4326)])
+    return out
+
+
+def acquisition_ring(labels: DataFrame, metres: float = 1000.0, epsg: int = 5070) -> list[tuple[float, float]]:
+    """The box around all labels (boxes in metres), grown by a distance, round, as a ring in degrees; no labels are an error."""
+    box = labels.agg(F.min("minx"), F.min("miny"), F.max("maxx"), F.max("maxy")).first()
+    if box[0] is None:
+        raise ValueError("There are no labels")
+    return projected_points(labels.sparkSession, areas.rounded(areas.box(*box), metres), epsg, 4326)

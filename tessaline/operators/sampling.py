@@ -56,3 +56,20 @@ def best_area(boxes: DataFrame, least_labels: int = 2) -> DataFrame:
     """The candidate box with the most inventory, among those with enough labels and a high enough ratio of the two."""
     fit = boxes.where((F.col("n_labels") >= least_labels) & (F.col("n_inventory") > F.col("n_labels")) & (F.col("n_inventory") / F.col("n_labels") > 1.5))
     return fit.orderBy(F.desc("n_inventory"), "id").limit(1)
+
+
+def challenge_boxes(labels: DataFrame, size: float, most: int = 50, seed: int = 42) -> DataFrame:
+    """Candidate boxes (id and box) of a size around the middles of at most `most` labels, drawn by a repeatable order."""
+    drawn = labels.orderBy(shuffled(F.col("id"), seed), "id").limit(most)
+    x, y = (F.col("minx") + F.col("maxx")) / 2, (F.col("miny") + F.col("maxy")) / 2
+    return drawn.select("id", (x - size / 2).alias("minx"), (y - size / 2).alias("miny"), (x + size / 2).alias("maxx"), (y + size / 2).alias("maxy"))
+
+
+def challenge_area(labels: DataFrame, inventory: DataFrame, size: float, least_labels: int = 2, most: int = 50, seed: int = 42) -> DataFrame:
+    """The candidate box with the most inventory for its labels (see best_area), with both counts; no row if none fits.
+
+    All candidates are scored at once; a search that stops at the first good one would do less here, not more.
+    """
+    boxes = challenge_boxes(labels, size, most, seed)
+    counted = boxes.join(T.match_counts(boxes, labels, "n_labels"), "id").join(T.match_counts(boxes, inventory, "n_inventory"), "id")
+    return best_area(counted, least_labels)

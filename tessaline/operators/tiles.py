@@ -26,6 +26,13 @@ def windows(spark: SparkSession, height: int, width: int, window: int, overlap:
     return out.select("row_off", "col_off", F.lit(min(window, height)).alias("h"), F.lit(min(window, width)).alias("w"))
 
 
+def training_grid(spark: SparkSession, height: int, width: int, tile: int, stride: int, buffer: int = 0) -> DataFrame:
+    """windows() that advance by the stride, each grown by the buffer and cut at the raster's edges."""
+    out = windows(spark, height, width, tile, tile - stride)
+    low, high = lambda c: F.greatest(F.col(c) - buffer, F.lit(0)), lambda c, n, most: F.least(F.col(c) + F.col(n) + buffer, F.lit(most))
+    return out.select(low("row_off").alias("row_off"), low("col_off").alias("col_off"), (high("row_off", "h", height) - low("row_off")).alias("h"), (high("col_off", "w", width) - low("col_off")).alias("w"))
+
+
 def assigned(pixels: DataFrame, height: int, width: int, window: int, overlap: int) -> DataFrame:
     """pixels with row_off and col_off, once for each window that holds them.
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..operators import composite, extraction, focal, inference, raster, sampling, scenes, stack
-from ..sources import files
+from ..sources import files, manifests
 from ..sources.manifests import Grid
 from .config import ConfigurationError, Settings
 
@@ -38,6 +38,31 @@ def composite_stack(catalog: DataFrame, observations: DataFrame, settings: Setti
     return composite.concatenated(medians, ["row", "col"], own.seasons).join(whole, ["row", "col"], "left_semi")
 
 
+def composite_areas(spark, catalog: DataFrame, observations: DataFrame, grids: dict[str, Grid], settings: Settings, out: str, created_utc: str) -> list[str]:
+    """A composite, as a raster, and its manifest for each area (a column of both tables) that has scenes, and their index.
+
+    The number of areas is that of the orders, not of the data; each area is a plan of its own, so that one without scenes or
+    without whole pixels is left out and the others are written. The manifests' paths, in the areas' order.
+    """
+    from pathlib import Path
+
+    paths = []
+    for name, grid in grids.items():
+        bands = composite_stack(catalog.where(F.col("area") == name), observations.where(F.col("area") == name), settings)
+        if bands.isEmpty():
+            continue
+        folder = Path(out) / name
+        folder.mkdir(parents=True, exist_ok=True)
+        labels = settings.composite.seasons
+        files.write_raster(bands, str(folder / "composite"), labels)
+        source = manifests.Source("sentinel2", str(folder / "composite"), tuple(labels))
+        (folder / "stack.json").write_text(manifests.manifest_json(grid, [source], created_utc), encoding="utf-8")
+        paths.append(str(folder / "stack.json"))
+    if paths:
+        (Path(out) / "index.json").write_text(manifests.index_json(paths, created_utc), encoding="utf-8")
+    return paths
+
+
 def training_tiles(grid: DataFrame, labels: DataFrame, inventory: DataFrame, settings: Settings) -> DataFrame:
     own = settings.sampling
     return sampling.training_manifest(grid, labels, inventory, own.margin, own.ratio, own.seed)

@@ -7,7 +7,9 @@ point lies in an area if it lies in an odd number of its rings.
 from __future__ import annotations
 
 import json
+import math
 import re
+from pathlib import Path
 
 Ring = list[tuple[float, float]]
 
@@ -133,3 +135,51 @@ def grown_box(rings: list[Ring], metres: float) -> Ring:
     dy = metres / 111320.0
     dx = metres / (111320.0 * math.cos(math.radians((miny + maxy) / 2)))
     return box(minx - dx, miny - dy, maxx + dx, maxy + dy)
+
+
+def cleaned(rings: list[Ring]) -> list[Ring]:
+    """Rings without repeated points; what has no area is dropped. Nothing left is an error. Sides that cross are not untangled."""
+    out = []
+    for ring in rings:
+        own = [p for k, p in enumerate(ring) if p != ring[k - 1]]
+        if len(own) > 2 and abs(signed_area(own)) > 0:
+            out.append(own)
+    if not out:
+        raise ValueError("The area holds no polygon")
+    return out
+
+
+def polygons(rings: list[Ring]) -> list[list[Ring]]:
+    """The single polygons of an area: each outer ring with the holes that follow it."""
+    out: list[list[Ring]] = []
+    for ring in cleaned(rings):
+        if signed_area(ring) > 0 or not out:
+            out.append([ring])
+        else:
+            out[-1].append(ring)
+    return out
+
+
+def read(source: str) -> list[Ring]:
+    """An area from text, or from a file of such text; binary vector files and empty files are errors."""
+    own = Path(source)
+    try:
+        there = own.is_file()
+    except OSError:  # a long text is no path
+        there = False
+    if not there:
+        return cleaned(parse(source))
+    if own.suffix.lower() in (".gpkg", ".shp"):
+        raise ValueError(f"{own.suffix} files need another reader; give the area as text, JSON or WKT")
+    return cleaned(parse(own.read_text(encoding="utf-8")))
+
+
+def rounded(ring: Ring, distance: float, segments: int = 16) -> Ring:
+    """A convex ring, grown by a distance with arcs of so many segments for each right angle; others are grown from their hull.
+
+    For no distance, the ring itself.
+    """
+    if distance <= 0:
+        return ring
+    arc = [(distance * math.cos(k * math.pi / 2 / segments), distance * math.sin(k * math.pi / 2 / segments)) for k in range(4 * segments)]
+    return hull([(x + dx, y + dy) for x, y in hull(ring) for dx, dy in arc])

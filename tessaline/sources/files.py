@@ -84,3 +84,12 @@ def dem_products(payload: str) -> list[dict]:
             name = item.get("title") or item.get("entityId") or item.get("id") or "dem_tile"
             out.append({"product_id": name, "download_url": usable[0], "size": int(item.get("sizeInBytes") or item.get("unitSize") or 0)})
     return out
+
+
+def clear_folder(spark: SparkSession, path: str) -> None:
+    """An empty folder at path, whatever was there; a failure is an error."""
+    own = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = own.getFileSystem(spark._jsc.hadoopConfiguration())
+    if system.exists(own) and not system.delete(own, True):
+        raise OSError(f"Can't clear {path}")
+    system.mkdirs(own)

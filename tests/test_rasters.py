@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tessaline.functions import crs
 from tessaline.operators import extraction, raster
+from tessaline.sources import areas
 from tessaline.sources.manifests import Grid
 
 NODATA = -9999.0
@@ -227,3 +228,63 @@ def test_label_preparation(spark):
     tiles = spark.createDataFrame([(1, 5070), (2, 32616)], "id int, epsg int")
     sets = spark.createDataFrame([(5070, "a.gpkg")], "epsg int, labels string")
     assert {r["id"]: r["labels"] for r in extraction.labels_by_system(tiles, sets).collect()} == {1: "a.gpkg", 2: None}
+
+
+def test_opened_sources(spark):
+    """Imagery stays as it is, others are warped to the stack's grid by their kernel."""
+    array = np.arange(16.0).reshape(1, 4, 4)
+    grid = grid_of(8, 8, 0.0, 100.0, 0.5)
+    source = raster_of(spark, array)
+    assert raster.opened(source, grid, "naip", scale_max=2.0).cells is source.cells
+    near = {(r["row"], r["col"]): r["bands"][0] for r in raster.opened(source, grid, "dem", "nearest").cells.collect()}
+    assert near == {(r, c): array[0, r // 2, c // 2] for r in range(8) for c in range(8)}
+    smooth = {(r["row"], r["col"]): r["bands"] for r in raster.opened(source, grid, "dem").cells.collect()}
+    for r in range(8):
+        for c in range(8):
+            assert smooth[r, c] == pytest.approx(plain_bilinear(array, (r + 0.5) / 2 - 0.5, (c + 0.5) / 2 - 0.5))
+
+
+def test_grown_areas(spark):
+    rings = areas.parse("MULTIPOLYGON (((-85 42, -84.99 42, -84.99 42.01, -85 42.01, -85 42), (-84.997 42.003, -84.995 42.003, -84.995 42.005, -84.997 42.003)), ((10 -33, 10.01 -33, 10.01 -32.99, 10 -33)))")
+    assert [len(p) for p in raster.grown_polygons(spark, rings)] == [2, 1]
+    grown = raster.grown_polygons(spark, rings, 500.0)
+    for own, more in zip(areas.polygons(rings), grown):
+        assert len(more) == 1 and all(areas.contains(more, x, y) for x, y in own[0])
+        minx, miny, maxx, maxy = areas.bounds(own)
+        gx0, gy0, gx1, gy1 = areas.bounds(more)
+        assert (miny - gy0) * 111_000 == pytest.approx(500, rel=0.02) and (gy1 - maxy) * 111_000 == pytest.approx(500, rel=0.02) and gx0 < minx and gx1 > maxx
+    labels = spark.createDataFrame([(0.0, 1e6, 10.0, 1.00001e6), (500.0, 1.0002e6, 700.0, 1.0003e6)], "minx double, miny double, maxx double, maxy double")
+    ring = raster.acquisition_ring(labels, 1000.0)
+    back = raster.projected_points(spark, ring, 4326, 5070)
+    assert areas.bounds([back]) == pytest.approx((-1000, 999_000, 1700, 1_001_300), abs=1e-3)
+    assert areas.signed_area(back) == pytest.approx(700 * 300 + 2 * 1000 * 1000 + 4 * 16 * 0.5 * 1e6 * math.sin(math.pi / 32), rel=1e-6)
+    with pytest.raises(ValueError):
+        raster.acquisition_ring(labels.limit(0))
+
+
+def test_areas_from_files(tmp_path):
+    (tmp_path / "a.json").write_text('{"type": "Polygon", "coordinates": [[[0,0],[0,0],[4,0],[4,4],[0,4],[0,0]]]}')
+    assert areas.read(str(tmp_path / "a.json")) == [[(0, 0), (4, 0), (4, 4), (0, 4)]] == areas.read("0,0,4,4")
+    (tmp_path / "a.gpkg").write_text("")
+    (tmp_path / "empty.txt").write_text("")
+    for bad in ("a.gpkg", "empty.txt"):
+        with pytest.raises(ValueError):
+            areas.read(str(tmp_path / bad))
+    with pytest.raises(ValueError):
+        areas.read("POLYGON ((0 0, 1 1, 0 0))")
+
+
+def test_areas_are_written(spark, tmp_path):
+    """Composites, manifests and an index; an area without scenes is left out."""
+    from tessaline.plans import config, pipelines
+    from tessaline.sources import files, manifests
+
+    catalog = spark.sql("select id as item_id, 0 as tile_id, timestamp'2020-04-01' + make_interval(0, id * 3) as ts, 10.0D as cloud_cover, id as ord, 'a' as area from range(3)")
+    obs = spark.sql("select s.id as scene, 0 as row, c.id as col, timestamp'2020-04-01' + make_interval(0, s.id * 3) as ts, 4 as scl, 1000.0D * (c.id + 1) as dn, 'a' as area from range(3) s cross join range(2) c cross join range(3) n")
+    grids = {"b": grid_of(1, 2), "a": grid_of(1, 2)}
+    paths = pipelines.composite_areas(spark, catalog, obs, grids, config.build({"composite": {"years": [2020]}}), str(tmp_path), "2024-01-01T00:00:00Z")
+    assert [p.split("/")[-2] for p in paths] == ["a"] and [str(p) for p in manifests.resolve(tmp_path / "index.json")] == paths
+    rows = manifests.read_manifests(spark, paths[0]).collect()
+    assert files.read_raster(spark, rows[0]["path"]).count() == 2 and rows[0]["band_labels"] == ["SPR", "SUM", "FAL"]
+    files.clear_folder(spark, str(tmp_path / "a"))
+    assert list((tmp_path / "a").iterdir()) == []
