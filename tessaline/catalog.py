@@ -74,12 +74,12 @@ def st2_keep_first(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH {B.SCENES}, n AS (SELECT 'S2A_' || CAST(tile_id AS VARCHAR) || '_' || CAST(item_id AS VARCHAR) AS name FROM scenes)
-SELECT name, coalesce(nullif(split_part(name, '_', 2), ''), 'unknown') AS tile, 'S2_SPR_' || split_part(name, '_', 2) AS label, 5070 AS epsg,
+SELECT name, coalesce(nullif(split_part(name, '_', 2), ''), 'unknown') AS tile, 'S2_SPR_' || split_part(name, '_', 2) AS label, CAST(32600 + CAST(split_part(name, '_', 2) AS INT) AS INT) AS epsg,
  translate(name, ' /:', '_--') || '.tif' AS filename FROM n""")
 def pj9_scene_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = B.scenes(spark, sf_dir).select(F.concat_ws("_", F.lit("S2A"), F.col("tile_id").cast("string"), F.col("item_id").cast("string")).alias("name"))
     tile = S.tile_of(F.col("name"))
-    return n.select("name", tile.alias("tile"), S.band_label(F.lit("SPR"), tile).alias("label"), S.epsg_of(F.lit("EPSG:5070")).alias("epsg"), S.safe_filename(F.col("name")).alias("filename"))
+    return n.select("name", tile.alias("tile"), S.band_label(F.lit("SPR"), tile).alias("label"), S.epsg_of(F.concat(F.lit("EPSG:"), (F.lit(32600) + tile.cast("int")).cast("string"))).alias("epsg"), S.safe_filename(F.col("name")).alias("filename"))
 
 
 @query("""WITH p AS (SELECT o_orderkey AS id, o_custkey % 3 AS priority, o_custkey % 5 AS area, nullif(o_orderpriority, '5-LOW') AS url FROM orders),
@@ -455,9 +455,9 @@ def rs2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stack.nearest(B.elevation(spark, sf_dir), targets(spark, sf_dir))
 
 
-@query("SELECT count(DISTINCT p_brand) <= 1 AS same_crs, max(p_size) - min(p_size) <= 1e-6 AS same_res, count(DISTINCT 4) <= 1 AS same_bands FROM part")
+@query("SELECT count(DISTINCT p_brand) <= 1 AS same_crs, max(p_size) - min(p_size) <= 1e-6 AS same_res, count(DISTINCT p_partkey % 2) <= 1 AS same_bands FROM part")
 def ag16_uniform_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stack.uniform(B.table(spark, sf_dir, "part").select(F.col("p_brand").alias("crs"), F.col("p_size").alias("res"), F.lit(4).alias("bands")))
+    return stack.uniform(B.table(spark, sf_dir, "part").select(F.col("p_brand").alias("crs"), F.col("p_size").alias("res"), (F.col("p_partkey") % 2).alias("bands")))
 
 
 # --- sampling ---------------------------------------------------------------------------------------------------------

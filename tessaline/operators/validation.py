@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 
+# The columns of the report, in the order that its readers expect.
 REPORT = ["season_raster", "season_label", "years", "pixel_name", "band", "band_label", "source_type", "item_id", "observation_datetime", "asset_id", "raw_value", "scaled_value", "median_value", "lon", "lat", "row", "col"]
 
 
