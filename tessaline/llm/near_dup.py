@@ -20,8 +20,8 @@ BANDS, ROWS = 28, 5
 SKETCH_BITS = 512
 #: Standard deviations of the sketch's estimate that a pair may lie below the threshold and still be confirmed on full sets.
 SLACK = 5.5
-#: Hashed words that a worker remembers.
-WORDS_KEPT = 300_000
+#: Hashed words that a worker remembers before it starts anew.
+WORDS_KEPT = 100_000
 #: Rounds in which members of a bucket meet one centre each.
 STARS = 2
 _CHUNK = 2048
@@ -39,7 +39,9 @@ class WordHashes(dict):
 
     def __missing__(self, word: bytes) -> int:
         out = xxhash.xxh3_64_intdigest(word)
-        if len(self) < WORDS_KEPT and len(word) <= 40:
+        if len(word) <= 40:
+            if len(self) >= WORDS_KEPT:
+                self.clear()
             self[word] = out
         return out
 

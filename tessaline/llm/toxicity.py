@@ -21,8 +21,8 @@ SAMPLE_ROWS, SAMPLE_PARTS = 6000, 32
 #: odds are at least so large.
 LEAST_TEXTS, LEAST_ODDS = 3, 3.0
 EPOCHS, RATE, DECAY = 20, 0.3, 1e-3
-#: Distinct tokens whose weight a worker remembers.
-TOKENS_KEPT = 300_000
+#: Distinct tokens whose weight a worker remembers before it starts anew.
+TOKENS_KEPT = 100_000
 
 # Letters that a written character may stand for, besides itself, and the cost of each reading in nats.
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "<": "c", "€": "e", "£": "l", "%": "x", "*": "aeiou", "#": "h"}
@@ -177,7 +177,9 @@ class Scorer(dict):
 
     def __missing__(self, token: str) -> float:
         out = sum(max((self.weights.get(f, 0.0) for f in features(w)), default=0.0) for w in self.words(token))
-        if len(self) < TOKENS_KEPT and len(token) <= 40:
+        if len(token) <= 40:
+            if len(self) >= TOKENS_KEPT:
+                self.clear()
             self[token] = out
         return out
 
