@@ -12,10 +12,11 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Bytes of a row group of stored tables: a task holds that much of what it writes, and hands it over at once.
+ROW_GROUP = 16 << 20
 #: Rows that a worker handles at a time, so that its memory doesn't depend on Spark's batch size.
 SLICE_ROWS = 1024
 
@@ -42,7 +43,7 @@ def materialise(df: DataFrame, name: str, lasting: bool = False) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     _written[path] = lasting
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", ROW_GROUP).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._stored_at = path
     return out
@@ -60,13 +61,14 @@ def _delete(spark: SparkSession, path: str) -> None:
 
 @contextmanager
 def scratch(spark: SparkSession):
-    """Deletes the tables that materialise() writes inside, also after a failure; lasting ones are left to an outer scratch()."""
-    before = set(_written)
+    """Deletes the tables that materialise() writes inside; lasting ones are left to an outer scratch(), but go after a failure."""
+    before, failed = set(_written), True
     try:
         yield
+        failed = False
     finally:
         for path in [p for p in _written if p not in before]:
-            if _written[path]:
+            if _written[path] and not failed:
                 _written[path] = False
             else:
                 _delete(spark, path)
@@ -114,6 +116,8 @@ def ship(spark: SparkSession) -> None:
 
 def by_size(texts: pa.Array, most: int = 1 << 20) -> Iterator[pa.Array]:
     """The texts in runs of at most `most` bytes together; a longer text is a run of its own."""
+    import pyarrow.compute as pc
+
     ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
     start = 0
     while start < len(texts):

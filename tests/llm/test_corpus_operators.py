@@ -51,6 +51,24 @@ def test_materialised_tables_can_be_deleted(spark):
     assert spark._jvm.java.io.File(path.removeprefix("file://")).exists() is False
 
 
+def test_operators_leave_only_their_results(spark):
+    """What is stored on the way goes, also after a failure; a result's table stays until it is forgotten."""
+    common.forget(spark)
+    text = " ".join(f"w{k}" for k in range(40))
+    df = docs_of(spark, [text, text + " x", "other text " * 9])
+    benchmark = spark.createDataFrame([(1, text)], "item_id long, text string")
+    for run, n in ((lambda: near_dup.near_duplicates(df, 2), 1), (lambda: decontaminate.contamination(df, benchmark), 1), (lambda: decontaminate.without_contaminated(df, benchmark), 1)):
+        run().count()
+        assert len(common._written) == n
+        assert common.forget(spark) == n and not common._written
+    with pytest.raises(ZeroDivisionError), common.scratch(spark):
+        common.materialise(spark.range(3).toDF("x"), "probe", lasting=True)
+        with common.scratch(spark):
+            inner = common.materialise(spark.range(3).toDF("x"), "probe")
+            1 / 0
+    assert not common._written and not spark._jvm.java.io.File(inner._stored_at.removeprefix("file:")).exists()
+
+
 # --- token counts and packing
 
 
