@@ -22,7 +22,7 @@ SAMPLE_ROWS, SAMPLE_PARTS = 6000, 32
 LEAST_TEXTS, LEAST_ODDS = 3, 3.0
 EPOCHS, RATE, DECAY = 20, 0.3, 1e-3
 #: Distinct tokens whose weight a worker remembers before it starts anew.
-TOKENS_KEPT = 100_000
+TOKENS_KEPT = 250_000
 
 # Letters that a written character may stand for, besides itself, and the cost of each reading in nats.
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "<": "c", "€": "e", "£": "l", "%": "x", "*": "aeiou", "#": "h"}
