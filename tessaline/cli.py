@@ -35,8 +35,8 @@ def parser() -> argparse.ArgumentParser:
     topography = steps.add_parser("topography", help="terrain bands of a surface")
     topography.add_argument("--surface", required=True, help="row, col, z")
     topography.add_argument("--cell", type=float, required=True)
-    topography.add_argument("--small", type=float, default=150.0)
-    topography.add_argument("--large", type=float, default=1000.0)
+    topography.add_argument("--small", type=float)
+    topography.add_argument("--large", type=float)
     topography.add_argument("--out", required=True)
 
     infer = steps.add_parser("infer", help="classes of a raster by an ONNX model")
@@ -51,14 +51,14 @@ def parser() -> argparse.ArgumentParser:
     infer.add_argument("--threshold", type=float)
     infer.add_argument("--min-area", type=int)
     infer.add_argument("--channels", type=int)
-    infer.add_argument("--tolerance", type=float, default=0.0)
+    infer.add_argument("--tolerance", type=float)
     return out
 
 
 def settings_of(args: argparse.Namespace) -> config.Settings:
     """Settings from the file, if one is named, and the options given, which count more."""
-    sections = {"composite": ["seasons", "years", "cloud_cover", "min_clear", "dilation", "max_scenes"], "sample": ["ratio", "margin", "seed"], "infer": ["window", "overlap", "classes", "threshold", "min_area"]}
-    names = {"composite": "composite", "sample": "sampling", "infer": "inference"}
+    sections = {"composite": ["seasons", "years", "cloud_cover", "min_clear", "dilation", "max_scenes"], "sample": ["ratio", "margin", "seed"], "topography": ["small", "large"], "infer": ["window", "overlap", "classes", "threshold", "min_area", "tolerance"]}
+    names = {"composite": "composite", "sample": "sampling", "topography": "topography", "infer": "inference"}
     given = {n: getattr(args, n) for n in sections.get(args.step, []) if getattr(args, n) is not None}
     explicit = {names[args.step]: given} if given else {}
     return config.load(args.config, explicit) if args.config else config.build(None, explicit)
@@ -81,13 +81,13 @@ def main(argv: list[str] | None = None) -> int:
     elif args.step == "sample":
         pipelines.training_tiles(read(args.grid), read(args.labels), read(args.inventory), own).write.mode("overwrite").parquet(args.out)
     elif args.step == "topography":
-        files.write_raster(focal.terrain_bands(read(args.surface), args.cell, args.small, args.large), args.out, ["Slope", "TPI_small", "TPI_large", "Depression_Depth"])
+        files.write_raster(focal.terrain_bands(read(args.surface), args.cell, own.topography.small, own.topography.large), args.out, ["Slope", "TPI_small", "TPI_large", "Depression_Depth"])
     else:
         content = json.loads(Path(args.manifest).read_text(encoding="utf-8"))["grid"]
         grid = manifests.Grid(content["crs"], tuple(content["transform"]), content["width"], content["height"], content.get("nodata", manifests.NODATA))
         source = raster.Raster(files.read_raster(spark, args.raster), grid, tuple(files.band_labels(spark, args.raster)))
-        mask = pipelines.infer_raster(source, pipelines.onnx_model(args.model), own, args.channels)
-        print(*pipelines.infer_to(mask, grid, own, args.raster, args.mask, args.vectors, args.tolerance), sep="\n")
+        mask = pipelines.infer_raster(source, pipelines.onnx_model(args.model), own, args.channels or own.model.channels)
+        print(*pipelines.infer_to(mask, grid, own, args.raster, args.mask, args.vectors), sep="\n")
     return 0
 
 

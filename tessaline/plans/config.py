@@ -15,6 +15,9 @@ def _require(condition: bool, message: str) -> None:
         raise ConfigurationError(message)
 
 
+# The defaults of all settings below are those that users of such tools know.
+
+
 @dataclass
 class Tiling:
     tile_size: int = 512
@@ -34,7 +37,7 @@ class Sampling:
     seed: int = 42
 
     def validate(self) -> None:
-        _require(self.ratio >= 0, "ratio must not be negative")
+        _require(self.ratio > 0, "ratio must be positive")
         _require(self.margin >= 0, "margin must not be negative")
 
 
@@ -62,8 +65,12 @@ class Inference:
     classes: int = 2
     threshold: float | None = None
     min_area: int = 1000
+    tolerance: float = 1.0
+    batch_size: int = 4
 
     def validate(self) -> None:
+        _require(self.tolerance >= 0, "tolerance must not be negative")
+        _require(self.batch_size > 0, "batch_size must be positive")
         _require(self.window > 0, "window must be positive")
         _require(0 <= self.overlap < self.window, "overlap must lie between 0 and the window")
         _require(self.classes >= 2, "classes must be at least 2")
@@ -71,12 +78,67 @@ class Inference:
         _require(self.min_area >= 0, "min_area must not be negative")
 
 
+@dataclass
+class Model:
+    """What a trained model expects; None leaves the number of channels to the stack."""
+
+    architecture: str = "unet"
+    encoder: str = "resnet34"
+    encoder_weights: str | None = "imagenet"
+    channels: int | None = None
+
+    def validate(self) -> None:
+        _require(bool(self.architecture), "architecture must be given")
+        _require(bool(self.encoder), "encoder must be given")
+        _require(self.channels is None or self.channels > 0, "channels must be positive")
+
+
+@dataclass
+class Training:
+    """What a trainer outside this engine is told; the split and the target size also shape the tiles."""
+
+    batch_size: int = 4
+    epochs: int = 25
+    learning_rate: float = 0.001
+    weight_decay: float = 1e-4
+    validation: float = 0.2
+    seed: int = 42
+    target_size: tuple[int, int] | None = None
+    resize: str = "resize"
+    workers: int | None = None
+
+    def validate(self) -> None:
+        for name in ("batch_size", "epochs", "learning_rate"):
+            _require(getattr(self, name) > 0, f"{name} must be positive")
+        _require(self.weight_decay >= 0, "weight_decay must not be negative")
+        _require(0 <= self.validation < 1, "validation must lie between 0 and 1")
+        _require(self.resize in ("resize", "pad"), "resize must be resize or pad")
+        _require(self.target_size is None or (len(self.target_size) == 2 and min(self.target_size) > 0), "target_size must be a positive height and width")
+        _require(self.workers is None or self.workers >= 0, "workers must not be negative")
+
+
+@dataclass
+class Topography:
+    buffer: float = 200.0
+    small: float = 30.0
+    large: float = 150.0
+    resolution: str | None = None
+
+    def validate(self) -> None:
+        _require(self.buffer >= 0, "buffer must not be negative")
+        _require(0 < self.small <= self.large, "radii must be positive, the small one first")
+        _require(self.resolution in (None, "1m", "10m", "30m"), "resolution must be 1m, 10m or 30m")
+
+
 @dataclass
 class Settings:
     tiling: Tiling = field(default_factory=Tiling)
     sampling: Sampling = field(default_factory=Sampling)
     composite: Composite = field(default_factory=Composite)
     inference: Inference = field(default_factory=Inference)
+    model: Model = field(default_factory=Model)
+    training: Training = field(default_factory=Training)
+    topography: Topography = field(default_factory=Topography)
     paths: dict[str, str] = field(default_factory=dict)
 
     def validate(self) -> None:

@@ -84,7 +84,7 @@ def model_input(spark, sources: list[tuple[DataFrame, int]], window: tuple[int,
     return read.select("row", "col", F.transform(S.prepared(F.col("bands"), channels), S.to_byte).alias("bands"))
 
 
-def topography(dems: list[raster.Raster], grid: Grid, small: float = 150.0, large: float = 1000.0) -> raster.Raster:
+def topography(dems: list[raster.Raster], grid: Grid, small: float = 30.0, large: float = 150.0) -> raster.Raster:
     """Terrain bands on a grid: the elevation tiles mosaicked, warped to the grid, and derived there; no tiles are an error."""
     if not dems:
         raise FileNotFoundError("There are no elevation tiles")
@@ -125,13 +125,13 @@ def infer_raster(source: raster.Raster, model: Callable, settings: Settings, cha
     return inferred(source.cells, source.grid.height, source.grid.width, model, settings, raster.channels(source.labels, channels), source.grid.nodata, byte_scale=True)
 
 
-def infer_to(mask: DataFrame, grid: Grid, settings: Settings, source: str, mask_path: str | None = None, vector_path: str | None = None, tolerance: float = 0.0) -> tuple[str, str]:
+def infer_to(mask: DataFrame, grid: Grid, settings: Settings, source: str, mask_path: str | None = None, vector_path: str | None = None, tolerance: float | None = None) -> tuple[str, str]:
     """Write a mask and the outlines of its regions of at least min_area cells, beside their source unless told; the two paths."""
     mask_to, vector_to = files.output_paths(source, "unet_predictions", mask_path, vector_path)
     files.write_raster(mask.select("row", "col", F.array(F.col("class_id").cast("double")).alias("bands")), mask_to, ["class"], 0.0)
     cells = inference.regions(mask.where("class_id > 0"), grid.width)
     large = cells.join(inference.region_boxes(cells, settings.inference.min_area).select("region"), "region", "left_semi")
-    shapes = inference.outlines(large, tolerance, (grid.transform[2], grid.transform[5]), grid.transform[0])
+    shapes = inference.outlines(large, settings.inference.tolerance if tolerance is None else tolerance, (grid.transform[2], grid.transform[5]), grid.transform[0])
     files.write_vectors(shapes.withColumnRenamed("rings", "geometry"), vector_to, int(grid.crs.split(":")[-1]))
     return mask_to, vector_to
 

@@ -98,7 +98,7 @@ def test_files_and_products(tmp_path):
 def test_settings_precedence_and_checks():
     own = config.build({"inference": {"window": 64, "overlap": 8}, "paths": {"out": "x"}}, {"inference": {"window": 32}})
     assert own.inference.window == 32 and own.inference.overlap == 8 and own.tiling.tile_size == 512 and own.paths["out"] == "x"
-    for bad in ({"inference": {"overlap": 600}}, {"tiling": {"stride": 0}}, {"tiling": {"stride": 600}}, {"nothing": {}}, {"composite": {"seasons": ["WIN"]}}):
+    for bad in ({"inference": {"overlap": 600}}, {"tiling": {"stride": 0}}, {"tiling": {"stride": 600}}, {"nothing": {}}, {"composite": {"seasons": ["WIN"]}}, {"sampling": {"ratio": 0}}, {"model": {"channels": 0}}, {"training": {"validation": 1.0}}, {"training": {"target_size": (0, 4)}}, {"training": {"resize": "crop"}}, {"topography": {"resolution": "5m"}}, {"topography": {"small": 0}}, {"inference": {"tolerance": -1}}):
         with pytest.raises(config.ConfigurationError):
             config.build(bad)
 
