@@ -303,3 +303,16 @@ def deduplicated(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFram
 def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, by two-word shingles."""
     return near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
+
+
+OP10_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, CASE WHEN len(ws) = 1 THEN ws[1] ELSE ws[i] || ' ' || ws[i + 1] END AS g FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws), 2))) AS i FROM w WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 80 * (a.n + b.n - c)),
+e AS (SELECT x, y FROM l UNION SELECT y, x FROM l),
+r(node, label) AS (SELECT doc_id, doc_id FROM w UNION SELECT e.x, r.label FROM r JOIN e ON e.y = r.node)
+SELECT w.doc_id AS doc_id, CAST(coalesce(any_value(n.n), 0) AS BIGINT) AS n_shingles, min(label) AS component_id, w.doc_id = min(label) AS kept
+FROM w JOIN r ON r.node = w.doc_id LEFT JOIN n ON n.doc_id = w.doc_id GROUP BY w.doc_id
+"""

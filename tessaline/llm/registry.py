@@ -21,4 +21,5 @@ QUERIES = {
 ORACLE_SQL = {
     "op6_decontamination": decontaminate.OP6_SQL,
     "op7_url_filters": urls.OP7_SQL,
+    "op10_near_dup": near_dup.OP10_SQL,
 }

@@ -190,6 +190,13 @@ def test_near_duplicates_against_all_pairs(spark, texts):
         assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got)
 
 
+def test_near_duplicates_match_sql(spark, duck):
+    got = registry.QUERIES["op10_near_dup"](spark, FOLDER)
+    order = sorted(got.columns)
+    rows = sorted((tuple(r) for r in got.select(order).collect()), key=str)
+    assert rows == sql_rows(duck, registry.ORACLE_SQL["op10_near_dup"], order) and not all(r[order.index("kept")] for r in rows)
+
+
 def test_near_duplicate_edges(spark):
     df = spark.createDataFrame([(1, "a b c"), (1, "x y z"), (2, "x y z"), (3, "a b c"), (None, "a b c"), (4, ""), (5, ""), (5, "")], "doc_id long, text string")
     got = sorted((r["doc_id"] or 0, r["component_id"] or 0, r["kept"]) for r in near_dup.near_duplicates(df, 2).collect())
