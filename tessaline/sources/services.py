@@ -3,11 +3,19 @@
 from __future__ import annotations
 
 # The names under which an outside inventory lists its elevation datasets, in order of preference.
+NINTH = "National Elevation Dataset (NED) 1/9 arc-second"
+THIRD = "National Elevation Dataset (NED) 1/3 arc-second"
+WHOLE = "National Elevation Dataset (NED) 1 arc-second"
 DEFAULT_DATASETS = [
-    "Digital Elevation Model (DEM) 1 meter", "1-meter DEM", "3DEP Elevation: DEM (1 meter)", "Seamless 1-meter DEM (Limited Availability)", "DEM Source (OPR)",
-    "National Elevation Dataset (NED) 1/9 arc-second", "National Elevation Dataset (NED) 1/3 arc-second", "National Elevation Dataset (NED) 1 arc-second",
-]
-NINTH, THIRD, WHOLE = DEFAULT_DATASETS[-3:]
+    "Digital Elevation Model (DEM) 1 meter",
+    "1-meter DEM",
+    "3DEP Elevation: DEM (1 meter)",
+    "Seamless 1-meter DEM (Limited Availability)",
+    "DEM Source (OPR)",
+    NINTH,
+    THIRD,
+    WHOLE,
+]
 RESOLUTIONS = {"1m": DEFAULT_DATASETS, "10m": [THIRD, NINTH, WHOLE], "30m": [WHOLE, THIRD, NINTH]}
 FORMATS = "GeoTIFF,IMG,TIF"
 
