@@ -163,6 +163,8 @@ class Scorer(dict):
     def __init__(self, channel: Channel, weights: dict[str, float], bias: float):
         self.channel, self.weights, self.bias = channel, weights, bias
         self.whole = {f[:-1] for f in weights if f.endswith("$")}
+        self.heads = {w[:k] for w in self.whole for k in range(1, len(w))}
+        self.starts = {f[:4] for f in weights if not f.endswith("$")}
 
     def __reduce__(self):
         return Scorer, (self.channel, self.weights, self.bias)
@@ -176,7 +178,9 @@ class Scorer(dict):
         return _WORD.findall(token)
 
     def __missing__(self, token: str) -> float:
-        out = sum(max((self.weights.get(f, 0.0) for f in features(w)), default=0.0) for w in self.words(token))
+        plain = token.isalpha() and not _REPEATED.search(token)
+        weighty = (w for w in ([token] if plain else self.words(token)) if w[:4] in self.starts or w in self.whole)
+        out = sum(max((self.weights.get(f, 0.0) for f in features(w)), default=0.0) for w in weighty)
         if len(token) <= 40:
             if len(self) >= TOKENS_KEPT:
                 self.clear()
@@ -192,7 +196,7 @@ class Scorer(dict):
         own = set(row)
         own.update(" ".join(x.group().split()) for x in _SPACED.finditer(low))
         if self.whole:
-            own.update(f"{a} {b}" for a, b in zip(row, row[1:]) if a + b in self.whole)
+            own.update(f"{a} {b}" for a, b in zip(row, row[1:]) if a in self.heads and a + b in self.whole)
         return own
 
     def restored(self, text: str) -> str:
