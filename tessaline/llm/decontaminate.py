@@ -65,7 +65,11 @@ def positional_index(docs: DataFrame, vocabulary: DataFrame, named: bool = False
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), words(text).alias("own"), (digest(text) if named else F.lit(None).cast("binary")).alias("name"))
     each = rows.select("row", "doc_id", "name", "own", F.posexplode(F.concat(marker, F.col("own"))).alias("pos", "word"))
     at_start = F.col("pos") == 0
-    each = each.select("row", "doc_id", F.when(at_start, F.col("name")).alias("name"), F.when(at_start, F.size("own")).alias("n_words"), "pos", "word", F.when(~at_start, F.get("own", F.col("pos"))).alias("word_after"))
+    absent = F.concat(F.lit(" "), F.col("row").cast("string"))  # no word; a join by shuffle deals these out by row
+    after = F.when(~at_start, F.get("own", F.col("pos")))
+    each = each.select(
+        "row", "doc_id", F.when(at_start, F.col("name")).alias("name"), F.when(at_start, F.size("own")).alias("n_words"), "pos", F.coalesce("word", absent).alias("word"), F.coalesce(after, absent).alias("word_after")
+    )
     known = lean(vocabulary)
     found = each.join(known, "word", "left").where("pos = 0 or code is not null")
     found = found.join(known.select(F.col("word").alias("word_after"), F.col("code").alias("next")), "word_after", "left")
