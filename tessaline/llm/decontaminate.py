@@ -102,32 +102,34 @@ def phrases(index: DataFrame, benchmark: Benchmark) -> DataFrame:
 
 
 def near(index: DataFrame, benchmark: Benchmark) -> DataFrame:
-    """(row, window): full windows of which a share NEAR_SHARE of the words stand within SLOP of their places, one of them in its own.
+    """(row, window): full windows of which a share NEAR_SHARE of the words stand within SLOP of their places, seen from one of
+    the window's rarest words in its own place.
 
-    Of one word more than may be missing, taken from the rarest, a match holds one; of two more it holds two. So those two more
-    rarest words' postings give the documents with two of them near each other, and only there all words' lists are intersected.
+    The rarest words are two more than may be missing (least counts in the corpus first, then places), so a match holds two of
+    them. Their postings are few; each is paired with those that follow it closely, and pairs that no window's rarest words
+    could make go at once. Only where some are left all words' lists are intersected, within SLOP.
     """
     missing = WINDOW - math.ceil(WINDOW * NEAR_SHARE)
     counts = index.where("pos > 0").groupBy("code").agg(F.count("*").alias("n"))
     order = Window.partitionBy("window").orderBy(F.coalesce("n", F.lit(0)), "place")
     full = benchmark.terms.where(F.col("size") == WINDOW)
     ranked = full.join(counts, "code", "left").select("window", "place", "code", F.row_number().over(order).alias("rank"))
-    anchors = lean(materialise(ranked.where(F.col("rank") <= missing + 2).select("window", "place", "code"), "anchors"))
-    seen = index.where("pos > 0").select("row", "pos", "code").join(anchors, "code").select("row", "window", "place", (F.col("pos") - F.col("place")).alias("start"))
-    several = seen.groupBy("row", "window").agg(F.min("place").alias("low"), F.max("place").alias("high")).where("low < high").select("row", "window")
-    seen = materialise(seen.join(materialise(several, "several"), ["row", "window"]), "anchor-hits")
-    along = Window.partitionBy("row", "window").orderBy("start", "place")
-    before = seen.select("row", "window", "start", "place", F.lag("place").over(along).alias("other"), F.lag("start").over(along).alias("at"))
-    close = before.where(F.expr(f"other <> place and start - at <= {2 * SLOP}"))
-    around = F.sequence(F.col("start") - SLOP, F.col("at") + SLOP)  # all starts that both words stand near
-    starts = materialise(close.select("row", "window", F.explode(around).alias("start")).distinct(), "near-starts")
+    anchors = materialise(ranked.where(F.col("rank") <= missing + 2).select("window", "place", "code"), "anchors")
+    rare = index.where("pos > 0").select("row", "pos", "code").join(lean(materialise(anchors.select("code").distinct(), "anchor-words")), "code", "left_semi")
+    close = Window.partitionBy("row").orderBy("pos").rangeBetween(0, WINDOW - 1 + SLOP)  # itself too, for a word that a window repeats
+    two = rare.withColumn("others", F.collect_list(F.struct("pos", "code")).over(close)).select("row", "pos", "code", F.explode("others").alias("other"))
+    one, next_ = anchors.select("window", F.col("place").alias("p0"), F.col("code").alias("c0")), anchors.select("window", F.col("place").alias("p1"), F.col("code").alias("c1"))
+    couples = lean(materialise(one.join(next_, "window").where("p0 <> p1"), "couples"))
+    met = two.select("row", "pos", F.col("code").alias("c0"), F.col("other.pos").alias("then"), F.col("other.code").alias("c1")).join(couples, ["c0", "c1"])
+    met = met.select("row", "window", (F.col("pos") - F.col("p0")).alias("s0"), (F.col("then") - F.col("p1")).alias("s1")).where(F.abs(F.col("s0") - F.col("s1")) <= SLOP)
+    starts = materialise(met.select("row", "window", F.explode(F.array("s0", "s1")).alias("start")).distinct(), "near-starts")
     rows = materialise(starts.select("row").distinct(), "near-rows")
     part = index.where("pos > 0").select("row", "pos", "code").join(lean(rows), "row", "left_semi")
     offs = F.explode(F.sequence(F.lit(-SLOP), F.lit(SLOP)))
     wanted = starts.join(lean(materialise(full.select("window", "place", "code"), "full")), "window").select("row", "window", "start", "place", "code", offs.alias("off"))
     met = wanted.select("*", (F.col("start") + F.col("place") + F.col("off")).alias("pos")).join(part, ["row", "code", "pos"])
-    each = met.groupBy("row", "window", "start", "place").agg(F.min(F.abs("off")).alias("off"))
-    return each.groupBy("row", "window", "start").agg(F.count("*").alias("n"), F.min("off").alias("off")).where((F.col("n") >= WINDOW - missing) & (F.col("off") == 0)).select("row", "window").distinct()
+    each = met.groupBy("row", "window", "start").agg(F.count_distinct("place").alias("n"))
+    return each.where(F.col("n") >= WINDOW - missing).select("row", "window").distinct()
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, with_near: bool = True, named: bool = False) -> DataFrame:

@@ -5,6 +5,7 @@ import math
 import random
 import re
 import zlib
+from collections import Counter
 
 import duckdb
 import helpers as H
@@ -324,8 +325,9 @@ def test_index_is_no_larger_than_the_corpus(spark):
 
 
 def plain_near(docs, items):
-    """{doc_id: sorted ids} by trying every start of every full window."""
-    out = {}
+    """{doc_id: sorted ids} by trying every start of every full window, one of its four rarest words being in its place."""
+    docs, out = list(docs), {}
+    counts = Counter(w for _, text in docs for w in H.words_of(text))
     for doc, text in docs:
         own, found = H.words_of(text), set()
         stand = {}
@@ -334,9 +336,10 @@ def plain_near(docs, items):
         for item, words in ((i, H.words_of(t)) for i, t in items):
             for at in range(len(words) - 9):
                 window = words[at : at + 10]
+                rare = sorted(range(10), key=lambda k: (counts[window[k]], k))[:4]
                 for start in range(-12, len(own) + 3):
                     offs = [min((abs(p - start - k) for p in stand.get(w, ()) if abs(p - start - k) <= 2), default=None) for k, w in enumerate(window)]
-                    if sum(o is not None for o in offs) >= 8 and 0 in offs:
+                    if sum(o is not None for o in offs) >= 8 and any(offs[k] == 0 for k in rare):
                         found.add(str(item))
         out[doc] = sorted(found)
     return out
