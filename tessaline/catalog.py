@@ -671,7 +671,7 @@ def sc18_primary_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return B.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), S.first_url(urls).alias("url"))
 
 
-@query("""SELECT n_nationkey AS id, p AS place, CASE p WHEN 0 THEN 'naip' ELSE 's2' END AS type, CASE p WHEN 0 THEN 4 ELSE 7 END AS bands, -9999.0::DOUBLE AS nodata, CASE p WHEN 0 THEN 'nearest' ELSE 'bilinear' END AS resample
+@query("""SELECT n_nationkey AS id, CAST(p AS INT) AS place, CASE p WHEN 0 THEN 'naip' ELSE 's2' END AS type, CASE p WHEN 0 THEN 4 ELSE 7 END AS bands, -9999.0::DOUBLE AS nodata, CASE p WHEN 0 THEN 'nearest' ELSE 'bilinear' END AS resample
 FROM nation, range(2) r(p)""")
 def sc10_manifest_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Manifests as JSON text, read with the stack's schema and its defaults."""
