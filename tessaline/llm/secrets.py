@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded, table
+from .common import table
 
 # The base patterns, in the order in which kinds are listed; the group whose length counts, and the least length.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -28,10 +29,12 @@ ENCODINGS = {
     62: (_LOWER.upper() + _LOWER + "0123456789", 0.6223, 2.1, 0.3),
     64: (_LOWER.upper() + _LOWER + "0123456789+/", 0.6445, 2.5, 0.3),
 }
-#: Characters of the ordinary runs that each length class (floor of log2) is held against; longer classes share the last.
+#: Characters of the ordinary runs that each length class (floor of log2) is held against, each twice those before; longer classes
+#: share the last.
 LENGTHS = {4: 24, 5: 48, 6: 96}
-#: Texts whose words make ordinary runs, the characters read of each, and the runs of each length and encoding from one text.
-FIT_ROWS, FIT_CHARS, FIT_RUNS = 500, 1000, 2
+#: Letters of ordinary words, by place: 0 is a word's border. Streams of words that the letters' counts make, and characters of each.
+LETTERS = "/" + _LOWER + _LOWER.upper() + "0123456789"
+STREAMS, STREAM_CHARS = 500, 1000
 #: Weight, in runs, of the fixed values; ordinary text changes class at least this often where an encoding has several.
 FIT_PRIOR, LEAST_CHANGES = 50, 0.1
 #: Expected share of false findings among those of a length class.
@@ -123,36 +126,108 @@ def measured(size: Column, shown: Column) -> Column:
     return F.get(F.transform(F.array(own), tests), F.lit(0))
 
 
-def ordinary_runs(texts: DataFrame) -> DataFrame:
-    """Distinct (size, shown): the words of texts in a row, as an ordinary run of each encoding would hold them.
+def letter_counts(texts: DataFrame) -> DataFrame:
+    """(three, long, n): how often letters follow each other in the words of all texts, a / standing for each border of a word; long is
+    the length of the words that end there, else 0.
 
-    Words of 20 characters or more are left out. Signs stand between words where an encoding has them, capitals begin them where
-    it has two cases; what the encoding lacks is dropped.
+    Words have fewer than 20 characters. A word counts once by text that has it, and copies of a text count once.
     """
-    part = F.substring(F.col("own_text"), 1, FIT_CHARS)
-    words = F.regexp_extract_all(part, F.lit(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9]{1,19}(?![A-Za-z0-9+/_=-])"), F.lit(0))
-    named = F.array_join(F.transform("words", F.initcap), "")
-    small = F.lower(F.array_join("words", ""))
-    shapes = {16: F.regexp_replace(small, "[^0-9a-f]", ""), 26: F.translate(small, "0123456789", ""), 32: F.translate(small, "0189", ""), 36: small}
-    shapes |= {52: F.translate(named, "0123456789", ""), 62: named, 64: F.array_join("words", "/")}
-    step = texts.select(words.alias("words")).select(F.explode(F.array(*(F.struct(F.lit(k).alias("size"), v.alias("whole")) for k, v in shapes.items()))).alias("s"))
-    cut = [F.struct((F.lit(k * long + 1)).alias("at"), F.lit(long).alias("long")) for long in LENGTHS.values() for k in range(FIT_RUNS)]
-    step = step.select("s.*", F.explode(F.array(*cut)).alias("c")).select("size", F.col("whole").substr(F.col("c.at"), F.col("c.long")).alias("shown"), F.col("c.long").alias("long"))
-    return step.where(F.char_length("shown") == F.col("long")).select("size", "shown").distinct()
+    words = F.regexp_extract_all(F.col("own_text"), F.lit(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9]{1,19}(?![A-Za-z0-9+/_=-])"), F.lit(0))
+    known = texts.select(F.array_distinct(words).alias("words")).distinct().select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    places = F.explode(F.sequence(F.lit(1), F.char_length("word") + 1))
+    step = known.select(F.concat(F.lit("//"), "word", F.lit("/")).alias("whole"), places.alias("at"), "n")
+    long = F.when(F.col("at") == F.char_length("whole") - 2, F.col("at") - 1).otherwise(0)
+    return step.select(F.col("whole").substr(F.col("at"), F.lit(3)).alias("three"), long.alias("long"), "n").groupBy("three", "long").agg(F.sum("n").alias("n"))
+
+
+def ordinary_streams(counts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """STREAMS rows of STREAM_CHARS places in LETTERS: words in a row, by the counts of each letter after two others and of lengths."""
+    size = len(LETTERS)
+    upto = np.cumsum(counts.reshape(size * size, size)[:, 1:], axis=1)
+    longest = np.cumsum(lengths)
+    draw = np.random.default_rng(11)
+    out = np.zeros((STREAMS, STREAM_CHARS), dtype=np.int64)
+    a = b = left = np.zeros(STREAMS, dtype=np.int64)
+    for k in range(STREAM_CHARS):
+        left = np.where(b == 0, np.searchsorted(longest, draw.random(STREAMS) * longest[-1], side="right"), left) - 1
+        own = upto[a * size + b]
+        c = 1 + (own <= (draw.random(STREAMS) * own[:, -1])[:, None]).sum(axis=1)
+        c[(left < 0) | (own[:, -1] == 0)] = 0  # the word is long enough, or none goes on like this
+        a, b = np.where(c == 0, 0, b), c
+        out[:, k] = c
+    return out
+
+
+def ordinary_runs(streams: np.ndarray) -> dict[int, list[np.ndarray]]:
+    """By size: for each stream of words the symbols (places from 0) of an ordinary run of that encoding.
+
+    Signs stand between words where an encoding has them, capitals begin them where it has two cases; what the encoding lacks is
+    dropped.
+    """
+    signs = np.array([*LETTERS])
+    out = {size: [] for size in ENCODINGS}
+    place = {size: {c: k for k, c in enumerate(symbols)} for size, (symbols, *_) in ENCODINGS.items()}
+    for row in streams:
+        whole = "".join(signs[row]).strip("/")
+        named = "".join(w[:1].upper() + w[1:].lower() for w in whole.split("/"))
+        for size, shown in ((16, named.lower()), (26, named.lower()), (32, named.lower()), (36, named.lower()), (52, named), (62, named), (64, whole)):
+            out[size].append(np.array([place[size][c] for c in shown if c in place[size]], dtype=np.int64))
+    return out
+
+
+def run_statistics(size: int, runs: np.ndarray) -> np.ndarray:
+    """even, changes and serial, as measured() has them, for each row of symbols (places from 0)."""
+    n = runs.shape[1]
+    kinds = np.array([1 if c.islower() else 2 if c.isupper() else 3 if c.isdigit() else 4 for c in ENCODINGS[size][0]])[runs]
+    counts = np.zeros((len(runs), size))
+    np.add.at(counts, (np.arange(len(runs))[:, None], runs), 1)
+    centred = runs - runs.mean(axis=1, keepdims=True)
+    spread = (centred**2).sum(axis=1)
+    joint = (centred[:, 1:] * centred[:, :-1]).sum(axis=1)
+    serial = np.where(spread > 1e-9, joint / np.maximum(spread, 1e-9), 1.0)
+    return np.stack([(counts**2).sum(axis=1) * size / n**2 - 1 - (size - 1) / n, (kinds[:, 1:] != kinds[:, :-1]).mean(axis=1), serial])
+
+
+def ordinary_moments(texts: DataFrame) -> dict[tuple[int, int], dict[str, float]]:
+    """By size and length: mean and variance (v) of each test in ordinary text, their covariances (c and two places), and k, the
+    number of runs that the counted letters are enough for.
+
+    Letters and lengths of words are counted over all texts; the moments are those of the words that these counts make, by a fixed number of streams.
+    """
+    size = len(LETTERS)
+    counts, lengths = np.zeros((size,) * 3, dtype=np.int64), np.zeros(20, dtype=np.int64)
+    place = {c: k for k, c in enumerate(LETTERS)}
+    for r in letter_counts(texts).collect():  # at most len(LETTERS) ** 3 rows, and 20 times its square
+        counts[tuple(place[c] for c in r["three"])] += r["n"]
+        lengths[r["long"]] += r["n"] if r["long"] else 0
+    if not counts.any():
+        return {}
+    single = counts.sum(axis=(0, 1))
+    out = {}
+    for size, rows in ordinary_runs(ordinary_streams(counts, lengths)).items():
+        cased = ENCODINGS[size][0] + ENCODINGS[size][0].upper() + ENCODINGS[size][0].lower()
+        letters = sum(int(single[k]) for k, c in enumerate(LETTERS) if c in cased)
+        for n in LENGTHS.values():
+            runs = [row[: len(row) // n * n].reshape(-1, n) for row in rows]
+            if letters < n or not any(map(len, runs)):
+                continue
+            tests = run_statistics(size, np.concatenate(runs))
+            both = np.cov(tests, bias=True)
+            names = ("even", "changes", "serial")
+            own = {"k": letters // n} | dict(zip(names, tests.mean(axis=1).tolist())) | {f"v{c}": float(both[i, i]) for i, c in enumerate(names)}
+            out[size, n] = own | {f"c{i}{j}": float(both[i, j]) for i in range(3) for j in range(i + 1, 3)}
+    return out
 
 
 def fitted(texts: DataFrame) -> dict[tuple[int, int], tuple[float, float, float, float]]:
     """By size and length class: c0 to c3, by which c0 + c1 even + c2 changes + c3 serial is the normal score of ordinary text.
 
-    Each test's mean and deviation come from ordinary runs of the corpus; Stouffer's sum weighs a test by how far even use of the
+    Each test's mean and deviation are those of ordinary runs, by the letters of all texts; Stouffer's sum weighs a test by how far even use of the
     symbols lies from ordinary text, so random tokens score low, and is scaled by the tests' correlations.
     """
     names = ("even", "changes", "serial")
     pairs = [(i, j) for i in range(3) for j in range(i + 1, 3)]
-    total = bounded(texts, "own_text", FIT_ROWS, 4)
-    tests = ordinary_runs(total).select("size", F.explode(F.array(measured(F.col("size"), F.col("shown")))).alias("m")).select("size", "m.*")
-    sums = [F.count("*").alias("k"), *(F.avg(c).alias(c) for c in names), *(F.var_pop(c).alias(f"v{c}") for c in names), *(F.covar_pop(names[i], names[j]).alias(f"c{i}{j}") for i, j in pairs)]
-    known = {(r["size"], int(r["n"])): r for r in tests.groupBy("size", "n").agg(*sums).collect()}  # one row per size and length
+    known = ordinary_moments(texts)
     out = {}
     for size, (_, even_changes, far, rate) in ENCODINGS.items():
         for step, n in LENGTHS.items():
@@ -252,10 +327,10 @@ def thresholds(scores: DataFrame, false_share: float) -> DataFrame:
 def find_secrets(docs: DataFrame, text: str = "text", false_share: float = FALSE_SHARE) -> DataFrame:
     """docs with the column spans: array of (start, finish, rank, kind), by start and then kind (assign, access, hex, random).
 
-    Offsets count code points; finish is exclusive. Words of a bounded sample of texts show what ordinary runs look like. A
-    first pass counts the scores of all candidates by length class, which gives each class its threshold at a false-discovery
-    share of `false_share`; a second pass applies them in each row. Only the thresholds, one row per length class, come to the
-    driver. Nothing but those counts is shuffled.
+    Offsets count code points; finish is exclusive. The letters of all texts' words show what ordinary
+    runs look like. A second pass counts the scores of all candidates by length class, which gives each class its threshold at a
+    false-discovery share of `false_share`; a third applies them in each row. Only counts of letters after two others, and the
+    thresholds, one row per length class, come to the driver. The distinct words of each text, and counts, are shuffled.
 
     Null and empty texts have no spans. Each row is judged on its own, so repeated rows and ids get equal spans; an empty
     table gives no rows; all columns stay, and an own column named spans is replaced.

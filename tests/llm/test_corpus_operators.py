@@ -508,6 +508,32 @@ def test_random_spans_against_plain_loops(spark, documents):
         wrong, total = wrong + len(differ), total + len(want)
     assert wrong == 0 and total > 60
 
+def test_ordinary_text_is_fitted_to_all_texts(spark):
+    """Letters of all words of all whole texts, copies once, against plain loops; the runs they make against plain statistics."""
+    draw = random.Random(9)
+    names = ["".join(draw.choices("aeiou" if k % 2 else "bcdfgst", k=1)[0] for k in range(draw.randrange(2, 10))) for _ in range(300)] + ["B2b", "x4", "NASA", "1999"]
+    given = [" ".join(draw.choices(names, k=draw.randrange(0, 90))) for _ in range(700)] + ["late words of one text, " * 4000 + "QQ77 end", "", "x" * 30, "a/b"]
+    df = docs_of(spark, given + given[:300] + [None], extra=False).select(F.coalesce("text", F.lit("")).alias("own_text"))
+    want, runs = Counter(), {}
+    for text in set(given):
+        words = re.findall(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9]{1,19}(?![A-Za-z0-9+/_=-])", text)
+        for w in set(words):
+            want.update((f"//{w}/"[k : k + 3], len(w) if k == len(w) else 0) for k in range(len(w) + 1))
+        named = "".join(w[:1].upper() + w[1:].lower() for w in words[:90])
+        for size, whole in ((26, re.sub("[0-9]", "", named.lower())), (36, named.lower()), (62, named), (64, "/".join(words[:90]))):
+            runs.setdefault(size, []).extend(plain_statistics(size, whole[k : k + 48])[1:] for k in range(0, len(whole) - 47, 48))
+    assert {(r["three"], r["long"]): r["n"] for r in secrets.letter_counts(df).collect()} == want and want["QQ7", 0] == 1
+    got = secrets.ordinary_moments(df)
+    for size, own in runs.items():
+        mean, far, r = np.mean(own, axis=0), np.std(own, axis=0), got[size, 48]
+        assert np.all(np.abs(np.array([r["even"], r["changes"], r["serial"]]) - mean) < 0.3 * far + 0.01), (size, mean, far, r)
+        assert np.all(np.abs(np.sqrt([r["veven"], r["vchanges"], r["vserial"]]) - far) < 0.3 * far + 0.01), (size, mean, far, r)
+    for size, (symbols, *_) in secrets.ENCODINGS.items():
+        rows = np.array([[draw.randrange(size) for _ in range(48)] for _ in range(5)] + [[1] * 48])
+        assert secrets.run_statistics(size, rows).T == pytest.approx(np.array([plain_statistics(size, "".join(symbols[k] for k in row))[1:] for row in rows]))
+    assert secrets.fitted(df) == secrets.fitted(df.repartition(7))
+    assert secrets.ordinary_moments(df.limit(0)) == {}
+
 
 # --- URLs
 
