@@ -7,10 +7,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import in_arrow, labelled, slices, table
+from .common import bits, in_arrow, labelled, map_arrow, materialise, ranked, scratch, ship, slices, table
 
-#: Labelled documents for the forest and its threshold, at most.
-SAMPLE_ROWS = 20_000
+#: Every row grows one tree or more: so many that a tree has SUBSAMPLE rows, where there are so many, or its share of all.
 TREES, SUBSAMPLE, REACH = 128, 512, 1.5
 #: Share of labelled good rows that the threshold may reject.
 GOOD_LOST = 0.005
@@ -81,18 +80,47 @@ class Forest:
     """
 
     def __init__(self, rows: np.ndarray, reach: np.ndarray, seed: int = 5):
-        self.reach = reach
-        draw = np.random.default_rng(seed)
-        self.size = min(SUBSAMPLE, len(rows))
-        self.depth = max(1, int(np.ceil(np.log2(max(2, self.size)))) + 2)
+        self.clear(len(rows), reach, seed)
+        for t in range(TREES):
+            self.grow(t, rows[(t - np.arange(len(rows))) % TREES < self.copies])
+
+    def clear(self, n: int, reach: np.ndarray, seed: int = 5) -> Forest:
+        """Trees yet to be grown, for n rows, each in `copies` trees that follow each other."""
+        self.reach, self.seed = reach, seed
+        self.copies = max(1, min(TREES, -(-SUBSAMPLE * TREES // max(n, 1))))
+        self.size = round(n * self.copies / TREES)
+        self.depth = max(1, int(np.ceil(np.log2(max(2, min(SUBSAMPLE, self.size))))) + 2)
         nodes = 2 ** (self.depth + 1)
         self.feature = np.full((TREES, nodes), -1, dtype=np.int8)
         self.split = np.zeros((TREES, nodes), dtype=np.float64)
         self.path = np.zeros((TREES, nodes), dtype=np.float64)
-        for t in range(TREES):
-            self.grow(t, 1, rows[draw.choice(len(rows), self.size, replace=False)], 0, draw)
-
-    def grow(self, t: int, node: int, rows: np.ndarray, depth: int, draw) -> None:
+        return self
+
+    @classmethod
+    def over(cls, rows: DataFrame, n: int, reach: np.ndarray) -> Forest:
+        """A forest of all n rows (doc_id, features); each tree grows on an executor, on the rows dealt to it."""
+        out = cls.__new__(cls).clear(n, reach)
+        copies, types = out.copies, {"tree": pa.int32(), "node": pa.list_(pa.int32()), "feature": pa.list_(pa.int32()), "split": pa.list_(pa.float64()), "path": pa.list_(pa.float64())}
+
+        def run(own: pa.Table) -> pa.Table:
+            t = own.column("tree")[0].as_py()
+            one = cls.__new__(cls).clear(n, reach)
+            one.grow(t, np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in own.column("features").chunks]).reshape(-1, len(reach)))
+            used = np.flatnonzero((one.feature[t] >= 0) | (one.path[t] > 0))
+            return pa.table({k: pa.array([v], types[k]) for k, v in {"tree": t, "node": used, "feature": one.feature[t, used], "split": one.split[t, used], "path": one.path[t, used]}.items()})
+
+        ship(rows.sparkSession)
+        dealt = rows.select("features", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("step"), F.xxhash64("doc_id", F.lit(out.seed)).alias("home"))
+        dealt = dealt.select(F.pmod(F.pmod("home", F.lit(TREES)) + F.col("step"), F.lit(TREES)).cast("int").alias("tree"), "features")
+        for r in dealt.groupBy("tree").applyInArrow(run, "tree int, node array<int>, feature array<int>, split array<double>, path array<double>").collect():  # TREES rows
+            out.feature[r["tree"], r["node"]], out.split[r["tree"], r["node"]], out.path[r["tree"], r["node"]] = r["feature"], r["split"], r["path"]
+        return out
+
+    def grow(self, t: int, rows: np.ndarray) -> None:
+        """Tree t on its rows, in whatever order they come."""
+        self.branch(t, 1, rows, 0, np.random.default_rng([self.seed, t]))
+
+    def branch(self, t: int, node: int, rows: np.ndarray, depth: int, draw) -> None:
         if not len(rows):
             self.path[t, node] = depth
             return
@@ -105,8 +133,8 @@ class Forest:
         cut = draw.uniform(low[f] - self.reach[f], high[f] + self.reach[f])
         left = rows[:, f] <= cut
         self.feature[t, node], self.split[t, node] = f, cut
-        self.grow(t, 2 * node, rows[left], depth + 1, draw)
-        self.grow(t, 2 * node + 1, rows[~left], depth + 1, draw)
+        self.branch(t, 2 * node, rows[left], depth + 1, draw)
+        self.branch(t, 2 * node + 1, rows[~left], depth + 1, draw)
 
     def scores(self, rows: np.ndarray) -> np.ndarray:
         """0 to 1 by row: 2 to the power of minus the mean path length over that of a random tree."""
@@ -126,13 +154,8 @@ def average_path(n: int) -> float:
 class Judge:
     """A forest and the anomaly score above which a document is rejected."""
 
-    def __init__(self, features: np.ndarray, good: np.ndarray):
-        """The forest grows on the good rows if there are any; the threshold loses GOOD_LOST of them."""
-        self.forest = Forest(features[good] if good.any() else features, REACH * features.std(axis=0))
-        scores = self.forest.scores(features)
-        self.limit = 1.0
-        if good.any():
-            self.limit = float(np.quantile(scores[good], 1 - GOOD_LOST, method="higher"))
+    def __init__(self, forest: Forest, limit: float = 1.0):
+        self.forest, self.limit = forest, limit
 
     def scores(self, features: np.ndarray) -> np.ndarray:
         return self.forest.scores(features)
@@ -140,7 +163,7 @@ class Judge:
 
 def measured(docs: DataFrame, judge: Judge | None, carry: str | None = None) -> DataFrame:
     """doc_id, BASE, FEATURES (array), anomaly and method_ok for each row; carry is a column to keep."""
-    shared = docs.sparkSession.sparkContext.broadcast(judge)  # trees of at most SUBSAMPLE rows
+    shared = docs.sparkSession.sparkContext.broadcast(judge)  # TREES trees of bounded depth
     names = ["doc_id", *BASE, "features", "anomaly", "method_ok", *([carry] if carry else [])]
     kinds = [pa.int64(), *[pa.int64()] * len(BASE), pa.list_(pa.float64()), pa.float64(), pa.bool_(), *([pa.int64()] if carry else [])]
     schema = pa.schema(list(zip(names, kinds)))
@@ -165,15 +188,31 @@ def base_failed():
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Judge | None:
-    """A judge of those of a bounded sample of labelled documents (see labelled) that pass the base rules; None if there are none.
+    """A judge of all labelled documents (see labelled) that pass the base rules; None if there are none.
 
-    Quality 1 is good.
+    Quality 1 is good. The forest grows on all good rows if there are any, else on all rows; the threshold loses GOOD_LOST of all
+    good rows, which is an exact order statistic. Rows stay on the executors; trees and counts of bins come to the driver.
     """
-    sample = labelled(docs, labels, "quality", F.lit(True), SAMPLE_ROWS, 8)
-    rows = sorted(measured(sample, None, "quality").where(~base_failed()).select("doc_id", "features", "quality").collect())  # SAMPLE_ROWS rows
-    if not rows:
-        return None
-    return Judge(np.array([r["features"] for r in rows]), np.array([r["quality"] == 1 for r in rows]))
+    with scratch(docs.sparkSession):
+        found = measured(labelled(docs, labels, "quality", F.lit(True)), None, "quality").where(~base_failed())
+        rows = materialise(found.select("doc_id", "features", (F.col("quality") == 1).alias("good")), "features")
+        spread = [F.stddev_pop(F.col("features")[k]).alias(f"s{k}") for k in range(len(FEATURES))]
+        r = rows.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.col("good").cast("long")), F.lit(0)).alias("good"), *spread).first()
+        if not r["n"]:
+            return None
+        reach = REACH * np.array([float(f"{r[f's{k}']:.9g}") for k in range(len(FEATURES))])  # the last digits depend on the order of rows
+        if not r["good"]:
+            return Judge(Forest.over(rows, r["n"], reach))
+        good = rows.where("good")
+        forest = Forest.over(good, r["good"], reach)
+        shared = docs.sparkSession.sparkContext.broadcast(forest)  # TREES trees of bounded depth
+
+        def scored():
+            own = shared.value
+            return lambda batch: {"bits": bits(own.scores(batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, len(FEATURES))))} if batch.num_rows else None
+
+        scores = materialise(map_arrow(good.select("features"), scored, "bits long"), "scores")
+        return Judge(forest, ranked(scores, "bits", int(np.ceil((r["good"] - 1) * (1 - GOOD_LOST)))))
 
 
 def judged(docs: DataFrame, judge: Judge | None) -> DataFrame:

@@ -755,6 +755,38 @@ def test_forest_isolates_outliers():
     assert forest.scores(np.full((1, 4), 9.0))[0] > np.quantile(forest.scores(usual), 0.99)
 
 
+def test_forest_and_limit_come_from_all_labelled_rows(spark):
+    """More good rows than a bound of 20,000 would let in: each is in a tree, and the limit is the exact quantile of their scores."""
+    n = 30_000
+    words = F.transform(F.sequence(F.lit(1), 11 + F.col("id") % 19), lambda k: F.substring(F.sha2((F.col("id") * 31 + k).cast("string").cast("binary"), 256), 1, (2 + (F.col("id") + k) % 7).cast("int")))
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.array_join(words, " ").alias("text"))
+    labels = spark.range(n).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"))
+    judge = quality_rules.train(docs, labels)
+    given = dict(map(tuple, docs.collect()))
+    found = {k: quality_rules.statistics(t) for k, t in given.items()}
+    rows = np.array([x for (count, *_, repeats), x in found.values() if count >= 10 and 100 * repeats <= 20 * count])
+    assert len(rows) == n
+    forest = judge.forest
+    assert forest.copies == 3 and forest.size == round(n * 3 / quality_rules.TREES)
+    assert judge.limit == np.quantile(forest.scores(rows), 1 - quality_rules.GOOD_LOST, method="higher")
+    homes = [r[0] for r in docs.select(F.pmod(F.xxhash64("doc_id", F.lit(forest.seed)), F.lit(quality_rules.TREES))).collect()]
+    by_tree = [[x for x, home in zip(found.values(), homes) if (t - home) % quality_rules.TREES < 3] for t in (0, 77)]
+    plain = quality_rules.Forest.__new__(quality_rules.Forest).clear(n, forest.reach)
+    for t, own in zip((0, 77), by_tree):
+        plain.grow(t, np.array([x for _, x in own]))
+        assert (plain.feature[t] == forest.feature[t]).all() and (plain.split[t] == forest.split[t]).all() and (plain.path[t] == forest.path[t]).all()
+
+
+def test_exact_ranks(spark):
+    draw = np.random.default_rng(3)
+    values = np.concatenate([draw.random(500), [0.0, 0.0, 1.0, 1e-9, 1e9], np.full(40, 0.25)])
+    df = spark.createDataFrame([(int(b), int(w)) for b, w in zip(common.bits(values), draw.integers(1, 4, len(values)))], "b long, w long")
+    plain = sorted(values)
+    assert [common.ranked(df, "b", k) for k in (0, 3, 200, len(plain) - 1)] == [plain[k] for k in (0, 3, 200, len(plain) - 1)]
+    heavy = np.sort(np.repeat(common.bits(values), [r["w"] for r in df.collect()]))
+    assert common.bits(np.array([common.ranked(df, "b", 300, F.col("w"))]))[0] == heavy[300]
+
+
 def accuracy(rows, truth, name):
     held = [r for r in rows if r["held_out"] and truth.get(r["doc_id"]) is not None]
     return sum(r[name] == truth[r["doc_id"]] for r in held) / len(held)
