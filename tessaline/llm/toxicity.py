@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -13,14 +13,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import in_arrow, labelled, materialise, remainder, scratch, slices, table
+from .common import bits, in_arrow, labelled, map_arrow, materialise, ranked, remainder, scratch, slices, table
 
-#: Labelled documents for the score, at most; their whole texts are read, in SAMPLE_PARTS tasks.
-SAMPLE_ROWS, SAMPLE_PARTS = 6000, 32
-#: A feature is used when so many different toxic texts of the sample, and a hundredth of them besides, have it, and its log
+#: A feature is used when so many different labelled toxic texts, and a hundredth of them besides, have it, and its log
 #: odds are at least so large.
 LEAST_TEXTS, LEAST_ODDS = 3, 3.0
-EPOCHS, RATE, DECAY = 20, 0.3, 1e-3
+#: Passes over the labelled texts at most, steps remembered, share of the first gradient at which learning ends, and decay of weights.
+PASSES, MEMORY, SETTLED, DECAY = 40, 8, 1e-4, 1e-3
+#: Losses and gradients are summed in steps of 1 / LOSS_GRAIN, as whole numbers, so that the order of texts makes no difference.
+LOSS_GRAIN = 1 << 26
+#: Tokens whose features a worker remembers before it starts anew, and features that it counts before it hands them over.
+TOKENS_READ, FEATURES_COUNTED = 30_000, 100_000
 #: Distinct tokens whose weight a worker remembers before it starts anew.
 TOKENS_KEPT = 250_000
 
@@ -209,87 +212,199 @@ class Scorer(dict):
         return 1 / (1 + math.exp(-max(-50.0, min(50.0, self.bias + total))))
 
 
+def word_features(reader: Scorer, keep) -> Callable[[str], list[tuple[str, ...]]]:
+    """By text: for each of its tokens what keep() makes of the token's words; tokens are remembered."""
+    known: dict[str, tuple[str, ...]] = {}
+
+    def read(text: str) -> list[tuple[str, ...]]:
+        out = []
+        for token in reader.tokens(text):
+            own = known.get(token)
+            if own is None:
+                own = keep(reader.words(token))
+                if len(known) >= TOKENS_READ:
+                    known.clear()
+                if len(token) <= 40:
+                    known[token] = own
+            out.append(own)
+        return out
+
+    return read
+
+
 def feature_counts(sample: DataFrame, channel: Channel) -> DataFrame:
     """(feature, bad, good): in how many toxic and other texts of sample (text, toxic) a feature occurs; texts aren't collected."""
     shared = sample.sparkSession.sparkContext.broadcast(Scorer(channel, {}, 0.0))  # SIZE ** 3 numbers
 
+    def batch_of(bad, good):
+        own = sorted(bad.keys() | good.keys())
+        columns = [pa.array(own, pa.string()), *(pa.array([n[f] for f in own], pa.int64()) for n in (bad, good))]
+        return pa.RecordBatch.from_arrays(columns, names=["feature", "bad", "good"])
+
     def run(batches):
-        reader = shared.value
+        read = word_features(shared.value, lambda words: tuple({f for w in words for f in features(w)}))
+        bad, good = Counter(), Counter()
         for batch in slices(batches, 64):
-            bad, good = Counter(), Counter()
             for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                (bad if toxic else good).update({f for t in reader.tokens(text) for w in reader.words(t) for f in features(w)})
-            own = sorted(bad.keys() | good.keys())
-            columns = [pa.array(own, pa.string()), *(pa.array([n[f] for f in own], pa.int64()) for n in (bad, good))]
-            yield pa.RecordBatch.from_arrays(columns, names=["feature", "bad", "good"])
+                (bad if toxic else good).update(set().union(*read(text)))
+            if len(bad) + len(good) > FEATURES_COUNTED:
+                yield batch_of(bad, good)
+                bad, good = Counter(), Counter()
+        yield batch_of(bad, good)
 
     return in_arrow(sample.select("text", "toxic"), run, "feature string, bad long, good long").groupBy("feature").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
 
 
 def examples(sample: DataFrame, channel: Channel, odds: dict[str, float]) -> DataFrame:
-    """(toxic, own): by text of sample, the chosen features, as places in their sorted order; each word counts by one, that with the largest odds."""
-    shared = sample.sparkSession.sparkContext.broadcast((Scorer(channel, {}, 0.0), odds))  # the chosen features of a bounded sample
+    """(toxic, own, n): the chosen features of texts of sample, as places in their sorted order, and how many texts have just these;
+    each word counts by one, that with the largest odds.
+    """
+    shared = sample.sparkSession.sparkContext.broadcast((Scorer(channel, {}, 0.0), odds))  # the chosen features, frequent ones
 
     def run(batches):
         reader, chosen = shared.value
         place = {f: k for k, f in enumerate(sorted(chosen))}
+
+        def best(words):  # a word and the place of its feature
+            found = ((w, max((f for f in features(w) if f in chosen), key=chosen.get, default=None)) for w in words)
+            return tuple((w, place[f]) for w, f in found if f)
+
+        read = word_features(reader, best)
         for batch in slices(batches, 64):
-            rows = []
-            for text in batch.column(0).to_pylist():
-                words = {w for t in reader.tokens(text) for w in reader.words(t)}
-                best = (max((f for f in features(w) if f in chosen), key=chosen.get, default=None) for w in words)
-                rows.append(sorted(place[f] for f in best if f))
+            rows = [sorted(k for _, k in set().union(*read(text))) for text in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(rows, pa.list_(pa.int64()))], names=["toxic", "own"])
 
-    return in_arrow(sample.select("text", "toxic"), run, "toxic long, own array<long>")
+    return in_arrow(sample.select("text", "toxic"), run, "toxic long, own array<long>").groupBy("toxic", "own").agg(F.count("*").alias("n"))
+
+
+def sparse(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """toxic and n by row of examples(), and the row and place of each feature."""
+    own = batch.column(1)
+    lengths = np.diff(own.offsets.to_numpy()).astype(np.int64)
+    return batch.column(0).to_numpy(), batch.column(2).to_numpy(), np.repeat(np.arange(batch.num_rows), lengths), own.flatten().to_numpy()
+
 
+def totals(weights: np.ndarray, n: int, row: np.ndarray, place: np.ndarray) -> np.ndarray:
+    return np.bincount(row, weights=weights[place], minlength=n)
 
-def fit(rows: list[tuple[int, list[int]]], chosen: list[str], channel: Channel) -> Scorer:
-    """Logistic regression on (toxic, features) pairs in a fixed order."""
-    rows = sorted(rows)
-    sparse = [(np.array(own, dtype=np.int64), toxic) for toxic, own in rows]
-    n_bad = sum(t for _, t in sparse)
+
+def loss(rows: DataFrame, weights: np.ndarray, bias: float, balance: float) -> tuple[float, np.ndarray]:
+    """Logistic loss of all rows of examples(), and its gradient by weight and, last, bias; toxic texts count `balance` times.
+
+    Each text adds its decay for the features that it has.
+    """
+    d = len(weights)
+
+    def run(batches):
+        total = np.zeros(d + 2, dtype=np.int64)  # by weight, the bias, the loss
+        for batch in slices(batches):
+            if not batch.num_rows:
+                continue
+            toxic, n, row, place = sparse(batch)
+            x = np.clip(bias + totals(weights, len(n), row, place), -50.0, 50.0)
+            each = n * np.where(toxic == 1, balance, 1.0)
+            error = each * (1 / (1 + np.exp(-x)) - toxic)
+            whole = lambda v: np.rint(v * LOSS_GRAIN).astype(np.int64)
+            np.add.at(total, place, whole(error)[row] + whole(n[row] * DECAY * weights[place]))
+            total[d] += whole(error).sum()
+            total[d + 1] += whole(each * np.logaddexp(0.0, np.where(toxic == 1, -x, x))).sum() + whole(n[row] * DECAY / 2 * weights[place] ** 2).sum()
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_pydict({"place": pa.array(at, pa.int64()), "total": pa.array(total[at], pa.int64())})
+
+    out = np.zeros(d + 2)
+    for r in in_arrow(rows.select("toxic", "own", "n"), run, "place long, total long").groupBy("place").agg(F.sum("total").alias("total")).collect():  # one row per weight
+        out[r["place"]] = r["total"] / LOSS_GRAIN
+    return out[d + 1], out[: d + 1]
+
+
+def descent(loss_of, start: np.ndarray) -> np.ndarray:
+    """The least of a convex function by limited-memory quasi-Newton steps; loss_of gives value and gradient. All but the last number
+    stay at 0 or more: those at 0 whose gradient would lower them are held there.
+    """
+    x = start.copy()
+    value, slope = loss_of(x)
+    steps, passes, first = [], 1, None
+    while passes < PASSES:
+        free = (x > 0) | (slope < 0)
+        free[-1] = True
+        down = np.where(free, slope, 0.0)
+        size = float(np.abs(down).max())
+        first = first or size
+        if size <= SETTLED * first:
+            break
+        q, kept = down.copy(), []
+        for s, y in reversed(steps):
+            s, y = s * free, y * free
+            if s @ y > 1e-12:
+                a = (s @ q) / (s @ y)
+                q -= a * y
+                kept.append((a, s, y))
+        q *= (kept[0][1] @ kept[0][2]) / (kept[0][2] @ kept[0][2]) if kept else 1 / np.abs(down).sum()
+        for a, s, y in reversed(kept):
+            q += (a - (y @ q) / (s @ y)) * s
+        way = np.where(free, -q, 0.0)
+        rate = 1.0
+        while passes < PASSES:
+            ahead = x + rate * way
+            ahead[:-1] = np.maximum(ahead[:-1], 0.0)
+            new_value, new_slope = loss_of(ahead)
+            passes += 1
+            if new_value <= value + 1e-4 * (slope @ (ahead - x)):
+                break
+            rate /= 4
+        if new_value >= value:
+            break
+        steps = [*steps, (ahead - x, new_slope - slope)][-MEMORY:]
+        x, value, slope = ahead, new_value, new_slope
+    return x
+
+
+def fit(rows: DataFrame, chosen: list[str], channel: Channel) -> Scorer:
+    """Logistic regression on all rows of examples(), which stay on the executors; gradients come to the driver."""
+    number = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.sum("n").alias("n")).collect()}  # two rows
+    n_bad, n_good = number.get(1, 0), number.get(0, 0)
     weights, bias = np.zeros(len(chosen)), -3.0
-    draw = np.random.default_rng(4)
-    balance = math.sqrt(max(1.0, (len(sparse) - n_bad) / max(1, n_bad)))
-    for epoch in range(EPOCHS):
-        rate = RATE / (1 + epoch / 4)
-        for k in draw.permutation(len(sparse)):
-            own, toxic = sparse[k]
-            error = (1 / (1 + math.exp(-max(-50.0, min(50.0, bias + weights[own].sum())))) - toxic) * (balance if toxic else 1.0)
-            bias -= rate * 0.02 * error
-            if len(own):
-                np.subtract.at(weights, own, rate * (error + DECAY * weights[own]))
-    weights = np.maximum(weights, 0.0)
-    totals = np.array([weights[own].sum() for own, _ in sparse])
-    toxic = np.array([t == 1 for _, t in sparse], dtype=bool)
-    if toxic.any() and not toxic.all():  # the even score lies a third of the way from what nearly all clean to what nearly all toxic texts reach
-        low, high = np.quantile(totals[~toxic], 0.999), np.quantile(totals[toxic], 0.01)
+    if n_bad and n_good:
+        balance = math.sqrt(max(1.0, n_good / n_bad))
+        weights = descent(lambda x: loss(rows, x[:-1], float(x[-1]), balance), np.append(weights, bias))[:-1]
+
+        def summed():
+            return lambda batch: {"toxic": batch.column(0), "bits": bits(totals(weights, batch.num_rows, *sparse(batch)[2:])), "n": batch.column(2)}
+
+        found = map_arrow(rows.select("toxic", "own", "n"), summed, "toxic long, bits long, n long").groupBy("toxic", "bits").agg(F.sum("n").alias("n"))
+        found = materialise(found, "totals")
+
+        def quantile(toxic: int, n: int, share: float) -> float:  # as numpy interpolates
+            at = (n - 1) * share
+            low = math.floor(at)
+            a, b = (ranked(found.where(F.col("toxic") == toxic), "bits", k, F.col("n")) for k in (low, min(low + 1, n - 1)))
+            return a + (b - a) * (at - low)
+
+        # the even score lies a third of the way from what nearly all clean to what nearly all toxic texts reach
+        low, high = quantile(0, n_good, 0.999), quantile(1, n_bad, 0.01)
         bias = -max(1.0, low + (high - low) / 3)
     return Scorer(channel, {f: float(weights[k]) for k, f in enumerate(chosen) if weights[k] > 0.05}, float(bias))
 
 
 def train(docs: DataFrame, labels: DataFrame, learn) -> Scorer:
-    """Trigrams of all docs, and weights from a bounded sample of the labelled documents where `learn` holds (see labelled).
+    """Trigrams of all docs, and weights from all labelled documents where `learn` holds (see labelled).
 
     Log odds choose the features, logistic regression weighs them. Copies of a text count once, as toxic if one of them is.
-    Whole texts are read on the executors; counts of features that enough toxic texts have, and the chosen ones of each text,
-    come to the driver.
+    Whole texts are read on the executors; counts of features that enough toxic texts have, and gradients by chosen feature, come
+    to the driver.
     """
     counts = np.zeros(SIZE**3, dtype=np.int64)
     found = trigram_counts(docs).toArrow()  # at most SIZE ** 3 rows
     counts[found["code"].to_numpy()] = found["n"].to_numpy()
     channel = Channel(counts)
     with scratch(docs.sparkSession):
-        drawn = labelled(docs, labels, "toxic", learn, SAMPLE_ROWS, 1)
-        sample = drawn.groupBy("text").agg(F.max((F.col("toxic") == 1).cast("long")).alias("toxic"))
-        sample = materialise(sample.repartition(SAMPLE_PARTS), "sample")
+        drawn = labelled(docs, labels, "toxic", learn)
+        sample = materialise(drawn.groupBy("text").agg(F.max((F.col("toxic") == 1).cast("long")).alias("toxic")), "sample")
         n_bad, n = sample.agg(F.coalesce(F.sum("toxic"), F.lit(0)), F.count("*")).first()
         known = feature_counts(sample, channel).where(F.col("bad") >= LEAST_TEXTS + n_bad // 100).collect()
         odds = {r["feature"]: math.log(r["bad"] / (n_bad + 1)) - math.log((r["good"] + 1) / (n - n_bad + 1)) for r in known}
         odds = {f: x for f, x in odds.items() if x >= LEAST_ODDS}
-        rows = [(r["toxic"], r["own"]) for r in examples(sample, channel, odds).collect()]
-    return fit(rows, sorted(odds), channel)
+        return fit(materialise(examples(sample, channel, odds), "examples"), sorted(odds), channel)
 
 
 def scored(docs: DataFrame, scorer: Scorer) -> DataFrame:
@@ -298,7 +413,7 @@ def scored(docs: DataFrame, scorer: Scorer) -> DataFrame:
     Whole texts are read; null and empty ones score as texts without any word of weight. Repeated rows are scored each; an
     empty table gives no rows; other columns are ignored.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(scorer)  # SIZE ** 3 numbers, and features of a bounded sample
+    shared = docs.sparkSession.sparkContext.broadcast(scorer)  # SIZE ** 3 numbers, and features that a share of toxic texts has
     schema = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
 
     def run(batches):

@@ -919,6 +919,47 @@ def test_features_against_plain_counts(spark, documents):
     assert {r["feature"]: [r["bad"], r["good"]] for r in toxicity.feature_counts(sample, channel).collect()} == want
 
 
+def test_toxicity_learns_from_all_labelled_rows(spark):
+    """Words that just enough of all toxic texts have; a sample of the 9,000 labelled rows would miss some."""
+    rare = [f"{c}oraxil" for c in "bdfgk"]
+    plain = ["table", "these", "dirt", "under", "you"]
+    given = [" ".join(plain[(k + j * j) % 5] for j in range(4)) + f" no{k}" for k in range(9000)]
+    for k in range(300):
+        given[k * 30] += " idiot" if k >= 30 else f" {rare[k % 5]}"  # of 300 toxic texts 6 are enough
+    labels = spark.createDataFrame([(k + 1, int(k % 30 == 0)) for k in range(9000)], "doc_id long, toxic int")
+    scorer = toxicity.train(docs_of(spark, given, extra=False), labels, F.lit(True))
+    assert {"idiot$", *(f"{w}$" for w in rare)} <= set(scorer.weights)
+    assert min(scorer.score(f"you {w} there") for w in rare) > 0.5 > scorer.score("you table there")
+
+
+def test_loss_and_its_least_against_plain_sums(spark):
+    draw = random.Random(8)
+    rows = [(int(draw.random() < 0.3), sorted(draw.choices(range(6), k=draw.randrange(0, 4))), draw.randrange(1, 9)) for _ in range(200)]
+    rows = [(t, [*own, 5] if t and k % 2 else own, n) for k, (t, own, n) in enumerate(rows)]
+    df = spark.createDataFrame(rows, "toxic long, own array<long>, n long")
+
+    def plain(x):
+        value, slope = 0.0, np.zeros(7)
+        for toxic, own, n in rows:
+            z, each = x[6] + sum(x[k] for k in own), n * (2.5 if toxic else 1.0)
+            value += each * math.log(1 + math.exp(-z if toxic else z)) + n * toxicity.DECAY / 2 * sum(x[k] ** 2 for k in own)
+            error = each * (1 / (1 + math.exp(-z)) - toxic)
+            slope[6] += error
+            for k in own:
+                slope[k] += error + n * toxicity.DECAY * x[k]
+        return value, slope
+
+    x = np.array([0.5, 1.0, 0.0, 2.0, 0.1, 3.0, -2.0])
+    value, slope = toxicity.loss(df, x[:6], x[6], 2.5)
+    assert value == pytest.approx(plain(x)[0]) and slope == pytest.approx(plain(x)[1], abs=1e-4)
+    again = toxicity.loss(df.repartition(7), x[:6], x[6], 2.5)
+    assert again[0] == value and (again[1] == slope).all()
+    least = toxicity.descent(plain, np.append(np.zeros(6), -3.0))
+    value, slope = plain(least)
+    assert (least[:6] >= 0).all() and all(plain(np.append(np.maximum(least[:6] + d, 0), least[6] + e))[0] > value - 0.02 for d in np.eye(6) * 0.05 for e in (-0.05, 0, 0.05))
+    assert np.abs(np.where((least > 0) | (slope < 0), slope, 0)[:6]).max() < 0.01 * np.abs(plain(np.append(np.zeros(6), -3.0))[1]).max()
+
+
 def test_classifier_edges(spark, documents):
     labels = spark.read.parquet(f"{FOLDER}/labels.parquet")
     vectors = quality_model.word_vectors(documents)
