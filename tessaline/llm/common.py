@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 ROW_GROUP = 16 << 20
 #: Rows that a worker handles at a time, so that its memory doesn't depend on Spark's batch size.
 SLICE_ROWS = 1024
+#: Bits that say which keys a join may find, and bits in a row of them: 4 MB are broadcast at most, whatever the number of keys.
+MARKS, MARKS_ROW = 1 << 25, 1 << 15
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -179,12 +181,32 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, learn: Column, rows
     of doc_id.
 
     Of several labels of a doc_id the least counts, of several texts the least; null texts are empty; null ids and null labels
-    are left out. The bound is on doc_ids before texts are read, so repeated rows don't enlarge the sample.
+    are left out. The bound is on doc_ids before texts are read, so repeated rows don't enlarge the sample. Without a bound texts
+    are shuffled; those of other doc_ids, but for what marked() lets through, stay where they are.
     """
-    known = labels.where(learn & F.col(label).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min(label).cast("long").alias(label))
-    sample = known if rows is None else F.broadcast(bounded(known, "doc_id", rows, seed))  # about `rows` pairs of numbers
-    joined = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(sample, "doc_id")
-    return joined.groupBy("doc_id").agg(F.min("text").alias("text"), F.first(label).alias(label))
+    known = labels.where(learn & F.col(label).isNotNull() & F.col("doc_id").isNotNull())
+    sample = known.groupBy("doc_id").agg(F.min(label).cast("long").alias(label))
+    texts = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    if rows is None:
+        texts = marked(texts, known, "doc_id")
+    else:
+        sample = F.broadcast(bounded(sample, "doc_id", rows, seed))  # about `rows` pairs of numbers
+    return texts.join(sample, "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.first(label).alias(label))
+
+
+def marked(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """The rows of df whose `key` is one of keys, and a few others, told without a shuffle of df; a join on `key` is to follow.
+
+    Each key sets one of MARKS bits, by its hash, and a row stays if the bit of its key is set. Of other rows the share that stays
+    is that of set bits, 1 - exp(-n / MARKS) for n keys. Keys of unlike types hash differently; df is returned then.
+    """
+    if df.schema[key].dataType != keys.schema[key].dataType:
+        return df
+    code = F.pmod(F.xxhash64(key), F.lit(MARKS))
+    at, bit = F.floor(code / MARKS_ROW).cast("int").alias("_at"), (code % MARKS_ROW).cast("int")
+    rows = keys.select(at, bit.alias("_bit")).repartition("_at").groupBy("_at").agg(F.bitmap_construct_agg("_bit").alias("_set"))
+    byte = F.conv(F.hex(F.substring("_set", F.shiftright(bit, 3) + 1, 1)), 16, 10).cast("int")
+    return df.withColumn("_at", at).join(F.broadcast(rows), "_at").where(F.getbit(byte, bit % 8) == 1).select(*df.columns)
 
 
 def bounded(df: DataFrame, key: str, rows: int, seed: int) -> DataFrame:

@@ -932,6 +932,38 @@ def test_toxicity_learns_from_all_labelled_rows(spark):
     assert min(scorer.score(f"you {w} there") for w in rare) > 0.5 > scorer.score("you table there")
 
 
+def test_texts_without_label_are_not_shuffled(spark, monkeypatch):
+    """Of 2,000 texts 40 are labelled; the others stay where they are. Rows are right whatever the marks and types."""
+    draw = random.Random(5)
+    texts = {k: "".join(draw.choices("abcdefghijklmnopqrstuvwxyz 0123456789", k=1000)) for k in range(2000)}
+    df = spark.createDataFrame([*texts.items(), (50, "a"), (100, None), (None, "b")], "doc_id long, text string")
+    rows = [(k, int(k % 100 == 0)) for k in range(0, 2000, 50)] + [(150, 1), (150, None), (200, 0), (None, 1), (9999, 1)]
+    want = {k: (texts[k], int(k % 100 == 0)) for k in range(0, 2000, 50)} | {50: (min("a", texts[50]), 0), 100: ("", 1), 200: (texts[200], 0)}
+    labels = spark.createDataFrame(rows, "doc_id long, toxic int")
+
+    def shuffled(plan):
+        own = plan.metrics().get("shuffleBytesWritten").get().value() if plan.nodeName() == "Exchange" else 0
+        return own + sum(shuffled(plan.children().apply(k)) for k in range(plan.children().size()))
+
+    def found(docs, labels):
+        got = common.labelled(docs, labels, "toxic", F.lit(True))
+        assert {r["doc_id"]: (r["text"], r["toxic"]) for r in got.collect()} == want
+        return shuffled(got._jdf.queryExecution().executedPlan())
+
+    values = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {name: spark.conf.get(name) for name in values}
+    try:
+        for name, value in values.items():
+            spark.conf.set(name, value)
+        whole = found(df, labels.withColumn("doc_id", F.col("doc_id").cast("int")))  # unlike types are joined as they were
+        assert found(df, labels.repartition(5)) < whole / 5
+        monkeypatch.setattr(common, "MARKS", 64)
+        assert whole / 5 < found(df, labels) < whole  # 64 bits for 41 keys
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def test_loss_and_its_least_against_plain_sums(spark):
     draw = random.Random(8)
     rows = [(int(draw.random() < 0.3), sorted(draw.choices(range(6), k=draw.randrange(0, 4))), draw.randrange(1, 9)) for _ in range(200)]
